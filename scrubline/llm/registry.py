@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from scrubline.llm import mixing
+from scrubline.llm import mixing, urls
 
 
 def queries() -> dict:
     return {
         "op2_mix_sources": mixing.op2_mix_sources,
+        "op8_filter_urls": urls.op8_filter_urls,
     }
 
 
 def oracle_sql() -> dict:
     return {
         "op2_mix_sources": mixing.OP2_SQL,
+        "op8_filter_urls": urls.OP8_SQL,
     }

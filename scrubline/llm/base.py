@@ -90,3 +90,28 @@ def _small_star(e: DataFrame) -> DataFrame:
     least = e.groupBy("v").agg(F.min("u").alias("m")).select(F.col("v").alias("k"), "m")
     out = e.join(least, e.v == least.k).select(F.col("u").alias("v"), F.col("m").alias("u"))
     return out.union(least.select(F.col("k").alias("v"), F.col("m").alias("u"))).where("u != v").distinct()
+
+
+def slices(batch, column: str, most_bytes: int = 4 << 20):
+    """Splits an Arrow batch so that each part holds about most_bytes of a text or
+    binary column (a longer value makes a part of its own)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at, n = 0, batch.num_rows
+    while at < n:
+        base = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, base + most_bytes, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def with_fields(schema, *fields):
+    """schema without the fields' names, then the fields (name, type)."""
+    from pyspark.sql import types as T
+
+    new = [T.StructField(n, T._parse_datatype_string(t) if isinstance(t, str) else t) for n, t in fields]
+    names = {f.name.lower() for f in new}
+    return T.StructType([f for f in schema.fields if f.name.lower() not in names] + new)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from scrubline.llm import media, mixing, urls
+from scrubline.llm import langid, media, mixing, urls
 
 
 def queries() -> dict:
     return {
         "op2_mix_sources": mixing.op2_mix_sources,
+        "op5_language_id": langid.op5_language_id,
         "op6_media_columns": media.op6_media_columns,
         "op8_filter_urls": urls.op8_filter_urls,
     }

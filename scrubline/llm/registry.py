@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scrubline.llm import langid, media, mixing, urls
+from scrubline.llm import chat, langid, media, mixing, urls
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op2_mix_sources": mixing.op2_mix_sources,
         "op5_language_id": langid.op5_language_id,
         "op6_media_columns": media.op6_media_columns,
+        "op7_format_chats": chat.op7_format_chats,
         "op8_filter_urls": urls.op8_filter_urls,
     }
 
@@ -17,5 +18,6 @@ def queries() -> dict:
 def oracle_sql() -> dict:
     return {
         "op2_mix_sources": mixing.OP2_SQL,
+        "op7_format_chats": chat.OP7_SQL,
         "op8_filter_urls": urls.OP8_SQL,
     }

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from scrubline.llm import chat, langid, licenses, media, mixing, urls
+from scrubline.llm import chat, langid, licenses, media, mixing, packing, urls
 
 
 def queries() -> dict:
     return {
         "op1_license_scan": licenses.op1_license_scan,
         "op2_mix_sources": mixing.op2_mix_sources,
+        "op3_pack_documents": packing.op3_pack_documents,
         "op5_language_id": langid.op5_language_id,
         "op6_media_columns": media.op6_media_columns,
         "op7_format_chats": chat.op7_format_chats,

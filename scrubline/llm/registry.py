@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scrubline.llm import chat, langid, licenses, media, mixing, packing, simhash, urls
+from scrubline.llm import chat, langid, licenses, media, mixing, packing, simhash, substrings, urls
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op6_media_columns": media.op6_media_columns,
         "op7_format_chats": chat.op7_format_chats,
         "op8_filter_urls": urls.op8_filter_urls,
+        "op9_substring_dedup": substrings.op9_substring_dedup,
         "op10_simhash_duplicates": simhash.op10_simhash_duplicates,
     }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scrubline.llm import chat, langid, licenses, media, mixing, packing, simhash, substrings, urls
+from scrubline.llm import chat, embeddings, langid, licenses, media, mixing, packing, simhash, substrings, urls
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_license_scan": licenses.op1_license_scan,
         "op2_mix_sources": mixing.op2_mix_sources,
         "op3_pack_documents": packing.op3_pack_documents,
+        "op4_embedding_duplicates": embeddings.op4_embedding_duplicates,
         "op5_language_id": langid.op5_language_id,
         "op6_media_columns": media.op6_media_columns,
         "op7_format_chats": chat.op7_format_chats,

@@ -43,7 +43,8 @@ def source_targets(totals: DataFrame, weights=WEIGHTS, percent: int = 150, most:
     ``most`` times the source's size and the excess goes to the others by weight
     until none is above.  That is a level ``t`` with target = min(cap, t * weight):
     with the sources sorted by cap / weight, t is the first share left over that
-    its own source can take.  One row for each source goes through one task.
+    its own source can take, and the largest of that kind.  One row for each
+    source goes through one task.
     """
     n = len(weights)
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -58,7 +59,7 @@ def source_targets(totals: DataFrame, weights=WEIGHTS, percent: int = 150, most:
         (F.sum("source_size").over(everything) * percent - F.coalesce(F.sum("cap").over(before), F.lit(0)) * 100)
         / (F.sum("weight").over(after) * 100),
     )
-    level = F.min(F.when(F.col("share") <= F.col("cap") / F.col("weight"), F.col("share"))).over(everything)
+    level = F.max(F.when(F.col("share") <= F.col("cap") / F.col("weight"), F.col("share"))).over(everything)
     target = F.least(F.col("cap").cast("double"), F.coalesce(level * F.col("weight"), F.col("cap").cast("double")))
     return x.select("source", "source_size", "weight", target.alias("target"))
 
@@ -138,7 +139,7 @@ s AS (
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 100)::DOUBLE
            / (sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) * 100)::DOUBLE AS share
   FROM w),
-l AS (SELECT min(CASE WHEN share <= cap / weight THEN share END) AS level FROM s),
+l AS (SELECT max(CASE WHEN share <= cap / weight THEN share END) AS level FROM s),
 g AS (SELECT source, source_size, least(cap::DOUBLE, coalesce(level * weight, cap::DOUBLE)) AS target FROM s, l),
 r AS (
   SELECT k.doc_id, k.size, g.source_size, g.target,

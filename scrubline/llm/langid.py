@@ -159,15 +159,15 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     return sums
 
 
-def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def predict(df: DataFrame, model: Model, text_col: str = "text", prefix: str = "") -> DataFrame:
     """df plus ``lang_pred``, ``score`` (the best language's share when each has
     the weight 2^-bits) and ``bits_per_byte`` (null for an empty text).
 
     Texts that are null or have no letter, and all texts under a model without
     languages, are ``und`` with score 0.  Ties go to the first language by name.
-    Columns of df with these names are replaced.
+    The names get ``prefix``; columns of df with them are replaced.
     """
-    added = [("lang_pred", "string"), ("score", "double"), ("bits_per_byte", "double")]
+    added = [(prefix + n, t) for n, t in (("lang_pred", "string"), ("score", "double"), ("bits_per_byte", "double"))]
     letter = "__letter"
     schema = with_fields(df.schema, *added)
     names = [n for n in schema.names if n not in dict(added)]

@@ -79,7 +79,7 @@ def _full_rows(docs: DataFrame, text: str, window: int) -> DataFrame:
                 words = Words(_bytes(b, text))
                 least, _, _ = anchors(words, _half(window), window)
                 at = []
-                for i, halves in enumerate(b.column("halves").to_pylist()):
+                for i, halves in enumerate(b.column("__halves").to_pylist()):
                     if halves:
                         s, n = words.starts[i], words.counts[i]
                         at.append(s + np.flatnonzero(np.isin(least[s : s + n], np.array(halves, np.int64).view(np.uint64))))
@@ -92,7 +92,7 @@ def _full_rows(docs: DataFrame, text: str, window: int) -> DataFrame:
                      *(b.column(k).take(pa.array(doc)) for k in _KEY)], ["h", "n", "pos", *_KEY]
                 )
 
-    return docs.select(text, "halves", *_KEY).mapInArrow(tasks, "h long, n long, pos int, __d long, __t long")
+    return docs.select(text, "__halves", *_KEY).mapInArrow(tasks, "h long, n long, pos int, __d long, __t long")
 
 
 def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = WINDOW) -> DataFrame:
@@ -109,17 +109,17 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     docs = df.withColumns({"__d": F.coalesce(F.col(id_col).cast("long"), F.lit(0)), "__t": F.xxhash64(text_col)})
     halves = _half_rows(docs, text_col, window)
     known = stored(_repeated(halves.select("h", "n")), "halves")
-    found = halves.join(known, halves.h == known.r, "left_semi").groupBy(*_KEY).agg(F.collect_set("h").alias("halves"))
-    found = stored(found.select(F.col("__d").alias("d1"), F.col("__t").alias("t1"), "halves"), "found")
-    x = docs.join(found, (docs["__d"] == F.col("d1")) & (docs["__t"] == F.col("t1")), "left")
-    full = _full_rows(x.where("halves IS NOT NULL"), text_col, window)
+    found = halves.join(known, halves.h == known.r, "left_semi").groupBy(*_KEY).agg(F.collect_set("h").alias("__halves"))
+    found = stored(found.select(F.col("__d").alias("__d1"), F.col("__t").alias("__t1"), "__halves"), "found")
+    x = docs.join(found, (docs["__d"] == F.col("__d1")) & (docs["__t"] == F.col("__t1")), "left")
+    full = _full_rows(x.where("__halves IS NOT NULL"), text_col, window)
     # the key is negated so that both sides are dealt anew: then a skewed one can be split
     again = _repeated(full.select("h", "n")).select(F.bitwise_not("r").alias("r"))
     hits = full.join(again, F.bitwise_not(full.h) == again.r, "left_semi")
-    places = hits.groupBy(*_KEY).agg(F.collect_set("pos").alias("places"))
-    places = places.select(F.col("__d").alias("d2"), F.col("__t").alias("t2"), "places")
-    y = x.join(places, (x["__d"] == F.col("d2")) & (x["__t"] == F.col("t2")), "left").select(*columns, "places")
-    fields = [f for f in y.schema.fields if f.name != "places"]
+    places = hits.groupBy(*_KEY).agg(F.collect_set("pos").alias("__places"))
+    places = places.select(F.col("__d").alias("__d2"), F.col("__t").alias("__t2"), "__places")
+    y = x.join(places, (x["__d"] == F.col("__d2")) & (x["__t"] == F.col("__t2")), "left").select(*columns, "__places")
+    fields = [f for f in y.schema.fields if f.name != "__places"]
     at_text = columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +127,7 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
             for b in slices(batch, text_col, 2 << 20):
                 texts = _bytes(b, text_col)
                 kept, total, removed = [], [], []
-                for text, at in zip(texts, b.column("places").to_pylist(), strict=True):
+                for text, at in zip(texts, b.column("__places").to_pylist(), strict=True):
                     words = text.split()
                     total.append(len(words))
                     if at:

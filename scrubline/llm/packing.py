@@ -29,10 +29,11 @@ SEPARATOR = 0
 #: Pieces in a group; a group leaves about one sequence part empty.
 GROUP = 4096
 
-#: A word whose tokens can be found apart from its case and one mark behind it:
-#: these letters are single code points that NFC keeps, and a letter run and
-#: a mark are tokenised apart.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: Texts without a match are letter runs, white space and single marks.  Their
+#: letters are single code points that NFC keeps, and letter runs and marks are
+#: tokenised apart, so lower-case runs and marks can be looked up one by one.
+_HARD = re.compile(f"[^{_LETTERS}., \\t\\n\\x0b\\x0c\\r]|[.,]{{2}}")
 
 
 class WordTokenizer:
@@ -40,62 +41,57 @@ class WordTokenizer:
 
     The vocabulary drops white space and never joins tokens across it, so a
     text's ids are those of its words (split at ASCII white space) in a row.
-    The ids of words are kept, as bytes, up to a bounded number.
+    The ids of words are kept, as bytes, in two generations of bounded size.
     """
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    def __init__(self, path: str, most_words: int = 300_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(c) for c in range(0xC0, 0x100)]
+        self.shown = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
         self.most = most_words
-        self.words: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-
-    def _raw(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn_stems(self, stems: list[str]) -> None:
-        """Plain lower-case letter runs: one call, cut by the index of the run that a token is from."""
-        for at in range(0, len(stems), 5000):
-            part = stems[at : at + 5000]
-            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(e.ids, "<u4")
-            ends = np.searchsorted(np.array(e.word_ids), np.arange(len(part)), "right")
-            begin = 0
-            for stem, end in zip(part, ends.tolist(), strict=True):
-                self.stems[stem] = ids[begin:end].tobytes()
-                begin = end
-
-    def learn(self, words: set[bytes]) -> None:
-        new = words - self.words.keys()
-        if len(self.words) + len(new) > self.most:
-            self.words.clear()
-            new = words
-        if len(self.stems) > self.most:
-            self.stems.clear()
-        plain, other, runs = [], [], set()
-        for w in new:
-            text = w.decode()
-            m = _PLAIN.fullmatch(text)
-            if m:
-                stem = m[1].lower()
-                plain.append((w, stem, m[2]))
-                runs.add(stem)
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+
+    def _parts(self, raw: bytes) -> list[str]:
+        """Letter runs and marks in lower case, and hard words behind a blank, in order."""
+        text = raw.decode()
+        if _HARD.search(text) is None:
+            return text.lower().replace(".", " . ").replace(",", " , ").split()
+        out = []
+        for word in raw.split():
+            word = word.decode()
+            if _HARD.search(word) is None:
+                out += word.lower().replace(".", " . ").replace(",", " , ").split()
             else:
-                other.append((w, text))
-        self._learn_stems(sorted((runs | {"a"}) - self.stems.keys()))
-        marks = dict(zip(("", ".", ","), (b"", *self._raw([".", ","])), strict=True))
-        for w, stem, mark in plain:
-            self.words[w] = self.stems[stem] + marks[mark]
-        for (w, _), ids in zip(other, self._raw([t for _, t in other]) if other else [], strict=True):
-            self.words[w] = ids
+                out.append(" " + word)
+        return out
+
+    def _learn(self, wanted: set[str]) -> None:
+        if len(self.new) > self.most:
+            self.new, self.old = {}, self.new
+        hard, packed, model = [], self.packed, self.tokenizer.model
+        for w in wanted - self.new.keys():
+            if w in self.old:
+                self.new[w] = self.old[w]
+            elif w[0] == " ":
+                hard.append(w)
+            else:  # past the normaliser and the splitter, which would keep it as it is
+                found = model.tokenize(w if w.isascii() else w.translate(self.shown))
+                self.new[w] = b"".join([packed[t.id] for t in found])
+        if hard:
+            found = self.tokenizer.encode_batch([w[1:] for w in hard], add_special_tokens=False)
+            self.new.update((w, b"".join([packed[i] for i in e.ids])) for w, e in zip(hard, found, strict=True))
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as little-endian unsigned 32-bit numbers."""
-        split = [t.split() for t in texts]
-        self.learn(set().union(*split))
-        at = self.words.__getitem__
+        split = [self._parts(t) for t in texts]
+        self._learn(set().union(*split))
+        at = self.new.__getitem__
         return [b"".join(map(at, s)) for s in split]
 
 
@@ -134,7 +130,7 @@ def pieces(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", capaci
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokenizer(path)
         for batch in batches:
-            for b in slices(batch, "text", 1 << 20):
+            for b in slices(batch, "text", 2 << 20):
                 texts = [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
                 out = []
                 for doc, ids in zip(b.column("doc_id").to_pylist(), words.ids(texts), strict=True):

@@ -92,7 +92,7 @@ def _full_rows(docs: DataFrame, text: str, window: int) -> DataFrame:
                      *(b.column(k).take(pa.array(doc)) for k in _KEY)], ["h", "n", "pos", *_KEY]
                 )
 
-    return docs.select(text, "__halves", *_KEY).mapInArrow(tasks, "h long, n long, pos int, __d long, __t long")
+    return docs.mapInArrow(tasks, "h long, n long, pos int, __d long, __t long")
 
 
 def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = WINDOW) -> DataFrame:
@@ -112,6 +112,8 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     found = halves.join(known, halves.h == known.r, "left_semi").groupBy(*_KEY).agg(F.collect_set("h").alias("__halves"))
     found = stored(found.select(F.col("__d").alias("__d1"), F.col("__t").alias("__t1"), "__halves"), "found")
     x = docs.join(found, (docs["__d"] == F.col("__d1")) & (docs["__t"] == F.col("__t1")), "left")
+    # the windows and the final cut read the same columns, so the texts are shuffled once for both
+    x = x.select(*[docs[c] for c in columns], "__halves", *_KEY)
     full = _full_rows(x.where("__halves IS NOT NULL"), text_col, window)
     # the key is negated so that both sides are dealt anew: then a skewed one can be split
     again = _repeated(full.select("h", "n")).select(F.bitwise_not("r").alias("r"))

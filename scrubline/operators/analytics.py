@@ -9,7 +9,9 @@ EXTERNAL = "google-dlp"
 
 
 def exploded(result: DataFrame, text_field: str = "note") -> DataFrame:
-    return result.select(F.explode(f"FINDING_{text_field}").alias("f")).select("f.*")
+    """One row for each finding.  The outer form, since for the inner one Spark puts a
+    filter on the array below, which runs all patterns twice."""
+    return result.select(F.explode_outer(f"FINDING_{text_field}").alias("f")).where("f IS NOT NULL").select("f.*")
 
 
 def by_type(result: DataFrame, text_field: str = "note", external: bool = False) -> DataFrame:

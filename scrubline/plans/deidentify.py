@@ -152,7 +152,8 @@ def inspect(df: DataFrame, job: Job, **options) -> DataFrame:
     for t in job.text_fields:
         rows = with_findings(df.select(*[c for c in df.columns]), job, t, "__found", **options)
         ids = [F.col(c).cast("string").alias(c) for c in job.id_fields if c in df.columns]
-        parts.append(rows.select(*ids, F.lit(t).alias("field"), F.explode("__found").alias("f")).select(
+        # the outer form: for the inner one Spark puts a filter on the array below, which runs all patterns twice
+        parts.append(rows.select(*ids, F.lit(t).alias("field"), F.explode_outer("__found").alias("f")).where("f IS NOT NULL").select(
             *[c for c in job.id_fields if c in df.columns], "field", "f.*"))
     out = parts[0]
     for p in parts[1:]:

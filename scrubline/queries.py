@@ -58,7 +58,7 @@ def _duck(sql: str) -> str:
 
 
 def exploded(df: DataFrame, found: Column) -> DataFrame:
-    rows = df.select("note_id", F.explode(found).alias("f"))
+    rows = df.select("note_id", F.explode_outer(found).alias("f")).where("f IS NOT NULL")
     return rows.select("note_id", "f.word", F.col("f.start").cast("long").alias("start_pos"), F.col("f.end").cast("long").alias("end_pos"),
                        "f.type", "f.replacement", "f.found_by")
 
@@ -319,7 +319,7 @@ _LABELS = {1: "name", 3: "DATE", 5: "PHONE/FAX", 7: "EMAIL/URL", 9: "IP", 11: "M
 @register("annotator_labels", _NOTES_X + " UNION ALL ".join(
     f"SELECT note_id::VARCHAR AS id, length({' || '.join(f's{j}' for j in range(i))}) AS start_pos, '{_LABELS[i]}' AS label FROM x" for i in _TYPES))
 def _annotator(spark, sf_dir):
-    rows = annotations(deid_notes_frame(spark, sf_dir), "note", "note_id").select("id", F.explode("label").alias("l"))
+    rows = annotations(deid_notes_frame(spark, sf_dir), "note", "note_id").select("id", F.explode_outer("label").alias("l")).where("l IS NOT NULL")
     return rows.select("id", F.col("l.start").cast("long").alias("start_pos"), "l.label")
 
 

@@ -23,7 +23,7 @@ def read_text_folder(spark: SparkSession, path: str, id_col: str = "id", text_co
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with a header: all strings, empty values stay empty."""
-    return spark.read.csv(path, header=True, inferSchema=False, emptyValue="", nullValue="\0", quote='"', escape='"')
+    return spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"').na.fill("")
 
 
 def read_dictionary(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -20,5 +20,5 @@ def deidentify_stream(notes: DataFrame, job: Job, path: str, checkpoint: str, av
 def type_counts(notes: DataFrame, job: Job, text_field: str, time_col: str, window: str = "1 hour", late: str = "10 minutes", **options) -> DataFrame:
     """Findings by window of time and type; a window closes when its watermark is past."""
     rows = deidentify(notes.withWatermark(time_col, late), job, keep_columns=True, **options)
-    each = rows.select(time_col, F.explode(f"FINDING_{text_field}").alias("f"))
+    each = rows.select(time_col, F.explode_outer(f"FINDING_{text_field}").alias("f")).where("f IS NOT NULL")
     return each.groupBy(F.window(time_col, window), F.col("f.type").alias("type")).count()

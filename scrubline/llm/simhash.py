@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.llm.base import components, slices, stored, table
@@ -136,16 +136,19 @@ def _signed(x: int) -> int:
 def buckets(unique: DataFrame, partitions: list[tuple[list[int], int]]) -> DataFrame:
     """``(part, key, fp, rep)``: where fingerprints meet.  With threshold 1 each also
     meets those that have one more bit set, so a pair one bit apart meets once."""
-    fp, rows = F.col("fp"), []
-    for i, (bits, threshold) in enumerate(partitions):
+    fp = F.col("fp")
+
+    def rows(i: int, bits: list[int], threshold: int) -> Column:
         own = fp.bitwiseAND(F.lit(_signed(sum(1 << b for b in bits))))
         keys = F.array(own)
         if threshold == 1:
             single = F.array(*[F.lit(_signed(1 << b)) for b in bits])
             clear = F.filter(single, lambda b: fp.bitwiseAND(b) == 0)
-            keys = F.concat(keys, F.transform(clear, lambda b, own=own: own.bitwiseOR(b)))
-        rows.append(F.transform(keys, lambda k, i=i: F.struct(F.lit(i).alias("part"), k.alias("key"))))
-    return unique.select(F.explode(F.flatten(F.array(*rows))).alias("at"), "fp", "rep").select("at.part", "at.key", "fp", "rep")
+            keys = F.concat(keys, F.transform(clear, lambda b: own.bitwiseOR(b)))
+        return F.transform(keys, lambda k: F.struct(F.lit(i).alias("part"), k.alias("key")))
+
+    met = F.flatten(F.array(*[rows(i, bits, threshold) for i, (bits, threshold) in enumerate(partitions)]))
+    return unique.select(F.explode(met).alias("at"), "fp", "rep").select("at.part", "at.key", "fp", "rep")
 
 
 def _links(key: np.ndarray, fp: np.ndarray, rep: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 FINDING = "struct<word:string,start:int,end:int,type:string,replacement:string,found_by:string>"
 FINDINGS = f"array<{FINDING}>"
+#: Stands for a match while a text is cut; Unicode keeps it out of texts.
+MARK = "\uFDD0"
 
 
 def none_found() -> Column:
@@ -45,8 +47,13 @@ def find_spans(text: Column, pattern: str | Column, type_: str | Column, replace
     kind = F.lit(type_) if isinstance(type_, str) else type_
     fixed = replacement if isinstance(replacement, Column) else F.lit(replacement).cast("string")
 
+    # Spark's split compiles its pattern for every row but replacing does not, so the
+    # matches become a noncharacter first; a text that holds one is split by the pattern
+    marked = F.split(F.regexp_replace(text, p, F.lit(MARK)), MARK, -1)
+    pieces = F.when(F.contains(text, F.lit(MARK)), F.split(text, p, -1)).otherwise(marked)
+
     def place(hits: Column) -> Column:
-        gaps = F.slice(F.split(text, p, -1), 1, F.size(hits))
+        gaps = F.slice(pieces, 1, F.size(hits))
         begin = F.struct(F.lit(0).alias("at"), none_found().alias("out"))
 
         def step(acc: Column, x: Column) -> Column:

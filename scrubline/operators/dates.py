@@ -112,14 +112,27 @@ def dates(text: Column, jitter: Column | None = None, birth: Column | None = Non
 
         return of
 
-    found = [find_spans(text, "(?i)" + f.pattern, item, None, FOUND_BY, told(f)) for f in forms(compat)]
+    # matches carry their form's number until the conflicts are settled, so that only what stays is read as a date
+    known = forms(compat)
+    found = [find_spans(text, "(?i)" + f.pattern, str(i), None, FOUND_BY) for i, f in enumerate(known)]
     before = F.filter(earlier if earlier is not None else none_found(), lambda f: f["replacement"].isNotNull())
 
     def settle(all_found: Column) -> Column:
         def step(acc: Column, one: Column) -> Column:
             taken = lambda f: (f["start"] <= one["start"]) & (one["start"] <= f["end"])
-            return F.when(F.exists(acc, taken) | F.exists(before, taken), acc).otherwise(F.concat(acc, F.array(one)))
-
-        return F.when(F.size(all_found) > 0, F.aggregate(all_found, none_found(), step)).otherwise(none_found())
-
-    return let(joined(*found), settle).cast(FINDINGS)
+            free = ~F.exists(acc, taken)
+            if earlier is not None:
+                free = free & ~F.exists(before, taken)
+            return F.when(free, F.concat(acc, F.array(one))).otherwise(acc)
+
+        return F.aggregate(all_found, none_found(), step)
+
+    def read(f: Column) -> Column:
+        new = F.when(f["type"] == "0", told(known[0])(f["word"]))
+        for i, form in enumerate(known[1:], 1):
+            new = new.when(f["type"] == str(i), told(form)(f["word"]))
+        return F.struct(f["word"].alias("word"), f["start"].alias("start"), f["end"].alias("end"), F.lit(item).alias("type"),
+                        new.alias("replacement"), f["found_by"].alias("found_by"))
+
+    settled = let(joined(*found), lambda x: F.when(F.size(x) > 0, F.transform(settle(x), read)).otherwise(none_found()))
+    return settled.cast(FINDINGS)

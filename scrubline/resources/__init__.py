@@ -13,7 +13,7 @@ ADDRESSES = [
     ("Hazel", "Way", "Glenwood", "WA", "98001"), ("Ivy", "Place", "Hillsboro", "OH", "45133"), ("Juniper", "Street", "Ironwood", "MI", "49938"),
     ("Laurel", "Avenue", "Jamestown", "ND", "58401"), ("Maple", "Road", "Kingston", "NY", "12401"), ("Oak", "Lane", "Lakeside", "AZ", "85929"),
 ]
-CITIES = sorted({a[2] for a in ADDRESSES} | {"Boston", "Chicago", "Denver", "Houston", "Oakland", "Palo Alto", "Portland", "San Francisco", "Seattle", "Stanford"})
+CITIES = sorted({a[2] for a in ADDRESSES} | {"Boston", "Chicago", "Denver", "Houston", "Oakland", "Palo Alto", "Portland", "Sacramento", "San Francisco", "Seattle"})
 IGNORED_WORDS = ["and", "at", "by", "for", "in", "of", "on", "or", "the", "to", "with", "unknown", "none", "street", "road", "avenue", "apt"]
 
 # States and their codes, titles and pronouns that are no names.

@@ -44,7 +44,7 @@ class WordTokenizer:
     The ids of words are kept, as bytes, in two generations of bounded size.
     """
 
-    def __init__(self, path: str, most_words: int = 300_000):
+    def __init__(self, path: str, most_words: int = 150_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -130,7 +130,7 @@ def pieces(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", capaci
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokenizer(path)
         for batch in batches:
-            for b in slices(batch, "text", 2 << 20):
+            for b in slices(batch, "text", 1 << 20):
                 texts = [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
                 out = []
                 for doc, ids in zip(b.column("doc_id").to_pylist(), words.ids(texts), strict=True):

@@ -24,6 +24,8 @@ from scrubline.llm.base import slices, stored, table
 from scrubline.llm.windows import Words, anchors
 
 WINDOW = 35
+#: Bytes of text that are hashed at once: a worker holds some tens of 8-byte numbers for each.
+SLICE = 900_000
 _KEY = ["__d", "__t"]
 
 
@@ -57,7 +59,7 @@ def _half_rows(docs: DataFrame, text: str, window: int) -> DataFrame:
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, text, 2 << 20):
+            for b in slices(batch, text, SLICE):
                 words = Words(_bytes(b, text))
                 _, at, h = anchors(words, _half(window), window)
                 first, n = _first_in_doc(words.doc[at], h)
@@ -75,7 +77,7 @@ def _full_rows(docs: DataFrame, text: str, window: int) -> DataFrame:
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, text, 2 << 20):
+            for b in slices(batch, text, SLICE):
                 words = Words(_bytes(b, text))
                 least, _, _ = anchors(words, _half(window), window)
                 at = []
@@ -126,7 +128,7 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, text_col, 2 << 20):
+            for b in slices(batch, text_col, SLICE):
                 texts = _bytes(b, text_col)
                 kept, total, removed = [], [], []
                 for text, at in zip(texts, b.column("__places").to_pylist(), strict=True):

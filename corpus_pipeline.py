@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from scrubline.llm import langid, mixing, packing, simhash, substrings
 from scrubline.llm.base import stored, table
 
-#: A text that the best language codes in no less than its plain bytes is no language's.
-MOST_BITS = 8.0
+#: A text that the best language codes in more than its plain bytes by this many
+#: bits is no language's; a few rare letters at a short text's start are no evidence.
+MOST_EXCESS = 64.0
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +26,8 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     if not model.languages:
         return docs
     found = langid.predict(docs, model, prefix="__")
-    known = (F.col("__lang_pred") != langid.NONE) & (F.col("__bits_per_byte") < MOST_BITS)
+    excess = (F.col("__bits_per_byte") - 8) * F.octet_length("text")
+    known = (F.col("__lang_pred") != langid.NONE) & (excess < MOST_EXCESS)
     return found.where(known).select(*docs.columns)
 
 

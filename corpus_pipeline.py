@@ -7,10 +7,10 @@ columns of docs, extra ones included.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.llm import langid, mixing, packing, simhash, substrings
+from scrubline.llm import langid, mixing, packing, similar, substrings
 from scrubline.llm.base import stored, table
 
 #: A text that the best language codes in more than its plain bytes by this many
@@ -32,16 +32,22 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates,
-    and one row of those that repeat its id.  Documents without an id stay."""
-    found = simhash.near_duplicates(docs)
-    kept = stored(found.where("doc_id = component_id").groupBy("doc_id").count(), "kept").select(F.col("doc_id").alias("__id"), "count")
-    repeated = not kept.where("count > 1").isEmpty()
-    one = docs.join(kept.select("__id"), docs.doc_id == F.col("__id"), "left_semi")
-    if repeated:
-        order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-        one = one.withColumn("__row", F.row_number().over(order)).where("__row = 1").select(*docs.columns)
-    return one.union(docs.where("doc_id IS NULL"))
+    """Keeps one document of each group of near-duplicates: texts whose sets of
+    five-word shingles have a similarity of 0.8 or more, also over others.  The
+    smallest id stays, then the smallest hash of the text; rows without an id come
+    last.  Of rows with the same id and text one stays."""
+    found, linked = similar.near_duplicates(docs)
+    first = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "t", "n")
+    each = found.groupBy("key", "doc_id", "t").agg(F.count("*").alias("n")).groupBy("key").agg(F.min(first).alias("best"))
+    joined = each.join(linked, each.key == linked.id, "left").groupBy(F.coalesce("component", "key").alias("component"))
+    kept = joined.agg(F.min("best").alias("best")).select(F.col("best.doc_id").alias("__id"), F.col("best.t").alias("__t"), F.col("best.n").alias("__n"))
+    kept = stored(kept, "kept")
+    rows = docs.withColumn("__text", F.xxhash64("text"))
+    one = lambda k: rows.join(k, rows.doc_id.cast("long").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__t")), "left_semi")
+    if kept.where("__n > 1").isEmpty():
+        return one(kept).select(*docs.columns)
+    again = one(kept.where("__n > 1")).groupBy("doc_id", "__text").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
+    return one(kept.where("__n = 1")).select(*docs.columns).union(again.select("row.*"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,13 +1,14 @@
 """The pipeline's stages against brute force, each on what its predecessor kept."""
 
 import collections
+import random
 
 import corpus_pipeline as pipeline
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.test_operators import _components, _cut, _fingerprint
 
-from scrubline.llm import packing
+from scrubline.llm import packing, similar
 from scrubline.llm.base import stored
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score int, copies string"
@@ -69,3 +70,28 @@ def test_empty_corpus(spark):
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, "")
     assert docs.count() == 0
+
+
+def _similarity(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split()))
+    return len(a & b) / len(a | b)
+
+
+def test_near_copies_go(spark):
+    r, texts = random.Random(3), []
+    for n in [200] * 40 + [1000] * 10 + [30] * 10 + [3, 4, 5]:
+        words = [f"w{r.randint(0, 5000)}" for _ in range(n)]
+        texts.append(" ".join(words))
+        for changed in (1, 2, 4, 8):
+            other = words[:]
+            for at in r.sample(range(n), min(n, changed * max(1, n // 200))):
+                other[at] = "other"
+            texts.append(" ".join(other))
+    label = _components(texts, lambda a, b: _similarity(a, b) >= 0.8)
+    want = {label.index(c) for c in label}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), 1, "c") for i, t in enumerate(texts)], DOCS)
+    assert {x.doc_id for x in pipeline.drop_near_duplicates(spark, docs, "").collect()} == want
+    found, linked = similar.near_duplicates(docs, block=2)
+    linked = {x.id: x.component for x in linked.collect()}
+    group = {x.doc_id: linked.get(x.key, x.key) for x in found.collect()}
+    assert len(set(group.values())) == len(want) and all((group[i] == group[label.index(c)]) for i, c in enumerate(label))

@@ -3,7 +3,8 @@
 Each line: priority, label, keyword, pattern.  Rules are read over a text's
 lower-case words joined by one blank, so ``version 2.0`` reads ``version 2 0``;
 a pattern starts and ends at word bounds.  Only texts that hold the keyword are
-searched.  Priorities: 5 a full statement or identifier, 4 a named licence with
+searched, so every match of a pattern must hold it at the start of a word: a rule
+with alternatives that share no keyword is several lines.  Priorities: 5 a full statement or identifier, 4 a named licence with
 its version, 3 a named licence, 2 a typical clause, 1 a hint.
 """
 
@@ -30,7 +31,7 @@ RULES_TEXT = r"""
 3 mit-0|mit 0|mit 0(?: licen[cs]e)?
 3 mit-0|mit no attribution|mit no attribution(?: license)?
 2 mit|substantial portions|the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software
-2 mit|noninfringement|the software is provided as is without warranty of any kind express or implied
+2 mit|software is provided|the software is provided as is without warranty of any kind express or implied
 3 x11|x11|x11 licen[cs]e
 5 gpl-3.0|general public license|licensed under the gnu general public license version 3
 5 gpl-3.0-or-later|spdx|spdx license identifier gpl 3 0 or later
@@ -139,7 +140,8 @@ RULES_TEXT = r"""
 4 0bsd|0bsd|0bsd
 4 0bsd|zero clause|(?:bsd zero clause|zero clause bsd)(?: licen[cs]e)?
 4 bsd-new|bsd|(?:new|modified|revised) bsd licen[cs]e
-4 bsd-simplified|bsd|(?:simplified|freebsd) (?:bsd )?licen[cs]e
+4 bsd-simplified|simplified|simplified (?:bsd )?licen[cs]e
+4 bsd-simplified|freebsd|freebsd (?:bsd )?licen[cs]e
 3 bsd|bsd|bsd (?:style )?licen[cs]ed?
 3 bsd|bsd|licensed under (?:the )?bsd
 2 bsd|redistribution and use|redistribution and use in source and binary forms with or without modification are permitted
@@ -230,22 +232,27 @@ RULES_TEXT = r"""
 3 commons-clause|commons clause|commons clause(?: licen[cs]e condition)?
 3 polyform|polyform|polyform (?:noncommercial|small business|shield|strict) licen[cs]e(?: 1 0 0)?
 3 llama|llama|llama [23](?: [0-9])? community licen[cs]e(?: agreement)?
-3 openrail|openrail|(?:creativeml |bigscience )?open ?rail(?: [ms])?(?: licen[cs]e)?
+3 openrail|openrail|(?:creativeml |bigscience )?openrail(?: [ms])?(?: licen[cs]e)?
+3 openrail|open rail|(?:creativeml |bigscience )?open rail(?: [ms])?(?: licen[cs]e)?
 3 rail|responsible ai|responsible ai licen[cs]e
 3 proprietary|proprietary|proprietary and confidential
 2 proprietary|proprietary|proprietary (?:software )?licen[cs]e
-2 proprietary|trade secret|contains (?:confidential|proprietary) (?:information|and trade secrets)
+2 proprietary|contains confidential|contains confidential (?:information|and trade secrets)
+2 proprietary|contains proprietary|contains proprietary (?:information|and trade secrets)
 2 proprietary|reproduc|no part of this (?:publication|book|document|work) may be reproduced
-2 proprietary|unauthorized|unauthori[sz]ed (?:copying|reproduction|use) (?:of this file )?(?:is )?(?:strictly )?prohibited
+2 proprietary|unauthorized|unauthorized (?:copying|reproduction|use) (?:of this file )?(?:is )?(?:strictly )?prohibited
+2 proprietary|unauthorised|unauthorised (?:copying|reproduction|use) (?:of this file )?(?:is )?(?:strictly )?prohibited
 2 proprietary|end user|end user licen[cs]e agreement
 2 proprietary|eula|eula
 2 proprietary|evaluation|for evaluation purposes only
 2 proprietary|personal use|for personal use only
-2 non-commercial|commercial use|non ?commercial use only
-2 non-commercial|commercial purposes|(?:not )?for (?:non ?)?commercial purposes(?: only)?
+2 non-commercial|commercial use|non commercial use only
+2 non-commercial|noncommercial use|noncommercial use only
+2 non-commercial|commercial purposes|(?:not )?for (?:non )?commercial purposes(?: only)?
+2 non-commercial|noncommercial purposes|(?:not )?for noncommercial purposes(?: only)?
 2 non-commercial|commercial use|commercial use (?:is )?(?:prohibited|not permitted|not allowed)
 2 research-only|research purposes|for research purposes only
-2 no-ai-training|training|may not be used (?:to train|for training)(?: of)?(?: machine learning| ai| language)? models?
+2 no-ai-training|may not be used|may not be used (?:to train|for training)(?: of)?(?: machine learning| ai| language)? models?
 2 no-ai-training|text and data mining|text and data mining (?:is )?(?:reserved|prohibited)
 3 public-domain|public domain|(?:is |are )?(?:released|dedicated|placed) (?:in|in ?to) the public domain
 2 public-domain|public domain|(?:this work is )?in the public domain
@@ -262,15 +269,18 @@ RULES_TEXT = r"""
 2 copyright|riservati|tutti i diritti riservati
 1 copyright|copyright|copyright
 3 dual|dual licensed|dual licensed(?: under)?
-2 license-file|see license|see (?:the )?licen[cs]e(?: file| txt| md)?(?: in the project root)? for (?:details|license information|more information)
+2 license-file|see license|see license(?: file| txt| md)?(?: in the project root)? for (?:details|license information|more information)
+2 license-file|see the license|see the license(?: file| txt| md)?(?: in the project root)? for (?:details|license information|more information)
+2 license-file|see licence|see licence(?: file| txt| md)?(?: in the project root)? for (?:details|license information|more information)
+2 license-file|see the licence|see the licence(?: file| txt| md)?(?: in the project root)? for (?:details|license information|more information)
 2 license-file|license file|(?:full )?license (?:text )?can be found in the license file
 2 license-reference|spdx|spdx license identifier [a-z0-9]+
-1 license-reference|license|licen[cs]ed under
+1 license-reference|license|licensed under
 1 license-reference|licence|licenced under
 1 license-reference|released under|released under the(?: terms of the)?
 1 license-reference|license|terms of (?:the|this) license
 1 disclaimer|warrant|without warrant(?:y|ies)(?: of any kind)?
-1 disclaimer|liability|in no event shall the (?:authors?|copyright holders?)
+1 disclaimer|in no event|in no event shall the (?:authors?|copyright holders?)
 """
 
 #: (label, phrase): always reported, whatever the rules above say.

@@ -72,6 +72,23 @@ def test_licenses(table, docs):
     assert licenses.scan(table.limit(0)).count() == 0
 
 
+def _ungated(text):
+    joined = f" {text} "
+    return {label for _, label, _, pattern, _ in rules() if re.search(f"(?<= )(?:{pattern})(?= )", joined)}
+
+
+def test_the_gate_loses_no_licence(spark):
+    texts = {"freebsd license": "bsd-simplified", "simplified licence": "bsd-simplified", "noncommercial use only": "non-commercial",
+             "for noncommercial purposes": "non-commercial", "may not be used to train models": "no-ai-training", "see the license for details": "license-file",
+             "see licence txt for more information": "license-file", "unauthorised copying prohibited": "proprietary",
+             "contains confidential information": "proprietary", "contains proprietary and trade secrets": "proprietary", "open rail license": "openrail",
+             "the software is provided as is without warranty of any kind express or implied": "mit", "in no event shall the authors": "disclaimer",
+             "licenced under": "license-reference"}
+    rows = licenses.scan(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    assert all(texts[r.text] in _ungated(r.text) for r in rows)
+    assert {r.text: texts[r.text] in {d.label for d in r.detections} for r in rows} == dict.fromkeys(texts, True)
+
+
 # --- 2
 
 def _targets(sizes):

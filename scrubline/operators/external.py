@@ -6,6 +6,7 @@ client can stand behind it.
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator
 
@@ -19,11 +20,41 @@ from scrubline.operators.analytics import EXTERNAL
 # The service's limit and back-off.
 MAX_BYTES = 524_288
 DELAYS = (1, 2, 4)
+#: Characters that two successive pieces of a long text share.
+OVERLAP = 4096
+
+
+def plain_text(text: Column) -> Column:
+    """ASCII only: other characters become ``*``."""
+    return F.regexp_replace(text, r"[^\x00-\x7F]", "*")
+
+
+def pieces(text: str, most: int = MAX_BYTES, overlap: int = OVERLAP) -> list[tuple[int, str]]:
+    """(start, piece) of the whole text, cut at blanks where there are any near the limit."""
+    out, at = [], 0
+    while len(text) - at > most:
+        blanks = [m.start() for m in re.finditer(r"[ \t\n\x0b\f\r]", text[at + most - overlap : at + most])]
+        end = at + most - overlap + blanks[-1] if blanks else at + most
+        out.append((at, text[at:end]))
+        back = re.search(r"[ \t\n\x0b\f\r]", text[end - overlap : end])
+        at = end - overlap + (back.start() + 1 if back and overlap > back.start() + 1 else 0)
+    return [*out, (at, text[at:])]
+
+
+def joined(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Findings of overlapping pieces, without those inside another of their type."""
+    out: list[tuple[int, int, str]] = []
+    ends: dict[str, int] = {}
+    for s, e, t in sorted(set(found), key=lambda f: (f[0], -f[1], f[2])):
+        if ends.get(t, -1) < e:
+            ends[t] = e
+            out.append((s, e, t))
+    return out
 
 
 def request_text(text: Column) -> Column:
     """ASCII only (other characters become ``*``), cut at the last blank within the limit."""
-    plain = F.regexp_replace(text, r"[^\x00-\x7F]", "*")
+    plain = plain_text(text)
     cut = F.substring(plain, 1, MAX_BYTES)
     return F.when(F.length(plain) > MAX_BYTES, F.regexp_replace(cut, r"(?s)\s\S*$", "")).otherwise(plain)
 
@@ -50,6 +81,7 @@ def detector(service: Callable[[list[str]], list[list[tuple[int, int, str]]]], t
              replacements: dict[str, str] | None = None, batch: int = 64) -> Callable[[Column], Column]:
     """A detector from a service that gives (start, end, info type) for each text.
 
+    A text over the limit goes out in pieces, each as a text of its own.
     replacements by info type, else ``[info type]``.
     """
     names, given = dict(types or {}), dict(replacements or {})
@@ -58,11 +90,16 @@ def detector(service: Callable[[list[str]], list[list[tuple[int, int, str]]]], t
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             values, out = texts.fillna("").tolist(), []
-            for at in range(0, len(values), batch):
-                part = values[at : at + batch]
-                for text, found in zip(part, retried(service, part), strict=True):
-                    out.append([{"word": text[s:e], "start": s, "end": e, "type": names.get(t, f"dlp_{t}"),
-                                 "replacement": given.get(t, f"[{t}]"), "found_by": EXTERNAL} for s, e, t in found])
+            parts = [(i, at, piece) for i, text in enumerate(values) for at, piece in pieces(text)]
+            found_in: list[list[tuple[int, int, str]]] = [[] for _ in values]
+            for k in range(0, len(parts), batch):
+                part = parts[k : k + batch]
+                for (i, at, _), found in zip(part, retried(service, [p for _, _, p in part]), strict=True):
+                    found_in[i] += [(at + s, at + e, t) for s, e, t in found]
+            for text, found in zip(values, found_in, strict=True):
+                found = joined(found) if len(text) > MAX_BYTES else found
+                out.append([{"word": text[s:e], "start": s, "end": e, "type": names.get(t, f"dlp_{t}"),
+                             "replacement": given.get(t, f"[{t}]"), "found_by": EXTERNAL} for s, e, t in found])
             yield pd.Series(out, dtype=object)
 
-    return lambda text: run(request_text(text))
+    return lambda text: run(plain_text(text))

@@ -1,6 +1,7 @@
 """Jobs end to end, configuration, files and streams."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,6 +128,17 @@ def test_external(spark):
     assert len(cut) <= external.MAX_BYTES and cut.endswith("ab")
 
 
+def test_external_inspects_long_texts_whole(spark):
+    filler = "ab " * 200_000
+    text = "é X9 " + filler + "X9 " + filler + "X9"
+    service = lambda texts: [[(m.start(), m.end(), "CODE") for m in re.finditer("X9", t)] for t in texts if len(t) <= external.MAX_BYTES]
+    found = spark.createDataFrame([(text,)], "t string").select(external.detector(service)(F.col("t")).alias("f")).first().f
+    assert [(f.start, f.end, f.word) for f in found] == [(m.start(), m.end(), "X9") for m in re.finditer("X9", text)]
+    for t in ("x" * 95, "ab cd " * 16, "one"):
+        cut = external.pieces(t, 20, 6)
+        assert all(len(p) <= 20 and t[at : at + len(p)] == p for at, p in cut) and {i for at, p in cut for i in range(at, at + len(p))} == set(range(len(t)))
+
+
 def test_stream(spark, tmp_path):
     source = tmp_path / "in"
     rows = spark.createDataFrame([("1", "a@b.org", "2024-01-01 00:10:00"), ("2", "none", "2024-01-01 00:20:00")], "id string, note string, at string")

@@ -95,3 +95,11 @@ def test_near_copies_go(spark):
     linked = {x.id: x.component for x in linked.collect()}
     group = {x.doc_id: linked.get(x.key, x.key) for x in found.collect()}
     assert len(set(group.values())) == len(want) and all((group[i] == group[label.index(c)]) for i, c in enumerate(label))
+
+
+def test_survivors_by_id_and_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    texts = [(1, a), (7, a), (7, b), (7, b), (7, c), (None, c), (None, "none of these"), (None, "none of these")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), 1, "c") for i, t in texts], DOCS)
+    kept = pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert collections.Counter((r.doc_id, r.text) for r in kept) == collections.Counter([(1, a), (7, b), (7, c), (None, "none of these")])

@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 FINDING = "struct<word:string,start:int,end:int,type:string,replacement:string,found_by:string>"
 FINDINGS = f"array<{FINDING}>"
-#: Stands for a match while a text is cut; Unicode keeps it out of texts.
-MARK = "\uFDD0"
+#: Stands around a match while a text is cut, and what takes its place in a text that
+#: holds it; both are noncharacters, which Unicode keeps out of texts.
+MARK, NO_MARK = "﷐", "﷑"
+#: Items that are folded into one array before the next is begun: appending copies an array.
+BLOCK = 256
 
 
 def none_found() -> Column:
@@ -28,11 +31,45 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def finding(word: Column, start: Column, type_: Column, replacement: Column, found_by: str) -> Column:
-    return F.struct(
-        word.alias("word"), start.cast("int").alias("start"), (start + F.length(word)).cast("int").alias("end"),
-        type_.alias("type"), replacement.alias("replacement"), F.lit(found_by).alias("found_by"),
-    )
+def blocks(items: Column, size: int = BLOCK) -> Column:
+    """A non-empty array as an array of arrays of at most size items."""
+    return F.transform(F.sequence(F.lit(0), F.size(items) - 1, F.lit(size)), lambda i: F.slice(items, i + 1, F.lit(size)))
+
+
+def walk(items: Column, state: Column, state_type: str, out_type: str, step: Callable[[Column, Column], tuple[Column, Column]],
+         end: Callable[[Column, Column], Column] = lambda state, out: out) -> Column:
+    """Goes through items (not empty) with a state: step(state, item) gives the next
+    state and an array of what comes out; end(state, all that came out) is the result.
+
+    Time and memory grow about in proportion to the items, however many one row has.
+    """
+    none = F.array().cast(f"array<{out_type}>").alias("out")
+    begin = F.struct(state.cast(state_type).alias("s"), F.array().cast(f"array<array<{out_type}>>").alias("out"))
+
+    # only what is new is cast: a cast of all that is there would go through it at every step
+    def one(acc: Column, x: Column) -> Column:
+        s, out = step(acc["s"], x)
+        return F.struct(s.cast(state_type).alias("s"), F.concat(acc["out"], out.cast(f"array<{out_type}>")).alias("out"))
+
+    def block(acc: Column, xs: Column) -> Column:
+        done = F.aggregate(xs, F.struct(acc["s"].alias("s"), none), one)
+        return let(done, lambda d: F.struct(d["s"].alias("s"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
+
+    return F.aggregate(blocks(items), begin, block, lambda acc: end(acc["s"], F.flatten(acc["out"])))
+
+
+#: From (t: text, m: text with marks, held: whether t holds one itself, k, r, by) the findings.  m is
+#: cut at its marks to gap, match, gap, match, …, gap; the matches are folded to findings in blocks,
+#: as in walk().  As SQL text, since a plan has dozens of these, and SQL is parsed faster than
+#: columns are put together.
+_CUT = f"""x -> CASE WHEN contains(x.m, '{MARK}') THEN transform(array(split(x.m, '{MARK}', -1)), p ->
+  aggregate(sequence(0, cast(size(p) div 2 as int) - 1, {BLOCK}), struct(0 AS s, cast(array() AS array<{FINDINGS}>) AS out), (acc, b) ->
+    transform(array(aggregate(sequence(b, least(b + {BLOCK - 1}, cast(size(p) div 2 as int) - 1)), struct(acc.s AS s, cast(array() AS {FINDINGS}) AS out), (a, i) ->
+      struct(a.s + length(p[2 * i]) + length(p[2 * i + 1]) AS s, concat(a.out, array(struct(
+        CASE WHEN x.held THEN substring(x.t, a.s + length(p[2 * i]) + 1, length(p[2 * i + 1])) ELSE p[2 * i + 1] END AS word,
+        a.s + length(p[2 * i]) AS start, a.s + length(p[2 * i]) + length(p[2 * i + 1]) AS end, x.k AS type, x.r AS replacement, x.by AS found_by))) AS out))),
+      d -> struct(d.s AS s, concat(acc.out, array(d.out)) AS out))[0],
+    acc -> flatten(acc.out)))[0] ELSE cast(array() AS {FINDINGS}) END"""
 
 
 def find_spans(text: Column, pattern: str | Column, type_: str | Column, replacement: str | Column | None, found_by: str,
@@ -40,32 +77,17 @@ def find_spans(text: Column, pattern: str | Column, type_: str | Column, replace
     """All non-overlapping matches of a pattern, left to right.
 
     replace_word gives the replacement from the matched word where it depends on
-    it.  The text is only cut at the matches where there are any; a null text
-    has no findings.
+    it.  One pass puts marks around the matches, and the text is cut at the marks
+    where there are any; a null text has no findings.
     """
     p = F.lit(pattern) if isinstance(pattern, str) else pattern
     kind = F.lit(type_) if isinstance(type_, str) else type_
     fixed = replacement if isinstance(replacement, Column) else F.lit(replacement).cast("string")
-
-    # Spark's split compiles its pattern for every row but replacing does not, so the
-    # matches become a noncharacter first; a text that holds one is split by the pattern
-    marked = F.split(F.regexp_replace(text, p, F.lit(MARK)), MARK, -1)
-    pieces = F.when(F.contains(text, F.lit(MARK)), F.split(text, p, -1)).otherwise(marked)
-
-    def place(hits: Column) -> Column:
-        gaps = F.slice(pieces, 1, F.size(hits))
-        begin = F.struct(F.lit(0).alias("at"), none_found().alias("out"))
-
-        def step(acc: Column, x: Column) -> Column:
-            start = acc["at"] + F.length(x["gap"])
-            new = replace_word(x["hit"]) if replace_word else fixed
-            one = F.array(finding(x["hit"], start, kind, new, found_by)).cast(FINDINGS)
-            return F.struct((start + F.length(x["hit"])).alias("at"), F.concat(acc["out"], one).alias("out"))
-
-        pairs = F.zip_with(hits, gaps, lambda h, g: F.struct(h.alias("hit"), g.alias("gap")))
-        return F.when(F.size(hits) > 0, F.aggregate(pairs, begin, step, lambda acc: acc["out"])).otherwise(none_found())
-
-    return F.coalesce(let(F.regexp_extract_all(text, p, F.lit(0)), place), none_found())
+    held = F.contains(text, F.lit(MARK))
+    marked = F.regexp_replace(F.when(held, F.translate(text, MARK, NO_MARK)).otherwise(text), p, F.lit(f"{MARK}$0{MARK}"))
+    given = F.struct(text.alias("t"), marked.alias("m"), held.alias("held"), kind.alias("k"), fixed.alias("r"), F.lit(found_by).alias("by"))
+    found = F.coalesce(F.call_function("transform", F.array(given), F.expr(_CUT))[0], none_found())
+    return F.transform(found, lambda f: f.withField("replacement", replace_word(f["word"]))) if replace_word else found
 
 
 def joined(*found: Column) -> Column:

@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scrubline.functions.spans import FINDINGS, find_spans, joined, let, none_found
+from scrubline.functions.spans import BLOCK, FINDINGS, find_spans, let, none_found, walk
 
 # The parts of the date forms.
 _DAY = "(0[1-9]|[12][0-9]|3[01]|[1-9])"
@@ -77,20 +77,82 @@ def age_and_year(birth: Column, day: Column) -> Column:
     return F.when(days <= 0, year).otherwise(F.format_string("age %.3f in %s", days / F.lit(365.0), year))
 
 
-def _date(word: Column, form: Form, reference_year: int) -> Column:
-    part = lambda i: F.regexp_extract(word, "(?i)" + form.pattern, i)
-    month = part(form.month)
-    by_name = (F.instr(F.lit(_MONTHS), F.lower(F.substring(month, 1, 3))) + 2) / 3
-    m = F.coalesce(month.try_cast("int"), by_name.cast("int"))
-    if form.year is None:
-        y = F.lit(reference_year)
-    elif form.short_year:
-        yy = part(form.year).try_cast("int")
-        y = yy + F.when(yy <= reference_year % 100, 2000).otherwise(1900)
-    else:
-        y = part(form.year).try_cast("int")
-    d = part(form.day).try_cast("int") if form.day else F.lit(15)
-    return F.date_add(F.make_date(y, m, F.lit(1)), d - 1)  # a 30 February rolls over
+#: Numbers and months of a match, in order; all else in it (suffixes, marks, letters of a time) says nothing.
+_PARTS = "(?i)[0-9]+|jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
+#: No form matches in a text without a match of this.
+GUARD = (r"(?i)[0-9][/-][0-9jfmasond]|\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*[\s/-]+(?:of\s+)?[0-9]|(?:19|20)[0-9]{4}")
+
+
+def _parts(word: Column, known: list[Form], form: Column) -> Column:
+    """Month, day and year (strings; null where there is none) by a match's form, without matching it again."""
+    order = [sorted((x for x in (f.month, f.day, f.year) if x is not None)) for f in known]
+    place = {n: F.array(*[F.lit(o.index(getattr(f, n)) + 1 if getattr(f, n) is not None else None).cast("int") for f, o in zip(known, order, strict=True)])
+             for n in ("month", "day", "year")}
+    compact = F.lit(len(known) - 1)  # the last form is one run of digits
+
+    def pick(found: Column) -> Column:
+        digits = found[0]
+        of = lambda n: F.try_element_at(found, F.try_element_at(place[n], form + 1))
+        cut = {"month": (5, 2), "day": (7, 2), "year": (1, 4)}
+        return F.struct(*[F.when(form == compact, F.substring(digits, *cut[n])).otherwise(of(n)).alias(n) for n in cut])
+
+    return let(F.regexp_extract_all(word, F.lit(_PARTS), F.lit(0)), pick)
+
+
+def _parts_again(word: Column, known: list[Form], form: Column) -> Column:
+    """The same for forms whose parts only their own pattern tells."""
+    def of(n: str) -> Column:
+        out = F.lit(None).cast("string")
+        for i, f in enumerate(known):
+            if getattr(f, n) is not None:
+                out = F.when(form == i, F.regexp_extract(word, "(?i)" + f.pattern, getattr(f, n))).otherwise(out)
+        return out.alias(n)
+
+    return F.struct(of("month"), of("day"), of("year"))
+
+
+def _day(p: Column, short: Column, reference_year: int) -> Column:
+    """The date of month, day and year; a 30 February rolls over."""
+    by_name = ((F.instr(F.lit(_MONTHS), F.lower(F.substring(p["month"], 1, 3))) + 2) / 3).cast("int")
+    month = F.when(F.substring(p["month"], 1, 1) <= "9", p["month"].try_cast("int")).otherwise(by_name)
+    y = p["year"].try_cast("int")
+    year = F.when(y.isNull(), F.lit(reference_year)).when(short, y + F.when(y <= reference_year % 100, 2000).otherwise(1900)).otherwise(y)
+    return F.date_add(F.make_date(year, month, F.lit(1)), F.coalesce(p["day"].try_cast("int"), F.lit(15)) - 1)
+
+
+_ORDER = "struct<rank:int,start:int,end:int,word:string>"
+
+
+def _settled(candidates: Column) -> Column:
+    """(rank, start, end, word) without those that start in one of a lower rank, or of
+    the same rank before it, that stays.  Rank -1 is always there and never comes out."""
+    def fold(xs: Column) -> Column:
+        def step(acc: Column, one: Column) -> Column:
+            taken = F.exists(acc, lambda f: (f["start"] <= one["start"]) & (one["start"] <= f["end"]))
+            return F.when((one["rank"] < 0) | ~taken, F.concat(acc, F.array(one))).otherwise(acc)
+
+        return F.filter(F.aggregate(F.array_sort(xs), F.array().cast(f"array<{_ORDER}>"), step), lambda f: f["rank"] >= 0)
+
+    def apart(xs: Column) -> Column:
+        """The places in xs (by start) where nothing before reaches: what lies between two of them settles alone."""
+        def step(reach: Column, i: Column) -> tuple[Column, Column]:
+            x = F.try_element_at(xs, i + 1)
+            here = F.when(x["start"] > reach, F.array(i)).otherwise(F.array().cast("array<int>"))
+            return F.greatest(reach, x["end"]), here
+
+        return let(F.sequence(F.lit(0), F.size(xs) - 1), lambda n: walk(n, F.lit(-1), "int", "int", step))
+
+    def parts(xs: Column) -> Column:
+        def cut(at: Column) -> Column:
+            few = F.filter(at, lambda _, i: i % 64 == 0)
+            return let(few, lambda s: F.flatten(F.transform(s, lambda b, i: fold(
+                F.slice(xs, b + 1, F.coalesce(F.try_element_at(s, i + 2), F.size(xs)) - b)))))
+
+        return let(apart(xs), cut)
+
+    by_start = F.transform(candidates, lambda c: F.struct(c["start"].alias("at"), c.alias("c")))
+    sorted_ = F.transform(F.array_sort(by_start), lambda x: x["c"])
+    return F.when(F.size(candidates) <= BLOCK // 4, fold(candidates)).otherwise(let(sorted_, parts))
 
 
 def dates(text: Column, jitter: Column | None = None, birth: Column | None = None, item: str = "phi_date", replacement: str = "[DATE]",
@@ -99,40 +161,32 @@ def dates(text: Column, jitter: Column | None = None, birth: Column | None = Non
     birth date gives age and year (for dates with a year); else ``replacement``."""
     today = reference_year or date.today().year
     days = F.coalesce(jitter.cast("int"), F.lit(0)) if jitter is not None else F.lit(0)
+    known = forms(compat)
+    short = [i for i, f in enumerate(known) if f.short_year]
+    yearless = [i for i, f in enumerate(known) if f.year is None]
 
-    def told(form: Form):
-        def of(word: Column) -> Column:
-            def use(day: Column) -> Column:
-                out = F.when((days != 0) & day.isNotNull(), shifted(day, days))
-                if birth is not None and form.year is not None:
-                    out = out.when(birth.isNotNull() & day.isNotNull(), age_and_year(birth, day))
-                return out.otherwise(F.lit(replacement))
+    def told(f: Column) -> Column:
+        def use(day: Column) -> Column:
+            out = F.when((days != 0) & day.isNotNull(), shifted(day, days))
+            if birth is not None:
+                out = out.when(birth.isNotNull() & day.isNotNull() & ~f["rank"].isin(yearless), age_and_year(birth, day))
+            return out.otherwise(F.lit(replacement))
 
-            return let(_date(word, form, today), use)
+        parts = (_parts_again if compat else _parts)(f["word"], known, f["rank"])
+        return let(let(parts, lambda p: _day(p, f["rank"].isin(short), today)), use)
 
-        return of
+    def read(f: Column) -> Column:
+        return F.struct(f["word"].alias("word"), f["start"].alias("start"), f["end"].alias("end"), F.lit(item).alias("type"),
+                        told(f).alias("replacement"), F.lit(FOUND_BY).alias("found_by"))
 
     # matches carry their form's number until the conflicts are settled, so that only what stays is read as a date
-    known = forms(compat)
     found = [find_spans(text, "(?i)" + f.pattern, str(i), None, FOUND_BY) for i, f in enumerate(known)]
-    before = F.filter(earlier if earlier is not None else none_found(), lambda f: f["replacement"].isNotNull())
-
-    def settle(all_found: Column) -> Column:
-        def step(acc: Column, one: Column) -> Column:
-            taken = lambda f: (f["start"] <= one["start"]) & (one["start"] <= f["end"])
-            free = ~F.exists(acc, taken)
-            if earlier is not None:
-                free = free & ~F.exists(before, taken)
-            return F.when(free, F.concat(acc, F.array(one))).otherwise(acc)
 
-        return F.aggregate(all_found, none_found(), step)
-
-    def read(f: Column) -> Column:
-        new = F.when(f["type"] == "0", told(known[0])(f["word"]))
-        for i, form in enumerate(known[1:], 1):
-            new = new.when(f["type"] == str(i), told(form)(f["word"]))
-        return F.struct(f["word"].alias("word"), f["start"].alias("start"), f["end"].alias("end"), F.lit(item).alias("type"),
-                        new.alias("replacement"), f["found_by"].alias("found_by"))
+    def ranked(fs: Column, rank: int) -> Column:
+        return F.transform(fs, lambda f: F.struct(F.lit(rank).alias("rank"), f["start"].alias("start"), f["end"].alias("end"), f["word"].alias("word")))
 
-    settled = let(joined(*found), lambda x: F.when(F.size(x) > 0, F.transform(settle(x), read)).otherwise(none_found()))
-    return settled.cast(FINDINGS)
+    candidates = [ranked(x, i) for i, x in enumerate(found)]
+    if earlier is not None:
+        candidates.append(ranked(F.filter(earlier, lambda f: f["replacement"].isNotNull()), -1))
+    of = let(F.concat(*candidates), lambda x: F.when(F.exists(x, lambda c: c["rank"] >= 0), F.transform(_settled(x), read)).otherwise(none_found()))
+    return F.when(text.rlike(GUARD), of).otherwise(none_found()).cast(FINDINGS)

@@ -12,17 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scrubline.functions.spans import let
+from scrubline.functions.spans import BLOCK, let, walk
 
 REMOVED = "[REMOVED]"
-_CLUSTERS = "array<struct<start:int,end:int,best:int,replacement:string>>"
-_SPLICE = "struct<at:int,out:string>"
+_CLUSTER = "struct<start:int,end:int,best:int,replacement:string>"
 
 
 def valid(findings: Column, text: Column) -> Column:
     """Findings that lie in the text and cover something."""
-    n = F.length(text)
-    return F.filter(findings, lambda f: (f["start"] >= 0) & (f["end"] <= n) & (f["end"] > f["start"]))
+    fit = lambda n: F.filter(findings, lambda f: (f["start"] >= 0) & (f["end"] <= n) & (f["end"] > f["start"]))
+    return let(F.length(text), fit)
 
 
 def clusters(findings: Column) -> Column:
@@ -32,29 +31,51 @@ def clusters(findings: Column) -> Column:
         f["start"].alias("start"), (f["start"] - f["end"]).alias("minus"), i.alias("i"), f["end"].alias("end"),
         F.coalesce(f["replacement"], F.lit(REMOVED)).alias("replacement")))
 
-    def step(acc: Column, f: Column) -> Column:
+    def step(last: Column, f: Column) -> tuple[Column, Column]:
         size = f["end"] - f["start"]
-        own = F.struct(f["start"].alias("start"), f["end"].alias("end"), size.alias("best"), f["replacement"].alias("replacement"))
-        last = F.element_at(acc, -1)
+        longer = size > last["best"]
         wider = F.struct(
             last["start"].alias("start"), F.greatest(last["end"], f["end"]).alias("end"), F.greatest(last["best"], size).alias("best"),
-            F.when(size > last["best"], f["replacement"]).otherwise(last["replacement"]).alias("replacement"))
-        meets = (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] > f["start"])
-        merged = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(wider))
-        return F.when(meets, merged).otherwise(F.concat(acc, F.array(own))).cast(_CLUSTERS)
+            F.when(longer, f["replacement"]).otherwise(last["replacement"]).alias("replacement"))
+        own = F.struct(f["start"].alias("start"), f["end"].alias("end"), size.alias("best"), f["replacement"].alias("replacement"))
+        meets = last["end"] > f["start"]  # null before the first
+        out = F.when(last.isNull() | meets, F.array().cast(f"array<{_CLUSTER}>")).otherwise(F.array(last))
+        return F.when(meets, wider).otherwise(own), out
 
-    return F.aggregate(F.array_sort(keyed), F.array().cast(_CLUSTERS), step)
+    def end(last: Column, out: Column) -> Column:
+        return F.when(last.isNull(), out).otherwise(F.concat(out, F.array(last)))
+
+    found = let(F.array_sort(keyed), lambda x: walk(x, F.lit(None), _CLUSTER, _CLUSTER, step, end))
+    return F.when(F.size(findings) > 0, found).otherwise(F.array().cast(f"array<{_CLUSTER}>"))
 
 
 def splice_safe(text: Column, findings: Column) -> Column:
-    def step(acc: Column, c: Column) -> Column:
-        between = F.substring(text, acc["at"] + 1, c["start"] - acc["at"])
-        return F.struct(c["end"].alias("at"), F.concat(acc["out"], between, c["replacement"]).alias("out")).cast(_SPLICE)
-
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(_SPLICE)
-    end = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    kept = valid(findings, text)
-    return F.when(F.size(findings) > 0, F.aggregate(clusters(kept), begin, step, end)).otherwise(text)
+    """Each block of clusters is joined within its own part of the text, so that no
+    place is looked for from the text's start more than once for each block."""
+    def upto(all_: Column, i: Column) -> Column:
+        return F.when(i > 0, F.try_element_at(all_, i)["end"]).otherwise(F.lit(0))
+
+    def one_block(all_: Column, i: Column) -> Column:
+        n = F.least(F.lit(BLOCK), F.size(all_) - i)
+        own = F.struct(F.slice(all_, i + 1, n).alias("own"), upto(all_, i).alias("low"),
+                       F.substring(text, upto(all_, i) + 1, upto(all_, i + n) - upto(all_, i)).alias("text"))
+
+        def join(x: Column) -> Column:
+            def piece(c: Column, k: Column) -> Column:
+                at = F.when(k > 0, F.try_element_at(x["own"], k)["end"]).otherwise(x["low"])
+                return F.concat(F.substring(x["text"], at - x["low"] + 1, c["start"] - at), c["replacement"])
+
+            return F.array_join(F.transform(x["own"], piece), "")
+
+        return let(own, join)
+
+    def whole(all_: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(all_) - 1, F.lit(BLOCK))
+        parts = F.array_join(F.transform(starts, lambda i: one_block(all_, i)), "")
+        rest = F.substring(text, F.element_at(all_, -1)["end"] + 1, F.length(text))
+        return F.when(F.size(all_) > 0, F.concat(parts, rest)).otherwise(text)
+
+    return F.when(F.size(findings) > 0, let(valid(findings, text), lambda ok: let(clusters(ok), whole))).otherwise(text)
 
 
 def by_end(findings: Column) -> Column:

@@ -19,7 +19,7 @@ from scrubline.operators import addresses, analytics, dates, external, merge, na
 from scrubline.operators.ner import GazetteerBackend
 from scrubline.plans.config import Job
 from scrubline.plans.deidentify import deidentify, inspect
-from scrubline.sources.readers import with_known, with_person
+from scrubline.sources.readers import spread, with_known, with_person
 from scrubline.sources.writers import annotations, as_json
 
 K, C = "o_orderkey", "o_custkey"
@@ -45,7 +45,8 @@ def segments_sql(segments: list[str], extra: dict[str, str] | None = None) -> st
 
 
 def _source(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    return spark.sql(sql.format(**{t: f"parquet.`{sf_dir}/{t}.parquet`" for t in ("orders", "customer")}))
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer")}
+    return spark.sql(sql, orders=spread(tables["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")), customer=tables["customer"])
 
 
 def notes(spark: SparkSession, sf_dir: str, segments: list[str], extra: dict[str, str] | None = None) -> DataFrame:
@@ -407,8 +408,8 @@ _RE2 = {"phones": patterns.PHONE, "emails": patterns.EMAIL, "ips": patterns.IPV4
 
 def _counted(table: str, id_: str, text: str):
     def run(spark, sf_dir):
-        df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-        df = df.select(*[F.col(c) for c in id_.split(",")], F.col(text).alias("text")).withColumn("f", patterns.general(F.col("text")))
+        df = spread(spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*[F.col(c) for c in id_.split(",")], F.col(text).alias("text")))
+        df = df.withColumn("f", patterns.general(F.col("text")))
         of = lambda kind: F.size(F.filter("f", lambda x: x["type"] == kind)).cast("long")
         return df.select(*id_.split(","), of("general-phone").alias("phones"), of("general-email").alias("emails"), of("general-ip").alias("ips"),
                          of("general-ssn").alias("ssns"), of("000000").alias("digits"))
@@ -425,7 +426,7 @@ _counted("conversations", "conv_id,turn", "text")
 @register("deid_documents_full")
 def _documents(spark, sf_dir):
     """All documents, texts rewritten."""
-    df = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("id"), "text")
+    df = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("id"), "text"))
     return deidentify(df, _GENERAL).select("id", F.col("TEXT_DEID_text").alias("text_deid"), F.col("FINDING_CNT_text").alias("n"))
 
 

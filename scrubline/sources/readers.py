@@ -7,6 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan dealt out to all cores if it has fewer partitions than there are cores.
+
+    Patterns cost a hundred times the reading, and a row group cannot be split by
+    reading.  A larger input has partitions enough and stays as it is, unshuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(4 * cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """One JSON object a line; with a schema nothing is inferred."""
     return (spark.read.schema(schema) if schema is not None else spark.read).json(path)

@@ -52,7 +52,7 @@ def test_all_actions_and_invariants(spark):
 def test_one_regex_pass_for_each_pattern(spark):
     rows = spark.createDataFrame([("1", "x")], "id string, note string")
     plan = inspect(rows, job({"itemName": "m", "action": "remove_mrn"}))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("regexp_extract_all") == 7
+    assert plan.count("regexp_replace") == 7 and "regexp_extract_all" not in plan
 
 
 def test_empty_missing_and_clean(spark):

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scrubline.sources.readers import spread  # noqa: F401  (for the operators' modules)
+
 #: Word separators of the contracts that split on ASCII white space.
 SPACES = "\\x20\\x09-\\x0D"
 

@@ -14,13 +14,16 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrubline.llm.base import table
+from scrubline.functions.spans import BLOCK, let, walk
+from scrubline.llm.base import spread, table
 from scrubline.llm.license_rules import CONFIDENCE, rules
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
-_FIND = "array<struct<first:int,upto:int,rank:int,order:int,label:string,base:boolean,confidence:double>>"
+_FOUND = "struct<first:int,upto:int,rank:int,order:int,label:string,base:boolean,confidence:double>"
+#: Stands around a match while a text is cut; no word holds it.
+_MARK = "\x01"
 
 
 def words_joined(text: Column) -> Column:
@@ -41,24 +44,25 @@ def gate_pattern() -> str:
     return " (?:" + "|".join(f"{c}(?:{'|'.join(sorted(rest))})" for c, rest in sorted(groups.items())) + ")"
 
 
-def _spans(padded: Column, rule: Column) -> Column:
-    """All places of one rule, as word numbers."""
-    hits = F.regexp_extract_all(padded, rule["pattern"], F.lit(0))
-    gaps = F.split(padded, rule["pattern"], -1)
-    start = F.struct(F.lit(-1).alias("at"), F.array().cast(_FIND).alias("found"))
+#: From (r: rule, m: the words with marks around the rule's matches) the detections.  m is cut at
+#: its marks to gap, match, gap, match, …, gap; a place is the number of blanks before it.  Matches
+#: are folded in blocks, as appending to an array copies it.
+_BLANKS = "(length({0}) - length(replace({0}, ' ', '')))"
+_GAP, _HIT = _BLANKS.format("p[2 * i]"), _BLANKS.format("p[2 * i + 1]")
+_PLACES = f"""x -> CASE WHEN contains(x.m, '{_MARK}') THEN transform(array(split(x.m, '{_MARK}', -1)), p ->
+  aggregate(sequence(0, cast(size(p) div 2 as int) - 1, {BLOCK}), struct(-1 AS s, cast(array() AS array<array<{_FOUND}>>) AS out), (acc, b) ->
+    transform(array(aggregate(sequence(b, least(b + {BLOCK - 1}, cast(size(p) div 2 as int) - 1)), struct(acc.s AS s, cast(array() AS array<{_FOUND}>) AS out), (a, i) ->
+      struct(a.s + {_GAP} + {_HIT} AS s, concat(a.out, array(struct(
+        a.s + {_GAP} AS first, -(a.s + {_GAP} + {_HIT} + 1) AS upto, -x.r.priority AS rank, x.r.order AS order, x.r.label AS label,
+        x.r.base AS base, x.r.confidence AS confidence))) AS out))),
+      d -> struct(d.s AS s, concat(acc.out, array(d.out)) AS out))[0],
+    acc -> flatten(acc.out)))[0] ELSE cast(array() AS array<{_FOUND}>) END"""
 
-    def step(acc: Column, pair: Column) -> Column:
-        first = acc["at"] + _blanks(pair["gap"])
-        upto = first + _blanks(pair["hit"]) + 1
-        one = F.struct(
-            first.cast("int").alias("first"), (-upto).cast("int").alias("upto"), (-rule["priority"]).cast("int").alias("rank"),
-            rule["order"].cast("int").alias("order"), rule["label"].alias("label"), rule["base"].alias("base"),
-            rule["confidence"].alias("confidence"),
-        )
-        return F.struct((upto - 1).cast("int").alias("at"), F.concat(acc["found"], F.array(one).cast(_FIND)).alias("found"))
 
-    pairs = F.zip_with(hits, F.slice(gaps, 1, F.size(hits)), lambda h, g: F.struct(h.alias("hit"), g.alias("gap")))
-    return F.aggregate(pairs, start, step, lambda acc: acc["found"])
+def _places(padded: Column, rule: Column) -> Column:
+    """All places of one rule, as word numbers; upto and rank are negated for sorting."""
+    marked = F.regexp_replace(padded, rule["pattern"], F.lit(f"{_MARK}$0{_MARK}"))
+    return F.call_function("transform", F.array(F.struct(rule.alias("r"), marked.alias("m"))), F.expr(_PLACES))[0]
 
 
 def _unsuppressed(found: Column) -> Column:
@@ -66,26 +70,27 @@ def _unsuppressed(found: Column) -> Column:
 
     One walk: for each priority the furthest end so far is kept.
     """
-    start = F.struct(F.array_repeat(F.lit(0), 5).alias("ends"), F.array().cast(_FIND).alias("kept"))
-
-    def step(acc: Column, d: Column) -> Column:
+    def step(ends: Column, d: Column) -> tuple[Column, Column]:
         upto, priority = -d["upto"], -d["rank"]
-        inside = F.exists(F.slice(acc["ends"], priority, F.lit(5)), lambda e: e >= upto)
-        kept = F.when(d["base"] | ~inside, F.concat(acc["kept"], F.array(d))).otherwise(acc["kept"])
-        ends = F.when(d["base"], acc["ends"]).otherwise(
-            F.transform(acc["ends"], lambda e, i: F.when(i + 1 == priority, F.greatest(e, upto)).otherwise(e))
-        )
-        return F.struct(ends.alias("ends"), kept.alias("kept"))
+        inside = F.exists(F.slice(ends, priority, F.lit(5)), lambda e: e >= upto)
+        out = F.when(d["base"] | ~inside, F.array(d)).otherwise(F.array().cast(f"array<{_FOUND}>"))
+        further = F.transform(ends, lambda e, i: F.when(i + 1 == priority, F.greatest(e, upto)).otherwise(e))
+        return F.when(d["base"], ends).otherwise(further), out
 
-    return F.aggregate(F.array_sort(found), start, step, lambda acc: acc["kept"])
+    kept = let(F.array_sort(found), lambda x: walk(x, F.array_repeat(F.lit(0), 5), "array<int>", _FOUND, step))
+    return F.when(F.size(found) > 0, kept).otherwise(F.array().cast(f"array<{_FOUND}>"))
 
 
 def scan(df: DataFrame, text_col: str = "text") -> DataFrame:
     """df plus ``n_words`` and ``detections`` (array of: label, first and last word
     counted from 0, priority, confidence, base), ordered by place.
 
-    A null text is empty; a text without words or licences has no detections.
-    Columns of df with the two names are replaced.
+    A null text is empty; a text without words or licences has no detections, and
+    an empty table gives no rows.  Rows do not see each other: repeated rows and
+    null ids are scanned like others.  Of detections with the same words one stays,
+    by priority, then by the rules' order; base phrases always stay.  Whole texts of
+    any length are scanned, in time about in proportion to their matches.  Columns
+    of df called ``n_words`` or ``detections`` are replaced, all others stay.
     """
     listed = F.array(*[
         F.struct(
@@ -95,13 +100,13 @@ def scan(df: DataFrame, text_col: str = "text") -> DataFrame:
         )
         for i, (p, label, k, pattern, base) in enumerate(rules())
     ])
-    words = "__words"
+    words = "__licence_words"
     x = df.withColumn(words, words_joined(F.col(text_col)))
     n = F.when(F.col(words) == "", F.lit(0)).otherwise(_blanks(F.col(words)) + 1).cast("long")
     padded = F.concat(F.lit(" "), F.col(words), F.lit(" "))
     gate = padded.rlike(gate_pattern())
     here = F.filter(listed, lambda r: F.contains(padded, r["keyword"]))
-    found = _unsuppressed(F.flatten(F.transform(here, lambda r: _spans(padded, r))))
+    found = let(F.flatten(F.transform(here, lambda r: _places(padded, r))), _unsuppressed)
     out = F.transform(found, lambda d: F.struct(
         d["label"].alias("label"), d["first"].alias("first_word"), (-d["upto"] - 1).alias("last_word"),
         (-d["rank"]).alias("priority"), d["confidence"].alias("confidence"), d["base"].alias("base"),
@@ -111,7 +116,7 @@ def scan(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def op1_license_scan(spark, sf_dir):
-    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    found = scan(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("text")
     base = F.filter("detections", lambda d: d["base"])
     joined = lambda ds: F.array_join(F.array_sort(F.array_distinct(F.transform(ds, lambda d: d["label"]))), ",")
     firsts = F.transform(base, lambda d: d["first_word"].cast("long"))

@@ -1,15 +1,18 @@
-"""Best-fit packing of tokenised documents into sequences, improved by swaps.
+"""Best-fit packing of tokenised documents into sequences, by moves and swaps.
 
 Documents are tokenised and cut into pieces of at most one sequence.  The
 pieces' lengths (not their tokens) are dealt into groups of a few thousand.
-Within a group pieces are placed by best fit, longest first; then documents are
-moved from the emptiest sequence, or exchanged one for one, two for one or one
-for two with fuller ones, each step raising the sum of squared fills, until the
-sequence is empty or no step is left.
+Within a group the pieces are first strung together as they come, in half octaves
+of length, which leaves about a fifth too many sequences.  The search then moves
+documents to where they fit best, in sweeps, and takes the emptiest sequences
+apart by moves and by exchanges of one for one, two for one or one for two with
+fuller sequences.  Each step raises the sum of squared fills; sequences that are
+emptied go.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrubline.llm.base import slices, stored, table
+from scrubline.llm.base import slices, spread, stored, table
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -116,7 +119,9 @@ def pieces(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", capaci
     """One row for each piece: ``doc_id, piece, start, length, ids_crc32`` (and ``ids``).
 
     A document's ids, followed by one separator, are cut every ``capacity``
-    tokens.  A null text is empty (one piece with the separator alone).
+    tokens, however many that makes.  A null or empty text is one piece, the
+    separator alone; a null id stays null.  Repeated rows and ids have pieces of
+    their own, an empty table has none, and other columns are ignored.
     """
     path = vocabulary or vocabulary_path()
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -152,18 +157,16 @@ class Bins:
         self.items: list[list[int]] = []
         self.room: list[int] = []
         self.by_room: list[tuple[int, int]] = []  # (room, bin) of bins with room, sorted
-
-    def place(self, i: int) -> None:
-        """Best fit: the bin with the least room that is enough, else a new one."""
-        n = self.lengths[i]
-        at = bisect_left(self.by_room, (n, -1))
-        if at < len(self.by_room):
-            b = self.by_room[at][1]
-        else:
-            b = len(self.items)
-            self.items.append([])
-            self.room.append(self.capacity)
-        self.change(b, [], [i])
+        self.steps = self.exchanges = self.emptied = 0
+        # as they come, by half octaves of length, long ones first; a bin is closed by the first length that is too much
+        for i in sorted(range(len(lengths)), key=lambda i: -int(2 * math.log2(lengths[i]))):
+            n = lengths[i]
+            if not self.items or self.room[-1] < n:
+                self.items.append([])
+                self.room.append(capacity)
+            self.items[-1].append(i)
+            self.room[-1] -= n
+        self.by_room = sorted((r, b) for b, r in enumerate(self.room) if r > 0)
 
     def change(self, b: int, out: list[int], into: list[int]) -> None:
         key = (self.room[b], b)
@@ -177,68 +180,97 @@ class Bins:
         if self.room[b] > 0 and self.items[b]:
             insort(self.by_room, (self.room[b], b))
 
-    def step(self, a: int, looked: int) -> bool:
-        """One move or exchange that takes length out of bin a into a fuller bin.
-
-        looked: how many of the fuller bins, by room from the most, exchanges look at.
+    def move(self, i: int, a: int) -> int | None:
+        """Document i of bin a goes where it leaves the least room, if the sum of
+        squared fills rises by that: if that bin is then fuller than a was."""
+        n = self.lengths[i]
+        at = bisect_left(self.by_room, (n, -1))
+        if at < len(self.by_room) and self.by_room[at][1] == a:
+            at += 1
+        if at == len(self.by_room) or self.by_room[at][0] - n >= self.room[a]:
+            return None
+        b = self.by_room[at][1]
+        self.change(a, [i], [])
+        self.change(b, [], [i])
+        self.steps += 1
+        self.emptied += not self.items[a]
+        return b
+
+    def sweep(self) -> bool:
+        """Moves every document that can be moved once, long ones first."""
+        before = self.steps
+        where = {i: b for b, items in enumerate(self.items) for i in items}
+        for i in sorted(where, key=lambda i: (-self.lengths[i], i)):
+            self.move(i, where[i])
+        return self.steps > before
+
+    def exchange(self, a: int, looked: int) -> bool:
+        """One or two documents of bin a against one of a fuller bin, or one against two,
+        so that as much length as possible leaves a.
+
+        looked: how many of the fuller bins, by room from the most, are looked at.
         """
-        size = self.lengths
-        mine = sorted(self.items[a], key=lambda i: -size[i])
-        for i in mine:  # move
-            at = bisect_left(self.by_room, (size[i], -1))
-            while at < len(self.by_room) and self.by_room[at][1] == a:
-                at += 1
-            if at < len(self.by_room) and self.by_room[at][0] <= self.room[a]:
-                b = self.by_room[at][1]
-                self.change(a, [i], [])
-                self.change(b, [], [i])
-                return True
+        mine = np.array(self.items[a])
+        size = np.array(self.lengths)[mine]
+        i, j = np.triu_indices(len(mine), 1)
+        totals = np.concatenate([size, size[i] + size[j]])
         end = bisect_right(self.by_room, (self.room[a], a))
-        best: tuple | None = None
-        pairs = [(size[i] + size[j], [i, j]) for k, i in enumerate(mine) for j in mine[k + 1 :]]
-        singles = [(size[i], [i]) for i in mine]
+        best, swap = 0, None
         for room, b in reversed(self.by_room[max(0, end - looked) : end]):
-            if b == a or (best and best[0] >= room):
+            if b == a or best >= room:
                 continue
-            theirs = sorted((size[i], i) for i in self.items[b])
-            couples = [(x + y, [i, j]) for k, (x, i) in enumerate(theirs) for y, j in theirs[k + 1 :]] if len(theirs) < 40 else []
-            for give, take in ((singles, [(x, [i]) for x, i in theirs]), (singles, sorted(couples)), (pairs, [(x, [i]) for x, i in theirs])):
-                keys = [x for x, _ in take]
-                for total, mine_out in give:
-                    at = bisect_left(keys, total - room)  # the smallest that makes enough room
-                    if at < len(keys) and keys[at] < total and (best is None or total - keys[at] > best[0]):
-                        best = (total - keys[at], b, mine_out, take[at][1])
-            if best and best[0] == room:
-                break
-        if best is None:
+            theirs = np.array(sorted(self.items[b], key=self.lengths.__getitem__))
+            t = np.array([self.lengths[k] for k in theirs])
+            top = np.append(t, self.capacity + 1)
+            # against one: the smallest that makes enough room
+            at = np.searchsorted(t, totals - room)
+            gain = totals - top[at]
+            k = int(gain.argmax())
+            if gain[k] > best:
+                out = [k] if k < len(mine) else [int(i[k - len(mine)]), int(j[k - len(mine)])]
+                best, swap = int(gain[k]), (b, mine[out].tolist(), [int(theirs[at[k]])])
+            # one against two: for each of theirs the smallest longer one that makes enough room with it
+            need = (size - room)[:, None] - t
+            at = np.maximum(np.searchsorted(t, need), np.arange(len(t)) + 1)
+            gain = size[:, None] - t - top[at]
+            k, low = divmod(int(gain.argmax()), len(t))
+            if gain[k, low] > best:
+                best, swap = int(gain[k, low]), (b, [int(mine[k])], [int(theirs[low]), int(theirs[at[k, low]])])
+        if swap is None:
             return False
-        _, b, mine_out, theirs_out = best
-        self.change(a, mine_out, theirs_out)
-        self.change(b, theirs_out, mine_out)
+        b, out, into = swap
+        self.change(a, out, into)
+        self.change(b, into, out)
+        self.steps += 1
+        self.exchanges += 1
         return True
 
+    def drain(self, a: int, looked: int) -> bool:
+        """Takes bin a apart as far as steps go; whether it is empty then."""
+        longest = lambda: sorted(self.items[a], key=lambda i: -self.lengths[i])
+        while self.items[a] and (any(self.move(i, a) is not None for i in longest()) or self.exchange(a, looked)):
+            pass
+        return not self.items[a]
+
     def improve(self, tries: int = 12, looked: int = 64) -> None:
-        """Empties the emptiest bins while that succeeds; ``tries`` bins in a row may resist."""
+        """Sweeps until nothing moves, then empties the emptiest bins by moves and
+        exchanges, until the number of bins is the least there can be or ``tries``
+        bins have resisted.  Every step raises the sum of squared fills."""
         least = -(-sum(self.lengths) // self.capacity)
-        used = sum(1 for x in self.items if x)
+        while len(self.items) - self.emptied > least and self.sweep():
+            pass
         resisting: set[int] = set()
-        while used > least and len(resisting) < tries:
+        while len(self.items) - self.emptied > least and len(resisting) < tries:
             a = next((b for _, b in reversed(self.by_room) if b not in resisting), None)
             if a is None:
                 return
-            while self.items[a] and self.step(a, looked):
-                pass
-            if self.items[a]:
+            if not self.drain(a, looked):
                 resisting.add(a)
-            else:
-                used -= 1
 
 
 def fill(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
     """(bin, offset) of each length; bins count from 0 without gaps."""
     bins = Bins(lengths.tolist(), capacity)
-    for i in np.argsort(-lengths, kind="stable").tolist():
-        bins.place(i)
     bins.improve()
     where, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
     n = 0
@@ -252,11 +284,19 @@ def fill(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.
 
 
 def place(cut: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
-    """pieces plus ``sequence_id`` and ``offset`` (from 0 without gaps)."""
+    """pieces plus ``sequence_id`` and ``offset`` (from 0 without gaps).
+
+    Pieces are dealt by hash into groups of about ``group``; each is packed by
+    itself and leaves about one sequence part empty.  Repeated rows are pieces of
+    their own and are dealt apart.  Pieces of equal length are interchangeable:
+    which of them goes where depends on their order in a group (by id, piece and
+    place), nothing else does.  An empty table gives no rows.
+    """
     kept = stored(cut, "pieces")
     groups = max(1, -(-kept.count() // group))
     dealt = kept.withColumns({
-        "part": F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)),
+        # rows are numbered as they were stored, so that repeated ones do not share a group
+        "part": F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)),
         "known": F.col("doc_id").isNotNull(), "doc_id": F.coalesce("doc_id", F.lit(0)),  # pandas has no null longs
     })
     columns = ["doc_id", "known", "piece", "start", "length", "ids_crc32"]
@@ -282,4 +322,4 @@ def assemble(placed: DataFrame, with_ids: DataFrame) -> DataFrame:
 
 
 def op3_pack_documents(spark, sf_dir):
-    return place(pieces(table(spark, sf_dir, "documents")))
+    return place(pieces(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))))

@@ -47,11 +47,10 @@ def _license_scan(text):
     text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
     joined, found = " " + " ".join(words) + " ", []
-    for order, (priority, label, keyword, pattern, base) in enumerate(rules()):
-        if " " + keyword in joined:
-            for m in re.finditer(f"(?<= )(?:{pattern})(?= )", joined):
-                first = joined[: m.start()].count(" ") - 1
-                found.append((first, first + m[0].count(" ") + 1, priority, order, label, base))
+    for order, (priority, label, _, pattern, base) in enumerate(rules()):
+        for m in re.finditer(f"(?<= )(?:{pattern})(?= )", joined):
+            first = joined[: m.start()].count(" ") - 1
+            found.append((first, first + m[0].count(" ") + 1, priority, order, label, base))
 
     def inside(d, o):
         same = o[:2] == d[:2]
@@ -72,6 +71,49 @@ def test_licenses(table, docs):
     assert licenses.scan(table.limit(0)).count() == 0
 
 
+def _example(tree, r):
+    """A random text that a parsed pattern matches."""
+    out = ""
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            lo, hi = r.choice([a if str(k) == "RANGE" else (a, a) for k, a in arg])
+            out += chr(r.randint(lo, hi))
+        elif name == "MAX_REPEAT":
+            out += "".join(_example(arg[2], r) for _ in range(r.randint(arg[0], min(arg[1], arg[0] + 3))))
+        elif name == "BRANCH":
+            out += _example(r.choice(arg[1]), r)
+        else:
+            out += _example(arg[-1], r)
+    return out
+
+
+def test_every_rule_finds_its_examples(spark):
+    r, texts = random.Random(8), []
+    for _, label, keyword, pattern, _ in rules():
+        mine = {_example(re._parser.parse(pattern), r) for _ in range(12)}
+        assert all(f" {keyword}" in f" {t} " for t in mine), (label, pattern)
+        texts += sorted(mine)
+    found = licenses.scan(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)).collect()
+    got = collections.Counter((x.text, x.n_words, tuple(sorted((d.label, d.first_word, d.last_word) for d in x.detections))) for x in found)
+    want = collections.Counter()
+    for t in texts:
+        n, hits = _license_scan(t)
+        assert hits
+        want[(t, n, tuple(hits))] += 1
+    assert got == want
+
+
+def test_dense_licence_text(spark):
+    """20 000 places in one text; the time of two of the kind shows no square."""
+    for n in (1000, 10_000):
+        row = licenses.scan(spark.createDataFrame([("copyright notice all rights reserved " * n,)], "text string")).first()
+        assert row.n_words == 5 * n and sum(d.label == "reserved" for d in row.detections) == n
+        assert sorted(d.first_word for d in row.detections if d.label == "reserved")[-1] == 5 * n - 3
+
+
 def _ungated(text):
     joined = f" {text} "
     return {label for _, label, _, pattern, _ in rules() if re.search(f"(?<= )(?:{pattern})(?= )", joined)}
@@ -172,21 +214,32 @@ def test_packing(spark, table, docs):
     assert packing.place(packing.pieces(table.limit(0))).count() == 0
 
 
-def test_swaps_empty_bins():
+def _lengths(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    return np.array([r.length for r in packing.pieces(docs).select("length").collect()])
+
+
+def test_steps_empty_bins(spark):
     r = np.random.default_rng(1)
-    fewer = 0
-    for _ in range(20):
-        lengths = r.integers(500, 1100, 100)
+    exchanges = 0
+    cases = [(_lengths(spark), 1.01), *((r.integers(500, 1100, 100), 1.2) for _ in range(20)), *((np.exp(r.normal(5, 1.5, 800)).astype(int).clip(1, 2048), 1.02) for _ in range(5))]
+    for lengths, most in cases:
         bins = packing.Bins(lengths.tolist(), 2048)
-        for i in np.argsort(-lengths, kind="stable").tolist():
-            bins.place(i)
-        before, squares = sum(1 for x in bins.items if x), sum((2048 - x) ** 2 for x in bins.room)
+        before, squares = len(bins.items), sum((2048 - x) ** 2 for x in bins.room)
         bins.improve()
         after = sum(1 for x in bins.items if x)
-        assert sorted(i for x in bins.items for i in x) == list(range(100)) and all(sum(lengths[i] for i in x) <= 2048 for x in bins.items)
-        assert after <= before and sum((2048 - x) ** 2 for x in bins.room) >= squares
-        fewer += before - after
-    assert fewer > 0
+        assert sorted(i for x in bins.items for i in x) == list(range(len(lengths))) and all(sum(lengths[i] for i in x) <= 2048 for x in bins.items)
+        assert after == before - bins.emptied and sum((2048 - x) ** 2 for x in bins.room) > squares and bins.emptied > 0
+        assert after <= most * -(-lengths.sum() // 2048) + 1
+        exchanges += bins.exchanges
+    assert exchanges > 0
+
+
+def test_repeated_pieces_are_dealt_apart(spark):
+    same = spark.createDataFrame([(1, 0, 0, 700, 5)] * 3000, "doc_id long, piece int, start long, length long, ids_crc32 long").withColumn("offset", F.lit("x"))
+    placed = packing.place(same, group=100).collect()
+    assert len(placed) == 3000 and len({x.sequence_id >> 20 for x in placed}) > 20
+    assert max(collections.Counter(x.sequence_id >> 20 for x in placed).values()) < 250
 
 
 # --- 4

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from scrubline.functions.spans import FINDINGS
 from scrubline.operators.analytics import EXTERNAL
+from scrubline.operators.dates import shifted
+from scrubline.plans.config import Job
 
 # The service's limit and back-off.
 MAX_BYTES = 524_288
@@ -41,24 +43,17 @@ def pieces(text: str, most: int = MAX_BYTES, overlap: int = OVERLAP) -> list[tup
     return [*out, (at, text[at:])]
 
 
-def joined(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+def joined(found: list[tuple]) -> list[tuple]:
     """Findings of overlapping pieces, without those inside another of their type."""
-    out: list[tuple[int, int, str]] = []
+    out: list[tuple] = []
     ends: dict[str, int] = {}
-    for s, e, t in sorted(set(found), key=lambda f: (f[0], -f[1], f[2])):
-        if ends.get(t, -1) < e:
-            ends[t] = e
-            out.append((s, e, t))
+    for f in sorted(set(found), key=lambda f: (f[0], -f[1], f[2])):
+        if ends.get(f[2], -1) < f[1]:
+            ends[f[2]] = f[1]
+            out.append(f)
     return out
 
 
-def request_text(text: Column) -> Column:
-    """ASCII only (other characters become ``*``), cut at the last blank within the limit."""
-    plain = plain_text(text)
-    cut = F.substring(plain, 1, MAX_BYTES)
-    return F.when(F.length(plain) > MAX_BYTES, F.regexp_replace(cut, r"(?s)\s\S*$", "")).otherwise(plain)
-
-
 def retried(call: Callable, *args, delays=DELAYS, sleep=time.sleep):
     """call(*args), tried again after each delay."""
     for delay in delays:
@@ -77,29 +72,54 @@ def type_names(types: dict[str, str], prefix: str = "dlp_") -> Callable[[Column]
     return lambda t: F.coalesce(F.try_element_at(listed, t), F.concat(F.lit(prefix), t))
 
 
-def detector(service: Callable[[list[str]], list[list[tuple[int, int, str]]]], types: dict[str, str] | None = None,
-             replacements: dict[str, str] | None = None, batch: int = 64) -> Callable[[Column], Column]:
-    """A detector from a service that gives (start, end, info type) for each text.
+_DATED = FINDINGS.replace("found_by:string", "found_by:string,day:date")
+
+
+def detector(service: Callable[[list[str]], list[list[tuple]]], types: dict[str, str] | None = None,
+             replacements: dict[str, str] | None = None, batch: int = 64) -> Callable[..., Column]:
+    """A detector (text, jitter=None) from a service that gives (start, end, info type),
+    and behind them the date where it has read one, for each text.
 
     A text over the limit goes out in pieces, each as a text of its own.
-    replacements by info type, else ``[info type]``.
+    replacements by info type, else ``[info type]``; a date is shifted where the
+    jitter is neither null nor 0.
     """
     names, given = dict(types or {}), dict(replacements or {})
 
-    @F.pandas_udf(FINDINGS)
+    @F.pandas_udf(_DATED)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             values, out = texts.fillna("").tolist(), []
             parts = [(i, at, piece) for i, text in enumerate(values) for at, piece in pieces(text)]
-            found_in: list[list[tuple[int, int, str]]] = [[] for _ in values]
+            found_in: list[list[tuple]] = [[] for _ in values]
             for k in range(0, len(parts), batch):
                 part = parts[k : k + batch]
                 for (i, at, _), found in zip(part, retried(service, [p for _, _, p in part]), strict=True):
-                    found_in[i] += [(at + s, at + e, t) for s, e, t in found]
+                    found_in[i] += [(at + f[0], at + f[1], f[2], f[3] if len(f) > 3 else None) for f in found]
             for text, found in zip(values, found_in, strict=True):
                 found = joined(found) if len(text) > MAX_BYTES else found
                 out.append([{"word": text[s:e], "start": s, "end": e, "type": names.get(t, f"dlp_{t}"),
-                             "replacement": given.get(t, f"[{t}]"), "found_by": EXTERNAL} for s, e, t in found])
+                             "replacement": given.get(t, f"[{t}]"), "found_by": EXTERNAL, "day": day} for s, e, t, day in found])
             yield pd.Series(out, dtype=object)
 
-    return lambda text: run(plain_text(text))
+    def detect(text: Column, jitter: Column | None = None) -> Column:
+        days = F.coalesce(jitter.cast("int"), F.lit(0)) if jitter is not None else F.lit(0)
+
+        def settled(f: Column) -> Column:
+            new = F.when(f["day"].isNotNull() & (days != 0), shifted(f["day"], days)).otherwise(f["replacement"])
+            return F.struct(f["word"], f["start"], f["end"], f["type"], new.alias("replacement"), f["found_by"])
+
+        return F.transform(run(plain_text(text)), settled).cast(FINDINGS)
+
+    return detect
+
+
+def for_job(service: Callable[[list[str]], list[list[tuple]]], job: Job, batch: int = 64) -> Callable[..., Column]:
+    """The detector of a job: its specs for info types name the items and replacements,
+    ``[info type]`` in lower case with blanks where they give none."""
+    types, new = {}, {}
+    for spec in job.external_specs:
+        for t in map(str.upper, spec.info_types):
+            types[t] = spec.item
+            new[t] = spec.params[0] if spec.params else f"[{t.lower().replace('_', ' ')}]"
+    return detector(service, types, new, batch)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from scrubline import resources as R
-from scrubline.functions.hashing import keyed_index, pick
+from scrubline.functions.hashing import keyed_index, pick, skewed_index
 from scrubline.functions.spans import FINDINGS, find_spans, let, none_found
 
 FOUND_BY = "deid-name-knownNames"
@@ -17,14 +17,19 @@ def without_titles(name: Column) -> Column:
     return F.regexp_replace(name, r"(?i)\b(" + "|".join(R.TITLES) + r")\b", "")
 
 
-def last_name(word: Column, person: Column, salt: str) -> Column:
-    return pick(R.LAST_NAMES, keyed_index(salt, person, word, len(R.LAST_NAMES)), word)
+def _at(salt: str, person: Column, word: Column, n: int, skew: float | None) -> Column:
+    return keyed_index(salt, person, word, n) if skew is None else skewed_index(salt, person, word, n, skew)
 
 
-def first_name(word: Column, person: Column, salt: str) -> Column:
+def last_name(word: Column, person: Column, salt: str, skew: float | None = None) -> Column:
+    """skew: the first names of the dictionary are taken oftener (see skewed_index)."""
+    return pick(R.LAST_NAMES, _at(salt, person, word, len(R.LAST_NAMES), skew), word)
+
+
+def first_name(word: Column, person: Column, salt: str, skew: float | None = None) -> Column:
     """Of the same sex as the name where the dictionary has it, else a woman's."""
     men = F.array(*[F.lit(x.lower()) for x in R.FIRST_NAMES["M"]])
-    of = lambda sex: pick(R.FIRST_NAMES[sex], keyed_index(salt, person, word, len(R.FIRST_NAMES[sex])), word)
+    of = lambda sex: pick(R.FIRST_NAMES[sex], _at(salt, person, word, len(R.FIRST_NAMES[sex]), skew), word)
     return F.when(F.array_contains(men, F.lower(word)), of("M")).otherwise(of("F"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
@@ -15,10 +16,21 @@ ACTIONS = (
 _NEED_FIELDS = {"jitter_date_from_field", "jitter_birth_date", "replace_with", "replace_minimumlengthword_with", "replace_strictly_with"}
 
 
+#: Further actions by name: (df, spec, text column, earlier findings) -> findings.
+CUSTOM: dict[str, Callable] = {}
+
+
 class ConfigError(ValueError):
     pass
 
 
+def register_action(name: str, detector: Callable) -> None:
+    """Makes a detector of one's own an action that jobs can name."""
+    if name in ACTIONS:
+        raise ConfigError(f"{name} is an action already")
+    CUSTOM[name] = detector
+
+
 def _strings(value: Any, trim: bool = True) -> list[str]:
     """A list, or a comma list, without nulls and empty parts."""
     parts = value if isinstance(value, list) else [] if value is None else str(value).split(",")
@@ -38,8 +50,8 @@ class Spec:
     def of(cls, raw: dict, compat: bool = False) -> Spec:
         """compat: the fields keep the blanks that follow the commas, as names."""
         action, item = raw.get("action"), raw.get("itemName")
-        if action not in ACTIONS:
-            raise ConfigError(f"item {item!r}: unknown action {action!r}; there are {', '.join(ACTIONS)}")
+        if action not in ACTIONS and action not in CUSTOM:
+            raise ConfigError(f"item {item!r}: unknown action {action!r}; there are {', '.join([*ACTIONS, *CUSTOM])}")
         if not item:
             raise ConfigError("a spec has no itemName")
         params = raw.get("actionParam")
@@ -68,6 +80,7 @@ class Job:
     annotator: bool = False
     external: bool = False
     external_types: tuple[str, ...] = ()
+    external_specs: tuple[Spec, ...] = ()
     salt: str = "scrubline"
     person_field: str | None = None
 
@@ -75,15 +88,22 @@ class Job:
     def of(cls, raw: dict, compat: bool = False) -> Job:
         if not isinstance(raw.get("spec", []), list):
             raise ConfigError("spec must be a list")
-        days = raw.get("dateJitterRange")
+        days, given = raw.get("dateJitterRange"), raw.get("googleDlpInfoTypes")
+        specs = [Spec.of({"action": "keep"} | s, compat) for s in given if isinstance(s, dict)] if isinstance(given, list) else []
+        names = [n.upper() for s in specs for n in s.info_types] or _strings(given)
         return cls(
             str(raw.get("jobName", "job")), tuple(Spec.of(s, compat) for s in raw.get("spec") or []),
             tuple(_strings(raw.get("textFields")) or ["note"]), tuple(_strings(raw.get("textIdFields")) or ["id"]), str(raw.get("version", "")),
             bool(raw.get("analytic", True)), 30 if days is None else int(days), raw.get("dateJitterSeedField"), bool(raw.get("nerEnabled", False)),
-            bool(raw.get("annotatorOutputEnabled", False)), bool(raw.get("googleDlpEnabled", False)), tuple(_strings(raw.get("googleDlpInfoTypes"))),
-            str(raw.get("salt", "scrubline")), raw.get("personField"),
+            bool(raw.get("annotatorOutputEnabled", False)), bool(raw.get("googleDlpEnabled", False)), tuple(names),
+            tuple(specs), str(raw.get("salt", "scrubline")), raw.get("personField"),
         )
 
+    @property
+    def external_date_field(self) -> str | None:
+        """Where the jitter of dates found by the external service stands: the first field of the DATE type's spec."""
+        return next((s.fields[0] for s in reversed(self.external_specs) if s.fields and "DATE" in map(str.upper, s.info_types)), None)
+
     def with_overrides(self, text_fields: str | None = None, id_fields: str | None = None, external: bool | None = None) -> Job:
         from dataclasses import replace
 

@@ -9,15 +9,12 @@ from pyspark.sql import functions as F
 
 from scrubline import resources as R
 from scrubline.functions.hashing import jitter_from
-from scrubline.functions.spans import FINDINGS, clean_text, joined, none_found
+from scrubline.functions.spans import FINDING, FINDINGS, clean_text, joined, none_found
 from scrubline.operators import addresses, dates, merge, names, patterns, tokens
 from scrubline.operators.ner import Backend, GazetteerBackend
-from scrubline.plans.config import Job, Spec
+from scrubline.plans.config import CUSTOM, Job, Spec
 
 ONLY_MAPPED = "include-types-in-map-only"
-#: Further actions: name -> (df columns, spec, text, earlier findings) -> findings.
-Detector = Callable[[DataFrame, Spec, Column, Column], Column]
-EXTRA: dict[str, Detector] = {}
 
 
 def _present(df: DataFrame, fields) -> list[Column]:
@@ -28,7 +25,7 @@ class Plan:
     """Turns specs into findings for one text column; the specs' order is the findings'."""
 
     def __init__(self, df: DataFrame, job: Job, ner: Backend | None = None, compat: bool = False, reference_year: int | None = None,
-                 external: Callable[[Column], Column] | None = None):
+                 external: Callable[[Column, Column | None], Column] | None = None):
         self.df, self.job, self.compat, self.year = df, job, compat, reference_year
         self.ner = (ner or GazetteerBackend()) if job.ner else None
         self.external = external if job.external else None
@@ -96,15 +93,17 @@ class Plan:
                 return addresses.known(text, known, self.person, salt, self.compat)
             general = addresses.general(text, self.person, salt)
             return general if self.ner is None else joined(general, addresses.recognised(self.ner.places(text), self.person, salt))
-        if a in EXTRA:
-            return EXTRA[a](df, spec, text, earlier)
+        if a in CUSTOM:
+            return CUSTOM[a](df, spec, text, earlier)
         return None  # keep, remove
 
     def findings(self, text: Column) -> list[tuple[str, Callable[[Column], Column | None]]]:
         """Steps in order; each takes the findings so far."""
         steps = [(s.item, lambda earlier, s=s: self.found(s, text, earlier)) for s in self.job.specs]
         if self.external is not None:
-            steps.append(("external", lambda earlier: self.external(text)))
+            field = self.job.external_date_field
+            jitter = F.col(f"`{field}`").cast("string").try_cast("int") if field in self.df.columns else None
+            steps.append(("external", lambda earlier: self.external(text, jitter)))
         return steps
 
 
@@ -147,15 +146,17 @@ def deidentify(df: DataFrame, job: Job, mode: str = "safe", keep_columns: bool =
 
 
 def inspect(df: DataFrame, job: Job, **options) -> DataFrame:
-    """The findings alone, one row each: id fields, ``field`` and the finding's columns."""
-    parts = []
+    """The findings alone, one row each: id fields, ``field`` and the finding's columns.
+    All text fields are searched in one pass over df."""
+    rows = df
     for t in job.text_fields:
-        rows = with_findings(df.select(*[c for c in df.columns]), job, t, "__found", **options)
-        ids = [F.col(c).cast("string").alias(c) for c in job.id_fields if c in df.columns]
-        # the outer form: for the inner one Spark puts a filter on the array below, which runs all patterns twice
-        parts.append(rows.select(*ids, F.lit(t).alias("field"), F.explode_outer("__found").alias("f")).where("f IS NOT NULL").select(
-            *[c for c in job.id_fields if c in df.columns], "field", "f.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        rows = with_findings(rows, job, t, f"FINDING_{t}", **options)
+    ids = [F.col(c).cast("string").alias(c) for c in job.id_fields if c in df.columns]
+
+    def named(t: str) -> Column:
+        found = F.transform(f"FINDING_{t}", lambda f: F.struct(F.lit(t).alias("field"), f.alias("f")))
+        return F.coalesce(found, F.array().cast(f"array<struct<field:string,f:{FINDING}>>"))
+
+    each = F.concat(*[named(t) for t in job.text_fields])
+    # the outer form: for the inner one Spark puts a filter on the array below, which runs all patterns twice
+    return rows.select(*ids, F.explode_outer(each).alias("x")).where("x IS NOT NULL").select(*[c for c in job.id_fields if c in df.columns], "x.field", "x.f.*")

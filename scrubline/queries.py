@@ -13,14 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrubline import resources as R
-from scrubline.functions.hashing import java_hash, jitter_from
-from scrubline.functions.spans import clean_text, joined, utf16_offset
+from scrubline.functions.hashing import java_hash, jitter_from, skewed_index
+from scrubline.functions.spans import clean_text, find_spans, joined, utf16_offset
 from scrubline.operators import addresses, analytics, dates, external, merge, names, patterns, tokens
 from scrubline.operators.ner import GazetteerBackend
-from scrubline.plans.config import Job
+from scrubline.plans.config import Job, register_action
 from scrubline.plans.deidentify import deidentify, inspect
-from scrubline.sources.readers import spread, with_known, with_person
-from scrubline.sources.writers import annotations, as_json
+from scrubline.sources.readers import key_values, read_csv, read_dictionary, read_jsonl, read_text_folder, spread, with_known, with_person, word_list
+from scrubline.sources.scratch import new_path
+from scrubline.sources.writers import annotations, as_json, write_annotations, write_findings, write_individual, write_stats
 
 K, C = "o_orderkey", "o_custkey"
 YEAR = 2024
@@ -400,6 +401,177 @@ def _external(spark, sf_dir):
     return exploded(df := notes(spark, sf_dir, ["'quiet, ABC ' || lower(o_orderpriority)"]), detect(df["note"])).withColumn("start_pos", F.col("start_pos"))
 
 
+_DATED = ["'seen '", ISO, "' ok'"]
+
+
+def _date_service(texts: list[str]) -> list[list[tuple]]:
+    """A stand-in that reads ISO dates."""
+    import re
+    from datetime import date
+
+    return [[(m.start(), m.end(), "DATE", date.fromisoformat(m[0])) for m in re.finditer(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", t)] for t in texts]
+
+
+_DATE_JOB = Job.of({"textFields": "note", "textIdFields": "note_id", "googleDlpEnabled": True, "googleDlpInfoTypes": [
+    {"itemName": "phi_date", "infoTypes": "DATE", "actionParam": "[DATE]", "fields": "jitter"}]})
+
+
+@register("external_dates", f"WITH x AS ({_duck(segments_sql(_DATED, _DAY))}) SELECT note_id::VARCHAR AS note_id, s0 || {_MOVED} || s2 AS text_deid, 1::BIGINT AS n FROM x")
+def _external_dates(spark, sf_dir):
+    """Dates that an external service reads are shifted by the job's jitter."""
+    found = deidentify(notes(spark, sf_dir, _DATED, _DAY), _DATE_JOB, external=external.for_job(_date_service, _DATE_JOB))
+    return found.select("note_id", F.col("TEXT_DEID_note").alias("text_deid"), F.col("FINDING_CNT_note").cast("long").alias("n"))
+
+
+@register("external_long_text", "SELECT n_nationkey, 'ABC' AS word, 600002::BIGINT AS start_pos FROM nation UNION ALL SELECT n_nationkey, 'XYZ', 1200008::BIGINT FROM nation")
+def _external_long(spark, sf_dir):
+    """Texts over the service's limit are inspected whole."""
+    x = F.repeat(F.lit(" x"), 300_000)
+    text = F.concat(F.lit("a"), x, F.lit(" ABC ?"), x, F.lit(" XYZ "), F.lower("n_name"))
+    df = spread(spark.read.parquet(f"{sf_dir}/nation.parquet")).select("n_nationkey", F.explode_outer(external.detector(_service)(text)).alias("f"))
+    return df.select("n_nationkey", "f.word", F.col("f.start").cast("long").alias("start_pos"))
+
+
+_EXTERNAL_JOB = Job.of({"textFields": "note", "textIdFields": "note_id", "googleDlpEnabled": True, "googleDlpInfoTypes": [{"itemName": "loud", "infoTypes": "SHOUT"}],
+                        "spec": [{"itemName": "contact", "action": "general"}]})
+_LOUD = ["'quiet, '", "'ABC'", "' to '", EMAILS[1], "' ' || lower(o_orderpriority)"]
+
+
+def _external_frame(spark, sf_dir):
+    return deidentify(notes(spark, sf_dir, _LOUD), _EXTERNAL_JOB, external=external.for_job(_service, _EXTERNAL_JOB))
+
+
+@register("external_job", f"WITH x AS ({_duck(segments_sql(_LOUD))}) SELECT note_id::VARCHAR AS note_id, s0 || '[shout]' || s2 || '[general-email]' || s4 AS text_deid FROM x")
+def _external_job(spark, sf_dir):
+    return _external_frame(spark, sf_dir).select("note_id", F.col("TEXT_DEID_note").alias("text_deid"))
+
+
+@register("stats_external", "SELECT 'loud' AS key, count(*) AS \"count\" FROM orders")
+def _external_stats(spark, sf_dir):
+    """Counts of the external detector, written as lines and read back."""
+    counts = analytics.by_type(_external_frame(spark, sf_dir), external=True)
+    path = new_path(spark, "stats")
+    write_stats(counts, path, "external")
+    parts = F.split("value", ":")
+    return spark.read.text(f"{path}/external").select(parts[0].alias("key"), parts[1].cast("long").alias("count"))
+
+
+def _custom(df, spec, text, earlier):
+    return find_spans(text, r"\bZu[a-j]+\b", spec.item, spec.params[0], "custom")
+
+
+register_action("find_zu", _custom)
+_CUSTOM_JOB = Job.of({"textFields": "note", "textIdFields": "note_id", "spec": [{"itemName": "zu", "action": "find_zu", "actionParam": "[ZU]"}]})
+
+
+@register("custom_action", f"WITH x AS ({_duck(segments_sql(_NOTE[:3]))}) SELECT note_id::VARCHAR AS note_id, s0 || '[ZU]' || s2 AS text_deid FROM x")
+def _custom_action(spark, sf_dir):
+    """A job that names an action of one's own."""
+    return deidentify(notes(spark, sf_dir, _NOTE[:3]), _CUSTOM_JOB).select("note_id", F.col("TEXT_DEID_note").alias("text_deid"))
+
+
+def _part(salt: str) -> str:
+    return f"((('0x' || substr(md5('{SALT}{salt}|' || c_custkey::VARCHAR || '|' || lower(c_name)), 1, 8))::BIGINT % {{n}}))"
+
+
+_DEVIATE = "abs(sqrt(-2 * ln(({0} + 0.5::DOUBLE) / 2147483648.0::DOUBLE)) * cos(2 * pi() * (({1} + 0.5::DOUBLE) / 2147483648.0::DOUBLE)))".format(
+    _part("#1").format(n=1 << 31), _part("#2").format(n=1 << 31))
+
+
+@register("skewed_choice", f"SELECT c_custkey, least(floor({_part('').format(n=400)} * {_DEVIATE} / 2.0::DOUBLE), 399)::BIGINT AS at FROM customer")
+def _skewed(spark, sf_dir):
+    at = skewed_index(SALT, F.col("c_custkey"), F.col("c_name"), 400, 2.0)
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", at.alias("at"))
+
+
+_PLACES = ["'from '", "'Boston'", "' to '", "'Canada'", "' by '", "'Texas'"]
+_AT = lambda i: f"length({' || '.join(f's{j}' for j in range(i))})"
+
+
+def _given(word: str, start: Column) -> Column:
+    return F.struct(F.lit(word).alias("word"), start.alias("start"), (start + len(word)).alias("end"), F.lit("ner-LOCATION").alias("type"),
+                    F.lit(None).cast("string").alias("replacement"), F.lit("deid-location-ner").alias("found_by"))
+
+
+case("recognised_places", _PLACES, lambda t: addresses.recognised(
+    F.array(*[_given(w, F.instr(t, w) - 1) for w in ("Boston", "Canada", "Texas")]), F.col("person"), SALT),
+     [(1, 1, "ner-LOCATION", _address("s1", False))], "deid-location-ner", _PERSON)
+# a recognised name where an earlier finding is, is none
+case("ner_after_known", ["'met '", "'Dr. Zed' || translate(cast(o_custkey as string), '0123456789', 'abcdefghij')", "' and '", f"{_FIRST} || ' ' || {NAME}", "' today'"],
+     lambda t: names.recognised_names(GAZETTEER.persons(t), find_spans(t, r"\bDr\. \w+", "known", "[K]", "known"), F.col("person"), SALT),
+     [(3, 3, "ner-PERSON", _first("split_part(s3, ' ', 1)") + " || ' ' || " + _pick(R.LAST_NAMES, "split_part(s3, ' ', 2)"))], "deid-person-ner", _PERSON)
+
+# --- files: written to the shared folder and read back
+
+
+@register("source_jsonl", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def _source_jsonl(spark, sf_dir):
+    path = new_path(spark, "jsonl")
+    spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_mktsegment").write.json(path)
+    return read_jsonl(spark, path, "c_custkey long, c_name string, c_mktsegment string")
+
+
+@register("source_csv", "SELECT c_custkey::VARCHAR AS c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '' ELSE '\"' || c_name || '\", x' END AS c_name FROM customer")
+def _source_csv(spark, sf_dir):
+    path = new_path(spark, "csv")
+    named = F.when(F.col("c_custkey") % 2 != 0, F.concat(F.lit('"'), "c_name", F.lit('", x')))
+    spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", named.alias("c_name")).write.csv(path, header=True, quote='"', escape='"')
+    return read_csv(spark, path)
+
+
+@register("source_dictionary", "SELECT c_custkey, c_name FROM customer")
+def _source_dictionary(spark, sf_dir):
+    path = new_path(spark, "dictionary")
+    spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name").write.csv(path, header=False, quote='"', escape='"')
+    return read_dictionary(spark, path, "c_custkey long, c_name string")
+
+
+@register("source_word_list", "SELECT DISTINCT c_mktsegment AS word FROM customer")
+def _source_word_list(spark, sf_dir):
+    path = new_path(spark, "words")
+    spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.concat(F.lit(" "), "c_mktsegment")).write.text(path)
+    return word_list(spark, path)
+
+
+@register("source_key_values", "SELECT n_name AS key, n_nationkey::VARCHAR AS value FROM nation")
+def _source_key_values(spark, sf_dir):
+    path = new_path(spark, "pairs")
+    spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.concat_ws(",", "n_nationkey", "n_name", F.lit("dropped"))).write.text(path)
+    return key_values(spark, path, reverse=True)
+
+
+def _nations(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    text = F.concat(F.lit("mail x@"), F.lower(F.replace("n_name", F.lit(" "), F.lit("-"))), F.lit(".org\nend"))
+    return rows.select(F.col("n_nationkey").cast("string").alias("id"), text.alias("note"))
+
+
+_NATION_JOB = Job.of({"textFields": "note", "textIdFields": "id", "spec": [{"itemName": "contact", "action": "general"}]})
+
+
+@register("sink_individual", "SELECT n_nationkey::VARCHAR AS id, 'mail [general-email]' || chr(10) || 'end' AS note FROM nation")
+def _sink_individual(spark, sf_dir):
+    """A file for each note, read back as a folder of texts."""
+    path = new_path(spark, "notes")
+    write_individual(deidentify(_nations(spark, sf_dir), _NATION_JOB), path)
+    return read_text_folder(spark, f"{path}/individual")
+
+
+@register("sink_annotator", "SELECT n_nationkey::VARCHAR || '.json' AS file, n_nationkey::VARCHAR AS id, '[[5,' || (11 + length(n_name))::VARCHAR || ',\"EMAIL/URL\"]]' AS label FROM nation")
+def _sink_annotator(spark, sf_dir):
+    path = new_path(spark, "annotated")
+    write_annotations(deidentify(_nations(spark, sf_dir), _NATION_JOB), path)
+    back = read_text_folder(spark, f"{path}/annotator", "file", "value")
+    return back.select("file", F.get_json_object("value", "$.id").alias("id"), F.get_json_object("value", "$.label").alias("label"))
+
+
+@register("sink_findings", "SELECT n_nationkey::VARCHAR AS id, 'x@' || lower(replace(n_name, ' ', '-')) || '.org' AS word FROM nation")
+def _sink_findings(spark, sf_dir):
+    path = new_path(spark, "findings")
+    write_findings(inspect(_nations(spark, sf_dir), _NATION_JOB), path)
+    return spark.read.parquet(path).select("id", "word")
+
+
 # --- the text tables, whole; the oracle's engine knows word bounds in ASCII only, so it reads other characters as letters
 
 _GENERAL = Job.of({"textFields": "text", "textIdFields": "id", "spec": [{"itemName": "contact", "action": "general"}]})

@@ -66,11 +66,12 @@ def with_known(notes: DataFrame, known: DataFrame, key: str = "person_id") -> Da
     """notes plus known values by person.
 
     Where a person is known, its values replace columns of the same name, also
-    with empty strings; notes without one keep theirs.  The sizes decide between
-    a broadcast and a shuffled join.
+    with empty strings; notes without one keep theirs.  Of several rows of a person
+    the least counts.  The sizes decide between a broadcast and a shuffled join.
     """
     columns = [c for c in known.columns if c != key]
-    one = known.dropDuplicates([key]).select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in columns])
+    one = known.groupBy(F.col(key).alias("__key")).agg(F.min(F.struct(*columns)).alias("__row"))
+    one = one.select("__key", *[F.col("__row")[c].alias(f"__{c}") for c in columns])
     out = notes.join(one, notes[key] == F.col("__key"), "left")
     values = {c: (F.when(F.col("__key").isNotNull(), F.col(f"__{c}")).otherwise(F.col(c)) if c in notes.columns else F.col(f"__{c}")) for c in columns}
     return out.withColumns(values).drop("__key", *[f"__{c}" for c in columns])

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import time
+import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,10 +46,34 @@ def safe_name(id_: Column) -> Column:
     return F.when(name.rlike(r"^\.*$"), F.concat(F.lit("_"), name)).otherwise(name)
 
 
+def write_files(files: DataFrame, folder: str) -> None:
+    """Rows (name, value) as files of their own in a folder that all executors mount;
+    each is put in place whole, so a task that runs again leaves the same."""
+    folder = folder.removeprefix("file://")
+
+    def write(rows: Iterable) -> None:
+        os.makedirs(folder, exist_ok=True)
+        for r in rows:
+            part = os.path.join(folder, f".{uuid.uuid4().hex}")
+            with open(part, "wb") as f:
+                f.write(r.value.encode())
+            os.replace(part, os.path.join(folder, r.name))
+
+    files.foreachPartition(write)
+
+
 def write_individual(result: DataFrame, path: str, text_field: str = "note", id_field: str = "id") -> None:
-    """A folder for each note below ``individual``, through Spark's own writer, so any file system will do."""
-    out = result.select(safe_name(F.col(id_field)).alias("id"), F.coalesce(F.col(f"TEXT_DEID_{text_field}"), F.lit("")).alias("value"))
-    out.write.partitionBy("id").text(f"{path.rstrip('/')}/individual")
+    """``individual/<id>`` for each note: its clean text.  In a store that is not
+    mounted (a path with a scheme) ``individual/id=<id>/part-…``, by Spark's writer."""
+    out = result.select(safe_name(F.col(id_field)).alias("name"), F.coalesce(F.col(f"TEXT_DEID_{text_field}"), F.lit("")).alias("value"))
+    _write_each(out, f"{path.rstrip('/')}/individual")
+
+
+def _write_each(out: DataFrame, folder: str) -> None:
+    if "://" in folder and not folder.startswith("file://"):
+        out.withColumnRenamed("name", "id").write.partitionBy("id").text(folder)
+    else:
+        write_files(out, folder)
 
 
 def annotations(result: DataFrame, text_field: str = "note", id_field: str = "id", labels: dict[str, str] | None = None) -> DataFrame:
@@ -62,14 +89,15 @@ def annotation_json(annotated: DataFrame) -> DataFrame:
     """``(id, value)``: ``{"text":…,"label":[[start,end,"NAME"],…],"id":…}``."""
     quoted = lambda c: F.regexp_extract(F.to_json(F.struct(c.alias("x"))), r'(?s)^\{"x":(.*)\}$', 1)
     spans = F.array_join(F.transform("label", lambda x: F.concat(
-        F.lit("["), x["start"].cast("string"), F.lit(","), x["end"].cast("string"), F.lit(","), F.concat(F.lit('"'), F.replace(x["label"], F.lit('"'), F.lit('\\"')), F.lit('"')), F.lit("]"))), ",")
+        F.lit("["), x["start"].cast("string"), F.lit(","), x["end"].cast("string"), F.lit(","), quoted(x["label"]), F.lit("]"))), ",")
     value = F.concat(F.lit('{"text":'), quoted(F.col("text")), F.lit(',"label":['), spans, F.lit('],"id":'), quoted(F.col("id")), F.lit("}"))
     return annotated.select("id", value.alias("value"))
 
 
 def write_annotations(result: DataFrame, path: str, text_field: str = "note", id_field: str = "id") -> None:
-    out = annotation_json(annotations(result, text_field, id_field)).withColumn("id", safe_name(F.col("id")))
-    out.write.partitionBy("id").text(f"{path.rstrip('/')}/annotator")
+    """``annotator/<id>.json`` for each note; by Spark's writer as write_individual."""
+    out = annotation_json(annotations(result, text_field, id_field)).select(F.concat(safe_name(F.col("id")), F.lit(".json")).alias("name"), "value")
+    _write_each(out, f"{path.rstrip('/')}/annotator")
 
 
 def write_stats(counts: DataFrame, path: str, name: str) -> None:

@@ -121,7 +121,9 @@ def test_recognisers(spark):
     assert [f.word for f in found(spark, ["Dr. House met Alice Walker in Boston"], g.persons)[0]] == ["Dr. House", "Alice Walker"]
     assert [f.word for f in found(spark, ["from Palo Alto to Boston"], g.places)[0]] == ["Palo Alto", "Boston"]
     model = ModelBackend(lambda: lambda t: [(0, 3, "PERSON")] if t != "bad" else 1 / 0)
-    assert [[f.word for f in fs] for fs in found(spark, ["Bob x", "bad", None], model.persons)] == [["Bob"], [], []]
+    assert [[f.word for f in fs] for fs in found(spark, ["Bob x", None], model.persons)] == [["Bob"], []]
+    with pytest.raises(Exception, match="ZeroDivisionError"):  # no text passes as clean that the model has not read
+        found(spark, ["Bob x", "bad"], model.persons)
 
 
 def test_hash_and_jitter(spark):

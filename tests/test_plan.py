@@ -6,8 +6,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from scrubline.functions.spans import find_spans
 from scrubline.operators import analytics, external
-from scrubline.plans.config import ConfigError, Job, load_jobs
+from scrubline.plans.config import ConfigError, Job, load_jobs, register_action
 from scrubline.plans.deidentify import deidentify, inspect
 from scrubline.sources import readers, writers
 from scrubline.streaming.stream import deidentify_stream, type_counts
@@ -97,10 +98,14 @@ def test_files(spark, tmp_path):
     back = {json.loads(r.value)["id"]: json.loads(r.value) for r in spark.read.text(str(tmp_path / "out/DeidNote")).collect()}
     assert back["n 1.txt"]["TEXT_DEID_note"] == "mail [general-email]\nend" and json.loads(back["n 1.txt"]["FINDING_note"])[0]["word"] == "a@b.org"
     writers.write_individual(result, str(tmp_path / "out"))
-    assert len(list((tmp_path / "out/individual").glob("id=*"))) == 2
+    assert (tmp_path / "out/individual/n_1.txt").read_text() == "mail [general-email]\nend" and (tmp_path / "out/individual/n2.txt").read_text() == "plain"
     lines = {r.id: json.loads(r.value) for r in writers.annotation_json(writers.annotations(result)).collect()}
     assert lines["n 1.txt"] == {"text": "mail a@b.org\nend", "label": [[5, 12, "EMAIL/URL"]], "id": "n 1.txt"} and lines["n2.txt"]["label"] == []
-    writers.write_annotations(result, str(tmp_path / "out"))
+    writers.write_annotations(result, f"file://{tmp_path}/out")
+    assert json.loads((tmp_path / "out/annotator/n_1.txt.json").read_text())["label"] == [[5, 12, "EMAIL/URL"]] and len(list((tmp_path / "out/annotator").iterdir())) == 2
+    odd = deidentify(df, job({"itemName": 'a "b" \\c', "action": "remove_mrn"}, {"itemName": "g", "action": "general"})).where("id = 'n2.txt'")
+    odd = odd.withColumn("FINDING_note", F.expr("array(named_struct('word','p','start',0,'end',1,'type','a \"b\" \\\\c','replacement','x','found_by','y'))"))
+    assert json.loads(writers.annotation_json(writers.annotations(odd)).first().value)["label"] == [[0, 1, 'a "b" \\c']]
     writers.write_stats(analytics.by_type(result), str(tmp_path / "out"), "types")
     assert [r.value for r in spark.read.text(str(tmp_path / "out/types")).collect()] == ["general-email:1"]
     (tmp_path / "words.txt").write_text("b\na\nb\n\n")
@@ -123,9 +128,27 @@ def test_external(spark):
     service = lambda texts: [[(i, i + 2, "CODE") for i in [t.find("X9")] if i >= 0] for t in texts]
     got = {r.id: r for r in deidentify(rows, job({"itemName": "k", "action": "keep"}, googleDlpEnabled=True), external=external.detector(service)).collect()}
     assert got["1"].TEXT_DEID_note == "é [CODE] b" and got["1"].FINDING_note[0].found_by == "google-dlp"
-    long = "ab " * 200_000
-    cut = spark.createDataFrame([(long,)], "t string").select(external.request_text(F.col("t")).alias("c")).first().c
-    assert len(cut) <= external.MAX_BYTES and cut.endswith("ab")
+
+
+def test_external_dates_and_specs(spark):
+    import datetime
+
+    service = lambda texts: [[(m.start(), m.end(), "DATE", datetime.date(2019, 6, 4)) for m in re.finditer("June 4", t)] + [(0, 2, "CITY_NAME")] for t in texts]
+    j = job({"itemName": "k", "action": "keep"}, googleDlpEnabled=True, googleDlpInfoTypes=[
+        {"itemName": "phi_date", "infoTypes": "DATE", "actionParam": "[D]", "fields": "jitter"}, {"itemName": "place", "infoTypes": ["city_name"]}])
+    assert j.external_types == ("DATE", "CITY_NAME") and j.external_date_field == "jitter"
+    rows = spark.createDataFrame([("1", "at June 4 x", 3), ("2", "at June 4 x", 0), ("3", "at June 4 x", None)], "id string, note string, jitter int")
+    got = {r.id: r for r in deidentify(rows, j, external=external.for_job(service, j)).collect()}
+    assert {i: r.TEXT_DEID_note for i, r in got.items()} == {"1": "[city name] 06/07/2019 x", "2": "[city name] [D] x", "3": "[city name] [D] x"}
+    assert {f.type for f in got["1"].FINDING_note} == {"phi_date", "place"}
+
+
+def test_own_actions(spark):
+    register_action("shout", lambda df, spec, text, earlier: find_spans(text, r"\b[A-Z]{2,}\b", spec.item, spec.params[0], "mine"))
+    rows = spark.createDataFrame([("1", "say ABC now")], "id string, note string")
+    assert deidentify(rows, job({"itemName": "loud", "action": "shout", "actionParam": "[S]"})).first().TEXT_DEID_note == "say [S] now"
+    with pytest.raises(ConfigError):
+        register_action("general", None)
 
 
 def test_external_inspects_long_texts_whole(spark):

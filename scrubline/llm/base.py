@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrubline.sources.readers import spread  # noqa: F401  (for the operators' modules)
+from scrubline.sources.scratch import new_path, shared_dir
 
 #: Word separators of the contracts that split on ASCII white space.
 SPACES = "\\x20\\x09-\\x0D"
@@ -18,20 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Only where it is unset, as in local tests, a temporary folder takes its place.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="scrubline-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back.
 
@@ -39,17 +25,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     running the earlier ones again, and a costly input is computed once.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def rows(df: DataFrame) -> int:
-    return df.count()
-
-
-def same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
+def laid_out(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """df dealt by keys once, as a bucketed table in the shared folder: any number of
+    joins by keys then move the other side alone.  Spark's number of shuffle
+    partitions is the number of buckets."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    called = f"{name}_{uuid.uuid4().hex}"
+    df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", f"{shared_dir(spark)}/{called}").saveAsTable(called)
+    return spark.table(called)
 
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:

@@ -15,6 +15,7 @@ import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,11 @@ THRESHOLD = 0.9
 SAMPLE = 20_000
 #: Calibration takes this many of them as queries.
 QUERIES = 1_000
-TARGET_RECALL = 0.99
-#: Vectors a cell should hold, and the largest codebook.
-PER_CELL, MAX_CODES = 16, 2_048
+#: The recall that is aimed at: of the links in the sample, and of links made at random between
+#: the threshold and 1, which are farther apart than real ones.
+TARGET_RECALL, MADE_RECALL = 0.99, 0.95
+#: Vectors a cell should hold, and the largest codebook (its square times PER_CELL: a billion vectors).
+PER_CELL, MAX_CODES = 16, 8_192
 #: A cell's vectors and its visitors are split into blocks of about this many.
 BLOCK = 256
 
@@ -81,8 +84,9 @@ def _codebook(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 10)
 def fit(sample: np.ndarray, n: int, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, seed: int = 5) -> Grid:
     """The index for n vectors from a sample of unit vectors.
 
-    visits: enough for ``recall`` of the links seen in the sample and of links
-    made by turning its vectors by a random angle within the threshold.
+    visits: enough for ``recall`` of the links seen in the sample and for
+    MADE_RECALL of links made by turning its vectors by a random angle within
+    the threshold, up to all cells.
     """
     rng = np.random.default_rng(seed)
     half = sample.shape[1] // 2
@@ -99,18 +103,21 @@ def fit(sample: np.ndarray, n: int, threshold: float = THRESHOLD, recall: float
     turn /= np.maximum(np.linalg.norm(turn, axis=1, keepdims=True), 1e-12)
     cosine = rng.uniform(threshold, 1, (len(queries), 1))
     turned = cosine * base + np.sqrt(1 - cosine**2) * turn
-    grid.visits = min(k * k, 256)
-    ways = grid.cells(base)
-    rank = [{c: i for i, c in enumerate(w)} for w in ways]
-    missing = grid.visits
-    made = grid.cells(turned)
-    ranks = [np.sort([rank[i].get(own[j], missing) for i, j in zip(q, other, strict=True)])]
-    # a link counts as found if either end visits the other's cell
-    back = [{c: i for i, c in enumerate(w)} for w in made]
-    ranks.append(np.sort([min(rank[i].get(made[i][0], missing), back[i].get(ways[i][0], missing)) for i in range(len(queries))]))
-    need = [int(r[min(len(r) - 1, math.ceil(goal * len(r)) - 1)]) + 1 for r, goal in zip(ranks, (recall, 0.95), strict=True) if len(r)]
-    grid.visits = int(min(max([1, *need]), k * k))
-    return grid
+    upto = min(k * k, 256)
+    while True:
+        grid.visits = upto
+        ways, made = grid.cells(base), grid.cells(turned)
+        rank = [{c: i for i, c in enumerate(w)} for w in ways]
+        back = [{c: i for i, c in enumerate(w)} for w in made]
+        ranks = [np.sort([rank[i].get(own[j], upto) for i, j in zip(q, other, strict=True)])]
+        # a link counts as found if either end visits the other's cell
+        ranks.append(np.sort([min(rank[i].get(made[i][0], upto), back[i].get(ways[i][0], upto)) for i in range(len(queries))]))
+        goals = (recall, MADE_RECALL)
+        need = max([0, *(int(r[min(len(r) - 1, math.ceil(goal * len(r)) - 1)]) for r, goal in zip(ranks, goals, strict=True) if len(r))]) + 1
+        if need <= upto or upto == k * k:
+            grid.visits = min(need, k * k)
+            return grid
+        upto = min(k * k, 4 * upto)
 
 
 def _unit(column: pa.Array, dim: int) -> np.ndarray:
@@ -210,34 +217,12 @@ def _dealt(placed: DataFrame) -> DataFrame:
     return rows.select("cell", F.explode(groups).alias("group"), "visitor", *base)
 
 
-def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
-    """``(vec_id, n_links, component_id, kept)``, a row for each row of df.
-
-    Rows link where their cosine is at least threshold.  Vectors that are null,
-    empty or zero, that hold null or non-finite components, that have another
-    length than the most common one (the smallest of those, at ties), or whose
-    id is null link with nothing.  Equal vectors are one row until the end;
-    rows that repeat an id count as vectors of their own.
-    """
-    v = F.col(vec_col)
-    whole = F.coalesce(F.size(v) > 0, F.lit(False)) & ~F.coalesce(
-        F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), F.lit(True)
-    )
-    usable = F.when(F.col(id_col).isNotNull() & whole & F.exists(v, lambda x: x != 0), v)
-    rows = stored(df.select(F.col(id_col).alias("vec_id"), usable.alias("v")).withColumns({
-        "h1": F.when(F.col("v").isNotNull(), F.xxhash64("v")), "h2": F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(1), "v"))}), "rows")
-    lengths = rows.where("v IS NOT NULL").groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    if lengths is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dim = lengths["dim"]
-    unique = rows.where(F.size("v") == dim).groupBy("h1", "h2").agg(
-        F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.first("v").alias("v")
-    )
-    unique = stored(unique, "vectors")
-    n = unique.count()
+def _linked(unique: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """``(id, links, component)`` of those of unique ``(id, v, copies)`` (vectors of one
+    length, all different) that have links; copies count in links, but for the own ones."""
     sample = unique.select("id", "v").orderBy(F.xxhash64("id")).limit(SAMPLE).toArrow()
-    grid = fit(_unit(sample["v"].combine_chunks(), dim), n, threshold)
-    shared = df.sparkSession.sparkContext.broadcast(grid)
+    grid = fit(_unit(sample["v"].combine_chunks(), dim), unique.count(), threshold)
+    shared = unique.sparkSession.sparkContext.broadcast(grid)
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,20 +235,48 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
                     ["id", "own", "visits", "v", "copies"],
                 )
 
-    placed = stored(
-        unique.select("id", "v", "copies").mapInArrow(locate, "id long, own int, visits array<int>, v array<float>, copies long"), "placed"
-    )
+    kind = unique.schema["v"].dataType.simpleString()
+    placed = stored(unique.select("id", "v", "copies").mapInArrow(locate, f"id long, own int, visits array<int>, v {kind}, copies long"), "placed")
     found = stored(_verified(_dealt(placed), dim, threshold), "found")
     links = found.where("root IS NULL").groupBy("id").agg(F.sum("links").alias("links"))
-    groups = components(found.where("root IS NOT NULL").select(F.col("id").alias("a"), F.col("root").alias("b")))
-    links, groups = links.withColumnRenamed("id", "i1"), groups.withColumnRenamed("id", "i2")
-    told = unique.join(links, F.col("id") == F.col("i1"), "left").join(groups, F.col("id") == F.col("i2"), "left").select(
+    groups = components(found.where("root IS NOT NULL").select(F.col("id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("id", "i2")
+    return links.join(groups, F.col("id") == F.col("i2"), "left").select("id", "links", F.coalesce("component", "id").alias("component"))
+
+
+def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
+    """``(vec_id, n_links, component_id, kept)``, a row for each row of df.
+
+    Rows link where their vectors have the same length and a cosine of at least
+    threshold.  Vectors that are null, empty or zero or that hold null or
+    non-finite components, and rows with a null id, link with nothing.  Each
+    length of vectors has an index of its own, one after the other.  Equal
+    vectors are one row until the end; rows that repeat an id count as vectors of
+    their own.  Components may be of any number type.  Other columns are ignored,
+    and an empty table gives no rows.
+    """
+    v = F.col(vec_col)
+    if df.schema[vec_col].dataType.elementType.simpleString() not in ("float", "double"):
+        v = v.cast("array<double>")
+    whole = F.coalesce(F.size(v) > 0, F.lit(False)) & ~F.coalesce(
+        F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), F.lit(True)
+    )
+    usable = F.when(F.col(id_col).isNotNull() & whole & F.exists(v, lambda x: x != 0), v)
+    rows = stored(df.select(F.col(id_col).alias("vec_id"), usable.alias("v")).withColumns({
+        "h1": F.when(F.col("v").isNotNull(), F.xxhash64("v")), "h2": F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(1), "v"))}), "rows")
+    unique = rows.where("v IS NOT NULL").groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.first("v").alias("v"))
+    unique = stored(unique.withColumn("dim", F.size("v")), "vectors")
+    dims = [r.dim for r in unique.select("dim").distinct().orderBy("dim").collect()]
+    # an id may stand for vectors of several lengths
+    parts = [_linked(unique.where(F.col("dim") == d), d, threshold).withColumn("__dim", F.lit(d)) for d in dims]
+    if not parts:
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    linked = reduce(DataFrame.union, parts).withColumnRenamed("id", "__id")
+    told = unique.join(linked, (F.col("id") == F.col("__id")) & (F.col("dim") == F.col("__dim")), "left").select(
         F.col("h1").alias("k1"), F.col("h2").alias("k2"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
         F.coalesce("component", "id").alias("component"),
     )
     told = stored(told, "told")
-    sized = rows.withColumn("h1", F.when(F.size("v") == dim, F.col("h1")))
-    out = sized.join(told, (sized.h1 == told.k1) & (sized.h2 == told.k2), "left")
+    out = rows.join(told, (rows.h1 == told.k1) & (rows.h2 == told.k2), "left")
     component = F.coalesce("component", "vec_id")
     return out.select(
         "vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),

@@ -5,8 +5,10 @@ was seen in a context costs its share of the context's count; an unseen one
 costs an escape to the next shorter context, where the bytes of the longer one
 are excluded, down to a uniform code over all 256 bytes.  After fitting the
 statistics are frozen, so the exact code length of a byte in its context is a
-fixed number: it is tabulated once for every context of any tree, and a text's
-code length under all languages is a sum of table rows.  The shortest code wins.
+fixed number.  A language's tree is a few sorted arrays of what was seen in it,
+and what it costs to go on to the shorter context; the code lengths of a slice of
+texts are found once for each different byte in its context.  The shortest code
+wins.
 """
 
 from __future__ import annotations
@@ -19,23 +21,32 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrubline.llm.base import slices, table, with_fields
+from scrubline.llm.base import slices, spread, table, with_fields
 
 #: Bounds of a model: fitting takes about MAX_DOCS documents of each language
-#: (fewer where there are fewer), chosen by a hash of id and text, and refuses more languages.
+#: (fewer where there are fewer), chosen by a hash of id and text.
 MAX_DOCS = 500
-MAX_LANGUAGES = 200
 ORDER = 3
 PAD = b" " * ORDER
 NONE = "und"
 
 
+@dataclass
+class Tree:
+    """Contexts of one length of one language; codes are bytes as big-endian numbers."""
+
+    seen: np.ndarray  # codes of the contexts and bytes that were seen in them, sorted
+    bits: np.ndarray  # log2 of their counts
+    contexts: np.ndarray  # codes of the contexts, sorted
+    total: np.ndarray  # log2 of a context's total and distinct bytes: what a seen byte costs, without its own count
+    next_total: np.ndarray  # the same for a byte that only the shorter context has, with the escape
+    beyond: np.ndarray  # the escapes before a byte that neither has, less the one which the shorter context charges for it
+
+
 @dataclass
 class Model:
     languages: list[str]
-    classes: np.ndarray  # byte -> class; the last class is for bytes that no language has
-    rows: np.ndarray  # code of the last ORDER classes -> row of its longest context
-    costs: np.ndarray  # (row * classes + class, language) -> bits
+    trees: list[list[Tree]]  # of each language: by length of contexts, from 0
 
 
 def count_grams(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -63,11 +74,9 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", max_docs: int = MAX_DOCS) -> Model:
     """Learns from rows whose text and language are not null."""
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}
     if not counts:
-        return Model([], np.zeros(256, np.uint8), np.zeros(1, np.int32), np.zeros((1, 0), np.float32))
+        return Model([], [])
     place = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 20)) / float(1 << 20)
     rate = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, max_docs / n))])
     sample = known.where(place < rate[F.col(lang_col)])
@@ -77,84 +86,77 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     return tabulate({x: (grams["gram"].to_numpy()[lang == x], grams["n"].to_numpy()[lang == x]) for x in languages})
 
 
-def _bits(counts: list[np.ndarray], parents: list[np.ndarray], alphabet: np.ndarray) -> list[np.ndarray]:
-    """Bits of every class in every context, from the shortest contexts up.
-
-    counts[k]: (contexts of k bytes, classes); parents[k]: for each its context
-    of k - 1 bytes; alphabet: how many of the 256 bytes a class stands for.
-    """
-    seen = counts[0] > 0
-    distinct, total = seen.sum(1, keepdims=True), counts[0].sum(1, keepdims=True)
-    left = (alphabet * ~seen).sum(1, keepdims=True)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        p = np.where(seen, counts[0] / (total + distinct), np.where(total > 0, distinct / (total + distinct), 1.0) / np.maximum(left, 1))
-        out = [p]
-        for k in range(1, len(counts)):
-            c, up = counts[k], parents[k]
-            seen = c > 0
-            distinct, total = seen.sum(1, keepdims=True), c.sum(1, keepdims=True)
-            escape = np.where(total > 0, distinct / np.maximum(total + distinct, 1), 1.0)
-            # the shorter context without what this one has; what neither has escapes once more
-            c2 = np.where(seen, 0, counts[k - 1][up])
-            new = c2 > 0
-            d2, t2 = new.sum(1, keepdims=True), c2.sum(1, keepdims=True)
-            seen2 = counts[k - 1][up] > 0
-            e2 = np.where(t2 > 0, d2 / np.maximum(t2 + d2, 1), 1.0)
-            dd, tt = seen2.sum(1, keepdims=True), counts[k - 1][up].sum(1, keepdims=True)
-            e_up = np.where(tt > 0, dd / np.maximum(tt + dd, 1), 1.0)  # what out[k - 1] charged for that escape
-            lower = np.where(new, c2 / np.maximum(t2 + d2, 1), e2 * out[k - 1][up] / e_up)
-            out.append(np.where(seen, c / np.maximum(total + distinct, 1), escape * lower))
-        return [-np.log2(p) for p in out]
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each wanted number in the sorted keys (not empty), and whether it is there."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def _low(codes: np.ndarray, n: int) -> np.ndarray:
+    """The last n bytes of codes."""
+    return codes & np.int64((1 << 8 * n) - 1)
+
+
+def _trees(gram: np.ndarray, n: np.ndarray) -> list[Tree]:
+    out: list[Tree] = []
+    before: tuple | None = None
+    for k in range(ORDER + 1):
+        seen, of = np.unique(_low(gram, k + 1), return_inverse=True)
+        count = np.bincount(of, n)
+        contexts, owner = np.unique(seen >> 8, return_inverse=True)
+        total, distinct = np.bincount(owner, count), np.bincount(owner).astype(float)
+        escape = np.log2(total + distinct) - np.log2(distinct)
+        if before is None:  # the last escape is to all bytes that were not seen
+            left = np.maximum(256 - distinct, 1)
+            rest, beyond = np.zeros(1), escape + np.log2(left)
+        else:
+            seen1, count1, contexts1, total1, distinct1, escape1 = before
+            up, _ = _find(contexts1, _low(contexts, k - 1))
+            also, _ = _find(seen1, _low(seen, k))  # what a context has its shorter one has too
+            t2 = total1[up] - np.bincount(owner, count1[also])
+            d2 = distinct1[up] - distinct
+            with np.errstate(divide="ignore", invalid="ignore"):
+                rest = escape + np.log2(t2 + d2)
+                beyond = escape + np.where(d2 > 0, np.log2(t2 + d2) - np.log2(d2), 0) - escape1[up]
+        out.append(Tree(seen, np.log2(count), contexts, np.log2(total + distinct), rest, beyond))
+        before = (seen, count, contexts, total, distinct, escape)
+    return out
 
 
 def tabulate(grams: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     """The model of the languages' (grams, counts)."""
     languages = sorted(grams)
-    everything = np.unique(np.concatenate([g for g, _ in grams.values()]))
-    used = np.unique(np.concatenate([everything >> 8 * k & 255 for k in range(ORDER + 1)]))
-    a = len(used) + 1
-    classes = np.full(256, len(used), np.uint8)
-    classes[used] = np.arange(len(used))
-
-    def code(gram: np.ndarray, first: int, last: int) -> np.ndarray:
-        """The classes of the gram's bytes first..last (0: the predicted byte, k: k before it) as one number."""
-        out = np.zeros(len(gram), np.int64)
-        for k in range(last, first - 1, -1):
-            out = out * a + classes[gram >> 8 * k & 255]
-        return out
-
-    contexts = [np.unique(code(everything, 1, k)) if k else np.zeros(1, np.int64) for k in range(ORDER + 1)]
-    parents = [None] + [np.searchsorted(contexts[k - 1], contexts[k] % a ** (k - 1)) for k in range(1, ORDER + 1)]
-    alphabet = np.ones(a)
-    alphabet[-1] = 256 - len(used)
-    starts = np.cumsum([0] + [len(c) for c in contexts])
-    costs = np.empty((starts[-1] * a, len(languages)), np.float32)
-    for j, lang in enumerate(languages):
-        gram, n = grams[lang]
-        counts = []
-        for k in range(ORDER + 1):
-            at = np.searchsorted(contexts[k], code(gram, 1, k) if k else np.zeros(len(gram), np.int64)) * a + classes[gram & 255]
-            counts.append(np.bincount(at, n, len(contexts[k]) * a).reshape(-1, a))
-        costs[:, j] = np.concatenate([x.ravel() for x in _bits(counts, parents, alphabet)])
-    rows = np.zeros(a**ORDER, np.int32)
-    for k in range(1, ORDER + 1):  # longer contexts overwrite shorter ones
-        block = rows.reshape(-1, a**k)
-        block[:, contexts[k]] = (starts[k] + np.arange(len(contexts[k]))).astype(np.int32)
-    return Model(languages, classes, rows, costs)
+    return Model(languages, [_trees(*grams[x]) for x in languages])
+
+
+def _bits(trees: list[Tree], grams: np.ndarray) -> np.ndarray:
+    """Bits of the last byte of each gram (ORDER bytes and the next)."""
+    out, below = None, None
+    for k, t in enumerate(trees):
+        at, there = _find(t.seen, _low(grams, k + 1))
+        context, known = _find(t.contexts, _low(grams, k + 1) >> 8)
+        if below is None:
+            bits = np.where(there, t.total[context] - t.bits[at], t.beyond[context])
+        else:
+            at1, there1 = below
+            bits = np.where(there1, t.next_total[context] - trees[k - 1].bits[at1], t.beyond[context] + out)
+            bits = np.where(there, t.total[context] - t.bits[at], bits)
+            bits = np.where(known, bits, out)
+        out, below = bits, (at, there)
+    return out
 
 
 def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     """Bits of each text under each language."""
-    a = int(model.classes.max()) + 1
     lengths = np.array([len(t) for t in texts], np.int64)
-    x = model.classes[np.frombuffer(b"".join(PAD + t for t in texts) + PAD, np.uint8)].astype(np.int32)
-    at = np.zeros(len(x) - ORDER, np.int32)
-    for k in range(ORDER):
-        at = at * np.int32(a) + x[k : len(x) - ORDER + k]
-    bits = model.costs.take(model.rows[at] * np.int32(a) + x[ORDER:], axis=0)  # of the byte ORDER places on
+    x = np.frombuffer(b"".join(PAD + t for t in texts) + PAD, np.uint8).astype(np.int64)
+    grams = sum(x[k : len(x) - ORDER + k] << 8 * (ORDER - k) for k in range(ORDER + 1))  # of the byte ORDER places on
+    different, of = np.unique(grams, return_inverse=True)
     starts = np.concatenate([[0], np.cumsum(lengths + ORDER)[:-1]])
     edges = np.stack([starts, starts + lengths], 1).ravel()
-    sums = np.add.reduceat(bits, edges, axis=0, dtype=np.float64)[::2]
+    sums = np.empty((len(texts), len(model.languages)))
+    for j, trees in enumerate(model.trees):
+        sums[:, j] = np.add.reduceat(_bits(trees, different)[of], edges)[::2]
     sums[lengths == 0] = 0
     return sums
 
@@ -165,10 +167,13 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", prefix: str = "
 
     Texts that are null or have no letter, and all texts under a model without
     languages, are ``und`` with score 0.  Ties go to the first language by name.
-    The names get ``prefix``; columns of df with them are replaced.
+    Rows do not see each other, so repeated ones get the same; an empty table gives
+    no rows; texts of any length are coded whole.  The names get ``prefix``;
+    columns of df with them (or called ``__has_letter``) are replaced.
     """
     added = [(prefix + n, t) for n, t in (("lang_pred", "string"), ("score", "double"), ("bits_per_byte", "double"))]
-    letter = "__letter"
+    letter = "__has_letter"
+    df = df.drop(letter)
     schema = with_fields(df.schema, *added)
     names = [n for n in schema.names if n not in dict(added)]
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -202,7 +207,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def op5_language_id(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     model = fit(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
     found = predict(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), model)
     return found.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")

@@ -21,7 +21,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrubline.llm.base import components, slices, stored, table
+from scrubline.llm import similar
+from scrubline.llm.base import components, slices, spread, stored, table
+from scrubline.llm.windows import mixed
 
 SEED = 42
 SHINGLE = 3
@@ -133,11 +135,8 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def buckets(unique: DataFrame, partitions: list[tuple[list[int], int]]) -> DataFrame:
-    """``(part, key, fp, rep)``: where fingerprints meet.  With threshold 1 each also
-    meets those that have one more bit set, so a pair one bit apart meets once."""
-    fp = F.col("fp")
-
+def keys_of(fp: Column, partitions: list[tuple[list[int], int]], first: int = 0) -> Column:
+    """Array of ``(part, key)``: where a fingerprint meets others; parts count from first."""
     def rows(i: int, bits: list[int], threshold: int) -> Column:
         own = fp.bitwiseAND(F.lit(_signed(sum(1 << b for b in bits))))
         keys = F.array(own)
@@ -147,25 +146,36 @@ def buckets(unique: DataFrame, partitions: list[tuple[list[int], int]]) -> DataF
             keys = F.concat(keys, F.transform(clear, lambda b: own.bitwiseOR(b)))
         return F.transform(keys, lambda k: F.struct(F.lit(i).alias("part"), k.alias("key")))
 
-    met = F.flatten(F.array(*[rows(i, bits, threshold) for i, (bits, threshold) in enumerate(partitions)]))
-    return unique.select(F.explode(met).alias("at"), "fp", "rep").select("at.part", "at.key", "fp", "rep")
+    return F.flatten(F.array(*[rows(first + i, bits, threshold) for i, (bits, threshold) in enumerate(partitions)]))
+
+
+def buckets(unique: DataFrame, partitions: list[tuple[list[int], int]]) -> DataFrame:
+    """``(part, key, fp, rep)``: where fingerprints meet.  With threshold 1 each also
+    meets those that have one more bit set, so a pair one bit apart meets once."""
+    return unique.select(F.explode(keys_of(F.col("fp"), partitions)).alias("at"), "fp", "rep").select("at.part", "at.key", "fp", "rep")
+
+
+def _links(key: np.ndarray, fps: list[np.ndarray], rep: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Star edges (rep, rep) of the links inside groups; rows are sorted by key.  fps:
+    the fingerprints, of which the differing bits are added up."""
+    fps = [np.ascontiguousarray(f).view(np.uint64) for f in fps]  # bitwise_count takes the absolute value of signed numbers
 
+    def apart(x: slice, y: slice | int) -> np.ndarray:
+        return sum(np.bitwise_count(f[x] ^ f[y]).astype(np.int16) for f in fps)
 
-def _links(key: np.ndarray, fp: np.ndarray, rep: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Star edges (rep, rep) of the links inside groups; rows are sorted by key."""
-    fp = np.ascontiguousarray(fp).view(np.uint64)  # bitwise_count takes the absolute value of signed numbers
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(key)]]))
     a, b = [], []
     small = np.repeat(sizes <= SMALL, sizes)
-    for d in range(1, min(SMALL, len(key))):
-        near = small[d:] & (key[d:] == key[:-d]) & (np.bitwise_count(fp[d:] ^ fp[:-d]) <= radius)
-        i = np.flatnonzero(near)
+    most = int(sizes[sizes <= SMALL].max(initial=1))
+    for d in range(1, min(most, len(key))):
+        i = np.flatnonzero(small[d:] & (key[d:] == key[:-d]))
         if len(i):
+            i = i[sum(np.bitwise_count(f[i] ^ f[i + d]).astype(np.int16) for f in fps) <= radius]
             a.append(rep[i])
             b.append(rep[i + d])
-    for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
-        f, r = fp[s : s + n], rep[s : s + n]
+    for s, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+        group, r = slice(s, s + n), rep[s : s + n]
         open_ = np.ones(n, bool)
         for first in range(n):
             if not open_[first]:
@@ -173,7 +183,7 @@ def _links(key: np.ndarray, fp: np.ndarray, rep: np.ndarray, radius: int) -> tup
             open_[first] = False
             queue = [first]
             while queue:  # every row is taken once and compared with those still open
-                near = np.flatnonzero(open_ & (np.bitwise_count(f ^ f[queue.pop()]) <= radius))
+                near = np.flatnonzero(open_ & (apart(group, s + queue.pop()) <= radius))
                 if len(near):
                     open_[near] = False
                     queue += near.tolist()
@@ -184,40 +194,42 @@ def _links(key: np.ndarray, fp: np.ndarray, rep: np.ndarray, radius: int) -> tup
     return np.concatenate(a), np.concatenate(b)
 
 
-def verified(met: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """``(a, b)``: edges between reps that connect what is linked within a bucket."""
-    hot = met.groupBy("part", "key").count().where(F.col("count") > block)
-    hot = stored(hot.select(F.col("part").alias("__p"), F.col("key").alias("__k"), F.ceil(F.col("count") / block).alias("blocks")), "hot")
+def verified(met: DataFrame, radius: int = RADIUS, block: int = BLOCK, fps: tuple[str, ...] = ("fp",)) -> DataFrame:
+    """``(a, b)``: edges between reps that connect what is linked within a bucket of
+    met ``(part, key, rep)`` and the fingerprints fps."""
+    met = met.select(F.xxhash64("part", "key").alias("at"), "rep", *fps)
+    hot = met.groupBy("at").count().where(F.col("count") > block)
+    hot = stored(hot.select(F.col("at").alias("__at"), F.ceil(F.col("count") / block).alias("blocks")), "hot")
     if hot.isEmpty():
-        dealt = met.select("part", "key", F.lit(0).alias("pair"), "fp", "rep")
+        dealt = met.select(F.col("at").alias("group"), "rep", *fps)
     else:
-        split = met.join(hot, (met.part == hot["__p"]) & (met.key == hot["__k"]), "left")
+        split = met.join(hot, met["at"] == hot["__at"], "left")
         n = F.coalesce(F.col("blocks"), F.lit(1)).cast("long")
-        mine = F.pmod(F.xxhash64("fp"), n)
+        mine = F.pmod(F.xxhash64("rep"), n)
         pairs = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda c: F.least(mine, c) * n + F.greatest(mine, c))
         # a block meets itself within its meetings with the others; alone there is nothing else
-        dealt = split.select("part", "key", F.explode(pairs).alias("pair"), "fp", "rep")
-    ordered = dealt.select(F.xxhash64("part", "key", "pair").alias("group"), "fp", "rep").repartition("group").sortWithinPartitions("group", "fp")
+        dealt = split.select("at", F.explode(pairs).alias("pair"), "rep", *fps).select(F.xxhash64("at", "pair").alias("group"), "rep", *fps)
+    ordered = dealt.repartition("group").sortWithinPartitions("group")
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: tuple | None = None
 
-        def found(rows: tuple) -> pa.RecordBatch:
-            a, b = _links(*rows, radius)
+        def found(key: np.ndarray, rep: np.ndarray, *fp: np.ndarray) -> pa.RecordBatch:
+            a, b = _links(key, list(fp), rep, radius)
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         for batch in batches:
-            rows = tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("group", "fp", "rep"))
+            rows = tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("group", "rep", *fps))
             if rest is not None:
                 rows = tuple(np.concatenate(p) for p in zip(rest, rows, strict=True))
             if not len(rows[0]):
                 continue
             cut = int(np.searchsorted(rows[0], rows[0][-1], "left"))  # the last group may go on
             if cut:
-                yield found(tuple(r[:cut] for r in rows))
+                yield found(*(r[:cut] for r in rows))
             rest = tuple(r[cut:] for r in rows)
         if rest is not None:
-            yield found(rest)
+            yield found(*rest)
 
     return ordered.mapInArrow(tasks, "a long, b long")
 
@@ -226,9 +238,10 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     """``(doc_id, fp, component_id)``, a row for each row of df.
 
     component_id: the smallest id reachable over links of at most radius bits.
-    Texts without words have fingerprint 0 and are linked like any others.
-    Rows with a null id take part in no link of their own: they get the
-    component of their fingerprint, null if all its ids are null.
+    Null texts and texts without words have fingerprint 0 and are linked like any
+    others.  Rows with a null id take part in no link of their own: they get the
+    component of their fingerprint, null if all its ids are null.  Repeated rows
+    and ids keep a row each; other columns are ignored; an empty table gives none.
     """
     found = stored(fingerprints(df, text_col, id_col, shingle), "fingerprints")
     unique = stored(found.groupBy("fp").agg(F.min("doc_id").alias("rep")), "unique")
@@ -246,6 +259,96 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     return found.join(linked, found.fp == F.col("__fp")).select("doc_id", "fp", "component_id")
 
 
+#: Wide search: fingerprints a text has, and the sample that plans the partitions of each.
+WORDS, WIDE_SAMPLE = 16, 512
+#: Candidates differ in at most this many bits of two other fingerprints: at a similarity of
+#: 0.8 these are 19 with a deviation of 4, of unlike texts 64 with one of 6.
+APART = 32
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def wide_fingerprints(sets: list[np.ndarray], words: int = WORDS) -> np.ndarray:
+    """(texts, words) fingerprints from sets of 64-bit shingle hashes: a bit is set if it
+    is in over half of a set's hashes under the word's own mixing."""
+    sizes = np.array([len(h) for h in sets])
+    filled = np.flatnonzero(sizes)
+    out = np.zeros((len(sets), words), np.uint64)
+    if not len(filled):
+        return out
+    h, sizes = np.concatenate(sets), sizes[filled]
+    starts = np.cumsum(sizes) - sizes
+    # eight counters share a number, so at most 255 hashes are added up at once
+    chunks = -(-sizes // 255)
+    first = np.cumsum(chunks) - chunks
+    edges = np.repeat(starts, chunks) + 255 * (np.arange(chunks.sum()) - np.repeat(first, chunks))
+    for w in range(words):
+        x = np.ascontiguousarray(mixed(h + np.uint64(0x9E3779B97F4A7C15 * (w + 1) % (1 << 64)))).view(np.uint8).reshape(-1, 8)
+        for k in range(8):
+            part = np.add.reduceat(_SPREAD[x[:, k]], edges)
+            ones = np.add.reduceat(part.view(np.uint8).reshape(-1, 8).astype(np.int64), first)
+            out.view(np.uint8).reshape(len(sets), words, 8)[filled, w, k] = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").ravel()
+    return out
+
+
+def _sketches(rows: DataFrame, shingle: int) -> DataFrame:
+    """``(doc_id, t, key, fps)`` of rows (doc_id, t, text); key stands for the set of shingles."""
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in slices(batch, "text", similar.SLICE):
+                sets = similar.shingle_sets(similar.texts_of(b), shingle)
+                fps = wide_fingerprints(sets).view(np.int64)
+                found = [pa.array([similar.set_key(h) for h in sets], pa.int64()),
+                         pa.array([f if len(h) else f[:0] for f, h in zip(fps, sets, strict=True)], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("t"), *found], ["doc_id", "t", "key", "fps"])
+
+    return rows.mapInArrow(tasks, "doc_id long, t long, key long, fps array<long>")
+
+
+def similar_texts(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", similarity: float = similar.SIMILARITY,
+                  shingle: int = similar.SHINGLE, block: int = similar.BLOCK) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, t, key)``, a row for each row of df, and ``(id, component)`` of the linked keys.
+
+    Near-duplicates by similarity: texts whose sets of word shingles have a
+    Jaccard similarity of at least ``similarity`` are linked, also over others.  t
+    is xxhash64 of the text, key stands for its set.  Each text has WORDS
+    fingerprints; two that meet in a partition of any of them, as the
+    generalised pigeonhole deals them, and are not too far apart in two others
+    are candidates, and candidates are verified on the whole sets.  A pair of
+    similarity 0.8 is found in 99 % of cases, closer ones oftener.
+
+    Words are runs other than ASCII white space, with A-Z in lower case.  Texts
+    without words are equal.  Null texts are empty, null ids are kept; repeated
+    rows have equal keys; an empty table gives none; other columns are ignored.
+    """
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
+    found = stored(_sketches(rows, shingle), "sketches")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "t")).alias("best")
+    unique = stored(found.groupBy("key").agg(first, F.first("fps").alias("fps")).select(
+        F.col("key").alias("rep"), F.col("best.doc_id").alias("__i"), F.col("best.t").alias("__t"), "fps"), "unique")
+    known = unique.where(F.size("fps") > 0)
+    n = known.count()
+    if n < 2:
+        return found.select("doc_id", "t", "key"), df.sparkSession.createDataFrame([], "id long, component long")
+    sample = known.select("fps").orderBy(F.xxhash64("rep")).limit(WIDE_SAMPLE).toArrow()["fps"].combine_chunks()
+    bits = sample.flatten().to_numpy(zero_copy_only=False).reshape(-1, WORDS)
+    met, parts = [], 0
+    for w in range(WORDS):
+        partitions = plan(bits[:, w], n)
+        met.append(F.transform(keys_of(F.col("fps")[w], partitions, parts), lambda k: F.struct(
+            k["part"].alias("part"), k["key"].alias("key"), F.col("fps")[(w + 1) % WORDS].alias("f1"), F.col("fps")[(w + 2) % WORDS].alias("f2"))))
+        parts += len(partitions)
+    met = known.select("rep", F.explode(F.flatten(F.array(*met))).alias("at")).select("rep", "at.part", "at.key", "at.f1", "at.f2")
+    near = stored(components(verified(met, APART, fps=("f1", "f2"))), "near")
+    sizes = near.groupBy("component").agg(F.ceil(F.count("*") / block).alias("blocks")).select(F.col("component").alias("__c"), "blocks")
+    sized = near.join(sizes, near.component == F.col("__c")).select("id", "component", "blocks")
+    asked = unique.join(sized, unique.rep == sized.id).select(F.col("rep").alias("key"), "component", "blocks", "__i", "__t")
+    asked = stored(asked, "asked")
+    texts = rows.join(asked, rows.doc_id.eqNullSafe(F.col("__i")) & (rows.t == F.col("__t")))
+    linked = stored(components(similar.verified(similar.sets_of(texts, shingle), similarity)), "linked")
+    return found.select("doc_id", "t", "key"), linked
+
+
 def op10_simhash_duplicates(spark, sf_dir):
-    found = near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_duplicates(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -1,10 +1,8 @@
-"""Near-duplicates by the exact similarity of texts' sets of word shingles.
+"""The exact similarity of texts' sets of word shingles.
 
-Texts with equal sets are one row all along.  Candidates come from bands of
-min-hashes: two sets of similarity 0.8 share a band in 99.98 % of cases, more
-similar ones oftener.  Candidate groups are verified on the whole sets, each of
-which travels once for each block of its group; groups over a bound are split
-into blocks that meet in pairs, and no pairs are written out.
+Groups of sets are verified on the whole sets, each of which travels once for
+each block of its group; groups over a bound are split into blocks that meet in
+pairs, and no pairs are written out.
 """
 
 from __future__ import annotations
@@ -17,16 +15,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrubline.llm.base import components, slices, stored
-from scrubline.llm.windows import Words, mixed
+from scrubline.llm.base import slices
+from scrubline.llm.windows import Words
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 28, 6
 #: A group with more sets is split into blocks of about this many.
 BLOCK = 256
 SLICE = 900_000
-_FACTORS = np.random.default_rng(42).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -39,47 +35,21 @@ def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> list[np.ndarray]
     return out
 
 
-def bands(h: np.ndarray) -> np.ndarray:
-    """One hash for each band; none for an empty set."""
-    if not len(h):
-        return np.zeros(0, np.int64)
-    least = np.full(len(_FACTORS), 0xFFFFFFFFFFFFFFFF, np.uint64)
-    for at in range(0, len(h), 2048):
-        least = np.minimum(least, (_FACTORS[:, None] * h[None, at : at + 2048]).min(1))
-    band = np.arange(BANDS, dtype=np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
-        band = mixed(band * np.uint64(0x9E3779B97F4A7C15) + row)
-    return band.view(np.int64)
-
-
-def _key(h: np.ndarray) -> int:
+def set_key(h: np.ndarray) -> int:
     return int(np.array(xxhash.xxh64_intdigest(h.tobytes()), np.uint64).view(np.int64))
 
 
-def _texts(b: pa.RecordBatch) -> list[bytes]:
+def texts_of(b: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
 
 
-def _sketches(rows: DataFrame, shingle: int) -> DataFrame:
-    """``(doc_id, t, key, bands)`` of rows (doc_id, t, text); key stands for the set."""
-
-    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in slices(batch, "text", SLICE):
-                sets = shingle_sets(_texts(b), shingle)
-                found = [pa.array([_key(h) for h in sets], pa.int64()), pa.array([bands(h) for h in sets], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("t"), *found], ["doc_id", "t", "key", "bands"])
-
-    return rows.mapInArrow(tasks, "doc_id long, t long, key long, bands array<long>")
-
-
-def _sets(rows: DataFrame, shingle: int) -> DataFrame:
+def sets_of(rows: DataFrame, shingle: int) -> DataFrame:
     """``(key, component, blocks, shingles)`` of rows with a text."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in slices(batch, "text", SLICE):
-                sets = pa.array([h.view(np.int64) for h in shingle_sets(_texts(b), shingle)], pa.list_(pa.int64()))
+                sets = pa.array([h.view(np.int64) for h in shingle_sets(texts_of(b), shingle)], pa.list_(pa.int64()))
                 names = ["key", "component", "blocks"]
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), sets], [*names, "shingles"])
 
@@ -113,7 +83,7 @@ def links(sets: list[np.ndarray], similarity: float = SIMILARITY) -> list[tuple[
     return out
 
 
-def _verified(sets: DataFrame, similarity: float) -> DataFrame:
+def verified(sets: DataFrame, similarity: float) -> DataFrame:
     """``(a, b)``: edges between keys whose sets are similar enough."""
     mine, n = F.pmod(F.xxhash64("key"), F.col("blocks")), F.col("blocks")
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda c: F.least(mine, c) * n + F.greatest(mine, c))
@@ -141,26 +111,3 @@ def _verified(sets: DataFrame, similarity: float) -> DataFrame:
             yield found()
 
     return ordered.mapInArrow(tasks, "a long, b long")
-
-
-def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", similarity: float = SIMILARITY,
-                    shingle: int = SHINGLE, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, t, key)``, a row for each row of df, and ``(id, component)`` of the linked keys.
-
-    t is xxhash64 of the text.  Words are runs other than ASCII white space, with
-    A-Z in lower case.  Sets of at least the similarity are linked, also over
-    others; texts without words are equal.
-    """
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
-    found = stored(_sketches(rows, shingle), "sketches")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "t")).alias("best")
-    unique = stored(found.select("key", "doc_id", "t").groupBy("key").agg(first).select("key", F.col("best.doc_id").alias("__i"), F.col("best.t").alias("__t")), "unique")
-    met = stored(found.groupBy("key").agg(F.first("bands").alias("bands")).select("key", F.explode("bands").alias("band")), "met")
-    least = stored(met.groupBy("band").agg(F.min("key").alias("a"), F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("__band"), "a"), "least")
-    near = stored(components(met.join(least, met.band == F.col("__band")).select("a", F.col("key").alias("b"))), "near")
-    sizes = near.groupBy("component").agg(F.ceil(F.count("*") / block).alias("blocks")).select(F.col("component").alias("__c"), "blocks")
-    sized = near.join(sizes, near.component == F.col("__c")).select("id", "component", "blocks")
-    asked = stored(unique.join(sized, unique.key == sized.id).select("key", "component", "blocks", "__i", "__t"), "asked")
-    texts = rows.join(asked, rows.doc_id.eqNullSafe(F.col("__i")) & (rows.t == F.col("__t")))
-    linked = stored(components(_verified(_sets(texts, shingle), similarity)), "linked")
-    return found.select("doc_id", "t", "key"), linked

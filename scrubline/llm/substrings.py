@@ -1,11 +1,13 @@
 """Substring deduplication by level-wise doubling of repeated windows.
 
-A window of ``window`` words is judged by the shorter windows inside it, from
-half its length up: of the half-length windows only the least by hash in each
-full window is looked at (winnowing: equal full windows have equal least ones),
-and only full windows whose least half is repeated somewhere are extended to
-the full length and looked at themselves.  Each level keeps what is repeated at
-its length alone; where nothing is, the later levels have no rows.
+A window of ``window`` words is judged by the shorter windows inside it.  The
+lengths double from ``shortest`` or fewer words up: 35 is judged by 9, 18 and 35.  At each
+length only the window that is the least by hash inside each full-length one is
+looked at (winnowing: equal full windows have equal least ones).  Windows that
+are repeated at one length are extended to twice that length, alone: a full
+window whose least part is repeated nowhere is out.  Where nothing survives the
+search is over.  At the last length the full windows that are left are looked
+at themselves.
 
 Windows are compared by 64-bit hashes of their words.
 """
@@ -20,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scrubline.llm.base import slices, stored, table
-from scrubline.llm.windows import Words, anchors
+from scrubline.llm.base import laid_out, slices, stored, table
+from scrubline.llm.windows import Words, anchors, least
 
-WINDOW = 35
+WINDOW, SHORTEST = 35, 9
 #: Bytes of text that are hashed at once: a worker holds some tens of 8-byte numbers for each.
 SLICE = 900_000
 _KEY = ["__d", "__t"]
@@ -45,8 +47,12 @@ def _first_in_doc(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order[new], np.diff(np.append(new, len(h)))
 
 
-def _half(window: int) -> int:
-    return -(-window // 2)
+def levels(window: int, shortest: int = SHORTEST) -> list[int]:
+    """The lengths of windows that are looked at, each about half of the next."""
+    out = [window]
+    while out[0] > shortest:
+        out.insert(0, -(-out[0] // 2))
+    return out
 
 
 def _repeated(rows: DataFrame) -> DataFrame:
@@ -54,50 +60,59 @@ def _repeated(rows: DataFrame) -> DataFrame:
     return rows.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select(F.col("h").alias("r"))
 
 
-def _half_rows(docs: DataFrame, text: str, window: int) -> DataFrame:
-    """``(h, n, __d, __t)``: the chosen half-length windows, once for each text."""
+def _open(words: Words, known: list, below: int | None, window: int) -> np.ndarray:
+    """Where full windows start whose least part of ``below`` words is among the known ones of its text."""
+    ok = words.valid(window)
+    if below is not None:
+        parts = least(words, below, window)
+        for s, n, hashes in zip(words.starts.tolist(), words.counts.tolist(), known, strict=True):
+            ok[s : s + n] &= np.isin(parts[s : s + n], np.array(hashes, np.int64).view(np.uint64))
+    return ok
 
-    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in slices(batch, text, SLICE):
-                words = Words(_bytes(b, text))
-                _, at, h = anchors(words, _half(window), window)
-                first, n = _first_in_doc(words.doc[at], h)
-                doc = pa.array(words.doc[at][first])
-                yield pa.RecordBatch.from_arrays(
-                    [_long(h[first]), pa.array(n.astype(np.int64)), *(b.column(k).take(doc) for k in _KEY)], ["h", "n", *_KEY]
-                )
 
-    return docs.select(text, *_KEY).mapInArrow(tasks, "h long, n long, __d long, __t long")
-
-
-def _full_rows(docs: DataFrame, text: str, window: int) -> DataFrame:
-    """``(h, n, pos, __d, __t)``: the full windows whose least half is in ``halves``,
-    each once for each text with its first place."""
+def _rows(docs: DataFrame, text: str, length: int, window: int, below: int | None) -> DataFrame:
+    """``(h, n, pos, __d, __t)``: the windows of a length that are to be looked at, each
+    once for each text with its number and first place.  below: the length before,
+    whose repeated windows of a text are in ``__known``."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in slices(batch, text, SLICE):
                 words = Words(_bytes(b, text))
-                least, _, _ = anchors(words, _half(window), window)
-                at = []
-                for i, halves in enumerate(b.column("__halves").to_pylist()):
-                    if halves:
-                        s, n = words.starts[i], words.counts[i]
-                        at.append(s + np.flatnonzero(np.isin(least[s : s + n], np.array(halves, np.int64).view(np.uint64))))
-                at = np.concatenate(at) if at else np.zeros(0, np.int64)
-                h = words.windows(window, at)
+                known = b.column("__known").to_pylist() if below is not None else []
+                ok = _open(words, known, below, window)
+                if length < window:
+                    at, h = anchors(words, length, window, ok)
+                else:
+                    at = np.flatnonzero(ok)
+                    h = words.windows(window, at)
                 first, n = _first_in_doc(words.doc[at], h)
-                doc, pos = words.doc[at][first], words.place()[at][first]
+                doc, pos = pa.array(words.doc[at][first]), words.place()[at][first]
                 yield pa.RecordBatch.from_arrays(
-                    [_long(h[first]), pa.array(n.astype(np.int64)), pa.array(pos.astype(np.int32)),
-                     *(b.column(k).take(pa.array(doc)) for k in _KEY)], ["h", "n", "pos", *_KEY]
-                )
-
-    return docs.mapInArrow(tasks, "h long, n long, pos int, __d long, __t long")
-
-
-def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = WINDOW) -> DataFrame:
+                    [_long(h[first]), pa.array(n.astype(np.int64)), pa.array(pos.astype(np.int32)), *(b.column(k).take(doc) for k in _KEY)],
+                    ["h", "n", "pos", *_KEY])
+
+    columns = [text, *_KEY] + (["__known"] if below is not None else [])
+    return docs.select(*columns).mapInArrow(tasks, "h long, n long, pos int, __d long, __t long")
+
+
+def candidates(laid: DataFrame, text: str, window: int = WINDOW, shortest: int = SHORTEST) -> tuple[DataFrame, list[tuple[int, DataFrame]]]:
+    """laid with ``__known`` (the texts that have windows to look at in full; all
+    without __known if there is one length alone), and for each length before the
+    last that was reached (length, its repeated windows' hashes ``r``)."""
+    x, below, reached = laid, None, []
+    for length in levels(window, shortest)[:-1]:
+        rows = stored(_rows(x, text, length, window, below).drop("pos"), f"windows{length}")
+        again = stored(_repeated(rows), f"again{length}")
+        known = rows.join(again, rows.h == again.r, "left_semi").groupBy(*_KEY).agg(F.collect_set("h").alias("__known"))
+        x, below = laid.join(stored(known, f"known{length}"), _KEY), length
+        reached.append((length, again))
+        if again.isEmpty():
+            break
+    return x, reached
+
+
+def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = WINDOW, shortest: int = SHORTEST) -> DataFrame:
     """df with ``text_col`` cut, plus ``__words`` and ``__removed`` (long).
 
     Words are runs of characters other than ASCII white space, unchanged.  Each
@@ -105,24 +120,20 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     anywhere else in the input, the same text included, is removed; the others
     are joined by one blank.  A null text has no words and becomes empty, as do
     texts without words; shorter texts keep all words; repeated rows repeat
-    each other's windows.
+    each other's windows.  An empty table gives none.  df must have no columns
+    called ``__d``, ``__t``, ``__known`` or ``__places``; columns of df called
+    ``__words`` or ``__removed`` are replaced, all others stay.
     """
-    columns = df.columns
-    docs = df.withColumns({"__d": F.coalesce(F.col(id_col).cast("long"), F.lit(0)), "__t": F.xxhash64(text_col)})
-    halves = _half_rows(docs, text_col, window)
-    known = stored(_repeated(halves.select("h", "n")), "halves")
-    found = halves.join(known, halves.h == known.r, "left_semi").groupBy(*_KEY).agg(F.collect_set("h").alias("__halves"))
-    found = stored(found.select(F.col("__d").alias("__d1"), F.col("__t").alias("__t1"), "__halves"), "found")
-    x = docs.join(found, (docs["__d"] == F.col("__d1")) & (docs["__t"] == F.col("__t1")), "left")
-    # the windows and the final cut read the same columns, so the texts are shuffled once for both
-    x = x.select(*[docs[c] for c in columns], "__halves", *_KEY)
-    full = _full_rows(x.where("__halves IS NOT NULL"), text_col, window)
+    columns = [c for c in df.columns if c.lower() not in ("__words", "__removed")]
+    docs = df.select(*columns).withColumns({"__d": F.coalesce(F.col(id_col).cast("long"), F.lit(0)), "__t": F.xxhash64(text_col)})
+    laid = laid_out(docs, "texts", _KEY)  # every level and the final cut read the texts where they lie
+    x, reached = candidates(laid, text_col, window, shortest)
+    full = _rows(x, text_col, window, window, reached[-1][0] if reached else None)
     # the key is negated so that both sides are dealt anew: then a skewed one can be split
     again = _repeated(full.select("h", "n")).select(F.bitwise_not("r").alias("r"))
     hits = full.join(again, F.bitwise_not(full.h) == again.r, "left_semi")
     places = hits.groupBy(*_KEY).agg(F.collect_set("pos").alias("__places"))
-    places = places.select(F.col("__d").alias("__d2"), F.col("__t").alias("__t2"), "__places")
-    y = x.join(places, (x["__d"] == F.col("__d2")) & (x["__t"] == F.col("__t2")), "left").select(*columns, "__places")
+    y = laid.join(places, _KEY, "left").select(*columns, "__places")
     fields = [f for f in y.schema.fields if f.name != "__places"]
     at_text = columns.index(text_col)
 

@@ -1,8 +1,9 @@
 """URL filter lists in a sorted digest array.
 
-The rules are hashed to 64-bit xxhash keys, sorted and written to one file
-beside their full strings.  Spark ships the file to every executor, tasks
-memory-map it, hash the host suffixes and path prefixes of a batch of URLs,
+Spark hashes the rules to 64-bit xxhash keys and sorts them by that; in that
+order they are written to one file with their full strings and verdicts, of which
+the driver holds a partition at a time.  Spark ships the file to every executor,
+tasks memory-map it, hash the host suffixes and path prefixes of a batch of URLs,
 find them all with one vectorised binary search, and compare the stored string
 of each hit, so that two strings with one digest are never mistaken.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import mmap
 import os
+import shutil
 import struct
 import tempfile
 import uuid
@@ -20,14 +22,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scrubline.llm.base import table
 
-#: The index is built on the driver; more rules than this are refused.
-MAX_RULES = 5_000_000
+#: Of XXH64, as Spark's function of that name has it.
+SEED = 42
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -47,23 +49,41 @@ BLOCKED = [
 ]
 
 
-def write_index(path: str, entries: Iterable[tuple[str, str]]) -> None:
-    """entries: (host, path).  Repeated entries are written once."""
-    # a host has no slash but a path may lack one, so a byte that no host holds separates them
-    keys = sorted({h.encode() + b"\0" + p.encode() for h, p in entries})
-    digests = np.array([xxhash.xxh64_intdigest(k) for k in keys], np.uint64)
-    order = np.argsort(digests, kind="stable")
-    keys = [keys[i] for i in order]
-    ends = np.cumsum([0] + [len(k) for k in keys]).astype(np.int64)
-    lengths = np.array(sorted({len(k.partition(b"\0")[2]) for k in keys}), np.int64)
+def key(host: str, path: str) -> bytes:
+    """A host has no slash but a path may lack one, so a byte that no host holds separates them."""
+    return host.encode() + b"\0" + path.encode()
+
+
+def digest(k: bytes) -> int:
+    return xxhash.xxh64_intdigest(k, SEED)
+
+
+def write_index(path: str, entries: Iterable[tuple[int, bytes, str]]) -> None:
+    """entries: (digest, key, verdict), different keys by rising digests.  They are
+    written as they come: digests, ends of the strings, lengths of the paths, strings."""
+    n, end, lengths = 0, 0, set()
+    names = [f"{path}.{x}" for x in ("digests", "ends", "strings")]
+    with open(names[0], "wb") as digests, open(names[1], "wb") as ends, open(names[2], "wb") as strings:
+        ends.write(struct.pack("<q", 0))
+        for d, k, verdict in entries:
+            text = k + b"\0" + verdict.encode()
+            end += len(text)
+            n += 1
+            lengths.add(len(k.partition(b"\0")[2]))
+            digests.write(struct.pack("<Q", d))
+            ends.write(struct.pack("<q", end))
+            strings.write(text)
     with open(path, "wb") as f:
-        f.write(struct.pack("<qq", len(keys), len(lengths)))
-        for part in (digests[order].tobytes(), ends.tobytes(), lengths.tobytes(), b"".join(keys)):
-            f.write(part)
+        f.write(struct.pack("<qq", n, len(lengths)))
+        for name, more in zip(names, (b"", struct.pack(f"<{len(lengths)}q", *sorted(lengths)), b""), strict=True):
+            with open(name, "rb") as part:
+                shutil.copyfileobj(part, f)
+            f.write(more)
+            os.remove(name)
 
 
 class Index:
-    """A memory-mapped list of (host, path) entries."""
+    """A memory-mapped list of (host, path, verdict) entries."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
@@ -75,21 +95,23 @@ class Index:
         self.path_lengths = np.frombuffer(self.map, np.int64, m, 24 + 16 * n).tolist()
         self.text = 24 + 16 * n + 8 * m
 
-    def key(self, i: int) -> bytes:
-        return self.map[self.text + self.ends[i] : self.text + self.ends[i + 1]]
+    def entry(self, i: int) -> tuple[bytes, str]:
+        k, _, verdict = self.map[self.text + self.ends[i] : self.text + self.ends[i + 1]].rpartition(b"\0")
+        return k, verdict.decode()
 
-    def find(self, keys: list[bytes]) -> np.ndarray:
-        """The place of each key, or -1."""
+    def find(self, keys: list[bytes]) -> list[str | None]:
+        """The verdict of each key, or None."""
+        found: list[str | None] = [None] * len(keys)
         if not keys or not len(self.digests):
-            return np.full(len(keys), -1, np.int64)
-        digests = np.fromiter((xxhash.xxh64_intdigest(k) for k in keys), np.uint64, len(keys))
+            return found
+        digests = np.fromiter((digest(k) for k in keys), np.uint64, len(keys))
         low = np.searchsorted(self.digests, digests, "left")
         high = np.searchsorted(self.digests, digests, "right")
-        found = np.full(len(keys), -1, np.int64)
         for i in np.flatnonzero(high > low):
             for j in range(low[i], high[i]):  # more than one where digests collide
-                if self.key(j) == keys[i]:
-                    found[i] = j
+                k, verdict = self.entry(j)
+                if k == keys[i]:
+                    found[i] = verdict
         return found
 
 
@@ -105,7 +127,7 @@ def candidates(host: str, path: str, path_lengths: list[int]) -> Iterator[bytes]
 
 
 def longest(index: Index, hosts: list[str], paths: list[str]) -> list[tuple[str, str] | None]:
-    """For each URL the longest entry (as host + path) that fits it, ties by bytes."""
+    """For each URL the longest entry that fits it (ties by bytes): host + path, verdict."""
     keys: list[bytes] = []
     counts = []
     for h, p in zip(hosts, paths, strict=True):
@@ -115,18 +137,23 @@ def longest(index: Index, hosts: list[str], paths: list[str]) -> list[tuple[str,
     found = index.find(keys)
     out, at = [], 0
     for n in counts:
-        hits = [keys[i] for i in range(at, at + n) if found[i] >= 0]
-        best = max(hits, key=lambda k: (len(k), k), default=None)
-        out.append(None if best is None else tuple(x.decode() for x in best.split(b"\0")))
+        best = max((i for i in range(at, at + n) if found[i] is not None), key=lambda i: (len(keys[i]), keys[i]), default=None)
+        out.append(None if best is None else (keys[best].replace(b"\0", b"").decode(), found[best]))
         at += n
     return out
 
 
-def ship(spark: SparkSession, entries: Iterable[tuple[str, str]]) -> str:
-    """Writes the index and hands it to every executor; gives its name there."""
+def ship(rules: DataFrame) -> str:
+    """Writes the index of rules (host, path, verdict) and hands it to every executor;
+    gives its name there.  Of rules with the same host and path the least verdict holds."""
+    spark = rules.sparkSession
+    one = rules.where("host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL").groupBy("host", "path").agg(F.min("verdict").alias("verdict"))
+    digests = F.xxhash64(F.concat("host", F.lit("\0"), "path"))
+    # digests are unsigned: those with the highest bit come last
+    ordered = one.withColumn("digest", digests).orderBy(F.col("digest") < 0, "digest")
     name = f"urls-{uuid.uuid4().hex}.idx"
     path = os.path.join(tempfile.mkdtemp(prefix="scrubline-"), name)
-    write_index(path, entries)
+    write_index(path, ((r.digest & (1 << 64) - 1, key(r.host, r.path), r.verdict) for r in ordered.toLocalIterator()))
     spark.sparkContext.addFile(path)
     return name
 
@@ -150,31 +177,31 @@ def split_url(df: DataFrame, url_col: str) -> DataFrame:
 def judge(df: DataFrame, url_col: str = "url", rules=RULES, blocked=BLOCKED) -> DataFrame:
     """df plus ``host``, ``path``, ``rule`` (null where none fits) and ``verdict``.
 
-    rules: (host, path, verdict) triples, or a DataFrame of them with at most
-    MAX_RULES rows.  A rule fits its host and all subdomains if the path starts
-    with the rule's.  Of those that fit the longest wins.  Where none fits, the
-    hosts of ``blocked`` and their subdomains are blocked and others allowed.
-    Null URLs and URLs without ``://`` have an empty host and path and are
-    allowed.  Columns of df with one of the four names are replaced.
+    rules: (host, path, verdict) triples, or a DataFrame of them, of any size that
+    fits an executor's disk; those with a null are left out.  A rule fits its host
+    and all subdomains if the path starts with the rule's.  Of those that fit the
+    longest wins.  Where none fits, the hosts of ``blocked`` and their subdomains
+    are blocked and others allowed.  Null URLs and URLs without ``://`` have an
+    empty host and path and are allowed.  Rows do not see each other, so repeated
+    ones get the same; an empty table gives no rows.  Columns of df with one of the
+    four names (in any case) are replaced, but url_col itself is read first.
     """
-    if isinstance(rules, DataFrame):
-        found = rules.limit(MAX_RULES + 1).collect()
-        if len(found) > MAX_RULES:
-            raise ValueError(f"more than {MAX_RULES} rules")
-        rules = [tuple(r) for r in found]
     spark = df.sparkSession
-    kept = [c for c in df.columns if c not in ("host", "path", "rule", "verdict")]
-    source = split_url(df.select(*kept), url_col)
-    verdicts = {(h, p): v for h, p, v in rules}
-    first, second = ship(spark, verdicts), ship(spark, [(h, "") for h in blocked])
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame(list(rules), "host string, path string, verdict string")
+    names = ("host", "path", "rule", "verdict")
+    kept = [c for c in df.columns if c.lower() not in names]
+    source = split_url(df.select(*kept, F.col(url_col).alias("__url")), "__url").drop("__url")
+    listed = spark.createDataFrame([(h, "", "block") for h in blocked], "host string, path string, verdict string")
+    first, second = ship(rules.toDF("host", "path", "verdict")), ship(listed)
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, more = opened(first), opened(second)
         for b in batches:
             hosts, paths = b.column("host").to_pylist(), b.column("path").to_pylist()
             best, other = longest(index, hosts, paths), longest(more, hosts, [""] * len(hosts))
-            rule = pa.array([None if k is None else k[0] + k[1] for k in best], pa.string())
-            verdict = [verdicts[k] if k else "block" if o else "allow" for k, o in zip(best, other, strict=True)]
+            rule = pa.array([k and k[0] for k in best], pa.string())
+            verdict = [k[1] if k else "block" if o else "allow" for k, o in zip(best, other, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, rule, pa.array(verdict, pa.string())], [*b.schema.names, "rule", "verdict"]
             )

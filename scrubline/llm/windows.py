@@ -7,6 +7,7 @@ import numpy as np
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_TOP = _U(0xFFFFFFFFFFFFFFFF)
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -96,20 +97,21 @@ def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return out
 
 
-def anchors(words: Words, k: int, whole: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Winnowing: (least, places, hashes).
+def least(words: Words, k: int, whole: int) -> np.ndarray:
+    """For each place the smallest hash of the windows of k words inside the window of
+    ``whole`` words that starts there; the largest number where that would leave the text."""
+    x = np.minimum(words.windows(k), _TOP - _U(1))
+    return np.where(words.valid(whole), sliding(x, whole - k + 1, np.minimum), _TOP)
 
-    least: for each place the smallest hash of the windows of k words inside the
-    window of ``whole`` words that starts there (the largest number where that
-    would leave the text).  places, hashes: where these smallest windows stand.
-    Equal windows of ``whole`` words have equal least hashes, wherever they are.
+
+def anchors(words: Words, k: int, whole: int, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Winnowing: places and hashes of the windows of k words that are the smallest
+    inside some window of ``whole`` words of those that start where ``of`` is true.
+
+    Equal windows of ``whole`` words have equal smallest ones, wherever they are.
     """
-    top = _U(0xFFFFFFFFFFFFFFFF)
-    x = np.minimum(words.windows(k), top - _U(1))
-    span = whole - k + 1
-    ok = words.valid(whole)
-    least = np.where(ok, sliding(x, span, np.minimum), top)
-    # a window is chosen if it is the least of some valid place up to span - 1 before it
-    chosen = sliding(np.where(ok, least, _U(0))[::-1], span, np.maximum)[::-1]
+    x = np.minimum(words.windows(k), _TOP - _U(1))
+    # a window is chosen if it is the least of some place up to the span before it
+    chosen = sliding(np.where(of, least(words, k, whole), _U(0))[::-1], whole - k + 1, np.maximum)[::-1]
     at = np.flatnonzero((chosen == x) & (chosen > 0))
-    return least, at, x[at]
+    return at, x[at]

@@ -272,6 +272,30 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(df.where("vec_id = 901")).count() == 1
 
 
+def test_vectors_of_other_types_and_lengths(spark):
+    given = [(1, [1.0, 2.0, 3.0]), (2, [2.0, 4.0, 6.0]), (3, [1.0, 0.0]), (4, [1.0, 0.1]), (5, [0.0, 1.0]), (6, [5.0]), (7, [-5.0]), (8, [1.0] * 8), (9, [1.0] * 8)]
+    want = {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5), 6: (0, 6), 7: (0, 7), 8: (1, 8), 9: (1, 8)}
+    for kind in ("array<double>", "array<float>", "array<decimal(9,2)>"):
+        df = spark.createDataFrame(given, "vec_id long, embedding array<double>").select("vec_id", F.col("embedding").cast(kind), F.lit(1).alias("links"))
+        assert {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()} == want
+
+
+def test_recall_of_hard_samples():
+    """Unclustered vectors with links right at the threshold: visits go as far as the goal needs."""
+    r = np.random.default_rng(3)
+    base = r.normal(size=(3000, 24))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    turn = r.normal(size=base.shape)
+    turn -= (turn * base).sum(1, keepdims=True) * base
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    all_ = np.concatenate([base, 0.905 * base + np.sqrt(1 - 0.905**2) * turn])
+    grid = embeddings.fit(all_, 200_000)
+    ways = grid.cells(all_)
+    found = sum(ways[i + 3000][0] in ways[i] or ways[i][0] in ways[i + 3000] for i in range(3000))
+    print("visits", grid.visits, "recall", found / 3000)
+    assert found >= 0.95 * 3000
+
+
 # --- 5
 
 def test_context_trees_are_exact():
@@ -314,6 +338,22 @@ def _bits(train, text):
     return total
 
 
+def test_many_languages_and_scripts(spark):
+    """60 languages, 20 each of words in Latin, Cyrillic and Devanagari letters; none is refused and the model stays small."""
+    r = random.Random(6)
+    scripts = ["abcdefghijklmnopqrstuvwxyz", "".join(map(chr, range(0x430, 0x450))), "".join(map(chr, range(0x905, 0x93A)))]
+    words = {f"l{i:02}": ["".join(r.choices(scripts[i % 3], k=r.randint(2, 8))) for _ in range(300)] for i in range(60)}
+    given = [(k, " ".join(r.choices(w, k=60)), x) for x, w in words.items() for k in range(12)]
+    df = spark.createDataFrame(given, "doc_id long, text string, lang string").repartition(4)
+    model = langid.fit(df.where("doc_id < 8"))
+    assert len(model.languages) == 60
+    size = sum(a.nbytes for trees in model.trees for t in trees for a in vars(t).values())
+    assert size < 40 << 20
+    got = langid.predict(df.where("doc_id >= 8"), model).collect()
+    assert len(got) == 240 and sum(x.lang == x.lang_pred for x in got) >= 235
+    assert langid.predict(df.limit(0), model).count() == 0
+
+
 def test_language_id(spark, table):
     got = langid.op5_language_id(spark, "/root/testdata/sf0.01").collect()
     lang = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
@@ -408,17 +448,29 @@ def test_urls(spark):
     assert urls.judge(df.limit(0)).count() == 0
 
 
+def test_repeated_and_clashing_url_columns(spark):
+    df = spark.createDataFrame([(1, "http://a.net/x"), (1, "http://a.net/x"), (2, None)], "page_id long, path string")
+    got = collections.Counter(tuple(r) for r in urls.judge(df.withColumn("HOST", F.lit(1)), url_col="path").collect())
+    assert got == {(1, "a.net", "/x", "net/", "block"): 2, (2, "", "", None, "allow"): 1}
+
+
+def test_a_million_rules(spark):
+    rules = spark.range(1_000_000).select(F.concat(F.lit("h"), "id", F.lit(".example")).alias("h"), F.concat(F.lit("/p"), F.col("id") % 7).alias("p"),
+                                          F.when(F.col("id") % 2 == 0, "block").otherwise("allow").alias("v"))
+    asked = spark.range(0, 1_000_000, 4999).select("id", F.concat(F.lit("http://www.h"), "id", F.lit(".example/p"), F.col("id") % 7, F.lit("/q")).alias("url"))
+    got = urls.judge(asked, rules=rules, blocked=[]).collect()
+    assert len(got) == 201 and all(r.rule == f"h{r.id}.example/p{r.id % 7}" and r.verdict == ("allow" if r.id % 2 else "block") for r in got)
+
+
 def test_digest_collisions(tmp_path, monkeypatch):
-    monkeypatch.setattr(urls.xxhash, "xxh64_intdigest", lambda k: len(k) % 3)
+    monkeypatch.setattr(urls, "digest", lambda k: len(k) % 3)
     path = str(tmp_path / "i")
-    entries = [(f"h{i}", "/p") for i in range(40)] + [("abc", "")]
-    urls.write_index(path, entries)
+    entries = [(urls.key(f"h{i}", "/p"), f"v{i}") for i in range(40)] + [(urls.key("abc", ""), "x")]
+    urls.write_index(path, sorted((urls.digest(k), k, v) for k, v in entries))
     index = urls.Index(path)
-    keys = [h.encode() + b"\0" + p.encode() for h, p in entries] + [b"h99\0/p", b"zz\0"]
-    found = index.find(keys)
-    assert [index.key(i) for i in found[:-2]] == keys[:-2] and (found[-2:] == -1).all() and index.path_lengths == [0, 2]
+    assert index.find([k for k, _ in entries] + [b"h99\0/p", b"zz\0"]) == [v for _, v in entries] + [None, None] and index.path_lengths == [0, 2]
     urls.write_index(path, [])
-    assert (urls.Index(path).find(keys) == -1).all()
+    assert urls.Index(path).find([entries[0][0]]) == [None]
 
 
 # --- 9
@@ -446,11 +498,26 @@ def test_short_windows(spark):
     r = random.Random(7)
     texts = [" ".join(r.choice("abc") for _ in range(r.randint(0, 30))) for _ in range(60)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for window in (2, 5, 8):
-        got = rows(substrings.remove_repeats(df, window=window), "doc_id", "__words", "__removed", "text")
+    assert substrings.levels(35) == [9, 18, 35] and substrings.levels(8, 2) == [2, 4, 8] and substrings.levels(2, 2) == [2]
+    for window, shortest in ((2, 2), (5, 2), (8, 2), (8, 9)):
+        got = rows(substrings.remove_repeats(df, window=window, shortest=shortest), "doc_id", "__words", "__removed", "text")
         assert got == collections.Counter((i, *c) for i, c in enumerate(_cut(texts, window)))
 
 
+def test_levels_let_go(spark):
+    """What is repeated at one length alone is extended; where nothing is, the search ends."""
+    base = [f"w{i}" for i in range(40)]
+    other = lambda x, n: [f"{x}{i}" for i in range(n)]
+    texts = {1: base + other("a", 60), 2: other("b", 50) + base, 3: other("c", 50) + base[:12] + other("d", 50), 4: other("e", 90)}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    laid = df.withColumns({"__d": F.col("doc_id"), "__t": F.lit(0).cast("long")})
+    x, reached = substrings.candidates(laid, "text")
+    assert [n for n, _ in reached] == [9, 18] and {r.doc_id for r in x.collect()} == {1, 2}
+    x, reached = substrings.candidates(laid.where("doc_id > 2"), "text")
+    assert [n for n, _ in reached] == [9] and x.count() == 0
+    assert substrings.remove_repeats(df.where("doc_id > 2")).where("__removed > 0").count() == 0
+
+
 # --- 10
 
 def _fingerprint(text):

@@ -6,9 +6,9 @@ import random
 import corpus_pipeline as pipeline
 import pytest
 from pyspark.sql import functions as F
-from tests.llm.test_operators import _components, _cut, _fingerprint
+from tests.llm.test_operators import _components, _cut
 
-from scrubline.llm import packing, similar
+from scrubline.llm import packing, simhash
 from scrubline.llm.base import stored
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score int, copies string"
@@ -36,11 +36,10 @@ def test_language_stage_keeps_clean_documents(steps):
 
 def test_one_of_each_group_stays(steps):
     docs = steps[1]
-    unique = sorted({_fingerprint(r.text) for r in docs})
-    label = dict(zip(unique, _components(unique, lambda a, b: (a ^ b).bit_count() <= 3), strict=True))
+    shingles = [_shingles(r.text) for r in docs]
+    label = _components(shingles, lambda a, b: len(a) * 0.8 <= len(b) and len(b) * 0.8 <= len(a) and len(a & b) >= 0.8 * len(a | b))
     least = {}
-    for r in docs:
-        c = label[_fingerprint(r.text)]
+    for r, c in zip(docs, label, strict=True):
         least[c] = min(least.get(c, r.doc_id), r.doc_id)
     assert sorted(r.doc_id for r in steps[2]) == sorted(least.values())
 
@@ -72,8 +71,13 @@ def test_empty_corpus(spark):
     assert docs.count() == 0
 
 
+def _shingles(text):
+    w = text.lower().encode().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
 def _similarity(a, b):
-    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split()))
+    a, b = _shingles(a), _shingles(b)
     return len(a & b) / len(a | b)
 
 
@@ -91,7 +95,7 @@ def test_near_copies_go(spark):
     want = {label.index(c) for c in label}
     docs = spark.createDataFrame([(i, t, "en", "s", len(t), 1, "c") for i, t in enumerate(texts)], DOCS)
     assert {x.doc_id for x in pipeline.drop_near_duplicates(spark, docs, "").collect()} == want
-    found, linked = similar.near_duplicates(docs, block=2)
+    found, linked = simhash.similar_texts(docs, block=2)
     linked = {x.id: x.component for x in linked.collect()}
     group = {x.doc_id: linked.get(x.key, x.key) for x in found.collect()}
     assert len(set(group.values())) == len(want) and all((group[i] == group[label.index(c)]) for i, c in enumerate(label))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.llm import langid, mixing, packing, similar, substrings
+from scrubline.llm import langid, mixing, packing, simhash, substrings
 from scrubline.llm.base import stored, table
 
 #: A text that the best language codes in more than its plain bytes by this many
@@ -33,10 +33,11 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates: texts whose sets of
-    five-word shingles have a similarity of 0.8 or more, also over others.  The
+    five-word shingles have a similarity of 0.8 or more, also over others.  SimHash
+    fingerprints and the generalised pigeonhole give the candidates.  The
     smallest id stays, then the smallest hash of the text; rows without an id come
     last.  Of rows with the same id and text one stays."""
-    found, linked = similar.near_duplicates(docs)
+    found, linked = simhash.similar_texts(docs)
     first = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "t", "n")
     each = found.groupBy("key", "doc_id", "t").agg(F.count("*").alias("n")).groupBy("key").agg(F.min(first).alias("best"))
     joined = each.join(linked, each.key == linked.id, "left").groupBy(F.coalesce("component", "key").alias("component"))

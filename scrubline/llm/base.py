@@ -27,7 +27,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Deletes what stored() wrote, where nothing reads it any more."""
+    jvm = df.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def laid_out(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
@@ -47,7 +56,7 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     Alternates large-star and small-star steps until the edges are stars: every
     step is a grouped minimum and a join, so a component may hold any share of
     all rows.  Ids without an edge are absent; ``component`` is the smallest id.
-    Each round's edges are written to the shared folder.
+    Each round's edges are written to the shared folder, and those before deleted.
     """
     e = stored(
         edges.where("a != b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(),
@@ -58,8 +67,9 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen or not state[0]:
             break
-        seen = state
+        seen, before = state, e
         e = stored(_small_star(_large_star(e)), "edges")
+        dropped(before)
     else:
         raise RuntimeError(f"no fixed point within {max_rounds} rounds")
     return e.select(F.col("v").alias("id"), F.col("u").alias("component")).union(

@@ -159,7 +159,13 @@ def format_conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str
 
 def recover(formatted: DataFrame) -> DataFrame:
     """What ``format_conversations`` wrote, read back: its columns plus ``turns``
-    (array of role and text) and ``loss_text`` (all under the loss mask, unescaped)."""
+    (array of role and text) and ``loss_text`` (all under the loss mask, unescaped).
+
+    formatted has the columns of format_conversations, none of them null but
+    conv_id; others are ignored.  Rows do not see each other, so repeated ones get
+    the same; an empty table gives no rows.  A text that the grammar does not give
+    is an error.
+    """
     turn = pa.struct([("role", pa.string()), ("text", pa.string())])
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -64,7 +64,7 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                         grams.append(sum(x[k : len(x) - ORDER + k] << 8 * (ORDER - k) for k in range(ORDER + 1)))
                     gram, n = np.unique(np.concatenate(grams), return_counts=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([str(lang)] * len(gram)), pa.array(gram), pa.array(n.astype(np.int64))], ["lang", "gram", "n"]
+                        [pa.array([str(lang)] * len(gram), pa.string()), pa.array(gram), pa.array(n.astype(np.int64))], ["lang", "gram", "n"]
                     )
 
     out = docs.select(text_col, lang_col).mapInArrow(tasks, "lang string, gram long, n long")
@@ -194,7 +194,7 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", prefix: str = "
                             lang[i], score[i] = m.languages[best[i]], share[i]
                         if texts[i]:
                             rate[i] = low[i] / len(texts[i])
-                new = [pa.array(lang), pa.array(score), pa.array(rate, pa.float64())]
+                new = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())]
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *new], [*names, *dict(added)])
 
     has = F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False))

@@ -218,7 +218,9 @@ _FIELDS = [
 
 def encode_column(df: DataFrame, text_col: str = "text", out_col: str = "media", unit: int = 64) -> DataFrame:
     """df plus ``out_col`` (binary): the stream that holds the text's UTF-8 bytes,
-    with zero bytes up to a positive multiple of unit.  Null counts as empty."""
+    with zero bytes up to a positive multiple of unit.  Null counts as empty; rows
+    do not see each other, so repeated ones get equal streams; whole texts of any
+    length; an empty table gives no rows.  A column called out_col is replaced."""
     schema = with_fields(df.schema, (out_col, "binary"))
     names = schema.names[:-1]
 
@@ -236,7 +238,8 @@ def encode_column(df: DataFrame, text_col: str = "text", out_col: str = "media",
 
 def read_column(df: DataFrame, media_col: str = "media") -> DataFrame:
     """df plus what ``parse`` finds in a binary column, as columns (a null stream
-    is an empty one; columns of df with the same names are replaced)."""
+    is an empty one; columns of df with the same names are replaced).  Rows do not
+    see each other, so repeated ones get the same; an empty table gives no rows."""
     schema = with_fields(df.schema, *_FIELDS)
     names = [n for n in schema.names if n not in dict(_FIELDS)]
     types = dict(zip((n for n, _ in _FIELDS), (

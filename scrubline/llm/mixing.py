@@ -65,17 +65,21 @@ def source_targets(totals: DataFrame, weights=WEIGHTS, percent: int = 150, most:
 
 
 def with_copies(docs: DataFrame, size_col: str, id_col: str = "doc_id", source_col: str = "source", seed: int = 7,
-                weights=WEIGHTS, percent: int = 150, most: int = 2) -> DataFrame:
+                weights=WEIGHTS, percent: int = 150, most: int = 2, tie: Column | None = None) -> DataFrame:
     """docs plus ``__source_size long``, ``__target double`` and ``__copies long``.
 
     size_col: words of a document (long, 0 or more).  Repeated rows count as
     documents of their own; a null source is a source of its own, after the
-    others; a null id is an id.  Documents of size 0 get copies too (of no
-    words).  An empty input gives an empty result.  docs is read twice.
+    others.  Documents of size 0 get copies too (of no words).  An empty input
+    gives an empty result.  docs is read twice.
+
+    tie: a number that tells rows of one id and size apart, so that reruns draw
+    the same rows, and stands for null ids; without it these are all one id, and
+    rows that only their id and size tell apart are interchangeable.
     """
     ident, source, size = F.col(id_col), F.col(source_col), F.col(size_col)
     deal = max(1, round(math.sqrt(docs.count()) / 16))
-    mixed = F.pmod(F.pmod(F.coalesce(ident, F.lit(-1)), F.lit(2147483647)) * F.lit(2654435761), F.lit(2147483647))
+    mixed = F.pmod(F.pmod(F.coalesce(ident, F.lit(-1) if tie is None else tie), F.lit(2147483647)) * F.lit(2654435761), F.lit(2147483647))
     level = F.floor(F.log2(size + 1) * 4).cast("int")
     keyed = docs.withColumns({
         "__step": F.when(F.floor(mixed / 7) % 2 == 0, level).otherwise(1000 - level),
@@ -92,7 +96,7 @@ def with_copies(docs: DataFrame, size_col: str, id_col: str = "doc_id", source_c
     before = Window.partitionBy("__s").orderBy("__st", "__p").rowsBetween(Window.unboundedPreceding, -1)
     starts = buckets.withColumn("__ahead", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     starts = starts.join(totals, F.col("__s").eqNullSafe(F.col("__s2"))).select("__s", "__st", "__p", "__ahead", "__source_size", "__target")
-    inside = Window.partitionBy(source, "__step", "__part").orderBy(F.when(F.col("__step") < 500, size).otherwise(-size), ident)
+    inside = Window.partitionBy(source, "__step", "__part").orderBy(F.when(F.col("__step") < 500, size).otherwise(-size), ident, *([] if tie is None else [tie]))
     ranked = keyed.withColumn("__place", F.row_number().over(inside))
     joined = ranked.join(
         starts, source.eqNullSafe(F.col("__s")) & (F.col("__step") == F.col("__st")) & (F.col("__part") == F.col("__p"))
@@ -106,9 +110,15 @@ def with_copies(docs: DataFrame, size_col: str, id_col: str = "doc_id", source_c
 
 
 def mix(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source", seed: int = 7) -> DataFrame:
-    """The mixed corpus: each row of docs as often as it is drawn, with docs' columns."""
+    """The mixed corpus: each row of docs as often as it is drawn, with docs' columns.
+
+    A null text has no words; null sources, null ids and repeated rows are as in
+    with_copies.  Rows of one id and size go by a hash of all their columns but
+    maps, so reruns agree.
+    """
     sized = docs.withColumn("__size", word_count(F.col(text_col)))
-    drawn = with_copies(sized, "__size", id_col, source_col, seed).where("__copies > 0")
+    tie = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    drawn = with_copies(sized, "__size", id_col, source_col, seed, tie=tie).where("__copies > 0")
     times = F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy")
     return drawn.select(*docs.columns, times).select(*docs.columns)
 

@@ -25,4 +25,5 @@ def oracle_sql() -> dict:
         "op2_mix_sources": mixing.OP2_SQL,
         "op7_format_chats": chat.OP7_SQL,
         "op8_filter_urls": urls.OP8_SQL,
+        "op9_substring_dedup": substrings.OP9_SQL,
     }

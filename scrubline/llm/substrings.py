@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scrubline.llm.base import laid_out, slices, stored, table
+from scrubline.llm.base import SPACES, dropped, laid_out, slices, stored, table
 from scrubline.llm.windows import Words, anchors, least
 
 WINDOW, SHORTEST = 35, 9
@@ -106,6 +106,7 @@ def candidates(laid: DataFrame, text: str, window: int = WINDOW, shortest: int =
         again = stored(_repeated(rows), f"again{length}")
         known = rows.join(again, rows.h == again.r, "left_semi").groupBy(*_KEY).agg(F.collect_set("h").alias("__known"))
         x, below = laid.join(stored(known, f"known{length}"), _KEY), length
+        dropped(rows)
         reached.append((length, again))
         if again.isEmpty():
             break
@@ -176,3 +177,15 @@ def op9_substring_dedup(spark, sf_dir):
     return cut.select(
         "doc_id", F.col("__words").alias("n_words"), F.col("__removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+OP9_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^{SPACES}]+') AS w FROM documents),
+p AS (SELECT r, i, md5(array_to_string(w[i:i + {WINDOW - 1}], ' ')) AS h FROM d, unnest(range(1, len(w) - {WINDOW - 2})) t(i)),
+s AS (SELECT r, i FROM p WHERE h IN (SELECT h FROM p GROUP BY h HAVING count(*) > 1)),
+g AS (SELECT DISTINCT r, unnest(range(i, i + {WINDOW})) AS j FROM s),
+k AS (SELECT d.r, string_agg(w[j], ' ' ORDER BY j) AS kept, count(*) AS n
+      FROM d, unnest(range(1, len(w) + 1)) t(j) WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.r = d.r AND g.j = t.j) GROUP BY d.r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""

@@ -19,8 +19,8 @@ from scrubline.functions.spans import BLOCK, FINDINGS, find_spans, let, none_fou
 # The parts of the date forms.
 _DAY = "(0[1-9]|[12][0-9]|3[01]|[1-9])"
 _NUMBER = "(0[1-9]|1[0-2]|[1-9])"
-_MONTH = ("(January|February|March|April|May|June|July|August|September|October|November|December"
-          "|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept|Sep|Oct|Nov|Dec)")
+_MONTH = ("((?=[jfmasond])(?:J(?:an(?:uary)?|une?|uly?)|Feb(?:ruary)?|Ma(?:r(?:ch)?|y)|A(?:pr(?:il)?|ug(?:ust)?)"
+          "|Sep(?:t(?:ember)?)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?))")
 _SUFFIX = "(?:st|nd|rd|th)?"
 _YEAR = "((?:19|20)[0-9][0-9])"
 _TIME = r"(?:(?:2[0-3]|1[0-9]|0?[0-9]):[0-5][0-9](?::[0-5][0-9])?(?:\s*(?:AM|A|PM|P))?(?:\s*CT)?(?:\s*h)?)"
@@ -79,8 +79,13 @@ def age_and_year(birth: Column, day: Column) -> Column:
 
 #: Numbers and months of a match, in order; all else in it (suffixes, marks, letters of a time) says nothing.
 _PARTS = "(?i)[0-9]+|jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
-#: No form matches in a text without a match of this.
-GUARD = (r"(?i)[0-9][/-][0-9jfmasond]|\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*[\s/-]+(?:of\s+)?[0-9]|(?:19|20)[0-9]{4}")
+#: Forms by what a text must have for them to match: they are tried only where it has.
+_NUMERIC, _NAMED, _COMPACT = (1, 3, 4, 5, 7, 10), (0, 2, 6, 8, 9), (11,)
+GUARDS = {
+    _NUMERIC: "[0-9][/-][0-9]",
+    _NAMED: r"(?i)\b(?=[jfmasond])(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*[\s/-]+(?:of\s+)?[0-9]|[0-9][/-][jfmasond]",
+    _COMPACT: "(?:19|20)[0-9]{4}",
+}
 
 
 def _parts(word: Column, known: list[Form], form: Column) -> Column:
@@ -179,14 +184,17 @@ def dates(text: Column, jitter: Column | None = None, birth: Column | None = Non
         return F.struct(f["word"].alias("word"), f["start"].alias("start"), f["end"].alias("end"), F.lit(item).alias("type"),
                         told(f).alias("replacement"), F.lit(FOUND_BY).alias("found_by"))
 
-    # matches carry their form's number until the conflicts are settled, so that only what stays is read as a date
-    found = [find_spans(text, "(?i)" + f.pattern, str(i), None, FOUND_BY) for i, f in enumerate(known)]
-
     def ranked(fs: Column, rank: int) -> Column:
         return F.transform(fs, lambda f: F.struct(F.lit(rank).alias("rank"), f["start"].alias("start"), f["end"].alias("end"), f["word"].alias("word")))
 
-    candidates = [ranked(x, i) for i, x in enumerate(found)]
-    if earlier is not None:
-        candidates.append(ranked(F.filter(earlier, lambda f: f["replacement"].isNotNull()), -1))
-    of = let(F.concat(*candidates), lambda x: F.when(F.exists(x, lambda c: c["rank"] >= 0), F.transform(_settled(x), read)).otherwise(none_found()))
-    return F.when(text.rlike(GUARD), of).otherwise(none_found()).cast(FINDINGS)
+    # matches carry their form's number until the conflicts are settled, so that only what stays is read as a date
+    def found(passed: Column) -> Column:
+        none = F.array().cast(f"array<{_ORDER}>")
+        each = {i: F.when(passed[g], ranked(find_spans(text, "(?i)" + known[i].pattern, str(i), None, FOUND_BY), i)).otherwise(none)
+                for g, of in enumerate(GUARDS) for i in of}
+        before = [] if earlier is None else [ranked(F.filter(earlier, lambda f: f["replacement"].isNotNull()), -1)]
+        all_ = let(F.concat(*[each[i] for i in sorted(each)], *before), lambda x: F.when(
+            F.exists(x, lambda c: c["rank"] >= 0), F.transform(_settled(x), read)).otherwise(none_found()))
+        return F.when(F.array_contains(passed, True), all_).otherwise(none_found())
+
+    return F.coalesce(let(F.array(*[text.rlike(g) for g in GUARDS.values()]), found), none_found()).cast(FINDINGS)

@@ -14,7 +14,7 @@ def spread(scan: DataFrame) -> DataFrame:
     reading.  A larger input has partitions enough and stays as it is, unshuffled.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(4 * cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

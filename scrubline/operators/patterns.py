@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
-from scrubline.functions.spans import find_spans, joined
+from scrubline.functions.spans import find_spans, joined, none_found
 
 # The patterns, types and detector names of the supported rules.
 PHONE = r"\b(\+\d{1,2}\s)?\(?\d{3}\)?[\s.-]?\d{3}[\s.-]\d{4}(\sext\s\d{1,5})?"
@@ -35,9 +36,25 @@ HAR_REPLACEMENT = "[HAR : 00000000000]"
 AGE_REPLACEMENT = "[90 year old]"
 
 
+#: What a text must have for a pattern to match, cheaper to look for than the pattern itself:
+#: a text without it costs no more.  A plain string is looked for as it is.
+_DASHED = "[0-9]-[0-9]"
+GUARDS = {
+    PHONE: r"[0-9]{3}[\s.-][0-9]{4}", EMAIL: "@", IPV4: r"[0-9]\.[0-9]", IPV6: "(?i)[a-f0-9]:[a-f0-9]", URL: "://", SSN: r"[0-9]{2}[\s.-][0-9]{4}",
+    DIGITS: "[0-9]{6}", ACCOUNT: "[0-9][0-9 -]*[0-9]", ORDER: "[0-9][0-9 -]*[0-9]", ACCESSION: "[0-9][0-9 -]*[0-9]", MRN_LABELLED: "[0-9]", HAR: ":",
+    AGE: "(?:1[0-9]|9)[0-9]",
+} | {p: _DASHED if "-" in p else "[0-9]{8}" for p in MRN if p != MRN_LABELLED}
+
+
+def find(text: Column, pattern: str, type_: str, replacement: str, found_by: str) -> Column:
+    guard = GUARDS[pattern]
+    here = F.contains(text, F.lit(guard)) if guard in ("@", "://", ":") else text.rlike(guard)
+    return F.when(here, find_spans(text, pattern, type_, replacement, found_by)).otherwise(none_found())
+
+
 def _listed(text: Column, rules: Iterable[tuple[str, str]], found_by: str, replacements: dict[str, str], only_mapped: bool) -> Column:
     return joined(*[
-        find_spans(text, pattern, kind, replacements.get(kind, f"[{kind}]"), found_by)
+        find(text, pattern, kind, replacements.get(kind, f"[{kind}]"), found_by)
         for kind, pattern in rules
         if not only_mapped or kind in replacements
     ])
@@ -58,14 +75,14 @@ def numbers(text: Column, replacements: dict[str, str] | None = None, only_mappe
 
 def mrn(text: Column, item: str = "mrn", replacement: str = "[MRN]") -> Column:
     """Medical record numbers, bare or labelled."""
-    return joined(*[find_spans(text, p, item, replacement, "deid-mrn") for p in MRN])
+    return joined(*[find(text, p, item, replacement, "deid-mrn") for p in MRN])
 
 
 def har(text: Column, item: str = "har", replacement: str = HAR_REPLACEMENT) -> Column:
     """Hospital account numbers behind their label."""
-    return find_spans(text, HAR, item, replacement, "deid-harNum")
+    return find(text, HAR, item, replacement, "deid-harNum")
 
 
 def age(text: Column, item: str = "age", replacement: str = AGE_REPLACEMENT) -> Column:
     """Ages of 90 and over."""
-    return find_spans(text, AGE, item, replacement, "deid-age")
+    return find(text, AGE, item, replacement, "deid-age")

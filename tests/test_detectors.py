@@ -215,3 +215,25 @@ def test_marks_in_texts(spark):
     mark = "\ufdd0"
     (fs,) = found(spark, [f"{mark} a@b{mark}x.org {mark}\ufdd1"], lambda t: patterns.general(t, {"general-email": "E"}, True))
     assert [f.word for f in fs] == [f"a@b{mark}x.org"]
+
+
+def test_guards_are_implied():
+    """No pattern or date form matches a text without its guard."""
+    import random
+    import re
+
+    r = random.Random(5)
+    numbers = [*"0123456789" * 2, *" .-:()@/aZ+#", "MRN", "Acct.", "Account", "Order", "Number", " is ", "ACCESSION", "HAR", "har : ", "://", "http://", "https://www.", "x.org",
+               "255.", "10.", "12", "year old", "y/o", "ext 12", "ab:", "ff:", "650", "555-1234", "MR#", "Medical Record "]
+    days = ["January", "feb", "Sept", "may", "12", "3", "2019", "1999", "20", "05", "/", "-", " ", ", ", "of ", "st", "th", "T", "10:00", "PM", "31", "20200131", "x", "\n"]
+    known = {re.compile(p): (g if g not in ("@", "://", ":") else re.escape(g)) for p, g in patterns.GUARDS.items()}
+    forms = {re.compile("(?i)" + f.pattern): next(g for of, g in dates.GUARDS.items() if i in of) for c in (False, True) for i, f in enumerate(dates.forms(c))}
+    hits = 0
+    for parts, guarded in ((numbers, known), (days, forms)):
+        for _ in range(20_000):
+            text = "".join(r.choice(parts) for _ in range(r.randint(2, 14)))
+            for p, g in guarded.items():
+                if p.search(text):
+                    hits += 1
+                    assert re.search(g, text), (p.pattern, text)
+    assert hits > 3000

@@ -156,42 +156,47 @@ def buckets(unique: DataFrame, partitions: list[tuple[list[int], int]]) -> DataF
 
 
 def _links(key: np.ndarray, fps: list[np.ndarray], rep: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Star edges (rep, rep) of the links inside groups; rows are sorted by key.  fps:
-    the fingerprints, of which the differing bits are added up."""
+    """Star edges (least rep, rep) of what is linked inside groups; rows are sorted by key.
+    fps: the fingerprints, of which the differing bits are added up."""
     fps = [np.ascontiguousarray(f).view(np.uint64) for f in fps]  # bitwise_count takes the absolute value of signed numbers
 
-    def apart(x: slice, y: slice | int) -> np.ndarray:
+    def apart(x, y) -> np.ndarray:
         return sum(np.bitwise_count(f[x] ^ f[y]).astype(np.int16) for f in fps)
 
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(key)]]))
-    a, b = [], []
+    least = rep.copy()
     small = np.repeat(sizes <= SMALL, sizes)
-    most = int(sizes[sizes <= SMALL].max(initial=1))
-    for d in range(1, min(most, len(key))):
+    one, other = [], []
+    for d in range(1, min(int(sizes[sizes <= SMALL].max(initial=1)), len(key))):
         i = np.flatnonzero(small[d:] & (key[d:] == key[:-d]))
-        if len(i):
-            i = i[sum(np.bitwise_count(f[i] ^ f[i + d]).astype(np.int16) for f in fps) <= radius]
-            a.append(rep[i])
-            b.append(rep[i + d])
+        i = i[apart(i, i + d) <= radius]
+        one.append(i)
+        other.append(i + d)
+    if one:
+        i, j = np.concatenate(one), np.concatenate(other)
+        while (changed := least[i] != least[j]).any():  # the least rep goes from hand to hand
+            i, j = i[changed], j[changed]
+            lower = np.minimum(least[i], least[j])
+            np.minimum.at(least, i, lower)
+            np.minimum.at(least, j, lower)
+            i, j = np.concatenate(one), np.concatenate(other)
     for s, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
-        group, r = slice(s, s + n), rep[s : s + n]
-        open_ = np.ones(n, bool)
+        group, open_ = slice(s, s + n), np.ones(n, bool)
         for first in range(n):
             if not open_[first]:
                 continue
             open_[first] = False
-            queue = [first]
+            queue, members = [first], [first]
             while queue:  # every row is taken once and compared with those still open
                 near = np.flatnonzero(open_ & (apart(group, s + queue.pop()) <= radius))
-                if len(near):
-                    open_[near] = False
-                    queue += near.tolist()
-                    a.append(np.full(len(near), r[first]))
-                    b.append(r[near])
-    if not a:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(a), np.concatenate(b)
+                open_[near] = False
+                queue += near.tolist()
+                members += near.tolist()
+            members = s + np.array(members)
+            least[members] = rep[members].min()
+    moved = np.flatnonzero(least != rep)
+    return least[moved], rep[moved]
 
 
 def verified(met: DataFrame, radius: int = RADIUS, block: int = BLOCK, fps: tuple[str, ...] = ("fp",)) -> DataFrame:

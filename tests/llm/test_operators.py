@@ -578,6 +578,22 @@ def test_thresholds_cover_the_radius():
     assert sum(t + 1 for _, t in simhash.plan(sample[:1], 1)) == 4
 
 
+# --- columns that clash with what the operators add
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "one two three", "x")], "doc_id long, text string, MEDIA string").withColumns({c: F.lit("x") for c in (
+        "payload", "__words", "__removed", "fp", "component_id", "rep", "key", "t", "h", "pos", "ids", "piece", "n_words", "__has_letter")})
+    read = media.read_column(media.encode_column(df)).first()
+    assert bytes(read.payload).rstrip(b"\0") == b"one two three" and read.fp == "x" and media.read_column(media.encode_column(df.limit(0))).count() == 0
+    cut = substrings.remove_repeats(df).first()
+    assert (cut["__words"], cut["__removed"], cut.pos, cut.text) == (3, 0, "x", "one two three")
+    assert [tuple(r)[0::2] for r in simhash.near_duplicates(df).collect()] == [(1, 1)]
+    found, linked = simhash.similar_texts(df.union(df))
+    assert found.count() == 2 and linked.count() == 0
+    assert packing.pieces(df).first().length == 4 and licenses.scan(df).first().n_words == 3
+    assert langid.predict(df, langid.fit(df.withColumn("lang", F.lit("en")))).first().lang_pred == "en"
+
+
 # --- components
 
 def test_components(spark):

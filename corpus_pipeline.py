@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrubline.llm import langid, mixing, packing, simhash, substrings
-from scrubline.llm.base import stored, table
+from scrubline.llm.base import dropped, stored, table
 
 #: A text that the best language codes in more than its plain bytes by this many
 #: bits is no language's; a few rare letters at a short text's start are no evidence.
@@ -60,12 +60,17 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: not at all, once or twice."""
+    """Documents as often as the mix takes them: not at all, once or twice.  A null
+    source is a source of its own, a null text has no words, and repeated rows count
+    for themselves; rows that differ in anything are told apart by a hash, so reruns
+    agree.  An empty table stays empty."""
     return mixing.mix(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document and their places in the sequences."""
+    """The pieces of every document and their places in the sequences.  An empty or
+    null text is one piece, its separator; documents that the mix has taken twice
+    are packed twice; null ids stay null.  An empty table stays empty."""
     return packing.place(packing.pieces(docs))
 
 
@@ -82,9 +87,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs, f"stage{k}")
+            if before is not None:
+                dropped(before)
+            before = docs
     return docs

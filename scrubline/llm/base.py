@@ -32,11 +32,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def deleted(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, in whatever store it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def dropped(df: DataFrame) -> None:
     """Deletes what stored() wrote, where nothing reads it any more."""
-    jvm = df.sparkSession._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df.stored_at)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    deleted(df.sparkSession, df.stored_at)
 
 
 def laid_out(df: DataFrame, name: str, keys: list[str]) -> DataFrame:

@@ -90,11 +90,18 @@ class WordTokenizer:
             found = self.tokenizer.encode_batch([w[1:] for w in hard], add_special_tokens=False)
             self.new.update((w, b"".join([packed[i] for i in e.ids])) for w, e in zip(hard, found, strict=True))
 
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each UTF-8 text, as little-endian unsigned 32-bit numbers."""
+    def words(self, texts: list[bytes]) -> list[list[str]]:
+        """The parts of each UTF-8 text, one after the other; ids_of() knows those of the last call."""
         split = [self._parts(t) for t in texts]
         self._learn(set().union(*split))
-        at = self.new.__getitem__
+        return split
+
+    def ids_of(self, word: str) -> bytes:
+        return self.new[word]
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each UTF-8 text, as little-endian unsigned 32-bit numbers."""
+        split, at = self.words(texts), self.new.__getitem__
         return [b"".join(map(at, s)) for s in split]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scrubline.llm import chat, embeddings, langid, licenses, media, mixing, packing, simhash, substrings, urls
+from scrubline.llm import chat, embeddings, grammar, langid, licenses, media, mixing, packing, simhash, substrings, urls
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_filter_urls": urls.op8_filter_urls,
         "op9_substring_dedup": substrings.op9_substring_dedup,
         "op10_simhash_duplicates": simhash.op10_simhash_duplicates,
+        "op11_token_files": grammar.op11_token_files,
     }
 
 

@@ -57,7 +57,12 @@ def replace_pairs(symbols: np.ndarray, last: np.ndarray, first: int, least: int
     left, right = [], []
     at = np.flatnonzero(~last[:-1]) if n else np.zeros(0, np.int64)
     while len(at):
-        code, pairs = pd.factorize(s[at] << 32 | s[after[at]])
+        key = s[at] << 32 | s[after[at]]
+        # most rare pairs are told by the size of a bucket of hashes that they share
+        bucket = (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)).view(np.int64)
+        full = (np.bincount(bucket, None if weights is None else weights[at]) >= least)[bucket]
+        at = at[full]
+        code, pairs = pd.factorize(key[full])
         count = np.bincount(code, None if weights is None else weights[at], len(pairs)).astype(np.int64)
         often = (count >= least)[code]
         at, code = at[often], code[often]
@@ -128,12 +133,12 @@ def expansion_lengths(left: np.ndarray, right: np.ndarray, first: int) -> np.nda
     return out
 
 
-def encode_shard(part: int, shard: int, doc_ids: list, codes: list[np.ndarray], words: list[np.ndarray], vocabulary: int, least: int = LEAST) -> bytes:
+def encode_shard(part: int, shard: int, doc_ids: list, codes: list[np.ndarray], words: list[bytes], vocabulary: int, least: int = LEAST) -> bytes:
     """A shard's bytes.  codes: each document's words by their number in ``words`` (ids of
     each, none empty; number 0 is the end of a document)."""
     flat = np.concatenate(codes)
-    sizes = np.array([len(w) for w in words])
-    types = np.concatenate(words).astype(np.int64)
+    sizes = np.array([len(w) // 4 for w in words])
+    types = np.frombuffer(b"".join(words), "<u4").astype(np.int64)
     word_ends = np.cumsum(sizes)
     last = np.zeros(len(types), bool)
     last[word_ends - 1] = True
@@ -212,24 +217,35 @@ def shards_of(content) -> Iterator[Shard]:
         at += n + 1
 
 
+class _Numbers(dict):
+    """Words as numbers, in the order in which they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class _Open:
     """A shard under construction."""
 
     def __init__(self) -> None:
-        self.number: dict[str, int] = {}
-        self.words = [np.array([END], "<u4")]
+        self.number = _Numbers({"": 0})  # no word is empty: the end of a document
         self.doc_ids: list = []
         self.codes: list[np.ndarray] = []
         self.bytes = 0
 
-    def add(self, doc: int | None, words: list[str], ids_of: Callable[[str], bytes]) -> None:
-        for w in set(words) - self.number.keys():
-            ids = np.frombuffer(ids_of(w), "<u4")
-            self.number[w] = len(self.words) if len(ids) else -1  # a word may have no ids
-            self.words += [ids] * bool(len(ids))
-        codes = np.array([*map(self.number.__getitem__, words), 0], np.int64)
-        self.codes.append(codes[codes >= 0])
+    def add(self, doc: int | None, words: list[str], size: int) -> None:
+        self.codes.append(np.array([*map(self.number.__getitem__, words), 0], np.int64))
         self.doc_ids.append(doc)
+        self.bytes += size
+
+    def content(self, part: int, shard: int, vocabulary: int, ids_of: Callable[[list[str]], list[bytes]], least: int) -> bytes:
+        words = [END.to_bytes(4, "little"), *ids_of(list(self.number)[1:])]
+        codes = self.codes
+        if not all(words):  # a word may have no ids
+            there = np.array([len(w) > 0 for w in words])
+            codes, words = [(np.cumsum(there) - 1)[c[there[c]]] for c in codes], [w for w in words if w]
+        return encode_shard(part, shard, self.doc_ids, codes, words, vocabulary, least)
 
 
 def _shard_rows(df: DataFrame, path: str, most: int, least: int) -> DataFrame:
@@ -244,15 +260,14 @@ def _shard_rows(df: DataFrame, path: str, most: int, least: int) -> DataFrame:
         new = _Open()
 
         def closed() -> pa.RecordBatch:
-            content = encode_shard(part, shard, new.doc_ids, new.codes, new.words, vocabulary, least)
+            content = new.content(part, shard, vocabulary, t.ids_of, least)
             return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
         for batch in batches:
             for b in slices(batch, "text", 1 << 19):
                 texts = [x or b"" for x in b.column("text").cast(pa.binary()).to_pylist()]
                 for doc, text, words in zip(b.column("doc_id").to_pylist(), texts, t.words(texts), strict=True):
-                    new.add(doc, words, t.ids_of)
-                    new.bytes += len(text)
+                    new.add(doc, words, len(text))
                     if new.bytes >= most:
                         yield closed()
                         new, shard = _Open(), shard + 1

@@ -62,23 +62,22 @@ class WordTokenizer:
 
     def _parts(self, raw: bytes) -> list[str]:
         """Letter runs and marks in lower case, and hard words behind a blank, in order."""
-        text = raw.decode()
-        if _HARD.search(text) is None:
-            return text.lower().replace(".", " . ").replace(",", " , ").split()
-        out = []
-        for word in raw.split():
-            word = word.decode()
-            if _HARD.search(word) is None:
-                out += word.lower().replace(".", " . ").replace(",", " , ").split()
-            else:
-                out.append(" " + word)
-        return out
+        text = b" ".join(raw.split()).decode()  # words one blank apart
+        out, at = [], 0
+        for m in _HARD.finditer(text):
+            if m.start() >= at:  # else in the word before
+                begin, end = text.rfind(" ", at, m.start()) + 1 or at, text.find(" ", m.end() - 1)
+                end = len(text) if end < 0 else end
+                out += text[at:begin].lower().replace(".", " . ").replace(",", " , ").split()
+                out.append(" " + text[begin:end])
+                at = end
+        return out + text[at:].lower().replace(".", " . ").replace(",", " , ").split()
 
     def _learn(self, wanted: set[str]) -> None:
         if len(self.new) > self.most:
             self.new, self.old = {}, self.new
         hard, packed, model = [], self.packed, self.tokenizer.model
-        for w in wanted - self.new.keys():
+        for w in wanted.difference(self.new):
             if w in self.old:
                 self.new[w] = self.old[w]
             elif w[0] == " ":
@@ -91,17 +90,23 @@ class WordTokenizer:
             self.new.update((w, b"".join([packed[i] for i in e.ids])) for w, e in zip(hard, found, strict=True))
 
     def words(self, texts: list[bytes]) -> list[list[str]]:
-        """The parts of each UTF-8 text, one after the other; ids_of() knows those of the last call."""
-        split = [self._parts(t) for t in texts]
-        self._learn(set().union(*split))
-        return split
-
-    def ids_of(self, word: str) -> bytes:
-        return self.new[word]
+        """The parts of each UTF-8 text; a text's ids are those of its parts in a row."""
+        return [self._parts(t) for t in texts]
+
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of different parts (a part may have none)."""
+        found = list(map(self.new.get, words))
+        if missing := [i for i, x in enumerate(found) if x is None]:
+            self._learn({words[i] for i in missing})
+            for i in missing:
+                found[i] = self.new[words[i]]
+        return found
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as little-endian unsigned 32-bit numbers."""
-        split, at = self.words(texts), self.new.__getitem__
+        split = self.words(texts)
+        self._learn(set().union(*split))
+        at = self.new.__getitem__
         return [b"".join(map(at, s)) for s in split]
 
 

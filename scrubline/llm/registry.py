@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scrubline.llm import chat, embeddings, grammar, langid, licenses, media, mixing, packing, simhash, substrings, urls
+from scrubline.llm import chat, embeddings, grammar, langid, licenses, media, merkle, mixing, negatives, packing, simhash, substrings, urls
 
 
 def queries() -> dict:
@@ -18,6 +18,8 @@ def queries() -> dict:
         "op9_substring_dedup": substrings.op9_substring_dedup,
         "op10_simhash_duplicates": simhash.op10_simhash_duplicates,
         "op11_token_files": grammar.op11_token_files,
+        "op12_dataset_manifest": merkle.op12_dataset_manifest,
+        "op13_hard_negatives": negatives.op13_hard_negatives,
     }
 
 
@@ -27,4 +29,6 @@ def oracle_sql() -> dict:
         "op7_format_chats": chat.OP7_SQL,
         "op8_filter_urls": urls.OP8_SQL,
         "op9_substring_dedup": substrings.OP9_SQL,
+        "op12_dataset_manifest": merkle.OP12_SQL,
+        "op13_hard_negatives": negatives.OP13_SQL,
     }

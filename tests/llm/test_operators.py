@@ -280,20 +280,60 @@ def test_vectors_of_other_types_and_lengths(spark):
         assert {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()} == want
 
 
-def test_recall_of_hard_samples():
-    """Unclustered vectors with links right at the threshold: visits go as far as the goal needs."""
+def test_traversal_is_that_of_all_sums():
+    r = np.random.default_rng(8)
+    a, b = r.random((20, 7)), r.random((20, 5))
+    for n in (1, 2, 6, 34, 35, 90):
+        cells, bound = embeddings.traverse(a, b, n)
+        for i in range(20):
+            sums = (a[i][:, None] + b[i]).ravel()
+            assert cells[i].tolist() == np.argsort(sums, kind="stable")[:n].tolist()
+            assert (sums < bound[i]).sum() == min(n, 35)
+
+
+@pytest.mark.parametrize("clustered", [False, True])
+@pytest.mark.parametrize("n", [1_000_000, 36_000_000])
+def test_recall_of_vectors_the_index_has_not_seen(n, clustered):
+    """An index of a sample for a table of n, asked about fresh vectors and links between the threshold and 1."""
     r = np.random.default_rng(3)
-    base = r.normal(size=(3000, 24))
+    centres = r.normal(size=(500, 64))
+    fresh = lambda m: (lambda x: x / np.linalg.norm(x, axis=1, keepdims=True))(r.normal(size=(m, 64)) + (2 * centres[r.integers(500, size=m)] if clustered else 0))
+    grid = embeddings.fit(fresh(20_000), n)
+    found = {}
+    for high in (1.0, 0.92):
+        base = fresh(3000)
+        other = embeddings.turned(base, 0.9, high, r)
+        found[high] = (np.minimum(embeddings._ranks(grid, base, other), embeddings._ranks(grid, other, base)) < grid.visits).mean()
+    print("n", n, "clustered", clustered, "codes", len(grid.left), "visits", grid.visits, "recall", found)
+    assert found[1.0] >= 0.95 and found[0.92] >= 0.9
+
+
+def test_links_of_more_vectors_than_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "SAMPLE", 2_000)
+    monkeypatch.setattr(embeddings, "BLOCK", 300)  # groups are split, too
+    r = np.random.default_rng(6)
+    base = r.normal(size=(6000, 32))
     base /= np.linalg.norm(base, axis=1, keepdims=True)
-    turn = r.normal(size=base.shape)
-    turn -= (turn * base).sum(1, keepdims=True) * base
-    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
-    all_ = np.concatenate([base, 0.905 * base + np.sqrt(1 - 0.905**2) * turn])
-    grid = embeddings.fit(all_, 200_000)
-    ways = grid.cells(all_)
-    found = sum(ways[i + 3000][0] in ways[i] or ways[i][0] in ways[i + 3000] for i in range(3000))
-    print("visits", grid.visits, "recall", found / 3000)
-    assert found >= 0.95 * 3000
+    other = embeddings.turned(base[:3000], 0.9, 1, r)
+    family = embeddings.turned(np.repeat(base[:1], 400, 0), 0.97, 1, r)  # a large one
+    m = np.concatenate([base, other, family]).astype(np.float32).astype(float)
+    df = spark.createDataFrame(list(enumerate(m.tolist())), "vec_id long, embedding array<float>")
+    got = {x.vec_id: x for x in embeddings.near_duplicates(df).collect()}
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    n = sum(x.n_links for x in got.values())
+    print("links", n, "of", near.sum())
+    assert 0.97 * near.sum() <= n <= near.sum()
+    assert all(got[i].n_links <= near[i].sum() for i in got)
+
+
+def test_rows_of_one_id_are_vectors_of_their_own(spark):
+    given = [(1, [1.0, 0.01, 0.0, 0.0]), (1, [1.0, 0.0, 0.0, 0.01]), (2, [0.0, 0.0, 1.0, 0.0]), (2, [0.0, 1.0, 0.0, 0.0]), (3, [0.0, 1.0, 0.01, 0.0]), (3, [0.0, 1.0, 0.01, 0.0]),
+             (4, [0.0, 0.0, 0.0, -1.0]), (0, [0.0, 0.0, 1.0, 0.001]), (None, [0.0, 0.0, 0.0, -1.0])]
+    df = spark.createDataFrame(given, "vec_id long, embedding array<double>")
+    got = collections.Counter(map(tuple, embeddings.near_duplicates(df).collect()))
+    assert got == collections.Counter({(1, 1, 1, True): 2, (2, 1, 0, False): 1, (2, 2, 2, True): 1, (3, 2, 2, False): 2, (4, 0, 4, True): 1, (0, 1, 0, True): 1, (None, 0, None, True): 1})
 
 
 # --- 5

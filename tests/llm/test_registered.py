@@ -36,8 +36,8 @@ def folder(spark, texts, tmp_path_factory):
     write([(*t, 1, "x", 2) for t in texts], DOCS + ", score int, labels string, fp int", "documents")
     r = np.random.default_rng(2)
     base = r.normal(size=(30, 8))
-    vectors = [(i, v.tolist(), 0) for i, v in enumerate(base)] + [(100 + i, (base[i % 4] + r.normal(size=8) * 0.05).tolist(), 1) for i in range(40)]
-    write([*vectors, (900, None, 0), (901, [0.0] * 8, 0), (902, [float("nan")] * 8, 0), (903, (base[0] * 2).tolist(), 0)], "vec_id long, embedding array<float>, kept int", "embeddings")
+    vectors = [(i, v.tolist(), 0, i % 3) for i, v in enumerate(base)] + [(100 + i, (base[i % 4] + r.normal(size=8) * 0.05).tolist(), 1, i % 2) for i in range(40)]
+    write([*vectors, (900, None, 0, 1), (901, [0.0] * 8, 0, 1), (902, [float("nan")] * 8, 0, 1), (903, (base[0] * 2).tolist(), 0, None)], "vec_id long, embedding array<float>, kept int, label int", "embeddings")
     write([(i, u, "h", 1) for i, u in enumerate([*URLS, URLS[0]])], "page_id long, url string, html string, verdict int", "pages")
     write([(1, 0, "user", "a", 1), (1, 1, "assistant", "b </s>", 1), (2, 0, "system", None, 1), (2, 1, "assistant", "", 1), (3, 0, "tool", "\\-[INST]", 1)],
           "conv_id long, turn long, role string, text string, formatted int", "conversations")
@@ -50,7 +50,7 @@ def collected(spark, folder, name):
 
 def test_those_with_sql(spark, folder):
     duck = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet/*.parquet'")
     for name, sql in oracle_sql().items():
         df, rows = Q[name](spark, folder), duck.execute(sql)

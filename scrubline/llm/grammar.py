@@ -4,9 +4,7 @@ Documents are dealt by ranges of their ids, so that the files' order is that of
 the documents.  A task cuts its documents into shards of about ``SHARD`` bytes
 and gives each a grammar of its own: pairs of neighbouring symbols that occur
 often enough are replaced by new symbols, again and again, until no pair does.
-First the different words of the shard are treated, each counted as often as it
-occurs, then the pairs across words.  Rules never reach over the end of a
-document.  A shard stores its rules, the length of each rule's expansion, the
+Rules never reach over the end of a document.  A shard stores its rules, the length of each rule's expansion, the
 symbols that are left and where each document's begin, so that any stretch of
 any document is decoded by itself.
 
@@ -19,7 +17,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,7 +30,7 @@ from scrubline.llm.packing import tokenizer, vocabulary_path
 from scrubline.sources.scratch import new_path
 
 #: Bytes of text in a shard (the document that reaches this closes it), and how often a pair has to occur.
-SHARD, LEAST = 1 << 20, 8
+SHARD, LEAST = 1 << 20, 16
 #: The id behind every document.
 END = 1
 MAGIC = b"RPG1"
@@ -40,30 +38,29 @@ _HEAD = struct.Struct("<4sQ")  # magic, bytes that follow
 _SIZES = struct.Struct("<iiIIIIBQ")  # part, shard, documents, rules, symbols, first rule's symbol, bytes of a symbol, tokens
 
 
-def replace_pairs(symbols: np.ndarray, last: np.ndarray, first: int, least: int = LEAST, weights: np.ndarray | None = None):
-    """Re-Pair over a row of symbols (int64): what is left of it, the places that are left, and the rules (left, right).
+def replace_pairs(symbols: np.ndarray, last: np.ndarray, first: int, least: int = LEAST):
+    """Re-Pair over a row of symbols: what is left of it (int64), the places that are left, and the rules (left, right).
 
     No pair goes beyond a symbol that is ``last`` (it may be its right half).
     Rule k is the symbol first + k.  Each round counts the pairs, and where pairs
     overlap the more frequent one is replaced.  A pair's count only falls once no
     new symbol comes into it, so a round looks at those pairs alone that were
-    frequent before or hold a symbol of the last round.  weights: how often each
-    place counts.
+    frequent before or hold a symbol of the last round.
     """
     n = len(symbols)
-    s, last, alive = symbols.copy(), last.copy(), np.ones(n, bool)
-    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    s, last, alive = symbols.astype(np.int64), last.copy(), np.ones(n, bool)
+    after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
     rank = np.zeros(n + 1, np.int64)  # of the pair at each place, while a round lasts; before the first and behind the last place 0
     left, right = [], []
-    at = np.flatnonzero(~last[:-1]) if n else np.zeros(0, np.int64)
+    at = np.flatnonzero(~last[:-1]).astype(np.int32) if n else np.zeros(0, np.int32)
     while len(at):
         key = s[at] << 32 | s[after[at]]
-        # most rare pairs are told by the size of a bucket of hashes that they share
-        bucket = (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)).view(np.int64)
-        full = (np.bincount(bucket, None if weights is None else weights[at]) >= least)[bucket]
-        at = at[full]
-        code, pairs = pd.factorize(key[full])
-        count = np.bincount(code, None if weights is None else weights[at], len(pairs)).astype(np.int64)
+        if len(at) > 1 << 12:  # most rare pairs are told by the size of a bucket of hashes that they share
+            bucket = (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(47)).view(np.int64)
+            full = (np.bincount(bucket) >= least)[bucket]
+            at, key = at[full], key[full]
+        code, pairs = pd.factorize(key)
+        count = np.bincount(code, minlength=len(pairs))
         often = (count >= least)[code]
         at, code = at[often], code[often]
         if not len(at):
@@ -71,27 +68,32 @@ def replace_pairs(symbols: np.ndarray, last: np.ndarray, first: int, least: int
         own = count[code] * len(pairs) + code
         rank[at] = own
         behind, ahead = rank[before[at]], rank[after[at]]
-        # where a pair overlaps itself (aaaa), every second place of the row is taken
-        follows = behind == own
-        i = np.arange(len(at))
-        row = np.maximum.accumulate(np.where(follows, 0, i))
-        taken = (behind <= own) & (ahead <= own) & ((i - row) % 2 == 0)
+        taken = (behind <= own) & (ahead <= own)
+        if (follows := behind == own).any():  # where a pair overlaps itself (aaaa), every second place of the row is taken
+            i = np.arange(len(at))
+            taken &= (i - np.maximum.accumulate(np.where(follows, 0, i))) % 2 == 0
         rank[at] = 0
         used = np.bincount(code[taken], minlength=len(pairs)) > 0
-        number = np.cumsum(used) - 1
-        a, new = at[taken], first + number[code[taken]]
+        a, new = at[taken], (first - 1 + np.cumsum(used))[code[taken]]
         b = after[a]
         left.append(pairs[used] >> 32)
         right.append(pairs[used] & 0xFFFFFFFF)
         first += int(used.sum())
         s[a], last[a], alive[b] = new, last[b], False
-        after[a] = after[b]
-        inside = after[a] < n
-        before[after[a][inside]] = a[inside]
-        open_ = np.zeros(n, bool)
-        open_[at] = open_[a] = True
-        open_[before[a][before[a] >= 0]] = True
-        at = np.flatnonzero(open_ & alive & ~last & (after < n))
+        far = after[b]
+        after[a] = far
+        inside = far < n
+        before[far[inside]] = a[inside]
+        beside = before[a]
+        if 8 * (len(at) + 2 * len(a)) < n:
+            at = np.concatenate([at, a, beside[beside >= 0]])
+            at.sort()
+            at = at[np.flatnonzero(np.diff(at, prepend=-1))]
+        else:
+            open_ = np.zeros(n, bool)
+            open_[at] = open_[a] = open_[beside[beside >= 0]] = True
+            at = np.flatnonzero(open_).astype(np.int32)
+        at = at[alive[at] & ~last[at]]
     none = [np.zeros(0, np.int64)]
     return s[alive], np.flatnonzero(alive), np.concatenate(left or none), np.concatenate(right or none)
 
@@ -133,33 +135,15 @@ def expansion_lengths(left: np.ndarray, right: np.ndarray, first: int) -> np.nda
     return out
 
 
-def encode_shard(part: int, shard: int, doc_ids: list, codes: list[np.ndarray], words: list[bytes], vocabulary: int, least: int = LEAST) -> bytes:
-    """A shard's bytes.  codes: each document's words by their number in ``words`` (ids of
-    each, none empty; number 0 is the end of a document)."""
-    flat = np.concatenate(codes)
-    sizes = np.array([len(w) // 4 for w in words])
-    types = np.frombuffer(b"".join(words), "<u4").astype(np.int64)
-    word_ends = np.cumsum(sizes)
-    last = np.zeros(len(types), bool)
-    last[word_ends - 1] = True
-    uses = np.bincount(flat, minlength=len(words))
-    short, places, left, right = replace_pairs(types, last, vocabulary, least, np.repeat(uses, sizes))
-    owner = np.searchsorted(word_ends, places, "right")
-    size = np.bincount(owner, minlength=len(words))
-    start = np.cumsum(size) - size
-    # the documents as rows of the words' symbols
-    n = size[flat]
-    ends = np.cumsum(n)
-    s = short[np.arange(ends[-1]) + np.repeat(start[flat] - (ends - n), n)]
-    doc_words = np.cumsum([len(c) for c in codes])
-    last = np.zeros(len(s), bool)
-    last[ends[doc_words - 1] - 1] = True
-    s, places, more_left, more_right = replace_pairs(s, last, vocabulary + len(left), least)
-    left, right = np.concatenate([left, more_left]), np.concatenate([right, more_right])
-    # a document's last place is an end, which stays the right half of what it is in
-    first_place = np.concatenate([[0], ends[doc_words - 1]])
-    first_symbol = np.searchsorted(places, first_place)
-    id_starts = np.concatenate([[0], np.cumsum(sizes[flat])[doc_words - 1]])
+def encode_shard(part: int, shard: int, doc_ids: list, ids: list[bytes], vocabulary: int, least: int = LEAST) -> bytes:
+    """A shard's bytes from each document's ids (little-endian unsigned 32-bit, END behind them)."""
+    id_starts = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
+    row = np.frombuffer(b"".join(ids), "<u4")
+    last = np.zeros(len(row), bool)
+    last[id_starts[1:] - 1] = True
+    s, places, left, right = replace_pairs(row, last, vocabulary, least)
+    # a document's first place begins a symbol, since no rule reaches over an end
+    first_symbol = np.searchsorted(places, id_starts)
     width = 2 if vocabulary + len(left) <= 1 << 16 else 4
     symbol = f"<u{width}"
     body = b"".join([
@@ -217,61 +201,31 @@ def shards_of(content) -> Iterator[Shard]:
         at += n + 1
 
 
-class _Numbers(dict):
-    """Words as numbers, in the order in which they come."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self)
-        return n
-
-
-class _Open:
-    """A shard under construction."""
-
-    def __init__(self) -> None:
-        self.number = _Numbers({"": 0})  # no word is empty: the end of a document
-        self.doc_ids: list = []
-        self.codes: list[np.ndarray] = []
-        self.bytes = 0
-
-    def add(self, doc: int | None, words: list[str], size: int) -> None:
-        self.codes.append(np.array([*map(self.number.__getitem__, words), 0], np.int64))
-        self.doc_ids.append(doc)
-        self.bytes += size
-
-    def content(self, part: int, shard: int, vocabulary: int, ids_of: Callable[[list[str]], list[bytes]], least: int) -> bytes:
-        words = [END.to_bytes(4, "little"), *ids_of(list(self.number)[1:])]
-        codes = self.codes
-        if not all(words):  # a word may have no ids
-            there = np.array([len(w) > 0 for w in words])
-            codes, words = [(np.cumsum(there) - 1)[c[there[c]]] for c in codes], [w for w in words if w]
-        return encode_shard(part, shard, self.doc_ids, codes, words, vocabulary, least)
-
-
 def _shard_rows(df: DataFrame, path: str, most: int, least: int) -> DataFrame:
     """``(content binary)``: the shards of each partition of df (doc_id, text), in its order."""
+    end = END.to_bytes(4, "little")
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, shard = TaskContext.get().partitionId(), 0
         t = tokenizer(path)
-        vocabulary = len(t.packed)
-        new = _Open()
+        docs, ids, size = [], [], 0
 
         def closed() -> pa.RecordBatch:
-            content = new.content(part, shard, vocabulary, t.ids_of, least)
-            return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
+            return pa.RecordBatch.from_arrays([pa.array([encode_shard(part, shard, docs, ids, len(t.packed), least)], pa.binary())], ["content"])
 
         for batch in batches:
-            for b in slices(batch, "text", 1 << 19):
+            for b in slices(batch, "text", 1 << 20):
                 texts = [x or b"" for x in b.column("text").cast(pa.binary()).to_pylist()]
-                for doc, text, words in zip(b.column("doc_id").to_pylist(), texts, t.words(texts), strict=True):
-                    new.add(doc, words, len(text))
-                    if new.bytes >= most:
+                for doc, text, found in zip(b.column("doc_id").to_pylist(), texts, t.ids(texts), strict=True):
+                    docs.append(doc)
+                    ids.append(found + end)
+                    size += len(text)
+                    if size >= most:
                         yield closed()
-                        new, shard = _Open(), shard + 1
-        if new.doc_ids:
+                        docs, ids, size, shard = [], [], 0, shard + 1
+        if docs:
             yield closed()
 
     return df.mapInArrow(tasks, "content binary")

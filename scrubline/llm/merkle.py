@@ -249,6 +249,7 @@ def authenticated(df: DataFrame, leaf_col: str, group: str, order: list[str], ke
     mine = [f"__keep{i}" for i in range(len(keep))]
     rows = df.select(F.col(group).alias("g"), F.col(leaf_col).alias("leaf"), *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
                      *[F.col(c).alias(m) for c, m in zip(keep, mine, strict=True)])
+    rows = stored(rows, "digests")  # dealing by ranges reads its input twice
     rows = stored(placed(rows, "g", [*[f"__o{i}" for i in range(len(order))], "leaf"]).select("g", "leaf", "place", "total", *mine), "leaves")
     paths = block_paths(rows, height)
     size = ARITY**height

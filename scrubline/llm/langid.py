@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from scrubline.llm.base import slices, spread, table, with_fields
 
-#: Bounds of a model: fitting takes about MAX_DOCS documents of each language
-#: (fewer where there are fewer), chosen by a hash of id and text.
+#: Bounds of a model: fitting takes about MAX_DOCS different texts of each language
+#: (all where there are fewer), chosen by a hash of the text.
 MAX_DOCS = 500
 ORDER = 3
 PAD = b" " * ORDER
@@ -72,15 +72,19 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return out.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", max_docs: int = MAX_DOCS) -> Model:
-    """Learns from rows whose text and language are not null."""
-    known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_docs: int = MAX_DOCS) -> Model:
+    """Learns from rows whose text and language are not null.
+
+    A text counts once in a language, however often it is repeated there and under
+    whatever ids, so copies neither crowd out other texts nor a language.
+    """
+    known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(text_col, lang_col, F.xxhash64(text_col).alias("__hash"))
+    counts = {r[0]: r[1] for r in known.groupBy(lang_col, "__hash").agg(F.lit(1)).groupBy(lang_col).count().collect()}
     if not counts:
         return Model([], [])
-    place = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 20)) / float(1 << 20)
+    place = F.pmod(F.xxhash64(F.lit(1), text_col), F.lit(1 << 20)) / float(1 << 20)
     rate = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, max_docs / n))])
-    sample = known.where(place < rate[F.col(lang_col)])
+    sample = known.where(place < rate[F.col(lang_col)]).groupBy(lang_col, "__hash").agg(F.first(text_col).alias(text_col))
     grams = count_grams(sample, text_col, lang_col).toArrow()
     languages = sorted(set(grams["lang"].to_pylist()))
     lang = np.array(grams["lang"].to_pylist())
@@ -212,6 +216,6 @@ def held_out(doc_id: Column) -> Column:
 
 def op5_language_id(spark, sf_dir):
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
-    model = fit(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
+    model = fit(docs.where(~held_out(F.col("doc_id"))).select("text", "lang"))
     found = predict(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), model)
     return found.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")

@@ -1,8 +1,9 @@
 """URL filter lists in a sorted digest array.
 
-Spark hashes the rules to 64-bit xxhash keys and sorts them by that; in that
-order they are written to one file with their full strings and verdicts, of which
-the driver holds a partition at a time.  Spark ships the file to every executor,
+The rules are hashed to 64-bit xxhash keys and sorted by that; in that order they
+are written to one file with their full strings and verdicts.  Rules that come as
+a DataFrame are hashed and sorted by Spark, and the driver holds a partition of
+them at a time; a list, which the driver has anyway, takes no Spark job.  Spark ships the file to every executor,
 tasks memory-map it, hash the host suffixes and path prefixes of a batch of URLs,
 find them all with one vectorised binary search, and compare the stored string
 of each hit, so that two strings with one digest are never mistaken.
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,17 +144,36 @@ def longest(index: Index, hosts: list[str], paths: list[str]) -> list[tuple[str,
     return out
 
 
-def ship(rules: DataFrame) -> str:
-    """Writes the index of rules (host, path, verdict) and hands it to every executor;
-    gives its name there.  Of rules with the same host and path the least verdict holds."""
-    spark = rules.sparkSession
+def listed(rules: Iterable[tuple]) -> list[tuple[int, bytes, str]]:
+    """The entries of an index from a list of rules, as ship() takes them."""
+    least: dict[bytes, str] = {}
+    for host, path, verdict in rules:
+        if host is not None and path is not None and verdict is not None:
+            k = key(host, path)
+            least[k] = min(verdict, least.get(k, verdict))
+    return sorted((digest(k), k, v) for k, v in least.items())
+
+
+def ordered(rules: DataFrame) -> Iterator[tuple[int, bytes, str]]:
+    """The same from a DataFrame, a partition at a time."""
     one = rules.where("host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL").groupBy("host", "path").agg(F.min("verdict").alias("verdict"))
     digests = F.xxhash64(F.concat("host", F.lit("\0"), "path"))
     # digests are unsigned: those with the highest bit come last
-    ordered = one.withColumn("digest", digests).orderBy(F.col("digest") < 0, "digest")
+    found = one.withColumn("digest", digests).orderBy(F.col("digest") < 0, "digest")
+    return ((r.digest & (1 << 64) - 1, key(r.host, r.path), r.verdict) for r in found.toLocalIterator())
+
+
+#: Folders of index files that executors may still ask the driver for; they go when Python ends.
+_served: list[tempfile.TemporaryDirectory] = []
+
+
+def ship(spark: SparkSession, entries: Iterable[tuple[int, bytes, str]]) -> str:
+    """Writes the index of entries and hands it to every executor; gives its name there.
+    Of rules with the same host and path the least verdict holds."""
     name = f"urls-{uuid.uuid4().hex}.idx"
-    path = os.path.join(tempfile.mkdtemp(prefix="scrubline-"), name)
-    write_index(path, ((r.digest & (1 << 64) - 1, key(r.host, r.path), r.verdict) for r in ordered.toLocalIterator()))
+    _served.append(tempfile.TemporaryDirectory(prefix="scrubline-"))
+    path = os.path.join(_served[-1].name, name)
+    write_index(path, entries)
     spark.sparkContext.addFile(path)
     return name
 
@@ -187,13 +207,11 @@ def judge(df: DataFrame, url_col: str = "url", rules=RULES, blocked=BLOCKED) ->
     four names (in any case) are replaced, but url_col itself is read first.
     """
     spark = df.sparkSession
-    if not isinstance(rules, DataFrame):
-        rules = spark.createDataFrame(list(rules), "host string, path string, verdict string")
     names = ("host", "path", "rule", "verdict")
     kept = [c for c in df.columns if c.lower() not in names]
     source = split_url(df.select(*kept, F.col(url_col).alias("__url")), "__url").drop("__url")
-    listed = spark.createDataFrame([(h, "", "block") for h in blocked], "host string, path string, verdict string")
-    first, second = ship(rules.toDF("host", "path", "verdict")), ship(listed)
+    first = ship(spark, ordered(rules.toDF("host", "path", "verdict")) if isinstance(rules, DataFrame) else listed(rules))
+    second = ship(spark, listed((h, "", "block") for h in blocked))
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, more = opened(first), opened(second)

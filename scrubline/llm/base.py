@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrubline.sources.readers import spread  # noqa: F401  (for the operators' modules)
-from scrubline.sources.scratch import new_path, shared_dir
+from scrubline.sources.scratch import new_path
 
 #: Word separators of the contracts that split on ASCII white space.
 SPACES = "\\x20\\x09-\\x0D"
@@ -43,20 +43,34 @@ def dropped(df: DataFrame) -> None:
     deleted(df.sparkSession, df.stored_at)
 
 
-def laid_out(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+def laid_out(df: DataFrame, name: str, keys: list[str], bucket_bytes: int = 256 << 20) -> DataFrame:
     """df dealt by keys once, as a bucketed table in the shared folder: any number of
-    joins by keys then move the other side alone.  Spark's number of shuffle
-    partitions is the number of buckets."""
+    joins by keys then move the other side alone.  There are as many buckets as Spark
+    has shuffle partitions, or more, so that none is over bucket_bytes by the
+    optimiser's estimate.  unlaid() takes the table away again."""
     spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = size if size < 1 << 53 else 0  # what Spark says of data whose size it does not know
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, -(-size // bucket_bytes)))
     called = f"{name}_{uuid.uuid4().hex}"
-    df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", f"{shared_dir(spark)}/{called}").saveAsTable(called)
-    return spark.table(called)
+    path = new_path(spark, called)
+    df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(called)
+    out = spark.table(called)
+    out.stored_at, out.called = path, called
+    return out
+
+
+def unlaid(df: DataFrame) -> None:
+    """Takes a table of laid_out() out of the catalog and deletes it."""
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {df.called}")
+    dropped(df)
 
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """Connected components of ``edges(a long, b long)``: ``(id, component)``.
 
+    An error where max_rounds are not enough (a chain of some 2^max_rounds/2 links).
+
     Alternates large-star and small-star steps until the edges are stars: every
     step is a grouped minimum and a join, so a component may hold any share of
     all rows.  Ids without an edge are absent; ``component`` is the smallest id.

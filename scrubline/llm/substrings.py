@@ -14,7 +14,7 @@ Windows are compared by 64-bit hashes of their words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scrubline.llm.base import SPACES, dropped, laid_out, slices, stored, table
+from scrubline.llm.base import SPACES, dropped, laid_out, slices, stored, table, unlaid
 from scrubline.llm.windows import Words, anchors, least
 
 WINDOW, SHORTEST = 35, 9
 #: Bytes of text that are hashed at once: a worker holds some tens of 8-byte numbers for each.
 SLICE = 900_000
-_KEY = ["__d", "__t"]
+#: Each row is known by its number, so repeated rows lie in different buckets.
+_KEY = ["__row"]
 
 
 def _bytes(b: pa.RecordBatch, text: str) -> list[bytes]:
@@ -71,7 +72,7 @@ def _open(words: Words, known: list, below: int | None, window: int) -> np.ndarr
 
 
 def _rows(docs: DataFrame, text: str, length: int, window: int, below: int | None) -> DataFrame:
-    """``(h, n, pos, __d, __t)``: the windows of a length that are to be looked at, each
+    """``(h, n, pos, __row)``: the windows of a length that are to be looked at, each
     once for each text with its number and first place.  below: the length before,
     whose repeated windows of a text are in ``__known``."""
 
@@ -93,27 +94,30 @@ def _rows(docs: DataFrame, text: str, length: int, window: int, below: int | Non
                     ["h", "n", "pos", *_KEY])
 
     columns = [text, *_KEY] + (["__known"] if below is not None else [])
-    return docs.select(*columns).mapInArrow(tasks, "h long, n long, pos int, __d long, __t long")
+    return docs.select(*columns).mapInArrow(tasks, "h long, n long, pos int, __row long")
 
 
-def candidates(laid: DataFrame, text: str, window: int = WINDOW, shortest: int = SHORTEST) -> tuple[DataFrame, list[tuple[int, DataFrame]]]:
+def candidates(laid: DataFrame, text: str, window: int = WINDOW, shortest: int = SHORTEST) -> tuple[DataFrame, list[tuple[int, DataFrame]], list[DataFrame]]:
     """laid with ``__known`` (the texts that have windows to look at in full; all
     without __known if there is one length alone), and for each length before the
-    last that was reached (length, its repeated windows' hashes ``r``)."""
-    x, below, reached = laid, None, []
+    last that was reached (length, its repeated windows' hashes ``r``); and what was stored for that."""
+    x, below, reached, kept = laid, None, [], []
     for length in levels(window, shortest)[:-1]:
         rows = stored(_rows(x, text, length, window, below).drop("pos"), f"windows{length}")
         again = stored(_repeated(rows), f"again{length}")
         known = rows.join(again, rows.h == again.r, "left_semi").groupBy(*_KEY).agg(F.collect_set("h").alias("__known"))
-        x, below = laid.join(stored(known, f"known{length}"), _KEY), length
+        kept.append(stored(known, f"known{length}"))
+        x, below = laid.join(kept[-1], _KEY), length
         dropped(rows)
+        kept.append(again)
         reached.append((length, again))
         if again.isEmpty():
             break
-    return x, reached
+    return x, reached, kept
 
 
-def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = WINDOW, shortest: int = SHORTEST) -> DataFrame:
+def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = WINDOW, shortest: int = SHORTEST,
+                   then: Callable[[DataFrame], DataFrame] = lambda cut: cut) -> DataFrame:
     """df with ``text_col`` cut, plus ``__words`` and ``__removed`` (long).
 
     Words are runs of characters other than ASCII white space, unchanged.  Each
@@ -121,14 +125,20 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     anywhere else in the input, the same text included, is removed; the others
     are joined by one blank.  A null text has no words and becomes empty, as do
     texts without words; shorter texts keep all words; repeated rows repeat
-    each other's windows.  An empty table gives none.  df must have no columns
-    called ``__d``, ``__t``, ``__known`` or ``__places``; columns of df called
-    ``__words`` or ``__removed`` are replaced, all others stay.
+    each other's windows.  An empty table gives none.  Columns of df called
+    ``__words`` or ``__removed`` are replaced, all others stay, whatever their names.
+
+    The result is ``then`` of that, written to the shared folder: the texts, which
+    every level reads, are then deleted.
     """
-    columns = [c for c in df.columns if c.lower() not in ("__words", "__removed")]
-    docs = df.select(*columns).withColumns({"__d": F.coalesce(F.col(id_col).cast("long"), F.lit(0)), "__t": F.xxhash64(text_col)})
+    given = [c for c in df.columns if c.lower() not in ("__words", "__removed")]
+    # own names, so that df's cannot clash with those of this module
+    columns = [f"__c{i}" for i in range(len(given))]
+    named, text_name = dict(zip(columns, given, strict=True)), text_col
+    text_col = columns[given.index(text_col)]
+    docs = df.select(*[F.col(f"`{n}`").alias(c) for c, n in named.items()]).withColumn("__row", F.monotonically_increasing_id())
     laid = laid_out(docs, "texts", _KEY)  # every level and the final cut read the texts where they lie
-    x, reached = candidates(laid, text_col, window, shortest)
+    x, reached, kept = candidates(laid, text_col, window, shortest)
     full = _rows(x, text_col, window, window, reached[-1][0] if reached else None)
     # the key is negated so that both sides are dealt anew: then a skewed one can be split
     again = _repeated(full.select("h", "n")).select(F.bitwise_not("r").alias("r"))
@@ -158,7 +168,12 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
                 )
 
     fields += [T.StructField("__words", T.LongType()), T.StructField("__removed", T.LongType())]
-    return y.mapInArrow(cut, T.StructType(fields))
+    done = y.mapInArrow(cut, T.StructType(fields)).select(*[F.col(c).alias(n) for c, n in named.items()], "__words", "__removed")
+    out = stored(then(done), "cut")
+    unlaid(laid)
+    for x in kept:
+        dropped(x)
+    return out
 
 
 def _covered(text: bytes, n: int, at: np.ndarray, window: int) -> np.ndarray:
@@ -173,10 +188,8 @@ def _covered(text: bytes, n: int, at: np.ndarray, window: int) -> np.ndarray:
 
 
 def op9_substring_dedup(spark, sf_dir):
-    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return cut.select(
-        "doc_id", F.col("__words").alias("n_words"), F.col("__removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256")
-    )
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), then=lambda cut: cut.select(
+        "doc_id", F.col("__words").alias("n_words"), F.col("__removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256")))
 
 
 OP9_SQL = f"""

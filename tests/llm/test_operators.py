@@ -550,10 +550,10 @@ def test_levels_let_go(spark):
     other = lambda x, n: [f"{x}{i}" for i in range(n)]
     texts = {1: base + other("a", 60), 2: other("b", 50) + base, 3: other("c", 50) + base[:12] + other("d", 50), 4: other("e", 90)}
     df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
-    laid = df.withColumns({"__d": F.col("doc_id"), "__t": F.lit(0).cast("long")})
-    x, reached = substrings.candidates(laid, "text")
+    laid = df.withColumn("__row", F.col("doc_id"))
+    x, reached, _ = substrings.candidates(laid, "text")
     assert [n for n, _ in reached] == [9, 18] and {r.doc_id for r in x.collect()} == {1, 2}
-    x, reached = substrings.candidates(laid.where("doc_id > 2"), "text")
+    x, reached, _ = substrings.candidates(laid.where("doc_id > 2"), "text")
     assert [n for n, _ in reached] == [9] and x.count() == 0
     assert substrings.remove_repeats(df.where("doc_id > 2")).where("__removed > 0").count() == 0
 
@@ -652,3 +652,27 @@ def test_components(spark):
 def test_hash_of_equal_texts_is_equal(spark):
     same = spark.createDataFrame([(1, "a b"), (2, "a b")], "doc_id long, text string")
     assert len({hashlib.sha256(bytes(r.media)).hexdigest() for r in media.encode_column(same).collect()}) == 1
+
+
+def test_repeated_texts_crowd_out_no_language(spark):
+    """A text counts once, whatever ids and however many copies it has."""
+    french, english = "le chat est sur la table et il dort ", "the cat is on the table and it sleeps "
+    rows = [(7, french * 3, "fr")] * 2000 + [(11, french * 3, "fr")] * 500 + [(i, english + str(i), "en") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    for most in (20, 500):
+        model = langid.fit(df, max_docs=most)
+        assert model.languages == ["en", "fr"]
+    got = langid.predict(spark.createDataFrame([(1, "il est la"), (2, "it is the")], "doc_id long, text string"), model).collect()
+    assert [r.lang_pred for r in got] == ["fr", "en"]
+
+
+def test_one_row_of_many_copies_is_cut(spark):
+    """A row that is repeated a hundred thousand times lies in all buckets, and nothing stays behind."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = spark.range(100_000).select(F.lit(5).cast("long").alias("doc_id"), F.lit(text).alias("text"), F.lit("x").alias("__known"), F.lit(1).alias("__row"))
+    rows = rows.union(spark.createDataFrame([(6, "only " + text[:60], "y", 2), (None, text, "z", 3), (None, None, None, None)], "doc_id long, text string, __known string, __row int"))
+    before = {t.name for t in spark.catalog.listTables()}
+    cut = substrings.remove_repeats(rows.repartition(8))
+    got = collections.Counter((r.doc_id, r["__words"], r["__removed"], r["__known"]) for r in cut.select("doc_id", "__words", "__removed", "__known").collect())
+    assert got == {(5, 40, 40, "x"): 100_000, (6, len(("only " + text[:60]).split()), 0, "y"): 1, (None, 40, 40, "z"): 1, (None, 0, 0, None): 1}
+    assert {t.name for t in spark.catalog.listTables()} == before and cut.columns[:4] == ["doc_id", "text", "__known", "__row"]

@@ -8,7 +8,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
-from tests.llm.test_operators import DOCS, URLS, _components, _cut, _fingerprint, _license_scan, _targets
+from tests.llm.test_operators import DOCS, URLS, _bits, _components, _cut, _fingerprint, _license_scan, _targets
 
 from scrubline.llm import media, packing
 from scrubline.llm.license_rules import CONFIDENCE, rules
@@ -114,6 +114,17 @@ def test_op5(spark, folder, texts):
     assert len(got) == len(texts) and all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= r.score <= 1 for i, r in got.items())
     assert {i for i, r in got.items() if r.lang_pred == "und"} == {9001, 9002, 9003, 9008}
     assert {r.lang_pred for r in got.values()} <= {d[2] for d in texts} | {"und"}
+    # against the code lengths of plain trees over the same training texts, each once
+    train = collections.defaultdict(set)
+    for i, text, lang, *_ in texts:
+        if text is not None and lang is not None and not got[i].held_out:
+            train[lang].add(text.encode())
+    short = [d for d in texts if d[1] and len(d[1]) < 120 and got[d[0]].lang_pred != "und"]
+    for i, text, *_ in short:
+        bits = {lang: _bits(sorted(x), text.encode()) for lang, x in train.items()}
+        best = min(sorted(bits), key=lambda x: bits[x])
+        assert got[i].lang_pred == best and math.isclose(got[i].score, 1 / sum(2 ** min(0, bits[best] - b) for b in bits.values()), rel_tol=1e-6)
+    assert len(short) >= 3
 
 
 def test_op6(spark, folder, texts):

@@ -59,32 +59,34 @@ def walk(items: Column, state: Column, state_type: str, out_type: str, step: Cal
 
 
 #: From (t: text, m: text with marks, held: whether t holds one itself, k, r, by) the findings.  m is
-#: cut at its marks to gap, match, gap, match, …, gap; the matches are folded to findings in blocks,
-#: as in walk().  As SQL text, since a plan has dozens of these, and SQL is parsed faster than
+#: cut at its marks to gap, match, gap, match, …, gap; one match is a finding at once, more are folded
+#: to findings in blocks, as in walk().  As SQL text, since a plan has dozens of these, and SQL is parsed faster than
 #: columns are put together.
 _CUT = f"""x -> CASE WHEN contains(x.m, '{MARK}') THEN transform(array(split(x.m, '{MARK}', -1)), p ->
-  aggregate(sequence(0, cast(size(p) div 2 as int) - 1, {BLOCK}), struct(0 AS s, cast(array() AS array<{FINDINGS}>) AS out), (acc, b) ->
+  CASE WHEN size(p) = 3 THEN array(struct(
+    CASE WHEN x.held THEN substring(x.t, length(p[0]) + 1, length(p[1])) ELSE p[1] END AS word,
+    length(p[0]) AS start, length(p[0]) + length(p[1]) AS end, x.k AS type, x.r AS replacement, x.by AS found_by)) ELSE aggregate(sequence(0, cast(size(p) div 2 as int) - 1, {BLOCK}), struct(0 AS s, cast(array() AS array<{FINDINGS}>) AS out), (acc, b) ->
     transform(array(aggregate(sequence(b, least(b + {BLOCK - 1}, cast(size(p) div 2 as int) - 1)), struct(acc.s AS s, cast(array() AS {FINDINGS}) AS out), (a, i) ->
       struct(a.s + length(p[2 * i]) + length(p[2 * i + 1]) AS s, concat(a.out, array(struct(
         CASE WHEN x.held THEN substring(x.t, a.s + length(p[2 * i]) + 1, length(p[2 * i + 1])) ELSE p[2 * i + 1] END AS word,
         a.s + length(p[2 * i]) AS start, a.s + length(p[2 * i]) + length(p[2 * i + 1]) AS end, x.k AS type, x.r AS replacement, x.by AS found_by))) AS out))),
       d -> struct(d.s AS s, concat(acc.out, array(d.out)) AS out))[0],
-    acc -> flatten(acc.out)))[0] ELSE cast(array() AS {FINDINGS}) END"""
+    acc -> flatten(acc.out)) END)[0] ELSE cast(array() AS {FINDINGS}) END"""
 
 
 def find_spans(text: Column, pattern: str | Column, type_: str | Column, replacement: str | Column | None, found_by: str,
-               replace_word: Callable[[Column], Column] | None = None) -> Column:
+               replace_word: Callable[[Column], Column] | None = None, behind: bool = False) -> Column:
     """All non-overlapping matches of a pattern, left to right.
 
     replace_word gives the replacement from the matched word where it depends on
-    it.  One pass puts marks around the matches, and the text is cut at the marks
+    it.  behind: what counts is the pattern's second group, right behind its first.  One pass puts marks around the matches, and the text is cut at the marks
     where there are any; a null text has no findings.
     """
     p = F.lit(pattern) if isinstance(pattern, str) else pattern
     kind = F.lit(type_) if isinstance(type_, str) else type_
     fixed = replacement if isinstance(replacement, Column) else F.lit(replacement).cast("string")
     held = F.contains(text, F.lit(MARK))
-    marked = F.regexp_replace(F.when(held, F.translate(text, MARK, NO_MARK)).otherwise(text), p, F.lit(f"{MARK}$0{MARK}"))
+    marked = F.regexp_replace(F.when(held, F.translate(text, MARK, NO_MARK)).otherwise(text), p, F.lit(f"$1{MARK}$2{MARK}" if behind else f"{MARK}$0{MARK}"))
     given = F.struct(text.alias("t"), marked.alias("m"), held.alias("held"), kind.alias("k"), fixed.alias("r"), F.lit(found_by).alias("by"))
     found = F.coalesce(F.call_function("transform", F.array(given), F.expr(_CUT))[0], none_found())
     return F.transform(found, lambda f: f.withField("replacement", replace_word(f["word"]))) if replace_word else found

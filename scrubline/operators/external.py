@@ -22,7 +22,8 @@ from scrubline.plans.config import Job
 # The service's limit and back-off.
 MAX_BYTES = 524_288
 DELAYS = (1, 2, 4)
-#: Characters that two successive pieces of a long text share.
+#: Characters that two successive pieces of a long text share.  A finding belongs to the piece in
+#: whose half of them it begins, so one over half of this long may be cut short at a cut.
 OVERLAP = 4096
 
 
@@ -43,15 +44,10 @@ def pieces(text: str, most: int = MAX_BYTES, overlap: int = OVERLAP) -> list[tup
     return [*out, (at, text[at:])]
 
 
-def joined(found: list[tuple]) -> list[tuple]:
-    """Findings of overlapping pieces, without those inside another of their type."""
-    out: list[tuple] = []
-    ends: dict[str, int] = {}
-    for f in sorted(set(found), key=lambda f: (f[0], -f[1], f[2])):
-        if ends.get(f[2], -1) < f[1]:
-            ends[f[2]] = f[1]
-            out.append(f)
-    return out
+def owned(cut: list[tuple[int, str]]) -> list[tuple[int, int]]:
+    """Where the findings of each piece begin: pieces part at the middle of what they share."""
+    middles = [(b + a + len(text)) // 2 for (a, text), (b, _) in zip(cut, cut[1:], strict=False)]
+    return list(zip([0, *middles], [*middles, cut[-1][0] + len(cut[-1][1]) + 1], strict=True))
 
 
 def retried(call: Callable, *args, delays=DELAYS, sleep=time.sleep):
@@ -80,7 +76,8 @@ def detector(service: Callable[[list[str]], list[list[tuple]]], types: dict[str,
     """A detector (text, jitter=None) from a service that gives (start, end, info type),
     and behind them the date where it has read one, for each text.
 
-    A text over the limit goes out in pieces, each as a text of its own.
+    A text over the limit goes out in pieces, each as a text of its own; what is found
+    in it is the same as in one piece, findings inside others and repeated ones too.
     replacements by info type, else ``[info type]``; a date is shifted where the
     jitter is neither null nor 0.
     """
@@ -90,14 +87,13 @@ def detector(service: Callable[[list[str]], list[list[tuple]]], types: dict[str,
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             values, out = texts.fillna("").tolist(), []
-            parts = [(i, at, piece) for i, text in enumerate(values) for at, piece in pieces(text)]
+            parts = [(i, at, piece, own) for i, text in enumerate(values) for cut in [pieces(text)] for (at, piece), own in zip(cut, owned(cut), strict=True)]
             found_in: list[list[tuple]] = [[] for _ in values]
             for k in range(0, len(parts), batch):
                 part = parts[k : k + batch]
-                for (i, at, _), found in zip(part, retried(service, [p for _, _, p in part]), strict=True):
-                    found_in[i] += [(at + f[0], at + f[1], f[2], f[3] if len(f) > 3 else None) for f in found]
+                for (i, at, _, (low, high)), found in zip(part, retried(service, [p[2] for p in part]), strict=True):
+                    found_in[i] += [(at + f[0], at + f[1], f[2], f[3] if len(f) > 3 else None) for f in found if low <= at + f[0] < high]
             for text, found in zip(values, found_in, strict=True):
-                found = joined(found) if len(text) > MAX_BYTES else found
                 out.append([{"word": text[s:e], "start": s, "end": e, "type": names.get(t, f"dlp_{t}"),
                              "replacement": given.get(t, f"[{t}]"), "found_by": EXTERNAL, "day": day} for s, e, t, day in found])
             yield pd.Series(out, dtype=object)

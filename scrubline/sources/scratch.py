@@ -22,6 +22,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's own folder below the shared one; its store deletes it when the driver ends."""
+    path = f"{shared_dir(spark)}/scrubline-{spark.sparkContext.applicationId}"
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = there.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(there):
+        store.mkdirs(there)
+        store.deleteOnExit(there)
+    return path
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing else has."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path for intermediate files that nothing else has."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"

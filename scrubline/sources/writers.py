@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import os
 import time
-import uuid
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scrubline.functions.spans import let
+from scrubline.sources.files import file_name, numbered, write_each
+
 # Labels of finding types in annotation records.
 LABELS = {
     "general-phone": "PHONE/FAX", "general-email": "EMAIL/URL", "general-url": "EMAIL/URL", "general-ip": "IP", "general-ssn": "SSN",
@@ -40,47 +40,20 @@ def write_jsonl(result: DataFrame, path: str) -> None:
     as_json(result).write.text(f"{path.rstrip('/')}/DeidNote")
 
 
-def safe_name(id_: Column) -> Column:
-    """An id as one file name: what a path could be led astray by becomes ``_``."""
-    name = F.regexp_replace(F.coalesce(id_.cast("string"), F.lit("null")), r"[^\p{L}\p{N}._-]", "_")
-    return F.when(name.rlike(r"^\.*$"), F.concat(F.lit("_"), name)).otherwise(name)
-
-
-def write_files(files: DataFrame, folder: str) -> None:
-    """Rows (name, value) as files of their own in a folder that all executors mount;
-    each is put in place whole, so a task that runs again leaves the same."""
-    folder = folder.removeprefix("file://")
-
-    def write(rows: Iterable) -> None:
-        os.makedirs(folder, exist_ok=True)
-        for r in rows:
-            part = os.path.join(folder, f".{uuid.uuid4().hex}")
-            with open(part, "wb") as f:
-                f.write(r.value.encode())
-            os.replace(part, os.path.join(folder, r.name))
-
-    files.foreachPartition(write)
-
-
-def write_individual(result: DataFrame, path: str, text_field: str = "note", id_field: str = "id") -> None:
-    """``individual/<id>`` for each note: its clean text.  In a store that is not
-    mounted (a path with a scheme) ``individual/id=<id>/part-…``, by Spark's writer."""
-    out = result.select(safe_name(F.col(id_field)).alias("name"), F.coalesce(F.col(f"TEXT_DEID_{text_field}"), F.lit("")).alias("value"))
-    _write_each(out, f"{path.rstrip('/')}/individual")
-
-
-def _write_each(out: DataFrame, folder: str) -> None:
-    if "://" in folder and not folder.startswith("file://"):
-        out.withColumnRenamed("name", "id").write.partitionBy("id").text(folder)
-    else:
-        write_files(out, folder)
+def write_individual(result: DataFrame, path: str, text_field: str = "note", id_field: str = "id", repeats: str = "error") -> None:
+    """``individual/<id>`` for each note: its clean text.  Ids are percent-encoded, so different
+    ones have different files; a repeated id is an error, or its rows are told apart (``number``)."""
+    out = result.select(file_name(F.col(id_field)).alias("name"), F.coalesce(F.col(f"TEXT_DEID_{text_field}"), F.lit("")).alias("value"))
+    write_each(numbered(out, repeats), f"{path.rstrip('/')}/individual")
 
 
 def annotations(result: DataFrame, text_field: str = "note", id_field: str = "id", labels: dict[str, str] | None = None) -> DataFrame:
     """``(id, text, label)``: label is an array of [start, end, name] (start and end as
-    text there), one for each place: the last finding of a place wins."""
+    text there), one for each place, in order: the last finding of a place wins."""
     found = F.coalesce(F.col(f"FINDING_{text_field}"), F.array().cast(result.schema[f"FINDING_{text_field}"].dataType))
-    last = F.filter(found, lambda f, i: ~F.exists(F.slice(found, i + 2, F.size(found)), lambda g: (g["start"] == f["start"]) & (g["end"] == f["end"])))
+    # by place, the last of each first
+    placed = F.array_sort(F.transform(found, lambda f, i: F.struct(f["start"].alias("start"), f["end"].alias("end"), (-i).alias("i"), f["type"].alias("type"))))
+    last = let(placed, lambda all_: F.filter(all_, lambda f, i: (i == 0) | (F.try_element_at(all_, i)["start"] != f["start"]) | (F.try_element_at(all_, i)["end"] != f["end"])))
     spans = F.transform(last, lambda f: F.struct(f["start"].alias("start"), f["end"].alias("end"), label(f["type"], labels).alias("label")))
     return result.select(F.col(id_field).cast("string").alias("id"), F.coalesce(F.col(text_field), F.lit("")).alias("text"), spans.alias("label"))
 
@@ -94,10 +67,10 @@ def annotation_json(annotated: DataFrame) -> DataFrame:
     return annotated.select("id", value.alias("value"))
 
 
-def write_annotations(result: DataFrame, path: str, text_field: str = "note", id_field: str = "id") -> None:
-    """``annotator/<id>.json`` for each note; by Spark's writer as write_individual."""
-    out = annotation_json(annotations(result, text_field, id_field)).select(F.concat(safe_name(F.col("id")), F.lit(".json")).alias("name"), "value")
-    _write_each(out, f"{path.rstrip('/')}/annotator")
+def write_annotations(result: DataFrame, path: str, text_field: str = "note", id_field: str = "id", repeats: str = "error") -> None:
+    """``annotator/<id>.json`` for each note; ids as in write_individual."""
+    out = annotation_json(annotations(result, text_field, id_field)).select(file_name(F.col("id")).alias("name"), "value")
+    write_each(numbered(out, repeats), f"{path.rstrip('/')}/annotator", ".json")
 
 
 def write_stats(counts: DataFrame, path: str, name: str) -> None:

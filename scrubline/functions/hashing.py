@@ -41,6 +41,32 @@ def skewed_index(salt: str, person: Column, word: Column, n: int, skew: float =
     return F.least(F.floor(keyed_index(salt, person, word, n) * size / F.lit(float(skew))), F.lit(n - 1)).cast("long")
 
 
+def permuted(i: Column, n: int, key: Column, rounds: int = 4, walk: int = 24) -> Column:
+    """A permutation of [0, n) that depends on the key, applied to i: different i have different places.
+
+    A Feistel network over pairs (l, r) of a x b >= n numbers adds a hash of one half
+    to the other, in turn; what comes out over n goes in again until it does not.  A
+    step fails with a chance of at most 1 in the root of n, so ``walk`` of them leave
+    none (a null, if ever, is for the caller to treat as no place).
+    """
+    a = math.isqrt(n - 1) + 1 if n > 1 else 1
+    b = -(-n // a)
+
+    def mixed(x: Column) -> Column:
+        l, r = F.floor(x / b), x % b  # noqa: E741
+        for k in range(rounds):
+            if k % 2:
+                r = (r + F.pmod(F.xxhash64(F.lit(k), key, l), F.lit(b))) % b
+            else:
+                l = (l + F.pmod(F.xxhash64(F.lit(k), key, r), F.lit(a))) % a  # noqa: E741
+        return l * b + r
+
+    # the state is a number, so that each step is computed once
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(walk)), F.struct(i.cast("long").alias("x"), F.lit(False).alias("done")), lambda s, _: F.when(
+        s["done"], s).otherwise(F.transform(F.array(mixed(s["x"])), lambda y: F.struct(y.alias("x"), (y < n).alias("done")))[0]))
+    return F.transform(F.array(walked), lambda s: F.when(s["done"], s["x"]))[0]
+
+
 def pick(options: list[str], index: Column, avoid: Column) -> Column:
     """options[index], or the next one where that is ``avoid`` (in any case)."""
     listed = F.array(*[F.lit(x) for x in options])

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from scrubline import resources as R
-from scrubline.functions.hashing import keyed_index, pick, skewed_index
+from scrubline.functions.hashing import keyed_index, permuted, pick, skewed_index
 from scrubline.functions.spans import FINDINGS, find_spans, let, none_found
 
 FOUND_BY = "deid-name-knownNames"
@@ -57,10 +59,41 @@ def typed_words(value: Column, layout: str, ignore: list[str]) -> Column:
         w.alias("word"), F.when(i < len(kinds), F.try_element_at(listed, (i + 1).cast("int"))).otherwise(F.lit(last).cast("string")).alias("kind")))
 
 
+def distinct_surrogates(words: Column, person: Column, salt: str) -> Column:
+    """A map from the words (word, kind) of a person's names to surrogates, all different and none of
+    them one of the person's names: the words, in order, are numbered, and each kind's list is
+    gone through by a permutation that the person keys.  As the numbers go by all names of
+    a row, a person's rows should hold the same ones.  More names than a list has keep none."""
+    def listed(words_: Column, own: Column, kind: str, options: list[str]) -> Column:
+        mine = F.filter(words_, lambda w: w["list"] == kind)
+        names = F.array(*[F.lit(x) for x in options])
+        key = F.concat_ws("|", F.lit(salt), F.lit(kind), F.coalesce(person.cast("string"), F.lit("")))
+        # as many as there can be names to leave out, and more
+        tried = F.sequence(F.lit(0), F.least(F.size(mine) + F.size(own), F.lit(len(options))) - 1)
+        new = F.transform(F.transform(tried, lambda i: permuted(i, len(options), key)), lambda i: F.try_element_at(names, (i + 1).cast("int")))
+        free = F.filter(new, lambda x: x.isNotNull() & ~F.array_contains(own, F.lower(x)))
+        return let(free, lambda n: F.transform(mine, lambda w, i: F.struct(w["word"].alias("key"), F.try_element_at(n, i + 1).alias("value"))))
+
+    def named(words_: Column) -> Column:
+        own = F.transform(words_, lambda w: w["word"])
+        lists = (("L", R.LAST_NAMES), ("M", R.FIRST_NAMES["M"]), ("F", R.FIRST_NAMES["F"]))
+        return F.map_from_entries(F.concat(*[listed(words_, own, kind, options) for kind, options in lists]))
+
+    men = F.array(*[F.lit(x.lower()) for x in R.FIRST_NAMES["M"]])
+    kinds = F.transform(words, lambda w: F.struct(w["word"].alias("word"), F.when(w["kind"] == "L", F.lit("L")).when(F.array_contains(men, w["word"]), F.lit("M")).otherwise(F.lit("F")).alias("list")))
+    # a word that is both kinds counts once, as the first by kind
+    one = let(F.array_sort(kinds), lambda k: F.filter(k, lambda w, i: (i == 0) | (F.try_element_at(k, i)["word"] != w["word"])))
+    return let(one, named)
+
+
 def known_names(text: Column, fields: list[tuple[Column, str]], person: Column, salt: str, item: str = "patient_name",
-                ignore: list[str] | None = None) -> Column:
+                ignore: list[str] | None = None, distinct: bool = False, surrogates: Column | None = None) -> Column:
     """Surrogates for the words (over two characters) of known names, wherever they
-    stand as whole words.  fields: (value, layout).  One name has one surrogate."""
+    stand as whole words.  fields: (value, layout).  One name has one surrogate.
+
+    distinct: and different names of a row have different ones (see
+    ``distinct_surrogates``).  surrogates: a map from lower-case words to names, from a
+    dictionary table; words that it lacks are treated as without it."""
     words = F.flatten(F.array(*[typed_words(v, layout, ignore or []) for v, layout in fields]))
     kept = F.filter(words, lambda w: (F.length(w["word"]) > 2) & w["kind"].isNotNull())
 
@@ -70,11 +103,16 @@ def known_names(text: Column, fields: list[tuple[Column, str]], person: Column,
         quoted = F.transform(longest, lambda w: F.concat(F.lit("\\Q"), F.replace(w, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
         pattern = F.concat(F.lit(r"(?iu)\b("), F.array_join(quoted, "|"), F.lit(r")\b"))
 
-        def surrogate(hit: Column) -> Column:
+        def by_hash(hit: Column) -> Column:
             kind = F.filter(names, lambda w: w["word"] == F.lower(hit))[0]["kind"]
             return F.when(kind == "F", first_name(hit, person, salt)).otherwise(last_name(hit, person, salt))
 
-        return F.when(F.size(names) > 0, find_spans(text, pattern, item, None, FOUND_BY, surrogate)).otherwise(none_found())
+        def found(new: Callable[[Column], Column]) -> Column:
+            given = (lambda hit: F.coalesce(F.try_element_at(surrogates, F.lower(hit)), new(hit))) if surrogates is not None else new
+            return find_spans(text, pattern, item, None, FOUND_BY, given)
+
+        by_map = lambda: let(distinct_surrogates(names, person, salt), lambda m: found(lambda hit: F.coalesce(F.try_element_at(m, F.lower(hit)), F.lit("[REMOVED]"))))
+        return F.when(F.size(names) > 0, by_map() if distinct else found(by_hash)).otherwise(none_found())
 
     return let(kept, search).cast(FINDINGS)
 

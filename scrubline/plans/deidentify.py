@@ -80,7 +80,9 @@ class Plan:
         if a == "surrogate_name":
             given = [(F.col(f), spec.param_map.get("format", "L,F")) for f in spec.fields if f in df.columns]
             if given:
-                return names.known_names(text, given, self.person, salt, spec.item, R.IGNORED_WORDS)
+                listed = spec.param_map.get("surrogates")
+                return names.known_names(text, given, self.person, salt, spec.item, R.IGNORED_WORDS, distinct=True,
+                                         surrogates=F.col(f"`{listed}`") if listed in df.columns else None)
             if self.ner is None:
                 return None
             return names.recognised_names(self.ner.persons(text), earlier, self.person, salt)

@@ -27,6 +27,13 @@ _PLACES = [("Ashford", "CA", "900"), ("Brookfield", "CA", "904"), ("Clearwater",
 #: (street, type, city, state, zip): 240 of them, all parts going round at their own pace.
 ADDRESSES = [(_STREETS[i % 20], _KINDS[i % 9], c, st, f"{z}{i % 89 + 10}") for i in range(240) for c, st, z in [_PLACES[i % 23]]]
 CITIES = sorted({a[2] for a in ADDRESSES} | {"Boston", "Chicago", "Denver", "Houston", "Oakland", "Palo Alto", "Portland", "Sacramento", "San Francisco", "Seattle"})
+#: Street types and what they are shortened to.
+STREET_TYPES = {
+    "Street": ["St"], "Avenue": ["Ave", "Av"], "Road": ["Rd"], "Drive": ["Dr"], "Lane": ["Ln"], "Court": ["Ct"], "Boulevard": ["Blvd"], "Place": ["Pl"],
+    "Terrace": ["Ter"], "Circle": ["Cir"], "Highway": ["Hwy"], "Parkway": ["Pkwy"], "Square": ["Sq"], "Trail": ["Trl"], "Way": [], "Alley": ["Aly"], "Loop": [],
+}
+COMPASS = ["North", "South", "East", "West", "NE", "NW", "SE", "SW", "N", "S", "E", "W"]
+UNITS = ["Apartment", "Apt", "Unit", "Suite", "Ste", "Room", "Rm", "Floor", "Fl", "#"]
 #: Words that stand in fields of known values without telling anything of a person.
 IGNORED_WORDS = [
     "and", "at", "by", "for", "in", "of", "on", "or", "the", "to", "with", "unknown", "none", "street", "road", "avenue", "apt",

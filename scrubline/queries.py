@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +17,19 @@ from scrubline import resources as R
 from scrubline.functions.hashing import java_hash, jitter_from, skewed_index
 from scrubline.functions.spans import clean_text, find_spans, joined, utf16_offset
 from scrubline.operators import addresses, analytics, dates, external, merge, names, patterns, tokens
+from scrubline.operators.dictionary import look_up, name_table
 from scrubline.operators.ner import GazetteerBackend
-from scrubline.plans.config import Job, register_action
+from scrubline.operators.tagger import TaggerBackend, learn
+from scrubline.operators.terms import with_terms
+from scrubline.plans.config import Job, load_jobs, register_action
 from scrubline.plans.deidentify import deidentify, inspect
-from scrubline.sources.readers import key_values, read_csv, read_dictionary, read_jsonl, read_text_folder, spread, with_known, with_person, word_list
+from scrubline.plans.run import read_result, run
+from scrubline.sources.files import id_of
+from scrubline.sources.readers import (key_values, read_csv, read_dictionary, read_jsonl, read_table, read_text_folder, spread, with_known, with_person,
+                                       word_list)
 from scrubline.sources.scratch import new_path
-from scrubline.sources.writers import annotations, as_json, write_annotations, write_findings, write_individual, write_stats
+from scrubline.streaming.inspection import inspect_table
+from scrubline.sources.writers import annotations, as_json, stamped, write_annotations, write_findings, write_individual, write_jsonl, write_stats
 
 K, C = "o_orderkey", "o_custkey"
 YEAR = 2024
@@ -315,6 +323,23 @@ def _distribution(spark, sf_dir):
     return analytics.distribution(deid_notes_frame(spark, sf_dir))
 
 
+@register("one_pass_outputs", _NOTES_X + f""", e AS ({_EACH}), n AS (SELECT count(*) AS n FROM x)
+    SELECT 'note' AS kind, note_id::VARCHAR AS key, {_MASKED} AS value FROM x UNION ALL SELECT 'type', type, count(*)::VARCHAR FROM e GROUP BY type
+    UNION ALL SELECT 'detector', found_by, count(*)::VARCHAR FROM e GROUP BY found_by
+    UNION ALL SELECT 'counter', k, v::VARCHAR FROM n, (VALUES ('total_stage1', 0), ('total_stage2', 8 * n), ('zero_change', 0)) t(k, v)
+    UNION ALL SELECT 'stage', s::VARCHAR, n || ' ' || 8 * (s - 1) * n || ' ' || 8 * (s - 1) || ' ' || 8 * (s - 1) FROM n, (VALUES (1), (2)) t(s)""")
+def _one_pass(spark, sf_dir):
+    """One search gives the notes' lines and all counts; all are read back from what was written."""
+    path = new_path(spark, "job")
+    counts = run(notes(spark, sf_dir, _NOTE, _ROW), _JOB, path, reference_year=YEAR)
+    lines = read_result(spark, path, _JOB).select(F.lit("note").alias("kind"), F.col("note_id").alias("key"), F.col("TEXT_DEID_note").alias("value"))
+    for kind, name in (("type", "statsPhiType"), ("detector", "statsPhiFoundBy")):
+        parts = F.split("value", ":")
+        lines = lines.union(spark.read.text(f"{path}/{name}").select(F.lit(kind), parts[0], parts[1]))
+    told = [("counter", k, str(v)) for k, v in counts.counters.items()] + [("stage", str(k), " ".join(map(str, v))) for k, v in counts.stages.items()]
+    return lines.union(spark.createDataFrame(told, "kind string, key string, value string"))
+
+
 _LABELS = {1: "name", 3: "DATE", 5: "PHONE/FAX", 7: "EMAIL/URL", 9: "IP", 11: "MRN", 13: "AGE", 15: "HAR"}
 
 
@@ -432,6 +457,39 @@ def _external_long(spark, sf_dir):
     return df.select("n_nationkey", "f.word", F.col("f.start").cast("long").alias("start_pos"))
 
 
+def _nested_service(texts: list[str]) -> list[list[tuple[int, int, str]]]:
+    """A stand-in that finds words in upper case, pairs of them too, and everything twice."""
+    import re
+
+    return [[(m.start(k), m.end(k), "SHOUT") for m in re.finditer(r"\b([A-Z]{3}) [A-Z]{3}\b", t) for k in (0, 1, 1)] for t in texts]
+
+
+@register("external_nested", "SELECT c_custkey, w AS word, s + p AS start_pos, count(*) * n AS n FROM (SELECT c_custkey, CASE WHEN c_custkey % 50 = 0 THEN 524000 ELSE 2 END AS s "
+          "FROM customer), (VALUES ('ABC DEF', 0, 1), ('ABC', 0, 2), ('GHI JKL', 700, 1), ('GHI', 700, 2)) t(w, p, n) GROUP BY c_custkey, w, s + p, n")
+def _external_nested(spark, sf_dir):
+    """Findings inside others and repeated ones are the same in short texts and in those that go out in pieces."""
+    filler = F.when(F.col("c_custkey") % 50 == 0, F.repeat(F.lit("x "), 262_000)).otherwise(F.lit("x "))
+    text = F.concat(filler, F.lit("ABC DEF "), F.repeat(F.lit("y "), 346), F.lit("GHI JKL"))
+    df = spread(spark.read.parquet(f"{sf_dir}/customer.parquet")).select("c_custkey", F.explode_outer(external.detector(_nested_service)(text)).alias("f"))
+    return df.groupBy("c_custkey", "f.word", F.col("f.start").cast("long").alias("start_pos")).agg(F.count("*").alias("n"))
+
+
+def _flaky_service(texts: list[str]) -> list[list[tuple[int, int, str]]]:
+    """Fails at every second call."""
+    _flaky_service.calls = getattr(_flaky_service, "calls", 0) + 1
+    if _flaky_service.calls % 2:
+        raise OSError("not now")
+    return _service(texts)
+
+
+@register("external_retry", "SELECT n_nationkey, 'ABC' AS word FROM nation")
+def _external_retry(spark, sf_dir):
+    """A service that fails is asked again."""
+    df = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    found = external.detector(_flaky_service, batch=5)(F.concat(F.lit("x ABC "), F.lower("n_name")))
+    return df.select("n_nationkey", F.explode_outer(found).alias("f")).select("n_nationkey", "f.word")
+
+
 _EXTERNAL_JOB = Job.of({"textFields": "note", "textIdFields": "note_id", "googleDlpEnabled": True, "googleDlpInfoTypes": [{"itemName": "loud", "infoTypes": "SHOUT"}],
                         "spec": [{"itemName": "contact", "action": "general"}]})
 _LOUD = ["'quiet, '", "'ABC'", "' to '", EMAILS[1], "' ' || lower(o_orderpriority)"]
@@ -501,6 +559,136 @@ case("ner_after_known", ["'met '", "'Dr. Zed' || translate(cast(o_custkey as str
      lambda t: names.recognised_names(GAZETTEER.persons(t), find_spans(t, r"\bDr\. \w+", "known", "[K]", "known"), F.col("person"), SALT),
      [(3, 3, "ner-PERSON", _first("split_part(s3, ' ', 1)") + " || ' ' || " + _pick(R.LAST_NAMES, "split_part(s3, ' ', 2)"))], "deid-person-ner", _PERSON)
 
+_BUILT = ["'to '", f"CASE {K} % 4 WHEN 0 THEN 'Boston, MA 02110' WHEN 1 THEN cast({K} % 900 + 1 as string) || ' N Elm St, Apt ' || cast({C} % 90 + 1 as string) || ', Salem, Ohio 44460-1234' "
+          f"WHEN 2 THEN 'PO Box ' || cast({K} as string) || ', Troy, NY' ELSE cast({K} % 900 + 1 as string) || ' Old Mill Road, New York' END", "' now'"]
+
+
+@register("address_parts", _duck(f"""SELECT {K} AS note_id, CASE {K} % 4 WHEN 1 THEN ({K} % 900 + 1)::VARCHAR WHEN 3 THEN ({K} % 900 + 1)::VARCHAR END AS number,
+    CASE {K} % 4 WHEN 1 THEN 'N' END AS compass, CASE {K} % 4 WHEN 1 THEN 'Elm' WHEN 3 THEN 'Old Mill' END AS street, CASE {K} % 4 WHEN 1 THEN 'St' WHEN 3 THEN 'Road' END AS kind,
+    CASE {K} % 4 WHEN 2 THEN 'PO Box ' || {K} END AS box, CASE {K} % 4 WHEN 1 THEN 'Apt ' || ({C} % 90 + 1)::VARCHAR END AS unit,
+    CASE {K} % 4 WHEN 0 THEN 'Boston' WHEN 1 THEN 'Salem' WHEN 2 THEN 'Troy' ELSE 'New York' END AS city,
+    CASE {K} % 4 WHEN 0 THEN 'MA' WHEN 1 THEN 'Ohio' WHEN 2 THEN 'NY' END AS state, CASE {K} % 4 WHEN 0 THEN '02110' WHEN 1 THEN '44460-1234' END AS zip, true AS alike FROM orders"""))
+def _address_parts(spark, sf_dir):
+    """Addresses of four forms taken apart; a surrogate has the same parts, and none of the address itself."""
+    rows = _source(spark, sf_dir, segments_sql(_BUILT)).select("note_id", F.col("s1").alias("word"))
+    rows = rows.withColumns({"own": addresses.parts_of(F.col("word")), "new": addresses.parts_of(addresses.surrogate_like(F.col("word"), F.col("note_id"), SALT))})
+    same = [F.col("own")[p].isNull() == F.col("new")[p].isNull() for p in addresses.PARTS]
+    return rows.select("note_id", *[F.col("own")[p].alias(p) for p in addresses.PARTS], F.array_min(F.array(*same)).alias("alike"))
+
+
+_MANY = {"full": f"upper({NAME}) || ',' || {_FIRST} || ' Quill-' || {LETTERS}", "kin": f"'Zelda Wex' || {LETTERS} || ' Thorn'"} | _PERSON
+
+
+@register("surrogate_distinct", f"SELECT {C}::VARCHAR AS person, n AS names, n AS surrogates, 0::BIGINT AS own FROM (SELECT DISTINCT {C}, CASE WHEN {C} < 100 THEN 6::BIGINT ELSE 7 END AS n FROM orders)")
+def _surrogate_distinct(spark, sf_dir):
+    """Different names of a person have different surrogates, the same in all notes, none of them one of the names."""
+    df = notes(spark, sf_dir, [_MANY["full"], "' and '", _MANY["kin"]], _MANY)
+    found = names.known_names(F.col("note"), [(F.col("full"), "L,F"), (F.col("kin"), "F,L")], F.col("person"), SALT, distinct=True)
+    each = df.select("person", F.explode_outer(found).alias("f")).select("person", F.lower("f.word").alias("name"), F.lower("f.replacement").alias("new"))
+    own = each.select("person", F.col("name").alias("new"), F.lit(1).alias("mine")).distinct()
+    counted = each.groupBy("person").agg(F.countDistinct("name").alias("names"), F.countDistinct("new").alias("surrogates"))
+    hits = each.join(own, ["person", "new"]).groupBy("person").agg(F.count("*").alias("hits"))
+    return counted.join(hits, "person", "left").select("person", "names", "surrogates", F.coalesce("hits", F.lit(0)).alias("own"))
+
+
+def _spelled(k: str, div: str = "div") -> str:
+    """A name of its own for each number; div: how an engine writes whole division."""
+    return f"upper(chr(cast(97 + {k} % 26 as int))) || chr(cast(97 + {k} {div} 26 % 4 as int)) || translate(cast({k} as string), '0123456789', 'abcdefghij')"
+
+
+_sex = "CASE WHEN {0} % 3 = 0 THEN 'L' WHEN {0} % 3 = 1 THEN 'F' ELSE 'M' END AS sex".format
+_WEIGHT = f"cast(1 + {C} % 100 as bigint) AS weight"
+
+
+def _half(mark: str) -> str:
+    return f"(('0x' || substr(md5('{SALT}#{mark}|' || person::VARCHAR || '|' || lower(word)), 1, 8))::BIGINT % 2147483648)"
+
+
+@register("dictionary_names", f"""
+WITH e AS (SELECT {_sex(K)}, {_spelled(K, "//")} AS name, {_WEIGHT} FROM orders),
+a AS (SELECT c_custkey AS person, {_spelled("c_custkey", "//")} AS word, {_sex("c_custkey")} FROM customer),
+d AS (SELECT *, substr(name, 1, 2) AS pair, sum(weight) OVER (PARTITION BY sex, substr(name, 1, 2) ORDER BY weight DESC, name) - weight AS low,
+  sum(weight) OVER (PARTITION BY sex, substr(name, 1, 2) ORDER BY weight DESC, name) AS high, sum(weight) OVER (PARTITION BY sex, substr(name, 1, 2)) AS total,
+  count(*) OVER (PARTITION BY sex, substr(name, 1, 2)) AS size FROM e),
+g AS (SELECT DISTINCT sex, pair, total FROM d WHERE size >= 3),
+l AS (SELECT sex, letter, pair, total, row_number() OVER (PARTITION BY sex, letter ORDER BY pair) - 1 AS k, count(*) OVER (PARTITION BY sex, letter) AS n
+      FROM g, (SELECT DISTINCT upper(substr(word, 1, 1)) AS letter FROM a) WHERE substr(pair, 1, 1) <> letter)
+SELECT a.person, a.word, d.name AS surrogate FROM a JOIN l ON a.sex = l.sex AND upper(substr(word, 1, 1)) = letter AND {_half("group")} % n = k
+JOIN d ON d.sex = l.sex AND d.pair = l.pair AND {_half("place")} % l.total >= low AND {_half("place")} % l.total < high""")
+def _dictionary_names(spark, sf_dir):
+    """A dictionary as large as the orders, read from a CSV without a header; a name for each customer's, by popularity."""
+    path = new_path(spark, "names")
+    entries = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(_sex(K), _spelled(K) + " AS name", _WEIGHT)
+    entries.write.csv(path, header=False, quote='"', escape='"')
+    table = name_table(read_dictionary(spark, path, "sex string, name string, weight long"), least=3)
+    asked = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr("c_custkey AS person", _spelled("c_custkey") + " AS word", _sex("c_custkey"))
+    return look_up(asked, table, SALT).select("person", "word", "surrogate")
+
+
+_TERMS = ["'took '", f"'ZOX-' || {LETTERS}", "' and  '", f"'Nil  ' || {LETTERS} || ', TAB'", f"' not nil tab or zox ' || cast({K} as string)"]
+
+
+@register("list_terms", f"WITH x AS ({_duck(segments_sql(_TERMS))}) SELECT note_id::VARCHAR AS note_id, s0 || '[T]' || s2 || '[T]' || s4 AS text_deid, 2::BIGINT AS n FROM x")
+def _list_terms(spark, sf_dir):
+    """A list of terms of one and three words, as long as customers and lineitem together, found by joins."""
+    spelled = "translate(cast({} as string), '0123456789', 'abcdefghij')".format
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    listed = customers.selectExpr(f"concat('zox-', {spelled('c_custkey')}) AS term").union(customers.selectExpr(f"concat('nil ', {spelled('c_custkey')}, ' tab') AS term"))
+    listed = listed.union(spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(f"concat('qux ', {spelled('l_orderkey')}, ' ', {spelled('l_linenumber')}) AS term"))
+    job = Job.of({"textFields": "note", "textIdFields": "note_id", "spec": [{"itemName": "term", "action": "replace_listed", "actionParam": "[T]", "fields": "listed"}]})
+    found = deidentify(with_terms(notes(spark, sf_dir, _TERMS), listed, "note"), job)
+    return found.select("note_id", F.col("TEXT_DEID_note").alias("text_deid"), F.col("FINDING_CNT_note").cast("long").alias("n"))
+
+
+@register("phi_join_skewed", "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE o_custkey END AS person_id, c_name FROM orders JOIN customer "
+          "ON c_custkey = CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE o_custkey END")
+def _phi_join_skewed(spark, sf_dir):
+    """One person with half of all notes."""
+    base = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey AS id", "CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE o_custkey END AS person_id")
+    known = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr("c_custkey AS person_id", "c_name")
+    return with_known(base, known)
+
+
+@register("resumed_inspection", _NOTES_X + _EACH)
+def _resumed_inspection(spark, sf_dir):
+    """An inspection in batches that is cut off after the second one and goes on."""
+    path = new_path(spark, "inspection")
+    notes(spark, sf_dir, _NOTE, _ROW).repartition(4).write.parquet(f"{path}/notes")
+    schema = spark.read.parquet(f"{path}/notes").schema
+
+    def cut_off(number: int) -> None:
+        if number == 1:
+            raise RuntimeError("cut off")
+
+    options = {"files_a_batch": 1, "reference_year": YEAR}
+    try:
+        inspect_table(spark, f"{path}/notes", schema, _JOB, f"{path}/found", f"{path}/checkpoint", on_batch=cut_off, **options)
+    except StreamingQueryException:
+        inspect_table(spark, f"{path}/notes", schema, _JOB, f"{path}/found", f"{path}/checkpoint", **options)
+    found = spark.read.parquet(f"{path}/found")
+    return found.select("note_id", "field", "word", F.col("start").cast("long").alias("start_pos"), "type", "replacement", "found_by")
+
+
+_MET = ["CASE {0} % 4 WHEN 0 THEN 'Today ' WHEN 1 THEN 'Patient ' WHEN 2 THEN 'On Monday nurse ' ELSE 'Call Mrs. ' END".format(K),
+        f"'Xan' || {LETTERS} || CASE WHEN {K} % 3 = 0 THEN ' Quo' || translate(cast({K} as string), '0123456789', 'klmnopqrst') ELSE '' END",
+        "CASE {0} % 3 WHEN 0 THEN ' came to ' WHEN 1 THEN ' moved to ' ELSE ' was seen at ' END".format(K), f"'Vel' || {LETTERS} || 'ton'", "' with Asthma.'"]
+
+
+@register("tagged_names", f"""WITH x AS (SELECT * FROM ({_duck(segments_sql(_MET, {"cust": C}))}) WHERE cust % 2 = 1)
+    SELECT note_id, s1 AS word, length(s0) AS start_pos, 'ner-PERSON' AS type FROM x UNION ALL SELECT note_id, s3, length(s0 || s1 || s2), 'ner-LOCATION' FROM x""")
+def _tagged_names(spark, sf_dir):
+    """A tagger learned from one half of the customers finds names and places of the other half, none of which it has seen."""
+    rows = _source(spark, sf_dir, segments_sql(_MET, {"cust": C}))
+    rows = rows.select(F.col("note_id").alias("id"), "cust", F.concat(*[f"s{i}" for i in range(5)]).alias("text"), *[F.length(f"s{i}").alias(f"n{i}") for i in range(4)])
+    span = lambda s, e, label: F.struct(s.cast("int").alias("start"), e.cast("int").alias("end"), F.lit(label).alias("label"))
+    n = [F.col(f"n{i}") for i in range(4)]
+    marked = rows.where("cust % 2 = 0").withColumn("spans", F.array(span(n[0], n[0] + n[1], "PERSON"), span(n[0] + n[1] + n[2], n[0] + n[1] + n[2] + n[3], "LOCATION")))
+    tagger = TaggerBackend(spark, learn(marked.select("id", "text", "spans"), rounds=3, sample=4000))
+    other = rows.where("cust % 2 = 1").withColumn("found", joined(tagger.persons(F.col("text")), tagger.places(F.col("text"))))
+    return other.select(F.col("id").alias("note_id"), F.explode_outer("found").alias("f")).where("f IS NOT NULL").select(
+        "note_id", "f.word", F.col("f.start").cast("long").alias("start_pos"), "f.type")
+
+
 # --- files: written to the shared folder and read back
 
 
@@ -526,6 +714,38 @@ def _source_dictionary(spark, sf_dir):
     return read_dictionary(spark, path, "c_custkey long, c_name string")
 
 
+@register("source_table", "SELECT c_custkey::VARCHAR AS id, 'Mail [EMAIL] ' || c_custkey::VARCHAR AS text_deid, c_acctbal > 0 AS rich FROM customer")
+def _source_table(spark, sf_dir):
+    """A typed table: a number as id, bytes as text, other columns as they are; the job is one of the library's own files."""
+    typed = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.col("c_custkey").alias("id"), F.expr("encode('Mail a@b.org ' || c_custkey, 'UTF-8')").alias("text"), (F.col("c_acctbal") > 0).alias("rich"))
+    typed.createOrReplaceTempView("typed_notes")
+    job = load_jobs("contacts.yaml")[0]
+    rows = deidentify(read_table(spark, "typed_notes", list(job.id_fields), list(job.text_fields)), job, keep_columns=True)
+    return rows.select("id", F.col("TEXT_DEID_text").alias("text_deid"), "rich")
+
+
+@register("config_job", f"WITH x AS ({_duck(segments_sql(_SPLICED))}) SELECT note_id::VARCHAR AS id, s0 || '[PHONE]' || s2 || '[EMAIL]' || s4 || '[MRN]' || s6 || '[MRN]' || s8 AS text_deid FROM x")
+def _config_job(spark, sf_dir):
+    """A job from a YAML file, its fields overridden."""
+    job = load_jobs("contacts.yaml")[0].with_overrides(text_fields="note", id_fields="note_id")
+    return deidentify(notes(spark, sf_dir, _SPLICED), job).select(F.col("note_id").alias("id"), F.col("TEXT_DEID_note").alias("text_deid"))
+
+
+@register("inspect_columns", f"WITH x AS ({_duck(segments_sql(EMAILS))}) SELECT note_id::VARCHAR AS note_id, 'other' AS field, s1 AS word FROM x WHERE note_id % 3 <> 0")
+def _inspect_columns(spark, sf_dir):
+    """Only the fields of a job are searched, whatever else the table holds."""
+    df = _source(spark, sf_dir, segments_sql(EMAILS))
+    df = df.select("note_id", F.concat("s0", "s1").alias("note"), F.when(F.col("note_id") % 3 != 0, F.concat("s2", F.lit(" "), "s1")).alias("other"))
+    return inspect(df, _TWO.with_overrides(text_fields="other")).select("note_id", "field", "word")
+
+
+@register("strip_titles", "SELECT c_custkey, ' ' || c_name || '  x ' || c_name || ' ' AS name FROM customer")
+def _strip_titles(spark, sf_dir):
+    named = F.concat(F.lit("Dr "), "c_name", F.lit(" mrs x "), "c_name", F.lit(" PhD"))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", names.without_titles(named).alias("name"))
+
+
 @register("source_word_list", "SELECT DISTINCT c_mktsegment AS word FROM customer")
 def _source_word_list(spark, sf_dir):
     path = new_path(spark, "words")
@@ -565,6 +785,28 @@ def _sink_annotator(spark, sf_dir):
     return back.select("file", F.get_json_object("value", "$.id").alias("id"), F.get_json_object("value", "$.label").alias("label"))
 
 
+_ODD = ("CASE c_custkey % 9 WHEN 0 THEN 'a/b' WHEN 1 THEN 'a_b' WHEN 2 THEN 'a b' WHEN 3 THEN NULL WHEN 4 THEN 'null' WHEN 5 THEN '..' WHEN 6 THEN '_x' "
+        "WHEN 7 THEN 'a%2Fb' ELSE '' END")
+
+
+@register("sink_names", f"SELECT id, n, count(*) AS files FROM (SELECT {_ODD} AS id, 'mail [general-email] ' || c_custkey::VARCHAR AS n FROM customer) GROUP BY id, n")
+def _sink_names(spark, sf_dir):
+    """Ids that no file name can have, a null id, and ids of many notes: every note has its file."""
+    path = new_path(spark, "names")
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.expr(_ODD).alias("id"), F.expr("'mail x@b.org ' || c_custkey").alias("note"))
+    write_individual(deidentify(rows, _NATION_JOB), path, repeats="number")
+    back = read_text_folder(spark, f"{path}/individual")
+    return back.groupBy(id_of(F.substring_index("id", "%~", 1)).alias("id"), F.col("note").alias("n")).agg(F.count("*").alias("files"))
+
+
+@register("sink_stamped", "SELECT n_nationkey::VARCHAR AS id, 'mail [general-email]' || chr(10) || 'end' AS text_deid FROM nation")
+def _sink_stamped(spark, sf_dir):
+    """Outputs of a run in a folder named by its time."""
+    path = new_path(spark, "runs")
+    write_jsonl(deidentify(_nations(spark, sf_dir), _NATION_JOB), stamped(path))
+    return read_jsonl(spark, f"{path}/[0-9]*/DeidNote", "id string, TEXT_DEID_note string").select("id", F.col("TEXT_DEID_note").alias("text_deid"))
+
+
 @register("sink_findings", "SELECT n_nationkey::VARCHAR AS id, 'x@' || lower(replace(n_name, ' ', '-')) || '.org' AS word FROM nation")
 def _sink_findings(spark, sf_dir):
     path = new_path(spark, "findings")

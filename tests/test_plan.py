@@ -98,11 +98,11 @@ def test_files(spark, tmp_path):
     back = {json.loads(r.value)["id"]: json.loads(r.value) for r in spark.read.text(str(tmp_path / "out/DeidNote")).collect()}
     assert back["n 1.txt"]["TEXT_DEID_note"] == "mail [general-email]\nend" and json.loads(back["n 1.txt"]["FINDING_note"])[0]["word"] == "a@b.org"
     writers.write_individual(result, str(tmp_path / "out"))
-    assert (tmp_path / "out/individual/n_1.txt").read_text() == "mail [general-email]\nend" and (tmp_path / "out/individual/n2.txt").read_text() == "plain"
+    assert (tmp_path / "out/individual/n%201.txt").read_text() == "mail [general-email]\nend" and (tmp_path / "out/individual/n2.txt").read_text() == "plain"
     lines = {r.id: json.loads(r.value) for r in writers.annotation_json(writers.annotations(result)).collect()}
     assert lines["n 1.txt"] == {"text": "mail a@b.org\nend", "label": [[5, 12, "EMAIL/URL"]], "id": "n 1.txt"} and lines["n2.txt"]["label"] == []
     writers.write_annotations(result, f"file://{tmp_path}/out")
-    assert json.loads((tmp_path / "out/annotator/n_1.txt.json").read_text())["label"] == [[5, 12, "EMAIL/URL"]] and len(list((tmp_path / "out/annotator").iterdir())) == 2
+    assert json.loads((tmp_path / "out/annotator/n%201.txt.json").read_text())["label"] == [[5, 12, "EMAIL/URL"]] and len(list((tmp_path / "out/annotator").iterdir())) == 2
     odd = deidentify(df, job({"itemName": 'a "b" \\c', "action": "remove_mrn"}, {"itemName": "g", "action": "general"})).where("id = 'n2.txt'")
     odd = odd.withColumn("FINDING_note", F.expr("array(named_struct('word','p','start',0,'end',1,'type','a \"b\" \\\\c','replacement','x','found_by','y'))"))
     assert json.loads(writers.annotation_json(writers.annotations(odd)).first().value)["label"] == [[0, 1, 'a "b" \\c']]

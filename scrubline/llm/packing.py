@@ -62,16 +62,17 @@ class WordTokenizer:
 
     def _parts(self, raw: bytes) -> list[str]:
         """Letter runs and marks in lower case, and hard words behind a blank, in order."""
-        text = b" ".join(raw.split()).decode()  # words one blank apart
-        out, at = [], 0
-        for m in _HARD.finditer(text):
-            if m.start() >= at:  # else in the word before
-                begin, end = text.rfind(" ", at, m.start()) + 1 or at, text.find(" ", m.end() - 1)
-                end = len(text) if end < 0 else end
-                out += text[at:begin].lower().replace(".", " . ").replace(",", " , ").split()
-                out.append(" " + text[begin:end])
-                at = end
-        return out + text[at:].lower().replace(".", " . ").replace(",", " , ").split()
+        text = raw.decode()
+        if _HARD.search(text) is None:
+            return text.lower().replace(".", " . ").replace(",", " , ").split()
+        out = []
+        for word in raw.split():
+            word = word.decode()
+            if _HARD.search(word) is None:
+                out += word.lower().replace(".", " . ").replace(",", " , ").split()
+            else:
+                out.append(" " + word)
+        return out
 
     def _learn(self, wanted: set[str]) -> None:
         if len(self.new) > self.most:

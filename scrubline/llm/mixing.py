@@ -71,12 +71,16 @@ def with_copies(docs: DataFrame, size_col: str, id_col: str = "doc_id", source_c
     size_col: words of a document (long, 0 or more).  Repeated rows count as
     documents of their own; a null source is a source of its own, after the
     others.  Documents of size 0 get copies too (of no words).  An empty input
-    gives an empty result.  docs is read twice.
+    gives an empty result.  docs is read twice; a column of docs called as one that is
+    added on the way is an error (``mix`` takes any names).
 
     tie: a number that tells rows of one id and size apart, so that reruns draw
     the same rows, and stands for null ids; without it these are all one id, and
     rows that only their id and size tell apart are interchangeable.
     """
+    own = ("__step", "__part", "__place", "__copies", "__source_size", "__target", "__s", "__st", "__p", "__ahead")
+    if taken := [c for c in docs.columns if c.lower() in own]:
+        raise ValueError(f"docs has columns called {', '.join(taken)}")
     ident, source, size = F.col(id_col), F.col(source_col), F.col(size_col)
     deal = max(1, round(math.sqrt(docs.count()) / 16))
     mixed = F.pmod(F.pmod(F.coalesce(ident, F.lit(-1) if tie is None else tie), F.lit(2147483647)) * F.lit(2654435761), F.lit(2147483647))
@@ -114,13 +118,15 @@ def mix(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_
 
     A null text has no words; null sources, null ids and repeated rows are as in
     with_copies.  Rows of one id and size go by a hash of all their columns but
-    maps, so reruns agree.
+    maps, so reruns agree.  Columns of docs may have any names.
     """
-    sized = docs.withColumn("__size", word_count(F.col(text_col)))
-    tie = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
-    drawn = with_copies(sized, "__size", id_col, source_col, seed, tie=tie).where("__copies > 0")
+    own = {name: f"__c{i}" for i, name in enumerate(docs.columns)}  # so that none clashes with those of this module
+    plain = docs.select(*[F.col(f"`{name}`").alias(c) for name, c in own.items()])
+    tie = F.xxhash64(*[F.col(f.name) for f in plain.schema.fields if "map<" not in f.dataType.simpleString()])
+    sized = plain.withColumn("__size", word_count(F.col(own[text_col])))
+    drawn = with_copies(sized, "__size", own[id_col], own[source_col], seed, tie=tie).where("__copies > 0")
     times = F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy")
-    return drawn.select(*docs.columns, times).select(*docs.columns)
+    return drawn.select(*own.values(), times).select(*[F.col(c).alias(name) for name, c in own.items()])
 
 
 def op2_mix_sources(spark, sf_dir):

@@ -630,6 +630,11 @@ def test_clashing_columns(spark):
     assert [tuple(r)[0::2] for r in simhash.near_duplicates(df).collect()] == [(1, 1)]
     found, linked = simhash.similar_texts(df.union(df))
     assert found.count() == 2 and linked.count() == 0
+    own = {c: F.lit("x") for c in ("__size", "__step", "__part", "__place", "__copies", "__c0", "source")}
+    mixed = mixing.mix(df.withColumns(own))
+    assert mixed.columns == [*df.columns, *own] and {(r["__size"], r["__copies"], r.text) for r in mixed.collect()} == {("x", "x", "one two three")}
+    with pytest.raises(ValueError, match="__step"):
+        mixing.with_copies(df.withColumns(own | {"size": F.lit(1)}), "size")
     assert packing.pieces(df).first().length == 4 and licenses.scan(df).first().n_words == 3
     assert langid.predict(df, langid.fit(df.withColumn("lang", F.lit("en")))).first().lang_pred == "en"
 

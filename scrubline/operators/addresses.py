@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from scrubline import resources as R
@@ -128,9 +129,17 @@ def general(text: Column, person: Column, salt: str) -> Column:
     return find_spans(text, US_ADDRESS, TYPE, None, GENERAL, lambda w: surrogate(w, person, salt))
 
 
+@cache
+def country_names() -> tuple[str, ...]:
+    """The countries' English names that the JVM knows (some 250), and the library's own short forms."""
+    locale = SparkSession.active()._jvm.java.util.Locale
+    known = {locale("", code).getDisplayCountry(locale.ENGLISH) for code in locale.getISOCountries()}
+    return tuple(sorted({*known, *R.COUNTRIES}))
+
+
 def recognised(ner: Column, person: Column, salt: str) -> Column:
     """Surrogates for recognised places other than states and countries, with the parts that
     a place has: a city for a city, and for an address its number, street, zip and so on."""
-    fixed = F.array(*[F.lit(x.lower()) for x in [*R.STATES, *R.STATES.values(), *R.COUNTRIES]])
+    fixed = F.array(*[F.lit(x.lower()) for x in [*R.STATES, *R.STATES.values(), *country_names()]])
     new = F.filter(ner, lambda n: ~F.array_contains(fixed, F.lower(n["word"])))
     return F.transform(new, lambda n: n.withField("replacement", surrogate_like(n["word"], person, salt))).cast(FINDINGS)

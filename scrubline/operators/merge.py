@@ -80,13 +80,9 @@ def splice_safe(text: Column, findings: Column) -> Column:
 
 def by_end(findings: Column) -> Column:
     """Findings from the last end to the first; at equal ends the larger replacement first, null last."""
-    def order(a: Column, b: Column) -> Column:
-        return (F.when(a["end"] != b["end"], F.when(a["end"] > b["end"], -1).otherwise(1))
-                .when(a["replacement"].isNull() & b["replacement"].isNull(), 0).when(a["replacement"].isNull(), 1)
-                .when(b["replacement"].isNull(), -1).when(a["replacement"] > b["replacement"], -1)
-                .when(a["replacement"] < b["replacement"], 1).otherwise(0))
-
-    return F.array_sort(findings, order)
+    # sorted the other way round by plain order, which needs no comparing function
+    keyed = F.transform(findings, lambda f, i: F.struct(f["end"].alias("end"), f["replacement"].alias("replacement"), (-i).alias("i"), f.alias("f")))
+    return F.transform(F.reverse(F.array_sort(keyed)), lambda x: x["f"])
 
 
 _WALK = "struct<out:string,first:int,last:int>"

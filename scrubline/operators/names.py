@@ -87,13 +87,15 @@ def distinct_surrogates(words: Column, person: Column, salt: str) -> Column:
 
 
 def known_names(text: Column, fields: list[tuple[Column, str]], person: Column, salt: str, item: str = "patient_name",
-                ignore: list[str] | None = None, distinct: bool = False, surrogates: Column | None = None) -> Column:
+                ignore: list[str] | None = None, distinct: bool = False, surrogates: Column | None = None,
+                skew: float | None = None) -> Column:
     """Surrogates for the words (over two characters) of known names, wherever they
     stand as whole words.  fields: (value, layout).  One name has one surrogate.
 
     distinct: and different names of a row have different ones (see
     ``distinct_surrogates``).  surrogates: a map from lower-case words to names, from a
-    dictionary table; words that it lacks are treated as without it."""
+    dictionary table; words that it lacks are treated as without it.  skew (not with
+    distinct): names at the begin of the lists are taken oftener."""
     words = F.flatten(F.array(*[typed_words(v, layout, ignore or []) for v, layout in fields]))
     kept = F.filter(words, lambda w: (F.length(w["word"]) > 2) & w["kind"].isNotNull())
 
@@ -105,7 +107,7 @@ def known_names(text: Column, fields: list[tuple[Column, str]], person: Column,
 
         def by_hash(hit: Column) -> Column:
             kind = F.filter(names, lambda w: w["word"] == F.lower(hit))[0]["kind"]
-            return F.when(kind == "F", first_name(hit, person, salt)).otherwise(last_name(hit, person, salt))
+            return F.when(kind == "F", first_name(hit, person, salt, skew)).otherwise(last_name(hit, person, salt, skew))
 
         def found(new: Callable[[Column], Column]) -> Column:
             given = (lambda hit: F.coalesce(F.try_element_at(surrogates, F.lower(hit)), new(hit))) if surrogates is not None else new

@@ -83,11 +83,16 @@ class Job:
     external_specs: tuple[Spec, ...] = ()
     salt: str = "scrubline"
     person_field: str | None = None
+    #: Words that are no known values; None: the library's own list.
+    ignore_words: tuple[str, ...] | None = None
 
     @classmethod
     def of(cls, raw: dict, compat: bool = False) -> Job:
         if not isinstance(raw.get("spec", []), list):
             raise ConfigError("spec must be a list")
+        ignored = raw.get("ignoreWords")
+        if raw.get("ignoreWordsFile"):
+            ignored = [*_strings(ignored), *(x.strip() for x in Path(raw["ignoreWordsFile"]).read_text(encoding="utf-8").splitlines())]
         days, given = raw.get("dateJitterRange"), raw.get("googleDlpInfoTypes")
         specs = [Spec.of({"action": "keep"} | s, compat) for s in given if isinstance(s, dict)] if isinstance(given, list) else []
         names = [n.upper() for s in specs for n in s.info_types] or _strings(given)
@@ -97,6 +102,7 @@ class Job:
             bool(raw.get("analytic", True)), 30 if days is None else int(days), raw.get("dateJitterSeedField"), bool(raw.get("nerEnabled", False)),
             bool(raw.get("annotatorOutputEnabled", False)), bool(raw.get("googleDlpEnabled", False)), tuple(names),
             tuple(specs), str(raw.get("salt", "scrubline")), raw.get("personField"),
+            None if ignored is None else tuple(x.lower() for x in _strings(ignored)),
         )
 
     @property

@@ -29,6 +29,7 @@ class Plan:
         self.df, self.job, self.compat, self.year = df, job, compat, reference_year
         self.ner = (ner or GazetteerBackend()) if job.ner else None
         self.external = external if job.external else None
+        self.ignored = R.IGNORED_WORDS if job.ignore_words is None else list(job.ignore_words)
         self.person = F.col(job.person_field) if job.person_field in df.columns else F.lit("")
 
     def jitter(self, spec: Spec) -> Column:
@@ -70,7 +71,7 @@ class Plan:
             least = 1
             if a == "replace_minimumlengthword_with":
                 least = int(spec.params[1]) if len(spec.params) > 1 and spec.params[1].isdigit() else 3
-            known = tokens.token_set(given, R.IGNORED_WORDS, least, a == "replace_strictly_with")
+            known = tokens.token_set(given, self.ignored, least, a == "replace_strictly_with")
             return tokens.tokens(text, known, spec.item, first or merge.REMOVED)
         if a == "replace_ner_name":
             if self.ner is None:
@@ -80,9 +81,9 @@ class Plan:
         if a == "surrogate_name":
             given = [(F.col(f), spec.param_map.get("format", "L,F")) for f in spec.fields if f in df.columns]
             if given:
-                listed = spec.param_map.get("surrogates")
-                return names.known_names(text, given, self.person, salt, spec.item, R.IGNORED_WORDS, distinct=True,
-                                         surrogates=F.col(f"`{listed}`") if listed in df.columns else None)
+                listed, skew = spec.param_map.get("surrogates"), spec.param_map.get("skew")
+                return names.known_names(text, given, self.person, salt, spec.item, self.ignored, distinct=skew is None,
+                                         surrogates=F.col(f"`{listed}`") if listed in df.columns else None, skew=None if skew is None else float(skew))
             if self.ner is None:
                 return None
             return names.recognised_names(self.ner.persons(text), earlier, self.person, salt)

@@ -542,6 +542,19 @@ def _skewed(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", at.alias("at"))
 
 
+_SKEWED = ["'Seen '", NAME, "' with zork today'"]
+_SKEW_JOB = Job.of({"textFields": "note", "textIdFields": "note_id", "salt": SALT, "personField": "person", "ignoreWords": ["zork", "and"], "spec": [
+    {"itemName": "patient_name", "action": "surrogate_name", "actionParamMap": {"format": "L", "skew": "2"}, "fields": "pat_name"}]})
+_SKEW_AT = "least(floor({} * {} / 2.0::DOUBLE), 399)::BIGINT".format(*[x.replace("c_custkey::VARCHAR", "person").replace("c_name", "s1") for x in (_part("").format(n=400), _DEVIATE)])
+
+
+@register("skewed_names", f"WITH x AS ({_duck(segments_sql(_SKEWED, _PERSON))}) SELECT note_id::VARCHAR AS note_id, s0 || {_list(R.LAST_NAMES)}[{_SKEW_AT} + 1] || s2 AS text_deid FROM x")
+def _skewed_names(spark, sf_dir):
+    """Surrogates by popularity, and a list of words to leave alone, in a job."""
+    df = notes(spark, sf_dir, _SKEWED, _PERSON | {"pat_name": f"'Zork and ' || {NAME}"})
+    return deidentify(df, _SKEW_JOB).select("note_id", F.col("TEXT_DEID_note").alias("text_deid"))
+
+
 _PLACES = ["'from '", "'Boston'", "' to '", "'Canada'", "' by '", "'Texas'"]
 _AT = lambda i: f"length({' || '.join(f's{j}' for j in range(i))})"
 

@@ -327,3 +327,15 @@ def test_inspection_goes_on(spark, tmp_path):
     assert got.count() == 60 and got.exceptAll(clean).count() == 0
     done = inspect_table(spark, f"{tmp_path}/in", "id string, note string", j, f"{tmp_path}/out", f"{tmp_path}/cp", 1)
     assert done.rows == 0
+
+
+# --- lists of a job
+
+def test_countries_and_ignored_words(spark, tmp_path):
+    assert len(addresses.country_names()) > 240 and {"Bolivia", "Fiji", "Canada", "Czechia"} <= set(addresses.country_names())
+    (tmp_path / "words.txt").write_text("Foo\n\nbar\n")
+    spec = {"itemName": "n", "action": "replace_with", "actionParam": "[N]", "fields": "name"}
+    rows = spark.createDataFrame([("1", "foo bar baz the", "Foo bar,baz the")], "id string, note string, name string")
+    assert deidentify(rows, job(spec, ignoreWordsFile=str(tmp_path / "words.txt"))).first().TEXT_DEID_note == "foo bar [N] [N]"
+    assert deidentify(rows, job(spec, ignoreWords="baz")).first().TEXT_DEID_note == "[N] [N] baz [N]"
+    assert deidentify(rows, job(spec)).first().TEXT_DEID_note == "[N] [N] [N] the"

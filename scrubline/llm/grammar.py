@@ -65,7 +65,10 @@ def replace_pairs(symbols: np.ndarray, last: np.ndarray, first: int, least: int
         at, code = at[often], code[often]
         if not len(at):
             break
-        own = count[code] * len(pairs) + code
+        # of pairs that are as frequent any may go first, so that of a passage that is repeated as a
+        # whole a third of the pairs goes in a round and not the last one alone
+        turn = np.random.default_rng(len(pairs)).permutation(len(pairs))
+        own = count[code] * len(pairs) + turn[code]
         rank[at] = own
         behind, ahead = rank[before[at]], rank[after[at]]
         taken = (behind <= own) & (ahead <= own)

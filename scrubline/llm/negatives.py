@@ -42,7 +42,7 @@ _NONE = np.iinfo(np.int64).min
 @dataclass
 class Index:
     centres: np.ndarray
-    radius: np.ndarray
+    radius: np.ndarray  # under 0: no row
     first: np.ndarray  # of each cluster: its first group
     pieces: np.ndarray  # and how many groups it is split over (else 1)
 
@@ -215,7 +215,7 @@ class Search:
         placed = rows.select("row", "id", "label", "anchor", "v").mapInArrow(
             assign, "row long, id long, label long, anchor boolean, cluster int, away double, v binary")
         self.placed = stored(placed, "placed")
-        radius, counts = np.zeros(k), np.zeros(k, np.int64)
+        radius, counts = np.full(k, -1.0), np.zeros(k, np.int64)
         for r in self.placed.groupBy("cluster").agg(F.max("away").alias("away"), F.count("*").alias("n")).collect():  # at most MAX_CLUSTERS
             radius[r.cluster], counts[r.cluster] = r.away, r.n
         size = int(min(MOST_GROUP, max(LEAST_GROUP, GROUP * math.sqrt(n))))
@@ -247,10 +247,10 @@ class Search:
                     for i, row in enumerate(rows):
                         if not start[i].any():
                             continue
-                        best = int(np.where(start[i], upper[i], -np.inf).argmax())
+                        best = int(filled[np.where(start[i], upper[i], -np.inf).argmax()])
                         home = index.groups_of(best, row)
                         if again:
-                            to = {int(index.first[c]) + p for c in np.flatnonzero(reached[i]).tolist() for p in range(int(index.pieces[c]))} - {home}
+                            to = {int(index.first[c]) + p for c in filled[reached[i]].tolist() for p in range(int(index.pieces[c]))} - {home}
                         else:
                             to = {home}
                         take += [i] * len(to)

@@ -339,3 +339,13 @@ def test_countries_and_ignored_words(spark, tmp_path):
     assert deidentify(rows, job(spec, ignoreWordsFile=str(tmp_path / "words.txt"))).first().TEXT_DEID_note == "foo bar [N] [N]"
     assert deidentify(rows, job(spec, ignoreWords="baz")).first().TEXT_DEID_note == "[N] [N] baz [N]"
     assert deidentify(rows, job(spec)).first().TEXT_DEID_note == "[N] [N] [N] the"
+
+
+def test_known_values_of_a_stream(spark, tmp_path):
+    spark.createDataFrame([("1", "p", "Ann Lee came"), ("2", None, "none")], "id string, person_id string, note string").write.parquet(f"{tmp_path}/in")
+    known = spark.createDataFrame([("p", "Lee")], "person_id string, pat_name string")
+    rows = readers.with_known(spark.readStream.schema("id string, person_id string, note string").parquet(f"{tmp_path}/in"), known)
+    j = job({"itemName": "n", "action": "replace_with", "actionParam": "[N]", "fields": "pat_name"})
+    q = deidentify(rows, j).writeStream.format("memory").queryName("known_stream").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert {r.id: r.TEXT_DEID_note for r in spark.table("known_stream").collect()} == {"1": "Ann [N] came", "2": "none"}

@@ -39,6 +39,15 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _HARD = re.compile(f"[^{_LETTERS}., \\t\\n\\x0b\\x0c\\r]|[.,]{{2}}")
 
 
+#: Every byte of Latin-1 that is no letter, white space or single mark, as 1.
+_MARKED = bytes(1 if _HARD.match(chr(c)) else c for c in range(256))
+_TWO_MARKS = re.compile(rb"[.,]{2,}")
+
+
+def _easy(text: str) -> list[str]:
+    return text.lower().replace(".", " . ").replace(",", " , ").split()
+
+
 class WordTokenizer:
     """Token ids of texts, word by word.
 
@@ -63,16 +72,24 @@ class WordTokenizer:
     def _parts(self, raw: bytes) -> list[str]:
         """Letter runs and marks in lower case, and hard words behind a blank, in order."""
         text = raw.decode()
-        if _HARD.search(text) is None:
-            return text.lower().replace(".", " . ").replace(",", " , ").split()
-        out = []
-        for word in raw.split():
-            word = word.decode()
-            if _HARD.search(word) is None:
-                out += word.lower().replace(".", " . ").replace(",", " , ").split()
-            else:
-                out.append(" " + word)
-        return out
+        try:
+            plain = text.encode("latin-1")
+        except UnicodeEncodeError:  # a character that is no single byte, so one word at least is hard
+            words, kind = raw.split(), "utf-8"
+            hard = [i for i, w in enumerate(words) if _HARD.search(w.decode())]
+        else:  # what makes a word hard becomes the byte 1, which is looked for faster than by a pattern
+            marked = _TWO_MARKS.sub(b"\1", plain.translate(_MARKED))
+            if 1 not in marked:
+                return _easy(text)
+            words, kind = plain.split(), "latin-1"
+            hard = [i for i, w in enumerate(marked.split()) if 1 in w]
+        out, at = [], 0
+        for i in hard:
+            if i > at:
+                out += _easy(b" ".join(words[at:i]).decode(kind))
+            out.append(" " + words[i].decode(kind))
+            at = i + 1
+        return out + _easy(b" ".join(words[at:]).decode(kind))
 
     def _learn(self, wanted: set[str]) -> None:
         if len(self.new) > self.most:

@@ -464,7 +464,7 @@ def _nested_service(texts: list[str]) -> list[list[tuple[int, int, str]]]:
     return [[(m.start(k), m.end(k), "SHOUT") for m in re.finditer(r"\b([A-Z]{3}) [A-Z]{3}\b", t) for k in (0, 1, 1)] for t in texts]
 
 
-@register("external_nested", "SELECT c_custkey, w AS word, s + p AS start_pos, count(*) * n AS n FROM (SELECT c_custkey, CASE WHEN c_custkey % 50 = 0 THEN 524000 ELSE 2 END AS s "
+@register("external_nested", "SELECT c_custkey, w AS word, (s + p)::BIGINT AS start_pos, (count(*) * n)::BIGINT AS n FROM (SELECT c_custkey, CASE WHEN c_custkey % 50 = 0 THEN 524000 ELSE 2 END AS s "
           "FROM customer), (VALUES ('ABC DEF', 0, 1), ('ABC', 0, 2), ('GHI JKL', 700, 1), ('GHI', 700, 2)) t(w, p, n) GROUP BY c_custkey, w, s + p, n")
 def _external_nested(spark, sf_dir):
     """Findings inside others and repeated ones are the same in short texts and in those that go out in pieces."""

@@ -97,7 +97,8 @@ def test_traversal_of_every_size():
         for path in paths:
             assert [(p, s.decode()) for p, s in walk.step()] == [(p, "".join(s)) for p, s in path]
             held = max(held, sum(len(level) for t in (*walk.existing, *walk.desired) for level in t.nodes))
-        assert held <= 2 * sum(8**t for _, t in walk.layers[:1]) * len(walk.layers) * 2 or layer == 3 or n > 64
+        # two subtrees a layer, whatever n is
+        assert held <= sum(2 * sum(8 ** (t - level) for level in range(b, t)) for b, t in walk.layers)
 
 
 def test_empty_table(spark, tmp_path):

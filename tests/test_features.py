@@ -104,9 +104,6 @@ def test_one_search_for_all_outputs(spark, tmp_path):
         seen.add(len(t))
         return t.str.len()
 
-    def detect(df, spec, text, earlier):
-        return F.transform(F.filter(find_spans(text, r"\bzz\w+", spec.item, "[Z]", "own-detector"), lambda f: counted(text) > 0), lambda f: f)
-
     register_action("find_zz", lambda df, spec, text, earlier: F.when(counted(text) > 0, find_spans(text, r"\bzz\w+", spec.item, "[Z]", "own-detector")))
     rows = spark.createDataFrame([(str(i), f"zz{i} mail a{i}@b.org" if i % 4 else None) for i in range(40)], "id string, note string")
     j = job({"itemName": "zed", "action": "find_zz"}, GENERAL, annotatorOutputEnabled=True)

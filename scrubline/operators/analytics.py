@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 EXTERNAL = "google-dlp"
@@ -68,19 +68,24 @@ def _of(values: Column, name: str) -> Column:
     return F.size(values) - F.size(F.array_remove(values, F.lit(name)))
 
 
-def measures(fields: Iterable[str], types: list[str], detectors: list[str]) -> list[Column]:
-    """Aggregates for ``DataFrame.observe`` over a result: counts by type (of the external
-    detector and of the others) and detector, counters, and the distributions.
+def observed(result: DataFrame, seen: Observation, fields: Iterable[str], types: list[str], detectors: list[str]) -> DataFrame:
+    """result, of which ``seen`` observes: counts by type (of the external detector and of
+    the others) and detector, counters, and the distributions.
 
     Names have to be given since a measure is one number; the totals tell whether
-    any is missing.  They are taken while the rows go by, so no second pass is made.
+    any is missing.  They are taken while the rows go by, so no second pass is made;
+    a finding's names are taken out of it once, into columns that go again.
     """
     out: list[Column] = []
-    of = [F.col(f"FINDING_{f}") for f in fields]
-    size = [(_size(f, True), _size(f, False)) for f in of]
-    own = [F.transform(F.filter(f, lambda x: x["found_by"] != EXTERNAL), lambda x: x["type"]) for f in of]
-    given = [F.transform(F.filter(f, lambda x: x["found_by"] == EXTERNAL), lambda x: x["type"]) for f in of]
-    by = [F.transform(f, lambda x: x["found_by"]) for f in of]
+    fields = list(fields)
+    names: dict[str, Column] = {}
+    for i, f in enumerate(fields):
+        found = F.col(f"FINDING_{f}")
+        names[f"__own{i}"] = F.transform(F.filter(found, lambda x: x["found_by"] != EXTERNAL), lambda x: x["type"])
+        names[f"__given{i}"] = F.transform(F.filter(found, lambda x: x["found_by"] == EXTERNAL), lambda x: x["type"])
+        names[f"__by{i}"] = F.transform(found, lambda x: x["found_by"])
+    own, given, by = ([F.col(f"__{kind}{i}") for i in range(len(fields))] for kind in ("own", "given", "by"))
+    size = [(F.coalesce(F.size(g), F.lit(0)), F.coalesce(F.size(o), F.lit(0))) for g, o in zip(given, own, strict=True)]
 
     def total(columns: list[Column], name: str) -> None:
         added = columns[0] if len(columns) == 1 else sum(columns[1:], columns[0])
@@ -99,7 +104,7 @@ def measures(fields: Iterable[str], types: list[str], detectors: list[str]) -> l
         each = [s[stage - 1] for s in size]
         out += [F.min(F.least(*each) if len(each) > 1 else each[0]).cast("long").alias(f"min{stage}"),
                 F.max(F.greatest(*each) if len(each) > 1 else each[0]).cast("long").alias(f"max{stage}")]
-    return out
+    return result.withColumns(names).observe(seen, *out).drop(*names)
 
 
 def counted(measured: dict, n_fields: int, types: list[str], detectors: list[str]) -> Counts:

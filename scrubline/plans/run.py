@@ -63,14 +63,14 @@ def run(notes: DataFrame, job: Job, path: str, files: bool = False, mode: str =
     types = names_of(job)
     seen = Observation()
     result = deidentify(notes, job, mode, **options)
-    write_jsonl(result.observe(seen, *analytics.measures(job.text_fields, types, DETECTORS)), path)
+    write_jsonl(analytics.observed(result, seen, job.text_fields, types, DETECTORS), path)
     counts = analytics.counted(seen.get, len(job.text_fields), types, DETECTORS)
     if not counts.complete:
         counts.types, counts.external, counts.detectors = _recounted(read_result(spark, path, job), job)
         counts.complete = True
     if job.analytic:
         for name, found in (("statsPhiType", counts.types), ("statsDlpPhiType", counts.external), ("statsPhiFoundBy", counts.detectors)):
-            write_stats(spark.createDataFrame(sorted(found.items()), "key string, count long"), path, name)
+            write_stats(spark.createDataFrame(sorted(found.items()), "key string, count long").coalesce(1), path, name)
     if files:
         back = read_result(spark, path, job)
         write_individual(back, path, job.text_fields[0], job.id_fields[0])

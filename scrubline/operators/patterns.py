@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -76,6 +77,22 @@ def general(text: Column, replacements: dict[str, str] | None = None, only_mappe
     return _listed(text, GENERAL, "deid-general", replacements or {}, only_mapped)
 
 
+#: Wider patterns first: what one of them has replaced is gone for the others.
+WIDE_FIRST = [("general-url", URL), ("general-email", EMAIL), ("general-phone", PHONE), ("general-ip", IPV6), ("general-ip", IPV4),
+              ("general-ssn", SSN), ("000000", DIGITS)]
+
+
+def rewritten(text: Column, replacements: dict[str, str] | None = None) -> Column:
+    """The text with one pattern replaced after the other, each in what the wider ones have left.
+
+    Where findings overlap, the part of a narrower one that sticks out stays; ``merge.splice`` leaves none.
+    """
+    for kind, pattern in WIDE_FIRST:
+        new = re.sub(r"([\\$])", r"\\\1", (replacements or {}).get(kind, f"[{kind}]"))
+        text = F.regexp_replace(text, EMAIL_BY_RUN, f"$1{new}") if pattern == EMAIL else F.regexp_replace(text, pattern, new)
+    return text
+
+
 def numbers(text: Column, replacements: dict[str, str] | None = None, only_mapped: bool = False) -> Column:
     """Account, order and accession numbers with their labels."""
     return _listed(text, NUMBERS, "deid-number-general", replacements or {}, only_mapped)

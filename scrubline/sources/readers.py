@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from scrubline.operators.skew import split_join
 
+#: Texts that a task searches.
+ROWS = 1 << 15
+
 
 def spread(scan: DataFrame) -> DataFrame:
     """A scan dealt out to all cores if it has fewer partitions than there are cores.
@@ -19,6 +22,19 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
+def dealt(rows: DataFrame, counted: DataFrame | None = None, each: int = ROWS) -> DataFrame:
+    """Rows dealt out evenly to all cores, in tasks of at most about ``each`` rows.
+
+    Patterns cost a hundred times the reading.  A scan's partitions say little: a row
+    group is read by one of them whole, a join's output is put together by bytes, and a
+    task of millions of short texts takes the longest.  counted: what gives the
+    number of rows if that is cheaper than counting rows themselves (the scan behind a join).
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    n = (rows if counted is None else counted).count()
+    return rows.repartition(max(cores, -(-n // each)))
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """One JSON object a line; with a schema nothing is inferred."""
     return (spark.read.schema(schema) if schema is not None else spark.read).json(path)

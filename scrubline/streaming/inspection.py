@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from scrubline.plans.config import Job
 from scrubline.plans.deidentify import inspect
+from scrubline.sources.readers import dealt
 
 
 @dataclass
@@ -24,7 +25,8 @@ def inspect_table(spark: SparkSession, source: str, schema: StructType | str, jo
                   on_batch: Callable[[int], None] | None = None, **options) -> Progress:
     """Writes the findings of all rows below source (Parquet) to ``target/batch=<n>``, and returns once all are through.
 
-    A batch is a number of the table's files.  The checkpoint knows which batches
+    A batch is a number of the table's files; its rows are dealt out to all cores, however few
+    the files are.  The checkpoint knows which batches
     are through; a batch that was cut off is done anew and overwrites its own folder,
     so that the findings are those of one clean run, however often it was stopped.
     New files in source are taken by the next call.  on_batch is called with a
@@ -32,7 +34,7 @@ def inspect_table(spark: SparkSession, source: str, schema: StructType | str, jo
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        inspect(batch, job, **options).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
+        inspect(dealt(batch), job, **options).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
         if on_batch is not None:
             on_batch(number)
 

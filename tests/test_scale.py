@@ -1,8 +1,13 @@
 """What shows in larger tables only, on small ones with such rows."""
 
 import duckdb
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from scrubline.operators import names
+from scrubline.plans.config import Job
+from scrubline.sources.readers import dealt
+from scrubline.streaming.inspection import inspect_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,3 +45,18 @@ def test_named_files_of_long_keys(spark, tmp_path):
     sf = copied(spark, tmp_path, customer="SELECT c_custkey + 99990 AS c_custkey FROM customer WHERE c_custkey < 40 AND (c_custkey + 99990) % 9 <> 3")
     df = entry.queries()["sink_names"](spark, sf)
     assert rows_of(df) == oracle("sink_names", df.columns, customer=sf)
+
+
+def test_a_batch_of_one_file_is_dealt_out(spark, tmp_path):
+    """A batch of one row group is searched by as many tasks as there are cores."""
+    spark.range(4000).selectExpr("id", "'mail a@b.org ' || id AS note").coalesce(1).write.parquet(f"{tmp_path}/in")
+    job = Job.of({"textFields": "note", "textIdFields": "id", "spec": [{"itemName": "contact", "action": "general", "actionParamMap": {"general-email": "[E]"}, "actionParam": "include-types-in-map-only"}]})
+    done = inspect_table(spark, f"{tmp_path}/in", "id long, note string", job, f"{tmp_path}/out", f"{tmp_path}/ck", files_a_batch=1)
+    found = spark.read.parquet(f"{tmp_path}/out/batch=0")
+    assert done.batches == 1 and found.count() == 4000 and len(found.inputFiles()) == spark.sparkContext.defaultParallelism
+
+
+def test_a_join_is_dealt_out_by_rows(spark):
+    rows = spark.range(1000).coalesce(1)
+    assert dealt(rows, each=100).rdd.getNumPartitions() == 10 and dealt(rows).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert min(dealt(rows, each=100).rdd.glom().map(len).collect()) > 50

@@ -61,10 +61,17 @@ def permuted(i: Column, n: int, key: Column, rounds: int = 4, walk: int = 24) ->
                 l = (l + F.pmod(F.xxhash64(F.lit(k), key, r), F.lit(a))) % a  # noqa: E741
         return l * b + r
 
-    # the state is a number, so that each step is computed once
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(walk)), F.struct(i.cast("long").alias("x"), F.lit(False).alias("done")), lambda s, _: F.when(
-        s["done"], s).otherwise(F.transform(F.array(mixed(s["x"])), lambda y: F.struct(y.alias("x"), (y < n).alias("done")))[0]))
-    return F.transform(F.array(walked), lambda s: F.when(s["done"], s["x"]))[0]
+    once = mixed(i.cast("long"))
+    if a * b == n:
+        return once
+
+    # the state is a number, so that each step is computed once; the first one settles nearly all
+    def on(x: Column) -> Column:
+        walked = F.aggregate(F.sequence(F.lit(2), F.lit(walk)), F.struct(x.alias("x"), F.lit(False).alias("done")), lambda s, _: F.when(
+            s["done"], s).otherwise(F.transform(F.array(mixed(s["x"])), lambda y: F.struct(y.alias("x"), (y < n).alias("done")))[0]))
+        return F.transform(F.array(walked), lambda s: F.when(s["done"], s["x"]))[0]
+
+    return F.transform(F.array(once), lambda x: F.when(x < n, x).otherwise(on(x)))[0]
 
 
 def pick(options: list[str], index: Column, avoid: Column) -> Column:

@@ -47,6 +47,18 @@ def test_named_files_of_long_keys(spark, tmp_path):
     assert rows_of(df) == oracle("sink_names", df.columns, customer=sf)
 
 
+def test_surrogates_once_a_person(spark):
+    """Taken once a person and joined, findings are those of each note by itself."""
+    rows = [(i, p, f"{'ZuA' if p % 2 else 'Xa-Zed'} met EDGAR and Kim{p}, not zuab", "ZUA,Edgar Quill" if p % 2 else "Zed,Nora Xa", f"Kim{p} Thorn") for i, p in enumerate([1, 2, 1, 3, 3])]
+    df = spark.createDataFrame([*rows, (9, 4, "Kim", None, "")], "id int, person int, note string, full string, kin string")
+    fields, person = [(F.col("full"), "L,F"), (F.col("kin"), "F,L")], F.col("person")
+    whole = df.select("id", names.known_names(F.col("note"), fields, person, "s", distinct=True).alias("f"))
+    persons = df.select("person", "full", "kin").distinct().withColumn("known", names.known_of_person(fields, person, "s"))
+    joined = df.join(persons.select("person", "known"), "person").select("id", names.placed(F.col("note"), F.col("known")).alias("f"))
+    got = rows_of(joined)
+    assert got == rows_of(whole) and sum(len(f) for _, f in got) == 14
+
+
 def test_a_batch_of_one_file_is_dealt_out(spark, tmp_path):
     """A batch of one row group is searched by as many tasks as there are cores."""
     spark.range(4000).selectExpr("id", "'mail a@b.org ' || id AS note").coalesce(1).write.parquet(f"{tmp_path}/in")

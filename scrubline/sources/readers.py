@@ -32,7 +32,7 @@ def dealt(rows: DataFrame, counted: DataFrame | None = None, each: int = ROWS) -
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
     n = (rows if counted is None else counted).count()
-    return rows.repartition(max(cores, -(-n // each)))
+    return rows.repartition(cores * max(1, -(-n // (cores * each))))  # no wave of tasks leaves cores idle
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

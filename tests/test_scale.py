@@ -70,5 +70,5 @@ def test_a_batch_of_one_file_is_dealt_out(spark, tmp_path):
 
 def test_a_join_is_dealt_out_by_rows(spark):
     rows = spark.range(1000).coalesce(1)
-    assert dealt(rows, each=100).rdd.getNumPartitions() == 10 and dealt(rows).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert dealt(rows, each=100).rdd.getNumPartitions() == 12 and dealt(rows).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert min(dealt(rows, each=100).rdd.glom().map(len).collect()) > 50

@@ -27,6 +27,7 @@ def valid(findings: Column, text: Column) -> Column:
 def clusters(findings: Column) -> Column:
     """Disjoint (start, end, best, replacement) in order; the longest member gives the
     replacement, of equals the first by start, then by order in the list."""
+    none = F.array().cast(f"array<{_CLUSTER}>")
     keyed = F.transform(findings, lambda f, i: F.struct(
         f["start"].alias("start"), (f["start"] - f["end"]).alias("minus"), i.alias("i"), f["end"].alias("end"),
         F.coalesce(f["replacement"], F.lit(REMOVED)).alias("replacement")))
@@ -39,14 +40,19 @@ def clusters(findings: Column) -> Column:
             F.when(longer, f["replacement"]).otherwise(last["replacement"]).alias("replacement"))
         own = F.struct(f["start"].alias("start"), f["end"].alias("end"), size.alias("best"), f["replacement"].alias("replacement"))
         meets = last["end"] > f["start"]  # null before the first
-        out = F.when(last.isNull() | meets, F.array().cast(f"array<{_CLUSTER}>")).otherwise(F.array(last))
+        out = F.when(last.isNull() | meets, none).otherwise(F.array(last))
         return F.when(meets, wider).otherwise(own), out
 
     def end(last: Column, out: Column) -> Column:
         return F.when(last.isNull(), out).otherwise(F.concat(out, F.array(last)))
 
-    found = let(F.array_sort(keyed), lambda x: walk(x, F.lit(None), _CLUSTER, _CLUSTER, step, end))
-    return F.when(F.size(findings) > 0, found).otherwise(F.array().cast(f"array<{_CLUSTER}>"))
+    def apart(x: Column) -> Column:
+        """Findings by start, none of which meets the next, are clusters of their own."""
+        own = F.transform(x, lambda f: F.struct(f["start"].alias("start"), f["end"].alias("end"), (-f["minus"]).alias("best"), f["replacement"].alias("replacement")))
+        meet = F.exists(F.sequence(F.lit(2), F.size(x)), lambda k: F.element_at(x, k - 1)["end"] > F.element_at(x, k)["start"])
+        return F.when(F.size(x) == 1, own).when(~meet, own).otherwise(walk(x, F.lit(None), _CLUSTER, _CLUSTER, step, end))
+
+    return F.when(F.size(findings) > 0, let(F.sort_array(keyed), apart)).otherwise(none)
 
 
 def splice_safe(text: Column, findings: Column) -> Column:
@@ -69,9 +75,15 @@ def splice_safe(text: Column, findings: Column) -> Column:
 
         return let(own, join)
 
+    def few(all_: Column) -> Column:
+        def piece(c: Column, k: Column) -> Column:
+            return F.concat(F.substring(text, upto(all_, k) + 1, c["start"] - upto(all_, k)), c["replacement"])
+
+        return F.array_join(F.transform(all_, piece), "")
+
     def whole(all_: Column) -> Column:
         starts = F.sequence(F.lit(0), F.size(all_) - 1, F.lit(BLOCK))
-        parts = F.array_join(F.transform(starts, lambda i: one_block(all_, i)), "")
+        parts = F.when(F.size(all_) <= BLOCK, few(all_)).otherwise(F.array_join(F.transform(starts, lambda i: one_block(all_, i)), ""))
         rest = F.substring(text, F.element_at(all_, -1)["end"] + 1, F.length(text))
         return F.when(F.size(all_) > 0, F.concat(parts, rest)).otherwise(text)
 
@@ -80,9 +92,9 @@ def splice_safe(text: Column, findings: Column) -> Column:
 
 def by_end(findings: Column) -> Column:
     """Findings from the last end to the first; at equal ends the larger replacement first, null last."""
-    # sorted the other way round by plain order, which needs no comparing function
+    # by plain order, which needs no comparing function
     keyed = F.transform(findings, lambda f, i: F.struct(f["end"].alias("end"), f["replacement"].alias("replacement"), (-i).alias("i"), f.alias("f")))
-    return F.transform(F.reverse(F.array_sort(keyed)), lambda x: x["f"])
+    return F.transform(F.sort_array(keyed, asc=False), lambda x: x["f"])
 
 
 _WALK = "struct<out:string,first:int,last:int>"

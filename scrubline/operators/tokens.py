@@ -17,8 +17,7 @@ def token_set(values: list[Column], ignore: list[str] | None = None, min_length:
     parts = F.split(text, "[ ,-]+" if strict else "[ ,]+")
     kept = F.filter(parts, lambda t: (F.length(t) >= max(1, min_length)) & (t != "null"))
     if ignore and not strict:
-        words = F.array(*[F.lit(w.lower()) for w in ignore])
-        kept = F.filter(kept, lambda t: ~F.array_contains(words, t))
+        kept = F.filter(kept, lambda t: ~t.isin([w.lower() for w in ignore]))
     return F.array_distinct(kept)
 
 

@@ -237,3 +237,51 @@ def test_guards_are_implied():
                     hits += 1
                     assert re.search(g, text), (p.pattern, text)
     assert hits > 3000
+
+
+def test_guards_let_usual_texts_go():
+    """A full date tries no form of short or leading years, a phone number no chart number."""
+    import re
+
+    text = "Call 650-555-1234 on 05/26/1997, host 10.2.3"
+    tried = {i for of, g in dates.GUARDS.items() if re.search(g, text) for i in of}
+    assert tried == {3, 7}
+    assert [p for p in patterns.MRN if re.search(patterns.GUARDS[p], text)] == []
+    assert [p for p in (patterns.PHONE, patterns.IPV4, patterns.AGE) if re.search(patterns.GUARDS[p], text)] == [patterns.PHONE]
+    for short in ("05/26/19", "5-26-97 ", "05/26/1910:30", "05/26/199:30"):
+        assert {4, 5} <= {i for of, g in dates.GUARDS.items() if re.search(g, short) for i in of}
+
+
+def test_one_date_beside_earlier_findings(spark):
+    """A lone date stays unless it starts in an earlier finding with a replacement."""
+    def earlier(start: int, end: int, new: str | None):
+        return F.array(F.struct(F.lit("x").alias("word"), F.lit(start).alias("start"), F.lit(end).alias("end"), F.lit("k").alias("type"),
+                                F.lit(new).cast("string").alias("replacement"), F.lit("b").alias("found_by")))
+
+    for given, n in (((0, 2, "[K]"), 1), ((0, 3, "[K]"), 0), ((4, 9, "[K]"), 1), ((0, 20, None), 1)):
+        (fs,) = found(spark, ["on 05/26/1997 x"], lambda t: dates.dates(t, F.lit(1), reference_year=2024, earlier=earlier(*given)))
+        assert [f.replacement for f in fs] == ["05/27/1997"] * n, given
+
+
+def test_clusters_of_any_findings(spark):
+    """Apart, touching or overlapping: the same as characters painted one by one."""
+    import random
+
+    r = random.Random(7)
+    rows = [[(s, s + r.randint(1, 4 if k % 2 else 2), f"[{i}]") for i, s in enumerate(r.choices(range(30), k=r.randint(1, 6)))] for k in range(300)]
+    df = spark.createDataFrame([("abcdefghijklmnopqrstuvwxyz0123456789", x) for x in rows], "t string, f array<struct<start:int,end:int,replacement:string>>")
+    given = F.transform("f", lambda f: F.struct(F.lit("").alias("word"), f["start"].alias("start"), f["end"].alias("end"), F.lit("k").alias("type"),
+                                                f["replacement"].alias("replacement"), F.lit("b").alias("found_by")))
+    for row in df.select("t", "f", merge.splice(F.col("t"), given).alias("new")).collect():
+        groups: list[list] = []
+        for s, e, i in sorted((f.start, f.end, i) for i, f in enumerate(row.f)):
+            if groups and s < groups[-1][1]:
+                groups[-1][1] = max(groups[-1][1], e)
+                groups[-1][2].append(i)
+            else:
+                groups.append([s, e, [i]])
+        out, at = "", 0
+        for s, e, members in groups:
+            best = min(members, key=lambda i: (row.f[i].start - row.f[i].end, row.f[i].start, i))
+            out, at = out + row.t[at:s] + row.f[best].replacement, e
+        assert row.new == out + row.t[at:]

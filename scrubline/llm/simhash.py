@@ -239,6 +239,19 @@ def verified(met: DataFrame, radius: int = RADIUS, block: int = BLOCK, fps: tupl
     return ordered.mapInArrow(tasks, "a long, b long")
 
 
+def thinned(edges: DataFrame) -> DataFrame:
+    """Edges ``(a, b)`` of verified() that connect the same with about one for each b.
+
+    A rep has an edge to the least one of every bucket where it is linked, so a large
+    group has as many for each of its members as they meet in buckets.  Here each rep
+    keeps the least of these, which takes the others over; most of those are the
+    same for all members.  An array holds no more than the meetings of one rep.
+    """
+    each = edges.groupBy("b").agg(F.sort_array(F.collect_set("a")).alias("to"))
+    ends = F.concat(F.slice("to", 2, F.size("to")), F.array("b"))
+    return each.select(F.col("to")[0].alias("a"), F.explode(ends).alias("b")).distinct()
+
+
 def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """``(doc_id, fp, component_id)``, a row for each row of df.
 
@@ -254,7 +267,7 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     n = known.count()
     sample = known.select("fp").orderBy(F.xxhash64("fp")).limit(SAMPLE).toArrow()["fp"].to_numpy() if n else np.zeros(0, np.int64)
     if n > 1:
-        groups = components(verified(buckets(known, plan(sample, n, radius)), radius))
+        groups = components(thinned(verified(buckets(known, plan(sample, n, radius)), radius)))
         linked = unique.join(groups, unique.rep == groups.id, "left").select(
             F.col("fp").alias("__fp"), F.coalesce("component", "rep").alias("component_id")
         )
@@ -344,13 +357,13 @@ def similar_texts(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
             k["part"].alias("part"), k["key"].alias("key"), F.col("fps")[(w + 1) % WORDS].alias("f1"), F.col("fps")[(w + 2) % WORDS].alias("f2"))))
         parts += len(partitions)
     met = known.select("rep", F.explode(F.flatten(F.array(*met))).alias("at")).select("rep", "at.part", "at.key", "at.f1", "at.f2")
-    near = stored(components(verified(met, APART, fps=("f1", "f2"))), "near")
+    near = stored(components(thinned(verified(met, APART, fps=("f1", "f2")))), "near")
     sizes = near.groupBy("component").agg(F.ceil(F.count("*") / block).alias("blocks")).select(F.col("component").alias("__c"), "blocks")
     sized = near.join(sizes, near.component == F.col("__c")).select("id", "component", "blocks")
     asked = unique.join(sized, unique.rep == sized.id).select(F.col("rep").alias("key"), "component", "blocks", "__i", "__t")
     asked = stored(asked, "asked")
     texts = rows.join(asked, rows.doc_id.eqNullSafe(F.col("__i")) & (rows.t == F.col("__t")))
-    linked = stored(components(similar.verified(similar.sets_of(texts, shingle), similarity)), "linked")
+    linked = stored(components(thinned(similar.verified(similar.sets_of(texts, shingle), similarity))), "linked")
     return found.select("doc_id", "t", "key"), linked
 
 

@@ -107,3 +107,26 @@ def test_survivors_by_id_and_text(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t), 1, "c") for i, t in texts], DOCS)
     kept = pipeline.drop_near_duplicates(spark, docs, "").collect()
     assert collections.Counter((r.doc_id, r.text) for r in kept) == collections.Counter([(1, a), (7, b), (7, c), (None, "none of these")])
+
+
+def test_large_family_has_few_edges(spark, monkeypatch):
+    """Members of a large family meet in many buckets; what is connected from these is about one edge a member."""
+    import random
+
+    from scrubline.llm import simhash
+
+    r, seen = random.Random(3), []
+    words = [f"w{k}" for k in range(120)]
+    texts = [" ".join(w if r.random() > 0.01 else f"x{r.randint(0, 10**6)}" for w in words) for _ in range(400)]
+    real = simhash.components
+
+    def counted(edges, *rest):
+        seen.append(edges.distinct().count())
+        return real(edges, *rest)
+
+    monkeypatch.setattr(simhash, "components", counted)
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    _, linked = simhash.similar_texts(docs)
+    assert linked.select("component").distinct().count() == 1
+    n = linked.count()
+    assert n > 200 and all(e < 1.5 * n for e in seen), (n, seen)

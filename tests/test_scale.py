@@ -1,10 +1,13 @@
 """What shows in larger tables only, on small ones with such rows."""
 
+import re
+
 import duckdb
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from scrubline.operators import names
+from scrubline.functions.spans import MARK
+from scrubline.operators import addresses, names
 from scrubline.plans.config import Job
 from scrubline.sources.readers import dealt
 from scrubline.streaming.inspection import inspect_table
@@ -72,3 +75,20 @@ def test_a_join_is_dealt_out_by_rows(spark):
     rows = spark.range(1000).coalesce(1)
     assert dealt(rows, each=100).rdd.getNumPartitions() == 12 and dealt(rows).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert min(dealt(rows, each=100).rdd.glom().map(len).collect()) > 50
+
+
+def test_an_address_is_matched_once(spark):
+    """The grammar stands in the plan once, and its parts are those of each group by itself."""
+    texts = ["12 N Elm St, Apt 4, Salem, Ohio 44460-1234", "PO Box 77, Troy, NY", "Boston, MA 02110\n", "Boston, MA 02110 ", "9 Old Mill Road, New York", "", " ", None,
+             f"{MARK}Boston", f"Troy{MARK}, NY", MARK, "no address; at all", "7b West Quarry Ln.", "12 Foo Bar, Troy"]
+    df = spark.createDataFrame([(t,) for t in texts], "a string").repartition(1)
+    got = df.select("a", addresses.parts_of(F.col("a")).alias("p"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall("regexp_(?:replace|extract)", plan)) == 1
+
+    def alone(groups):
+        return F.coalesce(*[F.when((x := F.regexp_extract("a", addresses._GRAMMAR, g)) != "", x) for g in groups], F.lit(None).cast("string"))
+
+    each = df.select("a", F.struct(*[alone(g).alias(n) for n, g in addresses._GROUPS.items()]).alias("p"))
+    assert got.collect() == each.collect()
+    assert got.where("p.city = 'Boston' AND p.zip = '02110'").count() == 2

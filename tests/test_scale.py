@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from scrubline.functions.spans import MARK
-from scrubline.operators import addresses, names
+from scrubline.operators import addresses, names, tagger, terms
 from scrubline.plans.config import Job
 from scrubline.sources.readers import dealt
 from scrubline.streaming.inspection import inspect_table
@@ -92,3 +92,29 @@ def test_an_address_is_matched_once(spark):
     each = df.select("a", F.struct(*[alone(g).alias(n) for n, g in addresses._GROUPS.items()]).alias("p"))
     assert got.collect() == each.collect()
     assert got.where("p.city = 'Boston' AND p.zip = '02110'").count() == 2
+
+
+def test_terms_are_cut_without_spans(spark):
+    """A list may be longer than the notes: no spans are made of its terms, and no words go through the joins."""
+    given = ["Zox-Ab", "  nil ΟΔΟΣ,\nTAB ", "İx y", "", "--", None, "O'Neil’s Ward-3", "zox-ab"]
+    listed = terms.term_keys(spark.createDataFrame([(t,) for t in given], "term string"))
+    assert rows_of(listed) == sorted([("zox-ab", 1), ("nil οδος tab", 3), ("İx".lower() + " y", 2), ("o'neil’s ward-3", 2)])
+    assert "aggregate(" not in listed._jdf.queryExecution().optimizedPlan().toString().replace("Aggregate [", "")
+    notes = spark.createDataFrame([(1, "a ZOX-AB, nil\nΟΔΟΣ tab"), (2, None), (3, "")], "id int, note string")
+    got = terms.with_terms(notes, spark.createDataFrame([(t,) for t in given], "term string"), "note")
+    assert [[(f.word, f.start, f.end) for f in r.listed] for r in got.orderBy("id").collect()] == [[("ZOX-AB", 2, 8), ("nil\nΟΔΟΣ tab", 10, 22)], [], []]
+
+
+def test_a_tagger_reads_its_sample_once(spark):
+    """The rounds learn from rows that are kept, not from the query behind them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def asked(text):
+        seen.add(1)
+        return text
+
+    marked = spark.createDataFrame([(i, f"met Dr. Zed{i} here", [(4, 11 + len(str(i)), "PERSON")]) for i in range(40)],
+                                   "id int, text string, spans array<struct<start int, end int, label string>>")
+    tagger.learn(marked.withColumn("text", asked("text")), rounds=3)
+    assert seen.value <= 3 * 40  # to count them, to keep them and to tell nulls then; no more in any round

@@ -33,19 +33,20 @@ SEPARATOR = 0
 GROUP = 4096
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-#: Texts without a match are letter runs, white space and single marks.  Their
-#: letters are single code points that NFC keeps, and letter runs and marks are
-#: tokenised apart, so lower-case runs and marks can be looked up one by one.
-_HARD = re.compile(f"[^{_LETTERS}., \\t\\n\\x0b\\x0c\\r]|[.,]{{2}}")
-
-
-#: Every byte of Latin-1 that is no letter, white space or single mark, as 1.
+#: ASCII marks but for the apostrophe, with which some endings begin, and <, with which special tokens do.
+_MARKS = r"!-&(-/:;=-@\[-`{-~"
+#: Texts without a match are letter runs, digits, runs of marks and white space.  Their
+#: letters are single code points that NFC keeps, and letter runs, single digits and runs of
+#: marks are tokenised apart, so in lower case they can be looked up one by one.
+_HARD = re.compile(f"[^{_LETTERS}0-9{_MARKS} \\t\\n\\x0b\\x0c\\r]")
+_EASY = re.compile(f"[{_LETTERS}]+|[0-9]|[{_MARKS}]+")
+
+#: Every byte of Latin-1 that makes a text hard, as 1.
 _MARKED = bytes(1 if _HARD.match(chr(c)) else c for c in range(256))
-_TWO_MARKS = re.compile(rb"[.,]{2,}")
 
 
 def _easy(text: str) -> list[str]:
-    return text.lower().replace(".", " . ").replace(",", " , ").split()
+    return _EASY.findall(text.lower())
 
 
 class WordTokenizer:
@@ -65,12 +66,11 @@ class WordTokenizer:
         letters = [chr(c) for c in range(0xC0, 0x100)]
         self.shown = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
         self.most = most_words
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.new, self.old = _Words(self), {}
 
     def _parts(self, raw: bytes) -> list[str]:
-        """Letter runs and marks in lower case, and hard words behind a blank, in order."""
+        """Letter runs, digits and runs of marks in lower case, and hard words behind a blank, in order."""
         text = raw.decode()
         try:
             plain = text.encode("latin-1")
@@ -78,7 +78,7 @@ class WordTokenizer:
             words, kind = raw.split(), "utf-8"
             hard = [i for i, w in enumerate(words) if _HARD.search(w.decode())]
         else:  # what makes a word hard becomes the byte 1, which is looked for faster than by a pattern
-            marked = _TWO_MARKS.sub(b"\1", plain.translate(_MARKED))
+            marked = plain.translate(_MARKED)
             if 1 not in marked:
                 return _easy(text)
             words, kind = plain.split(), "latin-1"
@@ -91,28 +91,35 @@ class WordTokenizer:
             at = i + 1
         return out + _easy(b" ".join(words[at:]).decode(kind))
 
-    def _learn(self, wanted: set[str]) -> None:
-        if len(self.new) > self.most:
-            self.new, self.old = {}, self.new
-        hard, packed, model = [], self.packed, self.tokenizer.model
-        for w in wanted - self.new.keys():
-            if w in self.old:
-                self.new[w] = self.old[w]
-            elif w[0] == " ":
-                hard.append(w)
-            else:  # past the normaliser and the splitter, which would keep it as it is
-                found = model.tokenize(w if w.isascii() else w.translate(self.shown))
-                self.new[w] = b"".join([packed[t.id] for t in found])
-        if hard:
-            found = self.tokenizer.encode_batch([w[1:] for w in hard], add_special_tokens=False)
-            self.new.update((w, b"".join([packed[i] for i in e.ids])) for w, e in zip(hard, found, strict=True))
+    def learned(self, w: str) -> bytes:
+        """The ids of a part that is not among the new ones."""
+        if (found := self.old.get(w)) is not None:
+            return found
+        if w[0] == " ":
+            ids = self.tokenizer.encode(w[1:], add_special_tokens=False).ids
+        else:  # past the normaliser and the splitter, which would keep it as it is
+            ids = [t.id for t in self.tokenizer.model.tokenize(w if w.isascii() else w.translate(self.shown))]
+        return b"".join([self.packed[i] for i in ids])
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as little-endian unsigned 32-bit numbers."""
-        split = [self._parts(t) for t in texts]
-        self._learn(set().union(*split))
-        at = self.new.__getitem__
-        return [b"".join(map(at, s)) for s in split]
+        out = []
+        for t in texts:
+            if len(self.new) > self.most:
+                self.new, self.old = _Words(self), self.new
+            out.append(b"".join(map(self.new.__getitem__, self._parts(t))))
+        return out
+
+
+class _Words(dict):
+    """The ids of the parts that a tokeniser has met, learned when they are first asked for."""
+
+    def __init__(self, words: WordTokenizer):
+        self.words = words
+
+    def __missing__(self, w: str) -> bytes:
+        found = self[w] = self.words.learned(w)
+        return found
 
 
 _tokenizers: dict[str, WordTokenizer] = {}

@@ -681,3 +681,14 @@ def test_one_row_of_many_copies_is_cut(spark):
     got = collections.Counter((r.doc_id, r["__words"], r["__removed"], r["__known"]) for r in cut.select("doc_id", "__words", "__removed", "__known").collect())
     assert got == {(5, 40, 40, "x"): 100_000, (6, len(("only " + text[:60]).split()), 0, "y"): 1, (None, 40, 40, "z"): 1, (None, 0, 0, None): 1}
     assert {t.name for t in spark.catalog.listTables()} == before and cut.columns[:4] == ["doc_id", "text", "__known", "__row"]
+
+
+def test_marks_and_digits_are_looked_up():
+    """Runs of marks and single digits are parts of their own, as letter runs are; the ids are those of the whole text."""
+    t = packing.WordTokenizer(packing.vocabulary_path(), most_words=50)
+    assert t._parts(b"heat*** Re%%%,12x &") == ["heat", "***", "re", "%%%,", "1", "2", "x", "&"]
+    rng = np.random.default_rng(5)
+    signs = list("abTZ's''<|>.,!$%^`{}~-09 \t\n\x0b\x1c\x00\x7féßÀÿ×ªµ½\xa0\x85İΣ漢é​") + ["<|endoftext|>", "'ll", "heat***", " "]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 30))) for _ in range(3000)]
+    for text, got in zip(texts, t.ids([x.encode() for x in texts]), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == t.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)

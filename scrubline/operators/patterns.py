@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scrubline.functions.spans import find_spans, joined, none_found
+from scrubline.functions.spans import Kept, cut, find_spans, findings_of, joined, none_found
 
 # The patterns, types and detector names of the supported rules.
 PHONE = r"\b(\+\d{1,2}\s)?\(?\d{3}\)?[\s.-]?\d{3}[\s.-]\d{4}(\sext\s\d{1,5})?"
@@ -40,9 +40,8 @@ AGE_REPLACEMENT = "[90 year old]"
 _WORD = r"[\p{L}\p{Nd}_]"
 #: EMAIL in linear time.  A run without blanks holds at most one match, from its first word character
 #: to its last (with marks on it), if there is an @ behind the first and a dot, not right behind the
-#: first such @, before the last.  So each run is looked at once, from its begin; the second group is the match.
-#: A run without an @ is passed over by the lookahead, which costs less than the groups.
-EMAIL_BY_RUN = rf"(?<!\S)(?=\S*?@)([^\s\p{{L}}\p{{Nd}}_]*+)({_WORD}[^\s@]*+@\S[^\s.]*+\.\S*(?:[\p{{L}}\p{{Nd}}]\p{{Mn}}*+|_))"
+#: first such @, before the last.  So each run is looked at once, from the blank before it; the second group is the match.
+EMAIL_BY_RUN = rf"((?:\s|^)[^\s\p{{L}}\p{{Nd}}_]*+)({_WORD}[^\s@]*+@\S[^\s.]*+\.\S*(?:[\p{{L}}\p{{Nd}}]\p{{Mn}}*+|_))"
 
 #: What a text must have for a pattern to match, cheaper to look for than the pattern itself:
 #: a text without it costs no more.  A plain string is looked for as it is.
@@ -50,33 +49,47 @@ _NUMBER = "[0-9][0-9 -]*[0-9]"
 GUARDS = {
     PHONE: r"[0-9]{3}[\s.-][0-9]{4}", EMAIL: "@", IPV4: r"[0-9]\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]", IPV6: "(?i):(?:[a-f0-9]{1,4}:){6}[a-f0-9]", URL: "://",
     SSN: r"[0-9]{2}[\s.-][0-9]{4}", DIGITS: "[0-9]{6}", ACCOUNT: _NUMBER, ORDER: _NUMBER, ACCESSION: _NUMBER, MRN_LABELLED: "[Mm](?:[Rr]|[Ee][Dd])", HAR: ":",
-    AGE: r"(?:1[0-9]|9)[0-9][\s-]*[Yy]",
+    AGE: r"[0-9][0-9][\s-]*[Yy]",
 } | dict(zip((p for p in MRN if p != MRN_LABELLED), (
     "[0-9]{3}-[0-9]{2}-[0-9]{2}", "[0-9]{3}-[0-9]{2}-[0-9]{4}", "[0-9]{7}-[0-9]", "(?<![0-9])[0-9]{8}(?![0-9])", "[0-9]{2}-[0-9]{2}-[0-9]{2}", "[0-9]{10}"), strict=True))
 
 
-def find(text: Column, pattern: str, type_: str, replacement: str, found_by: str) -> Column:
+#: What a pattern's first character is, looked at before all else: a boundary costs more than a class.
+_FIRST = {PHONE: "[0-9(+]", MRN_LABELLED: "[Mm]", HAR: "[Hh]", AGE: "[19]", ACCOUNT: "[Aa]", ORDER: "[Oo]", ACCESSION: "[Aa]"} | {
+    p: "[0-9]" for p in (IPV4, SSN, DIGITS, *MRN) if p != MRN_LABELLED}
+#: What a text with 0 for each digit holds if the pattern's guard can match: looked for in bytes.
+_SHAPES = {DIGITS: "000000"} | dict(zip((p for p in MRN if p != MRN_LABELLED), (
+    "000-00-00", "000-00-0000", "0000000-0", "00000000", "00-00-00", "0000000000"), strict=True))
+
+
+def find(text: Column, pattern: str, type_: str, replacement: str, found_by: str, keep: Kept | None = None) -> Column:
+    """Findings of one pattern.  keep: projections that take what is computed once (see ``Kept``)."""
     guard = GUARDS[pattern]
-    here = F.contains(text, F.lit(guard)) if guard in ("@", "://", ":") else text.rlike(guard)
+    if keep is not None and pattern in _SHAPES:
+        here = F.contains(keep(0, F.regexp_replace(text, "[0-9]", "0")), F.lit(_SHAPES[pattern]))
+    else:
+        here = F.contains(text, F.lit(guard)) if guard in ("@", "://", ":") else text.rlike(guard)
     by_run = pattern == EMAIL
-    found = find_spans(text, EMAIL_BY_RUN if by_run else pattern, type_, replacement, found_by, behind=by_run)
-    return F.when(here, found).otherwise(none_found())
+    whole = EMAIL_BY_RUN if by_run else f"(?={_FIRST[pattern]}){pattern}" if pattern in _FIRST else pattern
+    if keep is not None:
+        return findings_of(*cut(text, whole, here, keep, behind=by_run), text, type_, replacement, found_by)
+    return F.when(here, find_spans(text, whole, type_, replacement, found_by, behind=by_run)).otherwise(none_found())
 
 
-def _listed(text: Column, rules: Iterable[tuple[str, str]], found_by: str, replacements: dict[str, str], only_mapped: bool) -> Column:
+def _listed(text: Column, rules: Iterable[tuple[str, str]], found_by: str, replacements: dict[str, str], only_mapped: bool, keep: Kept | None) -> Column:
     return joined(*[
-        find(text, pattern, kind, replacements.get(kind, f"[{kind}]"), found_by)
+        find(text, pattern, kind, replacements.get(kind, f"[{kind}]"), found_by, keep)
         for kind, pattern in rules
         if not only_mapped or kind in replacements
     ])
 
 
-def general(text: Column, replacements: dict[str, str] | None = None, only_mapped: bool = False) -> Column:
+def general(text: Column, replacements: dict[str, str] | None = None, only_mapped: bool = False, keep: Kept | None = None) -> Column:
     """Phones, e-mails, IP addresses, URLs, social security numbers and long numbers.
 
     replacements by type, else ``[type]``; only_mapped: just the types that have one.
     """
-    return _listed(text, GENERAL, "deid-general", replacements or {}, only_mapped)
+    return _listed(text, GENERAL, "deid-general", replacements or {}, only_mapped, keep)
 
 
 #: Wider patterns first: what one of them has replaced is gone for the others.
@@ -95,21 +108,21 @@ def rewritten(text: Column, replacements: dict[str, str] | None = None) -> Colum
     return text
 
 
-def numbers(text: Column, replacements: dict[str, str] | None = None, only_mapped: bool = False) -> Column:
+def numbers(text: Column, replacements: dict[str, str] | None = None, only_mapped: bool = False, keep: Kept | None = None) -> Column:
     """Account, order and accession numbers with their labels."""
-    return _listed(text, NUMBERS, "deid-number-general", replacements or {}, only_mapped)
+    return _listed(text, NUMBERS, "deid-number-general", replacements or {}, only_mapped, keep)
 
 
-def mrn(text: Column, item: str = "mrn", replacement: str = "[MRN]") -> Column:
+def mrn(text: Column, item: str = "mrn", replacement: str = "[MRN]", keep: Kept | None = None) -> Column:
     """Medical record numbers, bare or labelled."""
-    return joined(*[find(text, p, item, replacement, "deid-mrn") for p in MRN])
+    return joined(*[find(text, p, item, replacement, "deid-mrn", keep) for p in MRN])
 
 
-def har(text: Column, item: str = "har", replacement: str = HAR_REPLACEMENT) -> Column:
+def har(text: Column, item: str = "har", replacement: str = HAR_REPLACEMENT, keep: Kept | None = None) -> Column:
     """Hospital account numbers behind their label."""
-    return find(text, HAR, item, replacement, "deid-harNum")
+    return find(text, HAR, item, replacement, "deid-harNum", keep)
 
 
-def age(text: Column, item: str = "age", replacement: str = AGE_REPLACEMENT) -> Column:
+def age(text: Column, item: str = "age", replacement: str = AGE_REPLACEMENT, keep: Kept | None = None) -> Column:
     """Ages of 90 and over."""
-    return find(text, AGE, item, replacement, "deid-age")
+    return find(text, AGE, item, replacement, "deid-age", keep)

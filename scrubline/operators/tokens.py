@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scrubline.functions.spans import find_spans, let, none_found
+from scrubline.functions.spans import Kept, cut, find_spans, findings_of, let, none_found
 
 FOUND_BY = "deid-token"
 
@@ -24,16 +24,28 @@ def token_set(values: list[Column], ignore: list[str] | None = None, min_length:
 def token_pattern(tokens: Column) -> Column:
     """Any of the tokens (over one character) as whole words in any case: a dash stands
     for any character and blanks for white space.  Null where none is left."""
-    long = F.filter(tokens, lambda t: F.length(t) > 1)
-    ordered = F.array_sort(long, lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
-    quoted = F.transform(ordered, lambda t: F.regexp_replace(
-        F.replace(F.regexp_replace(t, r"([^\p{L}\p{N}\s-])", r"\\$1"), F.lit("-"), F.lit(".")), r"\s+", r"\\s"))
+    return _any_of(F.filter(tokens, lambda t: F.length(t) > 1))
+
+
+def _any_of(long: Column) -> Column:
+    # by plain order, which needs no comparing function: longer ones first, then by bytes
+    keyed = F.transform(long, lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))
+    quoted = F.transform(F.sort_array(keyed), lambda x: _quoted(x["t"]))
     return F.when(F.size(long) > 0, F.concat(F.lit(r"(?i)\b("), F.array_join(quoted, "|"), F.lit(r")\b")))
 
 
-def tokens(text: Column, found: Column, item: str, replacement: str = "[REMOVED]") -> Column:
+def _quoted(t: Column) -> Column:
+    return F.regexp_replace(F.replace(F.regexp_replace(t, r"([^\p{L}\p{N}\s-])", r"\\$1"), F.lit("-"), F.lit(".")), r"\s+", r"\\s")
+
+
+def tokens(text: Column, found: Column, item: str, replacement: str = "[REMOVED]", keep: Kept | None = None) -> Column:
     """All places of the tokens.  Rows without tokens cost no regex."""
     def use(pattern: Column) -> Column:
         return F.when(pattern.isNotNull(), find_spans(text, pattern, item, replacement, FOUND_BY)).otherwise(none_found())
 
-    return let(token_pattern(found), use)
+    if keep is None:
+        return let(token_pattern(found), use)
+    long = keep(1, F.filter(keep(0, found), lambda t: F.length(t) > 1))
+    one = F.concat(F.lit(r"(?i)\b("), _quoted(long[0]), F.lit(r")\b"))
+    pattern = keep(2, F.when(F.size(long) == 1, one).otherwise(_any_of(long)))
+    return findings_of(*cut(text, pattern, pattern.isNotNull(), keep, 3), text, item, replacement, FOUND_BY)

@@ -6,9 +6,11 @@ import duckdb
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from scrubline.functions.spans import MARK
-from scrubline.operators import addresses, names, tagger, terms
+from scrubline import resources as R
+from scrubline.functions.spans import MARK, joined
+from scrubline.operators import addresses, dates, names, patterns, tagger, terms, tokens
 from scrubline.plans.config import Job
+from scrubline.plans.deidentify import with_findings
 from scrubline.sources.readers import dealt
 from scrubline.streaming.inspection import inspect_table
 
@@ -118,3 +120,33 @@ def test_a_tagger_reads_its_sample_once(spark):
                                    "id int, text string, spans array<struct<start int, end int, label string>>")
     tagger.learn(marked.withColumn("text", asked("text")), rounds=3)
     assert seen.value <= 3 * 40  # to count them, to keep them and to tell nulls then; no more in any round
+
+
+def test_kept_findings_are_those_of_the_detectors(spark):
+    """What a job computes in projections of their own is what the detectors give in one expression."""
+    texts = ["Seen 05/11/1998 and 5-Mar-2001, March 5, 2001 14:02", "a@b.org 650-555-1234 c@d.org", f"{MARK}05/11/1998{MARK} x@y.org MRN: 00123456{MARK}", "", None,
+             "chart 12345678, 123-45-6789 a 91 year old, HAR : 77, 10.1.2.3", "Zed met zed and AB-1, 11/1998", "4-jan-2019 4-NOT 12/2019 20190405 201904051200", "on 06/04/80 x"]
+    rows = [(i, t, "Zed,Qu" if i % 2 else "AB-1", i % 3) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id int, t string, name string, jitter int")
+    contact, record = {"general-phone": "[P]", "general-email": "[E]", "000000": "[D]"}, [
+        {"itemName": "m", "action": "remove_mrn"}, {"itemName": "a", "action": "remove_age"}, {"itemName": "h", "action": "replace_har"}]
+    job = Job.of({"textFields": "t", "textIdFields": "id", "spec": [
+        {"itemName": "c", "action": "general", "actionParamMap": contact}, *record,
+        {"itemName": "n", "action": "replace_with", "actionParam": "[N]", "fields": "name"},
+        {"itemName": "d", "action": "jitter_date_from_field", "actionParam": "[D]", "fields": "jitter"}]})
+    got = with_findings(df, job, "t", "f", reference_year=2024)
+    t = F.col("t")
+    before = joined(patterns.general(t, contact), patterns.mrn(t, "m"), patterns.age(t, "a"), patterns.har(t, "h"),
+                    tokens.tokens(t, tokens.token_set([F.col("name")], R.IGNORED_WORDS), "n", "[N]"))
+    plain = df.withColumn("b", before).withColumn("f", F.concat("b", dates.dates(t, F.col("jitter"), None, "d", "[D]", F.col("b"), 2024)))
+    plain = plain.select("id", F.when(F.length("t") > 0, F.col("f")).alias("f"))
+    assert {r.id: r.f for r in got.select("id", "f").collect()} == {r.id: r.f for r in plain.collect()}
+    assert set(got.columns) == {*df.columns, "f"}
+
+
+def test_patterns_are_searched_outside_of_lambdas(spark):
+    """A lambda is interpreted: no step of the jobs on notes searches a text in one."""
+    for name in ("annotator_labels", "deid_notes"):
+        plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        searches = [column for column in re.split(r" AS \w+#\d+", plan) if f"{MARK}$0{MARK}" in column]
+        assert searches and not [column for column in searches if "lambdafunction" in column]

@@ -51,8 +51,8 @@ def annotations(result: DataFrame, text_field: str = "note", id_field: str = "id
     """``(id, text, label)``: label is an array of [start, end, name] (start and end as
     text there), one for each place, in order: the last finding of a place wins."""
     found = F.coalesce(F.col(f"FINDING_{text_field}"), F.array().cast(result.schema[f"FINDING_{text_field}"].dataType))
-    # by place, the last of each first
-    placed = F.array_sort(F.transform(found, lambda f, i: F.struct(f["start"].alias("start"), f["end"].alias("end"), (-i).alias("i"), f["type"].alias("type"))))
+    # by place, the last of each first; by plain order, which needs no comparing function
+    placed = F.sort_array(F.transform(found, lambda f, i: F.struct(f["start"].alias("start"), f["end"].alias("end"), (-i).alias("i"), f["type"].alias("type"))))
     last = let(placed, lambda all_: F.filter(all_, lambda f, i: (i == 0) | (F.try_element_at(all_, i)["start"] != f["start"]) | (F.try_element_at(all_, i)["end"] != f["end"])))
     spans = F.transform(last, lambda f: F.struct(f["start"].alias("start"), f["end"].alias("end"), label(f["type"], labels).alias("label")))
     return result.select(F.col(id_field).cast("string").alias("id"), F.coalesce(F.col(text_field), F.lit("")).alias("text"), spans.alias("label"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scrubline.operators.skew import split_join
+from scrubline.sources.files import contents, full_uri, is_folder, listed
 
 #: Texts that a task searches.
 ROWS = 1 << 15
@@ -61,9 +62,19 @@ def read_table(spark: SparkSession, source: str | DataFrame, id_fields: list[str
 
 def read_text_folder(spark: SparkSession, path: str, id_col: str = "id", text_col: str = "note") -> DataFrame:
     """A row for each file below path (or the file itself): its bare name and content,
-    with line ends as \\n and without the last one."""
-    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    name = F.url_decode(F.replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), F.lit("+"), F.lit("%2B")))
+    with line ends as \\n and without the last one.
+
+    A folder is listed by a task and its names are dealt out, so the driver does not hold
+    them.  Only where Python has no way into the store, and for a pattern or a file, Spark's
+    reader lists it, on the driver, and passes over empty files.
+    """
+    uri = full_uri(spark, path)
+    if is_folder(uri):
+        files = contents(dealt(listed(spark, uri)), uri)
+        name = F.col("name")
+    else:
+        files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+        name = F.url_decode(F.replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), F.lit("+"), F.lit("%2B")))
     text = F.regexp_replace(F.regexp_replace("value", "\r\n?", "\n"), "\n$", "")
     return files.select(name.alias(id_col), text.alias(text_col))
 

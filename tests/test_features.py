@@ -1,9 +1,12 @@
 """Dictionaries, term lists, the tagger, files, whole jobs and resumable inspection."""
 
+import gzip
 import json
+import pickle
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -84,6 +87,31 @@ def test_a_failing_task_leaves_nothing(spark, tmp_path):
     assert not list((tmp_path / "out").iterdir())
 
 
+def test_the_driver_holds_no_names_of_files(spark, tmp_path):
+    """Neither what tasks tell the commit nor the reading of a folder grows with its files."""
+    n = 3 * files.EACH // 2
+    batch = pa.RecordBatch.from_pydict({"name": [f"n{i}" for i in range(n)], "value": ["x"] * n})
+    (tmp_path / "out").mkdir()
+    writer = files.EachFile({"path": f"file://{tmp_path}/out", "suffix": ".txt"}).writer(spark.range(1).selectExpr("'' AS name", "'' AS value").schema, False)
+    told = [writer.write(iter([batch])), writer.write(iter([])), None]
+    assert len(pickle.dumps(told)) < 1000
+    writer.commit(told)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == sorted(f"n{i}.txt" for i in range(n))
+    back = readers.read_text_folder(spark, str(tmp_path / "out"))
+    assert "FileScan" not in back._jdf.queryExecution().executedPlan().toString()
+    assert back.count() == n and back.rdd.getNumPartitions() > 1
+
+
+def test_a_folder_of_texts(spark, tmp_path):
+    (tmp_path / "a/b").mkdir(parents=True)
+    (tmp_path / ".hidden").mkdir()
+    for name, content in {"a%2Fb+c": b"x\r\ny\rz\n", "a/e": b"", "a/b/n.gz": gzip.compress("é".encode()), "a/plain.gz": b"no", "_x": b"-", ".y": b"-", ".hidden/z": b"-", "_k=1": b"k"}.items():
+        (tmp_path / name).write_bytes(content)
+    got = {r.id: r.note for r in readers.read_text_folder(spark, str(tmp_path)).collect()}
+    assert got == {"a%2Fb+c": "x\ny\nz", "e": "", "n.gz": "é", "plain.gz": "no", "_k=1": "k"}
+    assert [tuple(r) for r in readers.read_text_folder(spark, str(tmp_path / "a%2Fb+c")).collect()] == [("a%2Fb+c", "x\ny\nz")]
+
+
 def test_annotations_of_a_crowded_note(spark):
     n = 3000
     found = F.transform(F.sequence(F.lit(0), F.lit(2 * n - 1)), lambda i: F.struct(F.lit("w").alias("word"), (i % n).cast("int").alias("start"), (i % n + 1).cast("int").alias("end"),

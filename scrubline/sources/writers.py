@@ -36,8 +36,10 @@ def as_json(result: DataFrame) -> DataFrame:
     return result.select(F.to_json(F.struct(*columns)).alias("value"))
 
 
-def write_jsonl(result: DataFrame, path: str) -> None:
-    as_json(result).write.text(f"{path.rstrip('/')}/DeidNote")
+def write_jsonl(result: DataFrame, path: str, compression: str | None = None) -> None:
+    """``DeidNote``: a line for each row.  compression: a codec of Spark's text files; lines hold a text twice
+    and its findings besides, so gzip makes less than a tenth of them; readers unpack it by the file's ending."""
+    as_json(result).write.text(f"{path.rstrip('/')}/DeidNote", compression=compression)
 
 
 def write_individual(result: DataFrame, path: str, text_field: str = "note", id_field: str = "id", repeats: str = "error") -> None:

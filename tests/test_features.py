@@ -5,7 +5,9 @@ import json
 import pickle
 import random
 import time
+import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -305,6 +307,53 @@ def test_tagger_knows_names_it_has_not_seen(spark):
     assert "Zorax" not in got["1"].TEXT_DEID_note and "Vumix" not in got["1"].TEXT_DEID_note and got["1"].TEXT_DEID_note.endswith("on Monday.")
 
 
+def test_a_tagger_learns_from_all_texts(spark, monkeypatch):
+    """Every marked text of the query is learned from, in parts of bounded size."""
+    kept = []
+    monkeypatch.setattr(tagger, "_kept", lambda rows, f=tagger._kept: kept.append(f(rows)) or kept[-1])
+    monkeypatch.setattr(tagger, "EACH", 500)
+    sf = "/root/testdata/sf0.01"
+    core.queries()["tagged_names"](spark, sf)
+    sizes = [r.n for r in kept[0].select(F.size("texts").alias("n")).collect()]
+    assert sum(sizes) == spark.read.parquet(f"{sf}/orders.parquet").where("o_custkey % 2 = 0").count() > 4000
+    assert len(sizes) > tagger.PARTS and max(sizes) < 2 * 500
+
+
+def test_many_texts_at_once_are_as_one_by_one():
+    r = random.Random(4)
+    marked = [tagger.gold(t, spans) for _, t, spans in [*_texts(r, 300, False), ("a", "", []), ("b", ".", []), ("c", "É_ß İx O’Neil-x. Dr. J. Boston ALL ’9", [])]]
+    for words, _ in marked[-40:]:
+        low = ["<s>", "<s>", *(w.lower() for w in words), "</s>", "</s>"]
+        shape = ["<s>", "<s>", *map(tagger._shape, words), "</s>", "</s>"]
+        named = [[
+            "b", "w=" + low[i], "s=" + shape[i], "e=" + low[i][-3:], "a=" + low[i][:2], "p=" + low[i - 1], "n=" + low[i + 1], "pp=" + low[i - 2], "ps=" + shape[i - 1] + shape[i],
+            "ns=" + shape[i] + shape[i + 1], "pn=" + low[i - 1] + "|" + shape[i] + "|" + low[i + 1], "ppp=" + low[i - 2] + "|" + low[i - 1] + "|" + shape[i],
+            f"f={low[i] in tagger._FIRST}{low[i - 1] in tagger._FIRST}{shape[i][0]}", f"l={low[i] in tagger._PLACES}{shape[i][0]}"] for i in range(2, len(words) + 2)]
+        assert tagger.features([words]).tolist() == [[zlib.crc32(f.encode()) % tagger.SIZE for f in x] for x in named]
+    k = len(tagger.TAGS)
+    zero = tagger.Weights(np.zeros((tagger.SIZE, k)), np.zeros((k + 1, k)))
+    one = tagger.Weights(zero.features.copy(), zero.moves.copy())
+    for words, tags in marked:  # the same pass, a text at a time
+        if words:
+            at = tagger.features([words])
+            guess = tagger.best_path(one.features[at].sum(1), one.moves + tagger.allowed())
+            for t, (g, bad) in enumerate(zip(tags, guess, strict=True)):
+                np.add.at(one.features, (at[t], g), 1)
+                np.add.at(one.features, (at[t], bad), -1)
+                before = (tags[t - 1], guess[t - 1]) if t else (k, k)
+                one.moves[before[0], g] += 1
+                one.moves[before[1], bad] -= 1
+    end, _ = tagger._round(marked, zero)
+    changed = np.concatenate([one.features.ravel(), one.moves.ravel()])
+    assert {i: d for i, d in end.items() if d} == {int(i): changed[i] for i in np.flatnonzero(changed)}
+    texts = [t for _, t, _ in _texts(r, 50, True)] + ["", "?", ""]
+    assert one.spans(texts) == [one.spans([t])[0] for t in texts] and any(one.spans(texts))
+    cut = [[w for *_, w in tagger.tokens(t)] for t in texts if t]
+    emitted = [one.features[tagger.features([c])].sum(1) for c in cut]
+    tags = tagger.best_paths(np.concatenate(emitted), np.array([len(c) for c in cut]), one.moves + tagger.allowed())
+    assert tags.tolist() == [t for e in emitted for t in tagger.best_path(e, one.moves + tagger.allowed())]
+
+
 def test_best_path_is_the_best():
     import itertools
 

@@ -16,6 +16,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from scrubline.operators.ner import PERSON, PLACE
 from scrubline.sources.scratch import new_path
 
 TAGS = ["O", "B-PERSON", "I-PERSON", "B-LOCATION", "I-LOCATION"]
+_TAG = {(t[:2], t[2:]): i for i, t in enumerate(TAGS)}
 #: Places of the hashed features, and the rounds.
 SIZE, ROUNDS = 1 << 18, 5
 #: Parts whose weights are averaged, at least; texts and bytes of a part, about, at most.
@@ -46,25 +48,40 @@ def tokens(text: str) -> list[tuple[int, int, str]]:
     out = []
     for m in _TOKEN.finditer(text):
         s, e = m.span()
-        if m[0].endswith(".") and e - s > 4:
-            out += [(s, e - 1, text[s : e - 1]), (e - 1, e, ".")]
+        word = m[0]
+        if e - s > 4 and word[-1] == ".":
+            out += [(s, e - 1, word[:-1]), (e - 1, e, ".")]
         else:
-            out.append((s, e, m[0]))
+            out.append((s, e, word))
     return out
 
 
 def _shape(w: str) -> str:
-    kind = "X" if w[0].isupper() else "x" if w[0].islower() else "d" if w[0].isdigit() else w[0]
-    return kind + ("X" if len(w) > 1 and w.isupper() else "") + ("." if len(w) > 1 and w.endswith(".") else "") + ("'" if "'" in w else "")
+    c = w[0]
+    kind = "X" if c.isupper() else "x" if c.islower() else "d" if c.isdigit() else c
+    if len(w) > 1:
+        kind += ("X" if w.isupper() else "") + ("." if w[-1] == "." else "")
+    return kind + "'" if "'" in w else kind
+
+
+#: Checksums of what features begin with.
+_W, _S, _E, _A, _P, _N, _PP, _PS, _NS, _PN, _PPP = (zlib.crc32(x) for x in (b"w=", b"s=", b"e=", b"a=", b"p=", b"n=", b"pp=", b"ps=", b"ns=", b"pn=", b"ppp="))
+
+
+@cache
+def _of_shape(shape: str, first: bool, place: bool) -> tuple:
+    """What a word's shape and whether it is listed give to features."""
+    crc, kind, x = zlib.crc32, shape[0], shape.encode()
+    return (crc(x, _S), crc(x, _PS), crc(x, _NS), x, b"|" + x, b"|" + x + b"|",
+            (crc(f"f={first}False{kind}".encode()), crc(f"f={first}True{kind}".encode())), first, crc(f"l={place}{kind}".encode()))
 
 
 def _hashes(low: str, shape: str) -> tuple:
     """What a word gives to the features of its own place and of those beside it: hashes, and begins and ends of them."""
-    crc = lambda *x: zlib.crc32("".join(x).encode())
-    first, kind = low in _FIRST, shape[0]
-    return (crc("w=", low), crc("s=", shape), crc("e=", low[-3:]), crc("a=", low[:2]), crc("p=", low), crc("n=", low), crc("pp=", low),
-            crc("ps=", shape), crc("ns=", shape), crc("pn=", low), crc("ppp=", low), low.encode(), shape.encode(), f"|{low}".encode(), f"|{shape}".encode(), f"|{shape}|".encode(),
-            (crc(f"f={first}False{kind}"), crc(f"f={first}True{kind}")), first, crc(f"l={low in _PLACES}{kind}"))
+    crc, x = zlib.crc32, low.encode()
+    s, ps, ns, y, bar, bars, f, first, place = _of_shape(shape, low in _FIRST, low in _PLACES)
+    return (crc(x, _W), s, crc(low[-3:].encode(), _E), crc(low[:2].encode(), _A), crc(x, _P), crc(x, _N), crc(x, _PP), ps, ns, crc(x, _PN), crc(x, _PPP),
+            x, y, b"|" + x, bar, bars, f, first, place)
 
 
 _ONE, _BEGIN, _END = zlib.crc32(b"b"), _hashes("<s>", "<s>"), _hashes("</s>", "</s>")
@@ -187,8 +204,12 @@ def gold(text: str, spans: list[tuple[int, int, str]]) -> tuple[list[str], list[
     found, tags = tokens(text), []
     last = None
     for s, e, _ in found:
-        at = next((i for i, (a, b, _) in enumerate(spans) if a < e and s < b), None)
-        tags.append(0 if at is None else TAGS.index(("I-" if at == last else "B-") + spans[at][2]))
+        at, tag = None, 0
+        for i, (a, b, label) in enumerate(spans):
+            if a < e and s < b:
+                at, tag = i, _TAG["I-" if i == last else "B-", label]
+                break
+        tags.append(tag)
         last = at
     return [w for *_, w in found], tags
 

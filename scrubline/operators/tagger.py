@@ -305,7 +305,7 @@ def learn(marked: DataFrame, rounds: int = ROUNDS) -> Weights:
     part = F.pmod(F.xxhash64(F.lit(1), "id", "text"), F.lit(parts)).alias("part")
     dealt = rows.where("text IS NOT NULL").groupBy(part).agg(F.sort_array(F.collect_list(F.struct("id", "text", "spans"))).alias("texts")).select("texts")
     cores = marked.sparkSession.sparkContext.defaultParallelism
-    dealt = _kept(dealt.repartition(cores * -(-parts // (cores * 8))))
+    dealt = _kept(dealt.repartition(cores * -(-parts // (cores * 2))))  # small files, so a task's batches of parts are, too
     k = len(TAGS)
     size = (SIZE + k + 1) * k
     weights, total = np.zeros(size), np.zeros(size)
